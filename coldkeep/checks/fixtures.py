@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coldkeep.plans.archive import archive_rows, store
-from coldkeep.session import scratch_path
+from coldkeep.session import in_parallel, scratch_path
 from coldkeep.sinks.tables import ensure_database
 from coldkeep.sources.connections import Connection
 from coldkeep.sources.documents import RULES
@@ -94,9 +94,16 @@ def archived(
 def archive_database(spark: SparkSession, sf_dir: str, label: str) -> str:
     """An archive of orders, lineitem and events, and a table without retention columns."""
     db = fresh_database(spark, label)
-    store(archived(spark, sf_dir, "orders", "o_orderdate", HOLD_ORDERS), f"{db}.src_orders")
-    store(archived(spark, sf_dir, "lineitem", "l_shipdate", HOLD_LINES, "1y"), f"{db}.src_lineitem")
-    store(archived(spark, sf_dir, "events", "ts", HOLD_EVENTS, "30d"), f"{db}.src_events")
+    tables = [
+        ("orders", "o_orderdate", HOLD_ORDERS, POLICY),
+        ("lineitem", "l_shipdate", HOLD_LINES, "1y"),
+        ("events", "ts", HOLD_EVENTS, "30d"),
+    ]
+
+    def fill(item: tuple) -> int:
+        return store(archived(spark, sf_dir, *item), f"{db}.src_{item[0]}")
+
+    in_parallel(spark, fill, tables, max_parallel=3)
     table(spark, sf_dir, "nation").write.saveAsTable(f"{db}.src_nation")
     return db
 

@@ -315,7 +315,7 @@ ORACLE: dict[str, str] = {
     "mismatch_pairs_without_key": pairs(()),
     "mismatch_values": f"WITH p AS ({pairs(('o_orderkey',))}) "
     + " UNION ALL ".join(
-        f"SELECT o_orderkey, rank::int AS rank, '{c}' AS \"column\", source_{c} AS source_value, "
+        f"SELECT o_orderkey, rank, '{c}' AS \"column\", source_{c} AS source_value, "
         f"target_{c} AS target_value FROM p"
         for c in COLUMNS
         if c != "o_orderkey"

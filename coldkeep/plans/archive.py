@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -11,6 +11,7 @@ from coldkeep.functions.blobs import binary_columns
 from coldkeep.functions.checksums import row_checksum
 from coldkeep.functions.retention import expiry_month, stamp_retention
 from coldkeep.operators.blob_store import extract_blobs, write_blobs
+from coldkeep.session import in_parallel
 from coldkeep.sinks.tables import ensure_database, write_archive
 from coldkeep.sources.connections import Connection
 from coldkeep.sources.tables import read_source
@@ -76,6 +77,36 @@ def archive(
     return Archived(name, written, blobs)
 
 
+RUN = (
+    "target_db string, target_table string, status string, rows bigint, blobs bigint, error string, "
+    "start_time timestamp, end_time timestamp"
+)
+
+
+def archive_many(
+    spark: SparkSession,
+    plan: DataFrame,
+    conn: Connection,
+    as_of: datetime | date | str,
+    max_parallel: int = 2,
+    **options,
+) -> DataFrame:
+    """Archive every row of a plan, a few at a time; one result row each, failures included."""
+
+    def run(item: Row) -> tuple:
+        started = datetime.now(timezone.utc)
+        try:
+            done = archive(spark, item, conn, as_of, **options)
+            row = ("SUCCEEDED", done.rows, done.blobs, None)
+        except Exception as error:
+            row = ("FAILED", None, None, str(error))
+        names = (item["target_db"], item["target_table"])
+        return (*names, *row, started, datetime.now(timezone.utc))
+
+    # One row per table to archive.
+    return spark.createDataFrame(in_parallel(spark, run, plan.collect(), max_parallel), RUN)
+
+
 def store(rows: DataFrame, name: str, mode: str = "replace", scattered: bool = True) -> int:
     """Write archived rows, partitioned for the purge."""
     rows = rows.withColumn("expiry_month", expiry_month(F.col("retention_expires_at")))

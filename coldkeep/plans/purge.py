@@ -3,18 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from coldkeep.functions.retention import expired, expired_filter
+from coldkeep.session import in_parallel
 from coldkeep.sinks.tables import (
     is_row_level,
     partition_columns,
-    partition_spec,
     table_folder,
     write_archive,
 )
@@ -35,12 +32,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _in_parallel(spark: SparkSession, task: Callable, items: Iterable, max_parallel: int) -> list:
-    """Submit independent Spark jobs from a few driver threads; each job runs on the cluster."""
-    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(task), items))
-
-
 def expired_count(spark: SparkSession, name: str, as_of: date | str) -> int:
     table = spark.table(name)
     return table.filter(expired_filter(as_of, table.columns)).count()
@@ -67,7 +58,7 @@ def discover_expired(
             row = ("failed", str(error), None)
         return (db, table, *row, date.fromisoformat(str(as_of)[:10]), _now())
 
-    rows = _in_parallel(spark, check, list_tables(spark, db), max_parallel)
+    rows = in_parallel(spark, check, list_tables(spark, db), max_parallel)
     return spark.createDataFrame(rows, DISCOVERY)
 
 
@@ -116,31 +107,33 @@ def _purge_partitions(spark: SparkSession, name: str, day: date) -> int:
     """Drop unheld partitions of months gone by; rewrite the month that the limit cuts through.
 
     All rows of an earlier month are expired, so they are dropped unread. Held partitions and later
-    months are not touched. Each step switches one partition in the catalog: a run cut short can
-    simply be repeated.
+    months are not touched. The catalog is changed in two steps, one for the dropped partitions and
+    one for the rewritten one: a run cut short can simply be repeated.
     """
-    limit, deleted = f"{day:%Y-%m}", 0
-    for part in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        values = dict(item.split("=", 1) for item in part[0].split("/"))
-        month = values["expiry_month"]
-        if values["legal_hold"] != "false" or month > limit or not month[:1].isdigit():
-            continue
-        spec = partition_spec(part[0])
-        rows = spark.table(name).filter((F.col("expiry_month") == month) & ~F.col("legal_hold"))
-        n = rows.count()  # from the Parquet footers
-        if month < limit:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
-            deleted += n
-        elif rows.filter(expired_filter(day, rows.columns)).count():
-            folder = f"{table_folder(spark, name)}/{uuid.uuid4().hex}"
-            kept = rows.filter(~expired(day)).drop("expiry_month", "legal_hold")
-            kept.write.parquet(folder)
-            deleted += n - spark.read.schema(kept.schema).parquet(folder).count()
-            spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name)
+    limit = f"{day:%Y-%m}"
+    free = spark.table(name).filter((F.col("expiry_month") <= limit) & ~F.col("legal_hold"))
+    # One row per month, counted from the Parquet footers.
+    sizes = {r[0]: r[1] for r in free.groupBy("expiry_month").count().collect()}
+    deleted = sum(n for month, n in sizes.items() if month < limit)
+    gone = [_free_partition(month) for month in sizes if month < limit]
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone)}")
+
+    cut = free.filter(F.col("expiry_month") == limit)
+    if limit in sizes and not cut.filter(expired_filter(day, cut.columns)).isEmpty():
+        folder = f"{table_folder(spark, name)}/{uuid.uuid4().hex}"
+        kept = cut.filter(~expired(day)).drop("expiry_month", "legal_hold")
+        kept.write.parquet(folder)
+        deleted += sizes[limit] - spark.read.schema(kept.schema).parquet(folder).count()
+        spark.sql(f"ALTER TABLE {name} {_free_partition(limit)} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
     return deleted
 
 
+def _free_partition(month: str) -> str:
+    return f"PARTITION (`expiry_month`='{month}', `legal_hold`=false)"
+
+
 def purge_many(spark: SparkSession, plan: DataFrame, max_parallel: int = 5) -> DataFrame:
     """Purge the tables of a saved plan, several at a time, with the plan's own `as_of`.
 
@@ -158,7 +151,7 @@ def purge_many(spark: SparkSession, plan: DataFrame, max_parallel: int = 5) -> D
         return (item["table_name"], *row, _now())
 
     # One row per table of a database.
-    rows = _in_parallel(spark, purge, plan.collect(), max_parallel)
+    rows = in_parallel(spark, purge, plan.collect(), max_parallel)
     return spark.createDataFrame(rows, RESULT)
 
 

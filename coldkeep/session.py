@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -56,3 +59,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(spark: SparkSession, task: Callable, items: Iterable, max_parallel: int) -> list:
+    """Submit independent Spark jobs from a few driver threads; each job runs on the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
