@@ -55,17 +55,29 @@ def blob_cells(df: DataFrame) -> DataFrame:
     )
 
 
-def distinct_blobs(cells: DataFrame, buckets: int) -> DataFrame:
-    """One row per distinct content, partitioned by digest into `buckets`.
+def blob_digests(df: DataFrame) -> DataFrame:
+    """The digest of every linked cell; only the link columns are read."""
+    links = F.array(*[F.col(f"`{c}{LINK_SUFFIX}`") for c in binary_columns(df)])
+    return df.select(F.explode(links).alias("link")).select(
+        link_digest(F.col("link")).alias("sha256")
+    ).filter("sha256 IS NOT NULL")
 
-    Copies are counted first, on digests alone. The most frequent contents are cut to at most
-    SALTS copies by a salted aggregate, so a file that a third of all rows hold does not send its
-    bytes to one task from everywhere; all other contents have few copies and are shuffled once.
-    """
-    counts = cells.groupBy("sha256").agg(F.count(F.lit(1)).alias("copies"))
+
+def hot_digests(digests: DataFrame) -> DataFrame:
+    """Contents with very many copies: at most HOT_KEYS, the most frequent first."""
+    counts = digests.groupBy("sha256").agg(F.count(F.lit(1)).alias("copies"))
     hot = counts.filter(F.col("copies") > HOT_COPIES).orderBy(F.desc("copies")).limit(HOT_KEYS)
-    hot = F.broadcast(hot.select("sha256"))  # bounded: at most HOT_KEYS digests
+    return hot.select("sha256")
 
+
+def distinct_blobs(cells: DataFrame, hot: DataFrame, buckets: int) -> DataFrame:
+    """One row per distinct content, partitioned by digest into `buckets`.
+
+    The most frequent contents are cut to at most SALTS copies by a salted aggregate, so a file
+    that a third of all rows hold does not send its bytes to one task from everywhere. All other
+    contents have few copies and are shuffled once.
+    """
+    hot = F.broadcast(hot)  # bounded: at most HOT_KEYS digests
     cold = cells.join(hot, "sha256", "left_anti")
     salted = cells.join(hot, "sha256", "left_semi").withColumn(
         "salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))
@@ -77,30 +89,27 @@ def distinct_blobs(cells: DataFrame, buckets: int) -> DataFrame:
     return few.repartition(buckets, "sha256").dropDuplicates(["sha256"])
 
 
-def bucket_count(cells: DataFrame) -> int:
-    size = cells.agg(F.sum("length")).head()[0] or 0
-    return max(1, math.ceil(size / BUCKET_BYTES))
-
-
-def write_blobs(linked: DataFrame, db: str) -> int:
+def write_blobs(linked: DataFrame, db: str, size_in_bytes: int | None = None) -> int:
     """Add the contents a linked table refers to and the store lacks; returns how many.
 
     The store is bucketed by digest: adding and reading back join it in place. Doing it twice
-    adds nothing.
+    adds nothing. `size_in_bytes` sets the number of buckets of a new store; without it the cells
+    are measured.
     """
     spark, name = linked.sparkSession, f"{db}.{BLOB_TABLE}"
     if not binary_columns(linked):
         return 0
     cells = blob_cells(linked)
+    hot = hot_digests(blob_digests(linked))
     if spark.catalog.tableExists(name):
-        held = spark.table(name)
-        buckets = _buckets_of(spark, name)
-        before = held.count()
-        cells = cells.join(held.select("sha256"), "sha256", "left_anti")
+        buckets, before = _buckets_of(spark, name), spark.table(name).count()
+        cells = cells.join(spark.table(name).select("sha256"), "sha256", "left_anti")
     else:
-        buckets, before = bucket_count(cells), 0
+        if size_in_bytes is None:
+            size_in_bytes = cells.agg(F.sum("length")).head()[0] or 0
+        buckets, before = max(1, math.ceil(size_in_bytes / BUCKET_BYTES)), 0
     (
-        distinct_blobs(cells, buckets)
+        distinct_blobs(cells, hot, buckets)
         .write.mode("append")
         .bucketBy(buckets, "sha256")
         .sortBy("sha256")

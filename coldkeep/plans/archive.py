@@ -12,7 +12,13 @@ from coldkeep.functions.checksums import row_checksum
 from coldkeep.functions.retention import expiry_month, stamp_retention
 from coldkeep.operators.blob_store import extract_blobs, write_blobs
 from coldkeep.session import in_parallel
-from coldkeep.sinks.tables import ensure_database, write_archive
+from coldkeep.sinks.tables import (
+    ensure_database,
+    folder_size,
+    is_row_level,
+    table_folder,
+    write_archive,
+)
 from coldkeep.sources.connections import Connection
 from coldkeep.sources.tables import read_source
 
@@ -73,7 +79,10 @@ def archive(
     )
     ensure_database(spark, p["target_db"])
     written = store(rows, name, mode, scattered=basis is not None)
-    blobs = write_blobs(spark.table(name), p["target_db"]) if written and binary_columns(df) else 0
+    blobs = 0
+    if written and binary_columns(df):
+        size = None if is_row_level(spark, name) else folder_size(spark, table_folder(spark, name))
+        blobs = write_blobs(spark.table(name), p["target_db"], size)
     return Archived(name, written, blobs)
 
 
