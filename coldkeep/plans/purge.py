@@ -97,10 +97,7 @@ def purge_table(spark: SparkSession, name: str, as_of: date | str) -> int:
     if not expired_count(spark, name, day):
         return 0
     before = spark.table(name).count()
-    survivors = write_archive(spark.table(name).filter(~expired(day)), name)
-    if survivors == 0:
-        spark.sql(f"TRUNCATE TABLE {name}")
-    return before - survivors
+    return before - write_archive(spark.table(name).filter(~expired(day)), name, empty=True)
 
 
 def _purge_partitions(spark: SparkSession, name: str, day: date) -> int:

@@ -38,9 +38,15 @@ def table_folder(spark: SparkSession, name: str) -> str:
 
 
 def write_archive(
-    df: DataFrame, name: str, mode: str = "replace", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    name: str,
+    mode: str = "replace",
+    partition_by: Sequence[str] = (),
+    empty: bool = False,
 ) -> int:
-    """Create, replace or extend an archive table; returns the rows written, 0 creates nothing.
+    """Create, replace or extend an archive table; returns the rows written.
+
+    Without rows nothing is created or replaced, unless `empty` says that no rows is the result.
 
     The data is read once. With `partition_by` on skewed or scattered values the write is
     rebalanced, so that a large partition is split over tasks and small ones do not multiply files.
@@ -54,6 +60,10 @@ def write_archive(
     exists = spark.catalog.tableExists(name)
     if mode == "append" and exists:
         before = spark.table(name).count()
+        if partition_columns(spark, name):
+            # New partitions go to a fresh folder: files of a dropped partition must not come back.
+            fresh = f"{table_folder(spark, name)}/{uuid.uuid4().hex}"
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
         df.select(*_quoted(spark.table(name).columns)).write.insertInto(name)
         spark.catalog.refreshTable(name)
         return spark.table(name).count() - before
@@ -63,7 +73,7 @@ def write_archive(
     ordered = [c for c in df.columns if c not in partition_by] + list(partition_by)
     written = spark.read.schema(df.select(*_quoted(ordered)).schema).parquet(stage)
     rows = written.count()  # from the Parquet footers
-    if rows:
+    if rows or empty:
         _switch(spark, name, written, stage, partition_by, exists)
     else:
         remove_folder(spark, stage)
@@ -131,7 +141,8 @@ def folder_size(spark: SparkSession, folder: str) -> int:
 
 def _location(spark: SparkSession, name: str, partition: str = "") -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()
-    return [r["data_type"] for r in rows if r["col_name"] == "Location"][-1]
+    # For a partition its own location comes first, then the table's.
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
 def live_folders(spark: SparkSession, name: str) -> set[str]:
