@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from coldkeep.functions.naming import archive_segment
 from coldkeep.plans.archive import archive_rows, store
 from coldkeep.session import in_parallel, scratch_path
 from coldkeep.sinks.tables import ensure_database
@@ -38,6 +39,25 @@ def landing(spark: SparkSession, sf_dir: str) -> tuple[Connection, str]:
     return Connection(name="landing"), db
 
 
+def plan_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Plan rows from (schema, table, query, condition, target database, target table)."""
+    given = (
+        "source_schema string, source_table string, query string, condition string, "
+        "target_db string, target_table string"
+    )
+    segment = archive_segment(F.col("source_table"), F.col("query"))
+    return spark.createDataFrame(rows, given).withColumns(
+        {
+            "source_name": F.lit("landing"),
+            "connection": F.lit("landing"),
+            "target_path": F.lit("s3://vault/"),
+            "segment": segment,
+            "retention_policy_value": F.lit(POLICY),
+            "legal_hold": F.lit(False),
+        }
+    )
+
+
 def fresh_database(spark: SparkSession, label: str) -> str:
     db = f"archive_{label}_{uuid.uuid4().hex[:8]}"
     ensure_database(spark, db, scratch_path(spark, db))

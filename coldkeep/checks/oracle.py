@@ -429,6 +429,15 @@ ORACLE: dict[str, str] = {
         md5({" || '||' || ".join(f"{c}::varchar" for c in COLUMNS)}) AS checksum,
         strftime(o_orderdate + INTERVAL 180 DAY, '%Y-%m') AS expiry_month FROM orders
         WHERE o_orderstatus = 'F' AND o_totalprice > 1000""",
+    "archive_validate_report": """WITH t AS (
+            SELECT 'SRC_Orders' AS name, count(*) AS n FROM orders WHERE o_orderstatus = 'F'
+            UNION ALL SELECT 'SRC_Lineitem', count(*) FROM lineitem
+            UNION ALL SELECT 'SRC_Customers', count(*) FROM customer JOIN nation
+                ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'),
+        k AS (SELECT unnest(['schema_validation', 'row_count_validation', 'row_checksum_validation',
+            'column_checksum_validation']) AS validation_report)
+        SELECT name, n AS rows_archived, 1::bigint AS archive_runs, 1::bigint AS validate_runs,
+            validation_report, 'passed' AS result, 'good' AS severity FROM t, k""",
     "expired_rows": f"WITH {ARCHIVES} SELECT * FROM arc_orders WHERE {EXPIRED}",
     "discover_expired": f"""{FOUND} SELECT table_name, CASE WHEN n > 0 THEN 'found' ELSE 'clean' END
         AS status, NULL AS reason, n AS estimated_rows_to_delete, DATE '{fx.AS_OF}' AS as_of FROM found

@@ -12,9 +12,11 @@ from coldkeep.functions.normalize import normalize_names, normalize_values
 from coldkeep.functions.retention import expired, expiry_month, retention_days, stamp_retention
 from coldkeep.operators import blob_store, compare, rules as rule_ops
 from coldkeep.plans import purge as purging, report as reporting
-from coldkeep.plans.archive import archive, archive_rows, store
+from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import plan
-from coldkeep.plans.validate import validate, verdict
+from coldkeep.plans.validate import validate, validate_many, verdict
+from coldkeep.session import scratch_path
+from coldkeep.sinks.tables import write_archive
 from coldkeep.sources import documents as docs
 from coldkeep.sources.tables import query_over, read_archive, read_source
 
@@ -433,12 +435,8 @@ def archive_condition(spark, sf_dir):
     """A conditioned table, archived through its plan row and read back."""
     conn, db = fx.landing(spark, sf_dir)
     target = fx.fresh_database(spark, "flow")
-    plan_row = spark.createDataFrame(
-        [(db, "orders", None, "o_orderstatus = 'F'", "s3://vault/", target, "SRC_Orders", "orders", fx.POLICY, False)],
-        "source_schema string, source_table string, query string, condition string, "
-        "target_path string, target_db string, target_table string, segment string, "
-        "retention_policy_value string, legal_hold boolean",
-    ).head()
+    row = (db, "orders", None, "o_orderstatus = 'F'", target, "SRC_Orders")
+    plan_row = fx.plan_rows(spark, [row]).head()
     archive(spark, plan_row, conn, fx.AS_OF, basis="o_orderdate")
     return read_archive(spark, target, "SRC_Orders", condition="o_totalprice > 1000")
 
@@ -499,8 +497,6 @@ def purge_survivors_lineitem(spark, sf_dir):
 
 @query
 def purge_survivors_unpartitioned(spark, sf_dir):
-    from coldkeep.sinks.tables import write_archive
-
     db = fx.fresh_database(spark, "flat")
     rows = fx.archived(spark, sf_dir, "orders", "o_orderdate", fx.HOLD_ORDERS)
     write_archive(rows, f"{db}.flat")
@@ -573,6 +569,41 @@ def report_checksum_rows(spark, sf_dir):
     return reporting.checksum_rows(_legacy_columns(spark, sf_dir, report_text.COLUMN_REPORT))
 
 
+@query
+def archive_validate_report(spark, sf_dir):
+    """Three plan rows through archiving, validation and the report."""
+    conn, db = fx.landing(spark, sf_dir)
+    target = fx.fresh_database(spark, "report")
+    asked = (
+        f"SELECT c_custkey, c_name, n_name FROM {db}.customer JOIN {db}.nation "
+        "ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'"
+    )
+    plan_rows = fx.plan_rows(
+        spark,
+        [
+            (db, "orders", None, "o_orderstatus = 'F'", target, "SRC_Orders"),
+            (db, "lineitem", None, None, target, "SRC_Lineitem"),
+            (db, None, asked, None, target, "SRC_Customers"),
+        ],
+    )
+    archive_runs = archive_many(spark, plan_rows, conn, fx.AS_OF, max_parallel=3)
+    root = scratch_path(spark, "reports")
+    validate_runs = validate_many(spark, plan_rows, conn, root, max_parallel=3)
+    jobs = reporting.job_metadata(
+        archive_runs.select(*reporting.JOB_COLUMNS), validate_runs.select(*reporting.JOB_COLUMNS)
+    )
+    rows = reporting.report(docs.read_summaries(spark, root), jobs)
+    counts = archive_runs.select(
+        F.col("script_args")[reporting.ARG_TABLE].alias("name"), F.col("rows").alias("rows_archived")
+    )
+    return (
+        rows.withColumn("name", F.substring_index("target_table", ".", -1))
+        .join(counts, "name")
+        .select("name", "rows_archived", "archive_runs", "validate_runs", "validation_report",
+                "result", "severity")
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive orders with a per-row expiry, read the table back, count what is expired by hold."""
     db = fx.fresh_database(spark, "entry")

@@ -119,6 +119,34 @@ def write_blobs(linked: DataFrame, db: str, size_in_bytes: int | None = None) ->
     return spark.table(name).count() - before
 
 
+def export_blobs(linked: DataFrame, db: str) -> int:
+    """Write every linked content to the address its link names; returns the number of files.
+
+    Each address is written by one task from the store. A repeated task writes the same bytes to
+    the same place.
+    """
+    links = F.array(*[F.col(f"`{c}{LINK_SUFFIX}`") for c in binary_columns(linked)])
+    wanted = linked.select(F.explode(links).alias("link")).filter("link IS NOT NULL").distinct()
+    held = linked.sparkSession.table(f"{db}.{BLOB_TABLE}").select("sha256", "content")
+    wanted = wanted.withColumn("sha256", link_digest(F.col("link")))
+    files = wanted.join(held, "sha256").select("link", "content")
+    return files.mapInArrow(_put_files, "n long").agg(F.sum("n")).head()[0] or 0
+
+
+def _put_files(batches):
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        for link, content in zip(batch["link"].to_pylist(), batch["content"]):
+            store, path = fs.FileSystem.from_uri(link)
+            if isinstance(store, fs.LocalFileSystem):
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(content.as_buffer())
+        yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+
 def _buckets_of(spark: SparkSession, name: str) -> int:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return int(next(r["data_type"] for r in rows if r["col_name"] == "Num Buckets"))
@@ -127,20 +155,37 @@ def _buckets_of(spark: SparkSession, name: str) -> int:
 def blob_status(keys: DataFrame, blobs: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Requested keys with their blob: status 200, 404 without one, 413 beyond the size limit.
 
-    One row per distinct key; the digest in the key finds the content.
+    One row per distinct key; the digest in the key finds the content. Keys without a digest skip
+    the join, and a content that very many keys ask for is joined in SALTS pieces.
     """
-    wanted = keys.select("key").distinct()
-    wanted = wanted.withColumn("path", unquote(F.col("key")))
+    wanted = keys.select("key").distinct().withColumn("path", unquote(F.col("key")))
     wanted = wanted.withColumn("sha256", link_digest(F.col("path")))
-    found = wanted.join(blobs.select("sha256", "ext", "length", "content"), "sha256", "left")
-    same = F.col("sha256").isNotNull() & (link_extension(F.col("path")) == F.col("ext"))
-    status = F.when(F.coalesce(~same, F.lit(True)), 404)
+    blobs = blobs.select("sha256", "ext", "length", "content")
+
+    asked = wanted.filter("sha256 IS NOT NULL")
+    hot = F.broadcast(hot_digests(asked.select("sha256")))  # bounded: at most HOT_KEYS digests
+    plain = asked.join(hot, "sha256", "left_anti").join(blobs, "sha256", "left")
+    pieces = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    spread = (
+        asked.join(hot, "sha256", "left_semi")
+        .withColumn("salt", F.pmod(F.hash("path"), F.lit(SALTS)))
+        .join(blobs.join(hot, "sha256", "left_semi").select("*", pieces), ["sha256", "salt"], "left")
+        .drop("salt")
+    )
+    unknown = wanted.filter("sha256 IS NULL")
+    found = plain.unionByName(spread).unionByName(unknown, allowMissingColumns=True)
+
+    exists = F.coalesce(link_extension(F.col("path")) == F.col("ext"), F.lit(False))
+    status = F.when(~exists, 404)
     if max_bytes is not None:
         status = status.when(F.col("length") > max_bytes, 413)
-    status = status.otherwise(200)
-    return found.withColumn("status", status).withColumns(
-        {c: F.when(F.col("status") == 200, F.col(c)) for c in ("content",)}
-    ).drop("sha256", "ext")
+    return found.withColumn("status", status.otherwise(200)).select(
+        "key",
+        "path",
+        F.when(exists, F.col("length")).alias("length"),
+        "status",
+        F.when(F.col("status") == 200, F.col("content")).alias("content"),
+    )
 
 
 def read_blobs(

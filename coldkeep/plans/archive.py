@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from coldkeep.functions.blobs import binary_columns
 from coldkeep.functions.checksums import row_checksum
 from coldkeep.functions.retention import expiry_month, stamp_retention
-from coldkeep.operators.blob_store import extract_blobs, write_blobs
+from coldkeep.operators.blob_store import export_blobs, extract_blobs, write_blobs
+from coldkeep.plans.report import ARCHIVE_JOB, JOB, job_args
 from coldkeep.session import in_parallel
 from coldkeep.sinks.tables import (
     ensure_database,
@@ -55,12 +57,14 @@ def archive(
     as_of: datetime | date | str,
     mode: str = "replace",
     basis: str | Column | None = None,
+    export: bool = False,
     **read_options,
 ) -> Archived:
     """Archive one row of the plan. A source without rows succeeds and creates no table.
 
     Tables are partitioned by expiry month and hold, so that a purge drops whole partitions. Rows
     of many months are rebalanced before the write; with one expiry for all there is no shuffle.
+    Binary contents go to the blob store and, with `export`, also to the files the links name.
     """
     p = plan_row.asDict()
     name = f"{p['target_db']}.{p['target_table']}".lower()
@@ -83,13 +87,12 @@ def archive(
     if written and binary_columns(df):
         size = None if is_row_level(spark, name) else folder_size(spark, table_folder(spark, name))
         blobs = write_blobs(spark.table(name), p["target_db"], size)
+        if export:
+            export_blobs(spark.table(name), p["target_db"])
     return Archived(name, written, blobs)
 
 
-RUN = (
-    "target_db string, target_table string, status string, rows bigint, blobs bigint, error string, "
-    "start_time timestamp, end_time timestamp"
-)
+RUN = f"{JOB}, rows bigint, blobs bigint, error string"
 
 
 def archive_many(
@@ -100,17 +103,17 @@ def archive_many(
     max_parallel: int = 2,
     **options,
 ) -> DataFrame:
-    """Archive every row of a plan, a few at a time; one result row each, failures included."""
+    """Archive every row of a plan, a few at a time; one run row each, failures included."""
 
     def run(item: Row) -> tuple:
         started = datetime.now(timezone.utc)
         try:
             done = archive(spark, item, conn, as_of, **options)
-            row = ("SUCCEEDED", done.rows, done.blobs, None)
+            status, row = "SUCCEEDED", (done.rows, done.blobs, None)
         except Exception as error:
-            row = ("FAILED", None, None, str(error))
-        names = (item["target_db"], item["target_table"])
-        return (*names, *row, started, datetime.now(timezone.utc))
+            status, row = "FAILED", (None, None, str(error))
+        ended = datetime.now(timezone.utc)
+        return (ARCHIVE_JOB, uuid.uuid4().hex, status, started, ended, job_args(item), *row)
 
     # One row per table to archive.
     return spark.createDataFrame(in_parallel(spark, run, plan.collect(), max_parallel), RUN)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from coldkeep.functions.report_text import (
-    SCHEMA_REPORT,
     COLUMN_REPORT,
+    SCHEMA_REPORT,
     duration_seconds,
     duration_text,
     parse_legacy_columns,
@@ -25,6 +25,21 @@ JOB = (
     "job_name string, job_run_id string, status string, start_time timestamp, end_time timestamp, "
     "script_args map<string,string>"
 )
+JOB_COLUMNS = ("job_name", "job_run_id", "status", "start_time", "end_time", "script_args")
+ARCHIVE_JOB, VALIDATE_JOB = "archive", "validate"
+
+
+def job_args(plan_row: Row) -> dict[str, str]:
+    """The arguments that tell what a run worked on."""
+    p = plan_row.asDict()
+    args = {
+        ARG_DB: p["target_db"],
+        ARG_TABLE: p["target_table"],
+        ARG_SCHEMA: p["source_schema"],
+        ARG_SOURCE: p["source_table"],
+        ARG_QUERY: p["query"],
+    }
+    return {name: value for name, value in args.items() if value}
 
 
 def job_metadata(archive_runs: DataFrame, validate_runs: DataFrame) -> DataFrame:
@@ -32,7 +47,10 @@ def job_metadata(archive_runs: DataFrame, validate_runs: DataFrame) -> DataFrame
     runs = archive_runs.withColumn("job_kind", F.lit("archive")).unionByName(
         validate_runs.withColumn("job_kind", F.lit("validate"))
     )
-    arg = lambda name: F.try_element_at("script_args", F.lit(name))
+
+    def arg(name: str) -> Column:
+        return F.try_element_at("script_args", F.lit(name))
+
     origin = F.coalesce(_set(arg(ARG_SOURCE)), arg(ARG_QUERY), F.lit(NO_SOURCE))
     return runs.withColumns(
         {
@@ -81,11 +99,12 @@ def report(summaries: DataFrame, jobs: DataFrame) -> DataFrame:
     Runs and summaries are both reduced to one row per table before they meet, so a table with
     very many runs multiplies nothing.
     """
+    validated = F.when(F.col("job_kind") == "validate", F.struct("end_time", "job_run_id"))
     tables = (
         jobs.withColumn("target_table", F.concat_ws(".", "target_db", "target_table"))
         .groupBy("target_table")
         .agg(
-            F.max_by("source_table", F.when(F.col("job_kind") == "validate", F.struct("end_time", "job_run_id"))).alias("source_table"),
+            F.max_by("source_table", validated).alias("source_table"),
             F.count_if(F.col("job_kind") == "archive").alias("archive_runs"),
             F.count_if(F.col("job_kind") == "validate").alias("validate_runs"),
             F.coalesce(F.sum("duration_seconds"), F.lit(0)).alias("total_seconds"),

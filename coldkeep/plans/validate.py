@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from coldkeep.functions.checksums import METADATA_COLUMNS
 from coldkeep.functions.normalize import normalize_names, normalize_values
@@ -18,7 +20,11 @@ from coldkeep.functions.report_text import (
     render_summary,
 )
 from coldkeep.operators import compare
-from coldkeep.session import staged
+from coldkeep.plans.report import JOB, VALIDATE_JOB, job_args
+from coldkeep.session import in_parallel, staged
+from coldkeep.sinks.documents import write_summary
+from coldkeep.sources.connections import Connection
+from coldkeep.sources.tables import read_source
 
 SAMPLE_RECORDS = 100
 
@@ -136,6 +142,7 @@ def validate_archive(
     key: Sequence[str] | None = None,
     mode: str = "lenient",
     source_table: str = "source",
+    target_table: str | None = None,
     stage_source: bool = False,
 ) -> Validation:
     """Validate a table of the archive; `stage_source` reads a remote database only once."""
@@ -146,5 +153,51 @@ def validate_archive(
         key=key,
         mode=mode,
         source_table=source_table,
-        target_table=archive_name,
+        target_table=target_table or archive_name,
     )
+
+
+RUN = f"{JOB}, error string"
+
+
+def validate_many(
+    spark: SparkSession,
+    plan: DataFrame,
+    conn: Connection,
+    report_root: str,
+    max_parallel: int = 2,
+    **options,
+) -> DataFrame:
+    """Validate every row of an archived plan and save its summary; one run row each.
+
+    A query is run on the source again and compared with its archived result.
+    """
+
+    def run(item: Row) -> tuple:
+        started = datetime.now(timezone.utc)
+        p = item.asDict()
+        target = f"{p['target_db']}.{p['target_table']}"
+        table = f"{p['source_schema']}.{p['source_table']}" if p["source_table"] else None
+        try:
+            source = read_source(
+                spark, conn, table=table, query=p["query"], condition=p["condition"]
+            )
+            result = validate_archive(
+                spark,
+                source,
+                target.lower(),
+                source_table=table or p["source_schema"],
+                target_table=target,
+                stage_source=conn.kind != "catalog",
+                **options,
+            )
+            folder = f"{report_root.rstrip('/')}/{p['target_db']}/{p['target_table']}"
+            write_summary(result.summary, f"{folder}/validation_summary")
+            status, error = "SUCCEEDED", None
+        except Exception as failure:
+            status, error = "FAILED", str(failure)
+        ended = datetime.now(timezone.utc)
+        return (VALIDATE_JOB, uuid.uuid4().hex, status, started, ended, job_args(item), error)
+
+    # One row per archived table.
+    return spark.createDataFrame(in_parallel(spark, run, plan.collect(), max_parallel), RUN)

@@ -169,7 +169,7 @@ def partition_spec(text: str) -> str:
 
 
 def remove_superseded(spark: SparkSession, name: str) -> int:
-    """Delete folders of a table that the catalog no longer reads; run when no reader is left."""
+    """Delete folders of a table that the catalog no longer reads; run while nobody uses the table."""
     fs, folder = _file_system(spark, table_folder(spark, name))
     live, home = live_folders(spark, name), _folder_path(spark, _location(spark, name))
 

@@ -52,15 +52,19 @@ def read_purge_targets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_summaries(spark: SparkSession, root: str) -> DataFrame:
-    """Summary rows of all JSON-lines files below a folder; broken lines are skipped."""
+    """Summary rows of all JSON-lines files below a folder; broken lines are skipped.
+
+    `seq` is the time the file was written, for `latest_by_type`.
+    """
     schema = f"{SUMMARY}, {SUMMARY_NUMBERS}"
-    return (
+    rows = (
         spark.read.schema(schema)
         .option("mode", "DROPMALFORMED")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .json(root)
     )
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("seq"))
 
 
 def read_purge_plan(spark: SparkSession, path: str, source_name: str) -> DataFrame:

@@ -10,7 +10,8 @@ from coldkeep.operators.blob_store import BLOB_TABLE
 from coldkeep.plans import purge
 from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import PLAN_COLUMNS
-from coldkeep.plans.validate import validate_archive, verdict
+from coldkeep.plans.report import JOB_COLUMNS, job_metadata, report
+from coldkeep.plans.validate import validate_archive, validate_many, verdict
 from coldkeep.sinks.documents import register_config, registrations, write_purge_plan, write_summary
 from coldkeep.sinks.tables import drop_archive_db, remove_superseded, table_folder, write_archive
 from coldkeep.sources.connections import Connection
@@ -95,11 +96,40 @@ def test_replace_and_append(spark, feed):
 
 def test_archive_many_isolates_failures(spark, feed):
     plan = plan_row(spark, feed).union(plan_row(spark, feed, table="missing", target="m"))
-    rows = {r.target_table: r for r in archive_many(spark, plan, Connection("c"), AS_OF).collect()}
+    runs = archive_many(spark, plan, Connection("c"), AS_OF)
+    rows = {r.script_args["--target_glue_table"]: r for r in runs.collect()}
     assert rows["S_Feed"].status == "SUCCEEDED" and rows["S_Feed"].rows == 120
     assert rows["m"].status == "FAILED" and rows["m"].error
 
 
+def test_validate_many_and_report(spark, feed, tmp_path):
+    sql = f"SELECT id FROM {feed}.feed WHERE id >= 100"
+    plan = plan_row(spark, feed, condition="id < 50").union(
+        plan_row(spark, feed, None, sql, target="S_Asked")
+    ).union(plan_row(spark, feed, table="missing", target="S_Missing"))
+    conn, root = Connection("c"), str(tmp_path / "reports")
+    archive_runs = archive_many(spark, plan, conn, AS_OF)
+    validate_runs = validate_many(spark, plan, conn, root)
+    cols = list(JOB_COLUMNS)
+    jobs = job_metadata(archive_runs.select(cols), validate_runs.select(cols))
+    got = {}
+    for r in report(read_summaries(spark, root), jobs).collect():
+        got.setdefault(r.target_table.split(".")[1], []).append((r.validation_report, r.result))
+    assert {len(got["S_Feed"]), len(got["S_Asked"])} == {4}
+    assert {result for _, result in got["S_Feed"] + got["S_Asked"]} == {"passed"}
+    assert got["S_Missing"] == [("no_data", None)]
+
+
+def test_export_blob_files(spark, feed, tmp_path):
+    row = plan_row(spark, feed).withColumn("target_path", F.lit(f"file://{tmp_path}/vault")).head()
+    done = archive(spark, row, Connection("c"), AS_OF, export=True)
+    links = {r[0]: bytes(r[1]) for r in spark.table(done.table).select("doc_s3_path", "doc").collect() if r[0]}
+    files = {p: p.read_bytes() for p in (tmp_path / "vault").rglob("*.xml")}
+    assert {f"file://{p}": b for p, b in files.items()} == links and len(files) == 5
+    loaded = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{tmp_path}/vault")
+    assert loaded.count() == 5
+
+
 def test_replace_unpartitioned(spark, database):
     name = f"{database}.flat"
     assert write_archive(spark.range(5), name) == 5

@@ -80,6 +80,19 @@ def test_hot_contents_take_the_salted_way(spark, monkeypatch):
     )
 
 
+def test_content_asked_for_under_many_keys(spark, database, monkeypatch):
+    monkeypatch.setattr(blob_store, "HOT_COPIES", 20)
+    linked = extract_blobs(cells(spark, [b"hot", b"cold"]), "s3://v", "d", "s", "t")
+    write_blobs(linked, database)
+    names = [r.Body_s3_path.rsplit("/", 1)[1] for r in linked.orderBy("id").collect()]
+    keys = [(f"k{i}/{names[0]}",) for i in range(100)] + [(f"k/{names[1]}",)]
+    keys += [(f"bad{i}",) for i in range(30)]
+    got = read_blobs(spark, database, spark.createDataFrame(keys, "key string")).collect()
+    bodies = [r.body for r in got if r.status == 200]
+    assert sorted(r.key for r in got) == sorted(k for k, in keys)
+    assert bodies.count(base64.b64encode(b"hot").decode()) == 100 and len(bodies) == 101
+
+
 def test_read_back(spark, database):
     linked = extract_blobs(cells(spark, [b"abc" * 40, b"<x/>"]), "s3://v", "d", "s", "t")
     write_blobs(linked, database)
