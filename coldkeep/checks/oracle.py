@@ -296,6 +296,7 @@ ORACLE: dict[str, str] = {
     f"ANTI JOIN s USING ({LIST}) GROUP BY {LIST}",
     "row_diff": f"{WITH_DIFF} SELECT * FROM diff",
     "row_diff_by_bucket": f"WITH {with_texts(STRICTS)}, {diff()} SELECT * FROM diff",
+    "row_diff_by_bucket_lenient": f"{WITH_DIFF} SELECT * FROM diff",
     "row_diff_copies": """WITH x AS (SELECT lower(l_returnflag) AS l_returnflag,
         lower(l_linestatus) AS l_linestatus, l_linenumber::varchar AS l_linenumber,
         count(*) AS n_src, count(*) FILTER (l_quantity < 50) AS n_tgt FROM lineitem

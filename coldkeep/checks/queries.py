@@ -185,9 +185,18 @@ def row_diff(spark, sf_dir):
 @query
 def row_diff_by_bucket(spark, sf_dir):
     """The same difference, reading again only the buckets that do not agree."""
-    src, tgt = _texts(spark, sf_dir, "strict")
-    stats = compare.side_stats(src, tgt, fx.ORDER_COLUMNS)
-    return compare.row_diff(src, tgt, fx.ORDER_COLUMNS, compare.suspect_buckets(stats))
+    src, tgt = fx.orders_pair(spark, sf_dir)
+    stats = compare.side_stats(src, tgt, fx.ORDER_COLUMNS, "strict")
+    suspects = compare.suspect_buckets(stats)
+    return compare.row_diff(src, tgt, fx.ORDER_COLUMNS, suspects, "strict")
+
+
+@query
+def row_diff_by_bucket_lenient(spark, sf_dir):
+    src, tgt = fx.orders_pair(spark, sf_dir)
+    stats = compare.side_stats(src, tgt, fx.ORDER_COLUMNS, "lenient")
+    suspects = compare.suspect_buckets(stats)
+    return compare.row_diff(src, tgt, fx.ORDER_COLUMNS, suspects, "lenient")
 
 
 @query

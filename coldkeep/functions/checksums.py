@@ -75,16 +75,10 @@ def column_checksum(
     )
     sums = [s for i in range(len(cols)) for s in part_sums(f"c{i}", F.col(f"h{i}"))]
     total = hashed.agg(F.count(F.lit(1)).alias("n_rows"), *sums)
-    return unpivot_checksums(total, cols)
-
-
-def unpivot_checksums(total: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     entries = [
         F.struct(F.lit(c).alias("column"), combine_parts(f"c{i}").alias("checksum"))
         for i, c in enumerate(cols)
     ]
-    return total.select(*keep, "n_rows", F.inline(F.array(*entries))).select(
-        *keep, "column", "n_rows", "checksum"
+    return total.select("n_rows", F.inline(F.array(*entries))).select(
+        "column", "n_rows", "checksum"
     )
-
-

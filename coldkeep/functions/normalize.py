@@ -79,6 +79,55 @@ def norm_value(c: Column, data_type: T.DataType, mode: str = "lenient") -> Colum
     return norm_text(c)
 
 
+# Limits of number_key. Below the first a double lies close enough to its 5-decimal value for the
+# shortcut; above the second no two doubles share a text, so the ways may part there.
+_SHORTCUT_BELOW = "1e9D"
+_PARSED_BELOW = "1e12D"
+
+
+def number_key(name: str) -> Column:
+    """A bigint that is equal exactly where `norm_number` is, for a tenth of the cost.
+
+    A double that is the nearest one to some 5-decimal value is formatted as that value, so the
+    value times 100,000 stands for the text. Only other doubles are formatted.
+    """
+    x = f"double(`{name}`)"
+    text = f"format_number({x}, {NUMBER_SCALE})"
+    return F.expr(
+        f"""CASE
+        WHEN `{name}` IS NULL THEN NULL
+        WHEN {x} = 0D AND string({x}) = '0.0' THEN 0L
+        WHEN abs({x}) < {_SHORTCUT_BELOW} AND rint({x} * 1e5D) / 1e5D = {x}
+             AND rint({x} * 1e5D) <> 0D THEN bigint(rint({x} * 1e5D))
+        WHEN abs({x}) < {_PARSED_BELOW} AND {text} <> '-0.00000'
+             THEN bigint(CAST(replace({text}, ',', '') AS DECIMAL(20, 5)) * 100000)
+        ELSE xxhash64({text}) END"""
+    )
+
+
+def value_key(name: str, data_type: T.DataType, other: T.DataType, mode: str = "lenient") -> Column:
+    """A value to hash that is equal exactly where the normalised text is, NULL for NULL.
+
+    Text is made only where the types of the two sides are not of one kind.
+    """
+    c, both = F.col(f"`{name}`"), (data_type, other)
+
+    def kind(*types: type) -> bool:
+        return all(isinstance(t, types) for t in both)
+
+    if kind(*_INTEGRAL):
+        return c.cast("bigint")
+    if kind(T.BooleanType):
+        return c
+    if mode == "strict" and data_type == other and isinstance(data_type, (T.StringType, *_TEMPORAL)):
+        return c
+    if mode == "lenient" and kind(*_TEMPORAL):
+        return F.unix_seconds(c.cast("timestamp"))
+    if mode == "lenient" and kind(*_FRACTIONAL):
+        return number_key(name)
+    return norm_value(c, data_type, mode)
+
+
 def normalize_names(df: DataFrame) -> DataFrame:
     """Trim and lower-case column names; names that become equal are an error."""
     names = [name.strip().lower() for name in df.columns]

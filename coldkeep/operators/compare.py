@@ -1,4 +1,4 @@
-"""Comparison of two relations whose columns are already normalised to text.
+"""Comparison of two relations by their normalised values.
 
 Differences are found without sorting or collecting whole columns:
 
@@ -19,9 +19,8 @@ from coldkeep.functions.checksums import (
     combine_parts,
     compare_checksum,
     part_sums,
-    unpivot_checksums,
-    value_hash,
 )
+from coldkeep.functions.normalize import normalize_values, value_key
 from coldkeep.functions.report_text import verdict_text
 from coldkeep.operators.ranking import rank_within
 
@@ -91,29 +90,46 @@ def row_count_check(src: DataFrame, tgt: DataFrame) -> DataFrame:
     )
 
 
+def _key_hashes(df: DataFrame, other: DataFrame, cols: Sequence[str], mode: str | None) -> list:
+    """One hash per column; equal where the normalised values are."""
+    if mode is None:
+        return [F.xxhash64(f"`{c}`") for c in cols]
+    ours, theirs = df.schema, other.schema
+    return [
+        F.xxhash64(value_key(c, ours[c].dataType, theirs[c].dataType, mode)) for c in cols
+    ]
+
+
+def _bucket(hashes: Sequence[Column], buckets: int) -> Column:
+    """Another hash function than the one summed up, so that it takes no bits away from the sums."""
+    return F.pmod(F.hash(*hashes), F.lit(buckets))
+
+
 def side_stats(
     src: DataFrame,
     tgt: DataFrame,
     cols: Sequence[str],
+    mode: str | None = None,
     buckets: int = BUCKETS,
-    algorithm: str = "xxhash64",
 ) -> DataFrame:
     """Per (side, bucket): row count, sums of the row hash and of each column's value hash.
 
-    One pass over each side and at most 2 * buckets result rows. The bucket comes from another
-    hash function than the sums, so it takes no bits away from them.
+    One pass over each side and at most 2 * buckets result rows. With `mode` the columns are raw
+    and compared as if normalised that way; without, they are normalised text already.
     """
-
-    def hashed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            F.lit(side).alias("side"),
-            F.pmod(F.hash(*_cols(cols)), F.lit(buckets)).alias("bucket"),
-            F.xxhash64(*_cols(cols)).alias("h"),
-            *[value_hash(F.col(f"`{c}`"), algorithm).alias(f"h{i}") for i, c in enumerate(cols)],
+    names = [f"h{i}" for i in range(len(cols))]
+
+    def hashed(df: DataFrame, other: DataFrame, side: str) -> DataFrame:
+        hashes = _key_hashes(df, other, cols, mode)
+        keyed = df.select(*[h.alias(n) for n, h in zip(names, hashes)])
+        row = F.xxhash64(*names)
+        bucket = _bucket([F.col(n) for n in names], buckets)
+        return keyed.select(
+            F.lit(side).alias("side"), bucket.alias("bucket"), row.alias("h"), *names
         )
 
-    sums = [s for i in range(len(cols)) for s in part_sums(f"c{i}", F.col(f"h{i}"))]
-    both = hashed(src, SOURCE).unionByName(hashed(tgt, TARGET))
+    sums = [s for i, n in enumerate(names) for s in part_sums(f"c{i}", F.col(n))]
+    both = hashed(src, tgt, SOURCE).unionByName(hashed(tgt, src, TARGET))
     return both.groupBy("side", "bucket").agg(
         F.count(F.lit(1)).alias("n_rows"), *part_sums("row", F.col("h")), *sums
     )
@@ -133,14 +149,31 @@ def stats_counts(stats: DataFrame) -> DataFrame:
 
 
 def stats_checksums(stats: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(side, column, n_rows, checksum) from `side_stats`."""
-    sums = [
-        F.sum(F.col(f"c{i}_{p}").cast("decimal(38,0)")).alias(f"c{i}_{p}")
-        for i in range(len(cols))
-        for p in PARTS
+    """(column, source, target, result) from `side_stats`, ordered by column."""
+    entries = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"c{i}_{p}").alias(p) for p in PARTS])
+        for i, c in enumerate(cols)
     ]
-    total = stats.groupBy("side").agg(F.sum("n_rows").alias("n_rows"), *sums)
-    return unpivot_checksums(total, cols, keep=["side"])
+    long = stats.select("side", "n_rows", F.inline(F.array(*entries)))
+
+    def total(side: str, part: str) -> Column:
+        value = F.when(F.col("side") == side, F.col(part).cast("decimal(38,0)"))
+        return F.sum(value).alias(f"{side}_{part}")
+
+    totals = long.groupBy("column").agg(
+        *[total(side, part) for side in (SOURCE, TARGET) for part in ("n_rows", *PARTS)]
+    )
+
+    def text(side: str) -> Column:
+        n_rows = F.coalesce(F.col(f"{side}_n_rows"), F.lit(0)).cast("bigint")
+        return F.concat_ws("-", n_rows, combine_parts(side)).alias(side)
+
+    return _judged(totals.select("column", text(SOURCE), text(TARGET)))
+
+
+def _judged(checksums: DataFrame) -> DataFrame:
+    same = verdict_text(F.col(SOURCE) == F.col(TARGET))
+    return checksums.withColumn("result", same).orderBy("column")
 
 
 def column_checksum_diff(src: DataFrame, tgt: DataFrame) -> DataFrame:
@@ -150,8 +183,7 @@ def column_checksum_diff(src: DataFrame, tgt: DataFrame) -> DataFrame:
         return df.select("column", F.concat_ws("-", "n_rows", "checksum").alias(name))
 
     both = texts(src, SOURCE).join(texts(tgt, TARGET), "column", "full_outer")
-    both = both.fillna("N/A", [SOURCE, TARGET])
-    return both.withColumn("result", verdict_text(F.col(SOURCE) == F.col(TARGET))).orderBy("column")
+    return _judged(both.fillna("N/A", [SOURCE, TARGET]))
 
 
 def suspect_buckets(stats: DataFrame) -> DataFrame:
@@ -170,21 +202,27 @@ def row_diff(
     tgt: DataFrame,
     cols: Sequence[str],
     suspects: DataFrame | None = None,
+    mode: str | None = None,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """Distinct rows that occur more often on one side: the columns, n_src and n_tgt.
+    """Distinct rows that occur more often on one side: the normalised columns, n_src and n_tgt.
 
     Copies are counted before the shuffle, so one row repeated a billion times costs one row per
-    task. `suspects`, from `suspect_buckets`, keeps agreeing buckets out of the shuffle; where all
-    agree, nothing is read again.
+    task. `suspects`, from `suspect_buckets` with the same mode and buckets, keeps agreeing buckets
+    out of the shuffle; where all agree, nothing is read again.
     """
-    both = _tagged(src, tgt, cols)
-    if suspects is not None:
-        bucket = F.pmod(F.hash(*_cols(cols)), F.lit(buckets))
-        both = both.withColumn("bucket", bucket)
-        # Bounded: one integer per differing bucket.
-        both = both.join(F.broadcast(suspects), "bucket", "left_semi").drop("bucket")
-    counted = both.groupBy(*_cols(cols)).agg(
+
+    def side(df: DataFrame, other: DataFrame) -> DataFrame:
+        kept = df.select(*_cols(cols))
+        if suspects is not None:
+            bucket = _bucket(_key_hashes(df, other, cols, mode), buckets)
+            # Bounded: one integer per differing bucket.
+            kept = kept.withColumn("_bucket", bucket).join(
+                F.broadcast(suspects.withColumnRenamed("bucket", "_bucket")), "_bucket", "left_semi"
+            )
+        return kept.drop("_bucket") if mode is None else normalize_values(kept.drop("_bucket"), mode=mode)
+
+    counted = _tagged(side(src, tgt), side(tgt, src), cols).groupBy(*_cols(cols)).agg(
         F.sum("n_src").alias("n_src"), F.sum("n_tgt").alias("n_tgt")
     )
     return counted.filter("n_src <> n_tgt")

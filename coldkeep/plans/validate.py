@@ -10,10 +10,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from coldkeep.functions.checksums import METADATA_COLUMNS
-from coldkeep.functions.normalize import normalize_names, normalize_values
+from coldkeep.functions.normalize import normalize_names
 from coldkeep.functions.report_text import (
     COLUMN_REPORT,
     COUNT_REPORT,
+    FAILED,
     PASSED,
     ROW_REPORT,
     SCHEMA_REPORT,
@@ -27,6 +28,20 @@ from coldkeep.sources.connections import Connection
 from coldkeep.sources.tables import read_source
 
 SAMPLE_RECORDS = 100
+NUMBERS = {
+    "validation_report": "string",
+    "result": "string",
+    "source_count": "bigint",
+    "target_count": "bigint",
+    "difference": "bigint",
+    "mismatch_count": "bigint",
+    "mismatch_percent": "double",
+    "mismatched_columns": "array<string>",
+    "source_columns": "array<string>",
+    "target_columns": "array<string>",
+    "checksums": "array<struct<column: string, source: string, target: string>>",
+    "sample_records": "array<string>",
+}
 
 
 @dataclass(frozen=True)
@@ -57,74 +72,60 @@ def validate(
     src, tgt = normalize_names(src), normalize_names(tgt)
     links = [c for c in tgt.columns if c.endswith("_s3_path") and c not in src.columns]
     common, src_only, tgt_only = compare.compare_columns(src, tgt, [*metadata_cols, *links])
-    src_text = normalize_values(src.select(*[f"`{c}`" for c in common]), mode=mode)
-    tgt_text = normalize_values(tgt.select(*[f"`{c}`" for c in common]), mode=mode)
-
-    stats = staged(compare.side_stats(src_text, tgt_text, common, buckets), "stats")
-    counts = compare.stats_counts(stats)
-    sums = compare.stats_checksums(stats, common)
-    columns = compare.column_checksum_diff(
-        sums.filter(F.col("side") == compare.SOURCE), sums.filter(F.col("side") == compare.TARGET)
-    )
+    src, tgt = (df.select(*[f"`{c}`" for c in common]) for df in (src, tgt))
+
+    stats = staged(compare.side_stats(src, tgt, common, mode, buckets), "stats")
     suspects = compare.suspect_buckets(stats)
-    diff = staged(compare.row_diff(src_text, tgt_text, common, suspects, buckets), "rows")
-    mismatched = [r["column"] for r in columns.filter("result <> 'passed'").collect()]
+    diff = staged(compare.row_diff(src, tgt, common, suspects, mode, buckets), "rows")
+
+    # One row per column.
+    found = compare.stats_checksums(stats, common)
+    checksums = found.collect()
+    columns = spark.createDataFrame(checksums, found.schema)
+    mismatched = [r["column"] for r in checksums if r["result"] != PASSED]
     records = compare.mismatch_records(diff, common, mismatched)
 
     schema = compare.schema_diff(spark, common + src_only, common + tgt_only)
-    summary = _summary(counts, schema, columns, diff, records, mismatched or common)
-    summary = summary.select(
-        "validation_report",
-        F.lit(source_table).alias("source_table"),
-        F.lit(target_table).alias("target_table"),
-        "result",
-        *[c for c in summary.columns if c not in ("validation_report", "result")],
+    counts = compare.stats_counts(stats).head().asDict()
+    summary = spark.createDataFrame(
+        [
+            _row(SCHEMA_REPORT, compare.schema_check(schema).head().asDict()),
+            _row(COUNT_REPORT, counts),
+            _row(
+                ROW_REPORT,
+                compare.row_check(diff, counts["source_count"]).head().asDict()
+                | {"sample_records": _sample(records, mismatched or common)},
+            ),
+            _row(
+                COLUMN_REPORT,
+                {
+                    "result": FAILED if mismatched else PASSED,
+                    "mismatched_columns": mismatched,
+                    "checksums": [r[:3] for r in checksums],
+                },
+            ),
+        ],
+        ", ".join(f"{name} {kind}" for name, kind in NUMBERS.items()),
+    )
+    named = summary.withColumns(
+        {"source_table": F.lit(source_table), "target_table": F.lit(target_table)}
+    )
+    texts = ["validation_report", "source_table", "target_table", "result"]
+    rendered = render_summary(named.select(*texts, *[c for c in summary.columns if c not in texts]))
+    return Validation(
+        rendered, schema, columns, records, compare.pair_mismatches(diff, common, list(key or []))
     )
-    pairs = compare.pair_mismatches(diff, common, list(key or []))
-    return Validation(render_summary(summary), schema, columns, records, pairs)
 
 
-def _summary(
-    counts: DataFrame,
-    schema: DataFrame,
-    columns: DataFrame,
-    diff: DataFrame,
-    records: DataFrame,
-    shown: Sequence[str],
-) -> DataFrame:
-    """Four rows, one per check, each with the numbers it is about."""
-    totals = counts.head()
+def _row(report: str, numbers: dict) -> tuple:
+    """The numbers of one check in the order of the summary's columns."""
+    return tuple({**numbers, "validation_report": report}.get(n) for n in NUMBERS)
+
+
+def _sample(records: DataFrame, shown: Sequence[str]) -> list[str]:
+    """Some differing rows as text, for the remarks."""
     texts = F.to_json(F.struct("side", "copies", *[f"`{c}`" for c in shown], "row_checksum"))
-    sample = records.limit(SAMPLE_RECORDS).agg(F.collect_list(texts).alias("sample_records"))
-
-    schema_row = compare.schema_check(schema).withColumn("validation_report", F.lit(SCHEMA_REPORT))
-    count_row = counts.withColumn("validation_report", F.lit(COUNT_REPORT))
-    row_row = (
-        compare.row_check(diff, totals["source_count"])
-        .drop("source_only", "target_only")
-        .withColumns(
-            {
-                "validation_report": F.lit(ROW_REPORT),
-                "sample_records": F.lit([r for r in sample.head()[0]]).cast("array<string>"),
-            }
-        )
-    )
-    failed = F.col("result") != PASSED
-    column_row = columns.agg(
-        F.array_sort(F.collect_list(F.struct("column", "source", "target"))).alias("checksums"),
-        F.array_sort(F.collect_list(F.when(failed, F.col("column")))).alias("mismatched_columns"),
-    ).withColumns(
-        {
-            "validation_report": F.lit(COLUMN_REPORT),
-            "result": F.when(F.size("mismatched_columns") == 0, F.lit(PASSED)).otherwise(
-                F.lit("failed")
-            ),
-        }
-    )
-    rows = schema_row
-    for row in (count_row, row_row, column_row):
-        rows = rows.unionByName(row, allowMissingColumns=True)
-    return rows
+    return [r[0] for r in records.limit(SAMPLE_RECORDS).select(texts).collect()]
 
 
 def verdict(summary: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLE_RULE = (
@@ -39,6 +42,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("document"))
 
 
+def yaml_to_json(documents: DataFrame, column: str = "document") -> DataFrame:
+    """Documents written in YAML as JSON text; needs PyYAML on the cluster."""
+
+    @F.pandas_udf("string")
+    def convert(texts: pd.Series) -> pd.Series:
+        import yaml
+
+        return texts.map(lambda text: json.dumps(yaml.safe_load(text), default=str))
+
+    return documents.withColumn(column, convert(column))
+
+
 def parse_rules(documents: DataFrame, column: str = "document") -> DataFrame:
     return documents.select(F.from_json(column, RULES).alias("rules")).select("rules.*")
 

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from coldkeep.functions.normalize import normalize_values
+from coldkeep.functions.normalize import norm_value, normalize_values, value_key
 from coldkeep.operators import compare
 from coldkeep.operators.ranking import rank_within
 from coldkeep.plans.validate import validate, verdict
@@ -41,9 +41,74 @@ def test_buckets_give_the_same_difference(spark):
     b = [(str(i % 50), str(i % 7)) for i in range(1990)] + [("9", "9")]
     src, tgt = pair(spark, a, b)
     for buckets in (1, 16, 4096):
-        stats = compare.side_stats(src, tgt, COLS, buckets)
+        stats = compare.side_stats(src, tgt, COLS, buckets=buckets)
         suspects = compare.suspect_buckets(stats)
-        assert diff_rows(compare.row_diff(src, tgt, COLS, suspects, buckets)) == brute(a, b)
+        assert diff_rows(compare.row_diff(src, tgt, COLS, suspects, buckets=buckets)) == brute(a, b)
+
+
+DOUBLES = [
+    0.0, -0.0, 1e-9, -1e-9, 4.9e-6, 5e-6, 5.1e-6, 1.5e-5, 2.5e-5, 1.000001, 1.000002, 1.0, 1.00001,
+    0.1, 0.1 + 0.2, 0.3, 123456.78, 123456.780001, 123456.78 + 2e-11, -123456.78, 1e9, 1e9 - 1e-7,
+    999999999.99999, 999999999.999995, 1e9 + 1e-6, 1e12, 1e12 - 1.3e-4, 1e12 + 1.3e-4, 1e11 + 1e-5, 1e15, 1e15 + 0.125, 1e300, -1e300,
+    float("nan"), float("inf"), float("-inf"), 2.000005, 2.0000049999, 1 / 3, 0.33333, None,
+]
+
+
+def groups(df, key):
+    """Which rows share a value."""
+    out = {}
+    for r in df.select("i", key.alias("k")).collect():
+        out.setdefault(r.k, set()).add(r.i)
+    return sorted(map(sorted, out.values()))
+
+
+def same_groups(df, mode):
+    field = df.schema["x"].dataType
+    key = F.xxhash64(value_key("x", field, field, mode))
+    assert groups(df, key) == groups(df, norm_value(F.col("x"), field, mode))
+
+
+@pytest.mark.parametrize("mode", ["lenient", "strict"])
+def test_keys_group_like_text(spark, mode):
+    doubles = spark.createDataFrame(list(enumerate(DOUBLES)), "i int, x double")
+    same_groups(doubles, mode)
+    same_groups(doubles.withColumn("x", F.col("x").cast("float")), mode)
+    few = doubles.filter("abs(x) < 1e12 AND NOT isnan(x)")
+    for scale in (2, 5, 8):
+        same_groups(few.withColumn("x", F.col("x").cast(f"decimal(30,{scale})")), mode)
+    times = spark.sql(
+        "SELECT * FROM VALUES (0, TIMESTAMP '1969-12-31 23:59:59.5'), (1, TIMESTAMP '1969-12-31 23:59:59'), "
+        "(2, TIMESTAMP '1970-01-01 00:00:00'), (3, TIMESTAMP '2020-01-01 12:00:00.1'), "
+        "(4, TIMESTAMP '2020-01-01 12:00:00.2'), (5, NULL), (6, TIMESTAMP '0001-01-01 00:00:00') t(i, x)"
+    )
+    for kind in ("timestamp", "timestamp_ntz", "date"):
+        same_groups(times.withColumn("x", F.col("x").cast(kind)), mode)
+    texts = [" A ", "a", "A", None, "null", "NULL", "", " ", "\ta"]
+    same_groups(spark.createDataFrame(list(enumerate(texts)), "i int, x string"), mode)
+    same_groups(spark.createDataFrame([(0, True), (1, False), (2, None), (3, True)], "i int, x boolean"), mode)
+    same_groups(spark.createDataFrame([(0, 1), (1, None), (2, 0), (3, 1)], "i int, x int"), mode)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-(10**9), 10**9), min_size=1, max_size=30), st.floats(0, 2e-5))
+def test_number_keys_group_like_text(spark, values, step):
+    xs = [v / 1e5 + k * step for v in values for k in (0, 1, 2)] + [v * 1e3 for v in values]
+    same_groups(spark.createDataFrame(list(enumerate(xs)), "i int, x double"), "lenient")
+
+
+def test_nulls_in_different_columns_are_told_apart(spark):
+    src = spark.createDataFrame([(None, 5), (1, None)], "a int, b int")
+    tgt = spark.createDataFrame([(5, None), (None, 1)], "a int, b int")
+    stats = compare.side_stats(src, tgt, ["a", "b"], "strict")
+    suspects = compare.suspect_buckets(stats)
+    assert compare.row_diff(src, tgt, ["a", "b"], suspects, "strict").count() == 4
+
+
+def test_sides_of_different_types_compare_as_text(spark):
+    src = spark.sql("SELECT 5 a, 1.5D b, DATE '2020-01-01' c, 'x' d")
+    tgt = spark.sql("SELECT '5' a, 1.5BD b, TIMESTAMP '2020-01-01 00:00:00' c, ' X' d")
+    assert set(results(validate(src, tgt)).values()) == {"passed"}
+    assert results(validate(src, tgt, mode="strict"))["row_checksum_validation"] == "failed"
 
 
 def test_equal_sides_have_no_suspects(spark):

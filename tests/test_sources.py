@@ -3,7 +3,14 @@ import json
 import pytest
 
 from coldkeep.sources.connections import Connection, db_kind, jdbc_options, tls_url
-from coldkeep.sources.documents import read_purge_targets, read_rules, read_summaries
+from coldkeep.sources.documents import (
+    parse_rules,
+    read_documents,
+    read_purge_targets,
+    read_rules,
+    read_summaries,
+    yaml_to_json,
+)
 from coldkeep.sources.tables import (
     columns_of,
     jdbc_table,
@@ -108,3 +115,15 @@ def test_documents(spark, tmp_path):
     assert row.env == "dev" and row.sources[0].legal_hold is True and row.connections is None
     (tmp_path / "purge.json").write_text(json.dumps({"targets": [{"source_name": "s", "connection": "c"}]}))
     assert read_purge_targets(spark, str(tmp_path / "purge.json")).head().targets[0].connection == "c"
+
+
+def test_yaml_rules(spark, tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "r.yaml").write_text(
+        "env: dev\nwarehouses:\n  w: s3://x\nsources:\n  - name: s\n    legal_hold: true  # held\n"
+        "    include:\n      schemas:\n        - name: OWN\n          tables:\n"
+        "            - name: FEED\n              condition: \"ID < 1\"\n"
+    )
+    row = parse_rules(yaml_to_json(read_documents(spark, str(tmp_path / "r.yaml")))).head()
+    assert row.env == "dev" and row.sources[0].legal_hold is True
+    assert row.sources[0].include.schemas[0].tables[0].condition == "ID < 1"
