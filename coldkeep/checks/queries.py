@@ -217,7 +217,8 @@ def row_check(spark, sf_dir):
 
 @query
 def mismatch_records(spark, sf_dir):
-    return compare.mismatch_records(_diff(spark, sf_dir), fx.ORDER_COLUMNS, ["o_totalprice"])
+    rows = compare.mismatch_records(_diff(spark, sf_dir), fx.ORDER_COLUMNS, ["o_totalprice"])
+    return rows.select("side", "copies", "record.*", "row_checksum")
 
 
 def _flat(pairs, key):

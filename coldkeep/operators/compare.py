@@ -268,15 +268,17 @@ def checksum_sample(df: DataFrame, cols: Sequence[str], n: int = 100) -> DataFra
 def mismatch_records(
     diff: DataFrame, cols: Sequence[str], check_cols: Sequence[str] | None = None
 ) -> DataFrame:
-    """Differing rows with side, surplus copies and checksum of the columns under suspicion."""
-    checksum = compare_checksum(check_cols or cols)
+    """(side, copies, record, row_checksum) of each differing row, in the order of the full row.
+
+    `copies` is the surplus over the other side; the checksum is of the columns under suspicion.
+    """
     surplus = F.col("n_src") - F.col("n_tgt")
-    return diff.select(
+    return diff.orderBy(*_cols(cols)).select(
         F.when(surplus > 0, F.lit(SOURCE)).otherwise(F.lit(TARGET)).alias("side"),
         F.abs(surplus).alias("copies"),
-        *_cols(cols),
-        checksum.alias("row_checksum"),
-    ).orderBy(*_cols(cols))
+        F.struct(*_cols(cols)).alias("record"),
+        compare_checksum(check_cols or cols).alias("row_checksum"),
+    )
 
 
 def pair_mismatches(

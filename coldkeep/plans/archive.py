@@ -58,7 +58,6 @@ def archive(
     mode: str = "replace",
     basis: str | Column | None = None,
     export: bool = False,
-    **read_options,
 ) -> Archived:
     """Archive one row of the plan. A source without rows succeeds and creates no table.
 
@@ -69,9 +68,7 @@ def archive(
     p = plan_row.asDict()
     name = f"{p['target_db']}.{p['target_table']}".lower()
     table = f"{p['source_schema']}.{p['source_table']}" if p["source_table"] else None
-    df = read_source(
-        spark, conn, table=table, query=p["query"], condition=p["condition"], **read_options
-    )
+    df = read_source(spark, conn, table=table, query=p["query"], condition=p["condition"])
     rows = archive_rows(
         df,
         p["retention_policy_value"],

@@ -97,7 +97,11 @@ def purge_table(spark: SparkSession, name: str, as_of: date | str) -> int:
     if not expired_count(spark, name, day):
         return 0
     before = spark.table(name).count()
-    return before - write_archive(spark.table(name).filter(~expired(day)), name, empty=True)
+    survivors = spark.table(name).filter(~expired(day))
+    kept = write_archive(
+        survivors, name, partition_by=partition_columns(spark, name), empty=True
+    )
+    return before - kept
 
 
 def _purge_partitions(spark: SparkSession, name: str, day: date) -> int:

@@ -124,7 +124,8 @@ def _row(report: str, numbers: dict) -> tuple:
 
 def _sample(records: DataFrame, shown: Sequence[str]) -> list[str]:
     """Some differing rows as text, for the remarks."""
-    texts = F.to_json(F.struct("side", "copies", *[f"`{c}`" for c in shown], "row_checksum"))
+    record = F.struct(*[F.col("record")[c].alias(c) for c in shown]).alias("record")
+    texts = F.to_json(F.struct("side", "copies", record, "row_checksum"))
     return [r[0] for r in records.limit(SAMPLE_RECORDS).select(texts).collect()]
 
 
@@ -169,9 +170,9 @@ def validate_many(
     max_parallel: int = 2,
     **options,
 ) -> DataFrame:
-    """Validate every row of an archived plan and save its summary; one run row each.
+    """Validate every row of an archived plan; one run row each.
 
-    A query is run on the source again and compared with its archived result.
+    Saves the summary and, as the text holds only a sample, all differing rows. A query is run on the source again and compared with its archived result.
     """
 
     def run(item: Row) -> tuple:
@@ -194,6 +195,7 @@ def validate_many(
             )
             folder = f"{report_root.rstrip('/')}/{p['target_db']}/{p['target_table']}"
             write_summary(result.summary, f"{folder}/validation_summary")
+            result.rows.write.mode("overwrite").parquet(f"{folder}/mismatch_records")
             status, error = "SUCCEEDED", None
         except Exception as failure:
             status, error = "FAILED", str(failure)

@@ -110,12 +110,15 @@ def _switch(
     if exists and not partition_by and spark.table(name).schema == written.schema:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{stage}'")
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        # Partitions are registered under a passing name, so the old table is there until the end.
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
         parts = f"PARTITIONED BY ({', '.join(_quoted(partition_by))})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {parts} LOCATION '{stage}'")
+        passing = f"{name}_{uuid.uuid4().hex[:8]}"
+        spark.sql(f"CREATE TABLE {passing} ({fields}) USING parquet {parts} LOCATION '{stage}'")
         if partition_by:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            spark.sql(f"ALTER TABLE {passing} RECOVER PARTITIONS")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {passing} RENAME TO {name}")
     spark.catalog.refreshTable(name)
 
 

@@ -37,15 +37,12 @@ def read_source(
     table: str | None = None,
     query: str | None = None,
     condition: str | None = None,
-    partition_column: str | None = None,
-    num_partitions: int | None = None,
-    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A source table, optionally filtered, or the result of a query.
 
-    Over JDBC, `partition_column` splits the read into even ranges between its smallest and
-    largest value; `predicates` gives one partition per predicate, for keys that are not even.
-    Without either the database is read through a single connection.
+    A table the connection has `partitioning` for is read by many tasks: `partition_column` gives
+    even ranges between its smallest and largest value, `predicates` one task per predicate, for
+    keys that are not even. Without, the database is read through a single connection.
     """
     dbtable = jdbc_table(table, query, condition)
     if conn.kind == "catalog":
@@ -55,18 +52,19 @@ def read_source(
     options = {**jdbc_options(conn.url, conn.enforce_ssl, conn.cert_dn, conn.driver), **conn.options}
     if conn.user is not None:
         options |= {"user": conn.user, "password": conn.password or ""}
-    if predicates:
+    split = conn.partitioning.get(table or "", {})
+    if "predicates" in split:
         url = options.pop("url")
-        return spark.read.jdbc(url, dbtable, predicates=list(predicates), properties=options)
+        return spark.read.jdbc(url, dbtable, predicates=list(split["predicates"]), properties=options)
     reader = spark.read.format("jdbc").options(**options)
-    if partition_column and num_partitions:
-        low, high = _bounds(reader, dbtable, partition_column)
+    if "partition_column" in split:
+        low, high = _bounds(reader, dbtable, split["partition_column"])
         if low is not None:
             reader = reader.options(
-                partitionColumn=partition_column,
+                partitionColumn=split["partition_column"],
                 lowerBound=low,
                 upperBound=high,
-                numPartitions=num_partitions,
+                numPartitions=split["num_partitions"],
             )
     return reader.option("dbtable", dbtable).load()
 

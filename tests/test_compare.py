@@ -197,7 +197,9 @@ def test_validate_records_show_only_suspect_columns(spark):
     tgt = spark.createDataFrame([(1, "a"), (2, "c")], "id int, name string")
     v = validate(src, tgt, key=["id"])
     remarks = v.summary.filter("validation_report = 'row_checksum_validation'").head().remarks
-    assert remarks.startswith('Mismatched checksums: 1 rows (50.0%). Records: [{"side":"source"')
+    assert remarks.startswith(
+        'Mismatched checksums: 1 rows (50.0%). Records: [{"side":"source","copies":1,"record":{"name":"b"}'
+    )
     assert '"id"' not in remarks
     (p,) = v.pairs.collect()
     assert (p.id, p.source.name, p.target.name) == ("2", "b", "c")
@@ -208,3 +210,12 @@ def test_duplicated_target_row_fails_only_multiset_checks(spark):
     v = validate(src, src.union(spark.range(1)))
     assert results(v)["row_checksum_validation"] == "failed"
     assert results(v)["row_count_validation"] == "failed"
+
+
+def test_columns_may_be_called_like_ours(spark):
+    names = "side string, copies string, rank string, record string, row_checksum string"
+    src = spark.createDataFrame([("a",) * 5, ("b",) * 5], names)
+    tgt = spark.createDataFrame([("a",) * 5, ("c",) * 5], names)
+    v = validate(src, tgt, key=["side"])
+    assert results(v)["row_checksum_validation"] == "failed"
+    assert v.rows.count() == 2 and v.pairs.count() == 2
