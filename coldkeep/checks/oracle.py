@@ -457,6 +457,18 @@ ORACLE: dict[str, str] = {
     "purge_survivors_lineitem": f"""WITH {ARCHIVES}
         SELECT strftime(retention_expires_at, '%Y-%m') AS expiry_month, legal_hold, count(*) AS n,
         min(retention_expires_at) AS first_expiry FROM arc_lineitem WHERE {KEPT} GROUP BY ALL""",
+    "purge_appended": f"""WITH {ARCHIVES}, x AS (
+            SELECT a.* FROM arc_orders a WHERE {KEPT}
+            UNION ALL SELECT a.* FROM arc_orders a JOIN orders USING (o_orderkey)
+            WHERE o_orderstatus = 'F')
+        SELECT strftime(retention_expires_at, '%Y-%m') AS expiry_month, legal_hold, count(*) AS n,
+            sum(o_orderkey)::bigint AS keys FROM x GROUP BY ALL""",
+    "saved_purge_plan": f"""{FOUND} SELECT 'a' AS source_name, table_name,
+        n AS estimated_rows_to_delete, DATE '{fx.AS_OF}' AS as_of FROM found WHERE n > 0""",
+    "config_registry": """SELECT lower(r_name) AS source_name, 'dev' AS env, 'run-2' AS dag_run_id,
+        TIMESTAMP '2024-02-01' AS archival_date, n_name AS schema, count(*) AS tables
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        GROUP BY r_name, n_name""",
     "latest_config": """SELECT source_name, unnest(arg_max(r, (archival_date, dag_run_id))) FROM (
         SELECT 'source_' || o_custkey AS source_name, o_orderdate AS archival_date,
             'run-' || lpad(o_orderkey::varchar, 12, '0') AS dag_run_id,

@@ -16,6 +16,7 @@ from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import plan
 from coldkeep.plans.validate import validate, validate_many, verdict
 from coldkeep.session import scratch_path
+from coldkeep.sinks.documents import register_config, registrations, write_purge_plan
 from coldkeep.sinks.tables import write_archive
 from coldkeep.sources import documents as docs
 from coldkeep.sources.tables import query_over, read_archive, read_source
@@ -514,9 +515,54 @@ def purge_survivors_unpartitioned(spark, sf_dir):
     return spark.table(f"{db}.flat").select("o_orderkey", "retention_expires_at", "legal_hold")
 
 
+@query
+def purge_appended(spark, sf_dir):
+    """Two runs into one table, a purge, and the first run's orders appended once more."""
+    db = fx.fresh_database(spark, "append")
+    rows = fx.archived(spark, sf_dir, "orders", "o_orderdate", fx.HOLD_ORDERS)
+    done, other = rows.filter("o_orderstatus = 'F'"), rows.filter("o_orderstatus <> 'F'")
+    store(done, f"{db}.orders")
+    store(other, f"{db}.orders", mode="append")
+    purging.purge_table(spark, f"{db}.orders", fx.AS_OF)
+    store(done, f"{db}.orders", mode="append")
+    return spark.table(f"{db}.orders").groupBy("expiry_month", "legal_hold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys")
+    )
+
+
+@query
+def saved_purge_plan(spark, sf_dir):
+    """Plans of two sources; saving one again replaces only that one."""
+    db, path = fx.archive_database(spark, sf_dir, "plan"), scratch_path(spark, "plans")
+    found = purging.discover_expired(spark, db, fx.AS_OF)
+    for source, plan_rows in (("a", found), ("b", found.limit(0)), ("a", found)):
+        write_purge_plan(purging.purge_plan(plan_rows, source), path)
+    return docs.read_purge_plan(spark, path, "a").select(
+        "source_name", "table_name", "estimated_rows_to_delete", "as_of"
+    )
+
+
 # ---- registry and report ----
 
 
+@query
+def config_registry(spark, sf_dir):
+    """Each region's source is registered by two runs; the later one counts."""
+    path, rules = scratch_path(spark, "registry"), fx.rules(spark, sf_dir)
+    register_config(registrations(rules, "run-1", "2024-01-01"), path)
+    register_config(registrations(rules, "run-2", "2024-02-01"), path)
+    newest = docs.latest_config(spark.read.parquet(path))
+    sources = docs.parse_rules(newest, "config").select(F.explode("sources").alias("s"))
+    customers = fx.catalogue(spark, sf_dir).groupBy("schema").agg(F.count(F.lit(1)).alias("tables"))
+    schemas = sources.select("s.name", F.explode("s.include.schemas.name").alias("schema"))
+    runs = newest.select("source_name", "env", "dag_run_id", "archival_date")
+    return (
+        runs.join(schemas.distinct(), F.col("source_name") == F.col("name"))
+        .join(customers, "schema")
+        .drop("name")
+    )
+
+
 @query
 def latest_config(spark, sf_dir):
     registrations = fx.table(spark, sf_dir, "orders").selectExpr(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size of the shuffle blocks that become one file of a rebalanced archive.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 
@@ -45,11 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="coldkeep-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
+@cache
+def _local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"coldkeep-{application}-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/coldkeep/{label}-{uuid.uuid4().hex}"
 

@@ -59,12 +59,14 @@ def write_archive(
 
     exists = spark.catalog.tableExists(name)
     if mode == "append" and exists:
-        before = spark.table(name).count()
+        before, columns = spark.table(name).count(), spark.table(name).columns
+        if set(columns) != set(df.columns):
+            raise ValueError(f"columns of {name} differ: {sorted(set(columns) ^ set(df.columns))}")
         if partition_columns(spark, name):
             # New partitions go to a fresh folder: files of a dropped partition must not come back.
             fresh = f"{table_folder(spark, name)}/{uuid.uuid4().hex}"
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
-        df.select(*_quoted(spark.table(name).columns)).write.insertInto(name)
+        df.select(*_quoted(columns)).write.insertInto(name)
         spark.catalog.refreshTable(name)
         return spark.table(name).count() - before
 

@@ -94,6 +94,12 @@ def test_replace_and_append(spark, feed):
         write_archive(spark.range(1), f"{feed}.x", mode="merge")
 
 
+def test_append_of_other_columns_is_refused(spark, database):
+    write_archive(spark.range(3), f"{database}.t")
+    with pytest.raises(ValueError, match="columns"):
+        write_archive(spark.range(3).withColumn("new", F.lit(1)), f"{database}.t", mode="append")
+
+
 def test_archive_many_isolates_failures(spark, feed):
     plan = plan_row(spark, feed).union(plan_row(spark, feed, table="missing", target="m"))
     runs = archive_many(spark, plan, Connection("c"), AS_OF)
