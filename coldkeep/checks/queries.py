@@ -15,7 +15,7 @@ from coldkeep.plans import purge as purging, report as reporting
 from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import plan
 from coldkeep.plans.validate import validate, validate_many, verdict
-from coldkeep.session import scratch_path
+from coldkeep.session import scratch_path, staged
 from coldkeep.sinks.documents import register_config, registrations, write_purge_plan
 from coldkeep.sinks.tables import write_archive
 from coldkeep.sources import documents as docs
@@ -339,7 +339,7 @@ def blob_links(spark, sf_dir):
 def blob_table(spark, sf_dir):
     """Contents are stored once: the second run adds none."""
     db = fx.fresh_database(spark, "blobs")
-    linked = _linked(spark, sf_dir)
+    linked = staged(_linked(spark, sf_dir), "linked")
     blob_store.write_blobs(linked, db)
     blob_store.write_blobs(linked, db)
     return spark.table(f"{db}.{blob_store.BLOB_TABLE}").select("sha256", "ext", "length")
@@ -348,7 +348,7 @@ def blob_table(spark, sf_dir):
 @query
 def blob_readback(spark, sf_dir):
     db = fx.fresh_database(spark, "blobs")
-    linked = _linked(spark, sf_dir)
+    linked = staged(_linked(spark, sf_dir), "linked")
     blob_store.write_blobs(linked, db)
     links = linked.filter("body_s3_path IS NOT NULL").select(
         naming.uri_parts(F.col("body_s3_path"))["key"].alias("key")

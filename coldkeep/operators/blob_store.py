@@ -16,11 +16,12 @@ from coldkeep.functions.blobs import (
     link_extension,
 )
 from coldkeep.functions.naming import unquote
+from coldkeep.session import staged
 
 BLOB_TABLE = "blob_objects"
 BUCKET_BYTES = 256 * 1024 * 1024
 HOT_COPIES = 10_000
-HOT_KEYS = 1_000
+HOT_KEYS = 10_000  # beyond them no content holds more than a ten-thousandth of all cells
 SALTS = 64
 GATEWAY_LIMIT = 6 * 1024 * 1024  # largest file a download hands out
 
@@ -100,17 +101,19 @@ def write_blobs(linked: DataFrame, db: str, size_in_bytes: int | None = None) ->
     if not binary_columns(linked):
         return 0
     cells = blob_cells(linked)
-    hot = hot_digests(blob_digests(linked))
-    if spark.catalog.tableExists(name):
-        buckets, before = _buckets_of(spark, name), spark.table(name).count()
-        cells = cells.join(spark.table(name).select("sha256"), "sha256", "left_anti")
+    held = spark.table(name) if spark.catalog.tableExists(name) else None
+    if held is not None:
+        buckets, before = _buckets_of(spark, name), held.count()
     else:
         if size_in_bytes is None:
             size_in_bytes = cells.agg(F.sum("length")).head()[0] or 0
         buckets, before = max(1, math.ceil(size_in_bytes / BUCKET_BYTES)), 0
+    new = distinct_blobs(cells, hot_digests(blob_digests(linked)), buckets)
+    if held is not None:
+        # Both sides are partitioned alike: the bytes are not shuffled again.
+        new = new.join(held.select("sha256"), "sha256", "left_anti")
     (
-        distinct_blobs(cells, hot, buckets)
-        .write.mode("append")
+        new.write.mode("append")
         .bucketBy(buckets, "sha256")
         .sortBy("sha256")
         .format("parquet")
@@ -159,7 +162,7 @@ def blob_status(keys: DataFrame, blobs: DataFrame, max_bytes: int | None = None)
     the join, and a content that very many keys ask for is joined in SALTS pieces.
     """
     wanted = keys.select("key").distinct().withColumn("path", unquote(F.col("key")))
-    wanted = wanted.withColumn("sha256", link_digest(F.col("path")))
+    wanted = staged(wanted.withColumn("sha256", link_digest(F.col("path"))), "keys")
     blobs = blobs.select("sha256", "ext", "length", "content")
 
     asked = wanted.filter("sha256 IS NOT NULL")

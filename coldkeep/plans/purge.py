@@ -7,14 +7,17 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from coldkeep.functions.naming import archive_db
 from coldkeep.functions.retention import expired, expired_filter
 from coldkeep.session import in_parallel
+from coldkeep.sinks.documents import write_purge_plan
 from coldkeep.sinks.tables import (
     is_row_level,
     partition_columns,
     table_folder,
     write_archive,
 )
+from coldkeep.sources.documents import read_purge_plan
 from coldkeep.sources.tables import columns_of, list_tables
 
 NEEDED = ("retention_expires_at", "legal_hold")
@@ -172,9 +175,6 @@ def purge_summary(results: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, mode: str, db: str, source_name: str, path: str, **options):
     """Discovery saves a plan below `path`; delete carries a saved plan out and nothing else."""
-    from coldkeep.sinks.documents import write_purge_plan
-    from coldkeep.sources.documents import read_purge_plan
-
     if mode == "discovery":
         found = discover_expired(spark, db, **options)
         write_purge_plan(purge_plan(found, source_name), path)
@@ -182,3 +182,19 @@ def run(spark: SparkSession, mode: str, db: str, source_name: str, path: str, **
     if mode == "delete":
         return purge_many(spark, read_purge_plan(spark, path, source_name), **options)
     raise ValueError(f"unknown mode: {mode!r}")
+
+
+def run_targets(spark: SparkSession, mode: str, targets: DataFrame, path: str, **options) -> DataFrame:
+    """`run` for every target of a purge document, each in the archive of its connection."""
+    each = targets.select(F.explode("targets").alias("t")).select(
+        "t.*", archive_db(F.col("t.connection")).alias("db")
+    )
+    done = None
+    for target in each.collect():
+        limit = {"max_parallel": target["max_parallel_tables"] or 5} if mode == "delete" else {}
+        rows = run(spark, mode, target["db"], target["source_name"], path, **limit, **options)
+        rows = rows.withColumn("source_name", F.lit(target["source_name"]))
+        done = rows if done is None else done.unionByName(rows)
+    if done is None:
+        raise ValueError("no targets")
+    return done

@@ -15,7 +15,13 @@ from coldkeep.plans.validate import validate_archive, validate_many, verdict
 from coldkeep.sinks.documents import register_config, registrations, write_purge_plan, write_summary
 from coldkeep.sinks.tables import drop_archive_db, remove_superseded, table_folder, write_archive
 from coldkeep.sources.connections import Connection
-from coldkeep.sources.documents import latest_config, parse_rules, read_purge_plan, read_summaries
+from coldkeep.sources.documents import (
+    latest_config,
+    parse_rules,
+    read_purge_plan,
+    read_purge_targets,
+    read_summaries,
+)
 
 AS_OF = "1997-01-15"
 
@@ -218,6 +224,19 @@ def test_discover_plan_purge(spark, feed, tmp_path):
         purge.run(spark, "both", feed, "src", path)
 
 
+def test_targets(spark, feed, tmp_path):
+    store(archived(spark, feed), f"{feed}.arc")
+    doc = {"targets": [{"source_name": "src", "connection": feed.removeprefix("archive_"), "max_parallel_tables": 2}]}
+    (tmp_path / "purge.json").write_text(json.dumps(doc))
+    targets, path = read_purge_targets(spark, str(tmp_path / "purge.json")), str(tmp_path / "plans")
+    found = purge.run_targets(spark, "discovery", targets, path, as_of=AS_OF)
+    assert {(r.source_name, r.table_name, r.status) for r in found.collect()} == {
+        ("src", "arc", "found"), ("src", "feed", "skipped"),
+    }
+    (row,) = purge.run_targets(spark, "delete", targets, path).collect()
+    assert row.status == "success" and row.rows_deleted == row.estimated_rows_deleted > 0
+
+
 def test_purge_failures_are_isolated(spark, feed):
     store(archived(spark, feed), f"{feed}.arc")
     plan = spark.createDataFrame(
