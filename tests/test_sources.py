@@ -127,3 +127,7 @@ def test_yaml_rules(spark, tmp_path):
     row = parse_rules(yaml_to_json(read_documents(spark, str(tmp_path / "r.yaml")))).head()
     assert row.env == "dev" and row.sources[0].legal_hold is True
     assert row.sources[0].include.schemas[0].tables[0].condition == "ID < 1"
+
+
+def test_password_is_not_shown():
+    assert "hunter2" not in repr(Connection("c", url=POSTGRES, user="u", password="hunter2"))
