@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coldkeep.llm import minhash
+from coldkeep.llm import imatch, minhash
 from coldkeep.llm.common import table
 
 
@@ -12,8 +12,13 @@ def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
+    "op3_imatch": op3_imatch,
 }
 
 ORACLE = {
@@ -25,7 +30,7 @@ ORACLE = {
         sets AS (
             SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
                 ELSE list_distinct(list_transform(range(1, len(w) - 2),
-                    i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g
+                    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g
             FROM words),
         sizes AS (SELECT doc_id, len(g) AS n FROM sets),
         shingles AS (SELECT doc_id, unnest(g) AS h FROM sets),
