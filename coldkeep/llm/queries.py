@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from coldkeep.llm import imatch, minhash
+from coldkeep.llm import imatch, minhash, packing
 from coldkeep.llm.common import table
 
 
@@ -16,9 +17,15 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), path, length=2048)
+
+
 QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
+    "op7_shortest_pack_first": op7_shortest_pack_first,
 }
 
 ORACLE = {
