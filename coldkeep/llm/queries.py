@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coldkeep.llm import imatch, minhash, packing
+from coldkeep.llm import imatch, minhash, packing, pieces
 from coldkeep.llm.common import table
 
 
@@ -17,6 +18,16 @@ def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, length=2048)
@@ -25,6 +36,7 @@ def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
+    "op4_offset_pieces": op4_offset_pieces,
     "op7_shortest_pack_first": op7_shortest_pack_first,
 }
 
