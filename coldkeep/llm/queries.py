@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import imatch, minhash, packing, pieces
+from coldkeep.llm import imatch, minhash, packing, pieces, secrets
 from coldkeep.llm.common import table
 
 
@@ -33,11 +33,16 @@ def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, length=2048)
 
 
+def op8_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
     "op4_offset_pieces": op4_offset_pieces,
     "op7_shortest_pack_first": op7_shortest_pack_first,
+    "op8_zstd_novelty": op8_zstd_novelty,
 }
 
 ORACLE = {
