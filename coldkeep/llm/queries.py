@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import imatch, minhash, packing, pieces, secrets
+from coldkeep.llm import imatch, minhash, packing, pieces, secrets, toxicity
 from coldkeep.llm.common import table
 
+HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
+
 
 def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
@@ -37,12 +39,30 @@ def op8_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def learning(df: DataFrame) -> DataFrame:
+    """Rows that models may learn from; the others are held out."""
+    return df.where(~HELD_OUT)
+
+
+def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learnt(learning(docs), learning(labels))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        HELD_OUT.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "worst_unit",
+    )
+
+
 QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
     "op4_offset_pieces": op4_offset_pieces,
     "op7_shortest_pack_first": op7_shortest_pack_first,
     "op8_zstd_novelty": op8_zstd_novelty,
+    "op10_string_kernel_svm": op10_string_kernel_svm,
 }
 
 ORACLE = {
