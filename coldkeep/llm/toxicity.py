@@ -1,7 +1,8 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
-A text is cut into units: words folded to the letters a to z, without signs between their letters,
-common digit substitutes read as letters, and letters that stand alone joined ("i d i o t"). The
+A text is cut into units: words folded to the letters a to z, each accent a symbol behind its
+letter, without signs between the letters, common digit substitutes read as letters, and letters
+that stand alone joined ("i d i o t"). The
 kernel of two units counts the subsequences of ORDER symbols they share, within SPAN symbols, each
 gap symbol costing a factor DECAY; so inserted characters lower a likeness but don't end it.
 
@@ -39,37 +40,40 @@ THRESHOLD = 0.7
 #: Units whose values a worker remembers; it starts anew when the memory is full.
 REMEMBERED = 1_000_000
 
-START, END = 27, 28
+START, END, ACUTE, GRAVE, OTHER_ACCENT = 27, 28, 29, 30, 31
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), ORDER - 1)]
 WEIGHTS = [DECAY ** (c[-1] - ORDER + 1) for c in OFFSETS]
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-def _folded() -> tuple[np.ndarray, np.ndarray]:
-    """Symbol of each byte, and of each byte behind 0xC3 (the letters of Latin-1)."""
+def _folded() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbol of each byte, and of the letter and the accent that 0xC3 and this byte stand for."""
     import unicodedata
 
-    one, behind = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
+    one, letter, accent = np.zeros(256, np.uint8), np.zeros(256, np.uint8), np.zeros(256, np.uint8)
     for byte in range(128):
         c = chr(byte).lower()
         c = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}.get(c, c)
         if "a" <= c <= "z":
             one[byte] = ord(c) - 96
     for byte in range(0x80, 0xC0):
-        c = unicodedata.normalize("NFKD", chr(byte + 0x40))[0].lower().replace("ß", "s").replace("ø", "o").replace("æ", "a")
-        if "a" <= c <= "z":
-            behind[byte] = ord(c) - 96
-    return one, behind
+        parts = unicodedata.normalize("NFKD", chr(byte + 0x40).lower())
+        base = {"ß": "s", "ø": "o", "æ": "a", "ð": "d", "þ": "t"}.get(parts[0], parts[0])
+        if "a" <= base <= "z":
+            letter[byte] = ord(base) - 96
+            accent[byte] = {"\u0301": ACUTE, "\u0300": GRAVE}.get(parts[1:], OTHER_ACCENT)
+    return one, letter, accent
 
 
-FOLD, FOLD_BEHIND = _folded()
+FOLD, FOLD_LETTER, FOLD_ACCENT = _folded()
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts, start and end of each unit in them, and the text of each unit."""
     symbol = FOLD[data]
-    accented = np.flatnonzero(data[:-1] == 0xC3) + 1 if len(data) else np.zeros(0, np.int64)
-    symbol[accented] = FOLD_BEHIND[data[accented]]
+    accented = np.flatnonzero(data[:-1] == 0xC3)
+    symbol[accented] = FOLD_LETTER[data[accented + 1]]
+    symbol[accented + 1] = FOLD_ACCENT[data[accented + 1]]
     begin, _ = common.runs(~SPACES[data], offsets)
     at = np.flatnonzero(symbol)
     symbols = symbol[at]
@@ -87,6 +91,10 @@ def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return symbols, start, np.append(start[1:], len(at)), text[~joined]
 
 
+def shown(symbols: np.ndarray) -> str:
+    return "".join("´`^"[s - ACUTE] if s >= ACUTE else chr(s + 96) for s in symbols.tolist())
+
+
 def padded(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All units behind one another between marks of their ends and zeros; starts and lengths."""
     size = end - start + 2
@@ -321,7 +329,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 worst[text[first]] = np.maximum.reduceat(value, first)
                 for t, lo, hi in zip(text[first], first, np.append(first[1:], len(text))):
                     i = lo + int(value[lo:hi].argmax())
-                    decided[t] = (symbols[start[i] : end[i]] + 96).tobytes().decode()
+                    decided[t] = shown(symbols[start[i] : end[i]])
             columns = [batch.column("doc_id"), pa.array(model.score(worst)), pa.array(decided, pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "worst_unit"])
 
