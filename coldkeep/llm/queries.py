@@ -6,12 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import imatch, minhash, packing, pieces, secrets, toxicity
+from coldkeep.llm import crf, imatch, minhash, packing, pieces, secrets, toxicity
 from coldkeep.llm.common import table
 
 HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
 
 
+def learning(df: DataFrame) -> DataFrame:
+    """Rows that models may learn from; the others are held out."""
+    return df.where(~HELD_OUT)
+
+
+def op1_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = crf.identify(docs, crf.learnt(learning(docs)))
+    return found.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score", "shares")
+
+
 def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -39,11 +50,6 @@ def op8_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
-def learning(df: DataFrame) -> DataFrame:
-    """Rows that models may learn from; the others are held out."""
-    return df.where(~HELD_OUT)
-
-
 def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.learnt(learning(docs), learning(labels))
@@ -57,6 +63,7 @@ def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_crf": op1_crf,
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
     "op4_offset_pieces": op4_offset_pieces,
