@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import crf, imatch, minhash, packing, pieces, secrets, toxicity
+from coldkeep.llm import crf, imatch, minhash, packing, pages, pieces, secrets, toxicity
 from coldkeep.llm.common import table
 
 HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
@@ -41,6 +41,11 @@ def op4_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_block_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "pages")
+    return pages.extract(raw, pages.learnt(raw))
+
+
 def op7_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, length=2048)
@@ -67,6 +72,7 @@ QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
     "op4_offset_pieces": op4_offset_pieces,
+    "op6_block_lstm": op6_block_lstm,
     "op7_shortest_pack_first": op7_shortest_pack_first,
     "op8_zstd_novelty": op8_zstd_novelty,
     "op10_string_kernel_svm": op10_string_kernel_svm,
