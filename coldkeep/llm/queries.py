@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import crf, imatch, minhash, packing, pages, pieces, secrets, toxicity
+from coldkeep.llm import crf, imatch, minhash, nndescent, packing, pages, pieces, secrets, toxicity
 from coldkeep.llm.common import table
 
 HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
@@ -55,6 +55,10 @@ def op8_zstd_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.learnt(learning(docs), learning(labels))
@@ -75,6 +79,7 @@ QUERIES = {
     "op6_block_lstm": op6_block_lstm,
     "op7_shortest_pack_first": op7_shortest_pack_first,
     "op8_zstd_novelty": op8_zstd_novelty,
+    "op9_nn_descent": op9_nn_descent,
     "op10_string_kernel_svm": op10_string_kernel_svm,
 }
 
