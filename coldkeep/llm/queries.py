@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import crf, imatch, minhash, nndescent, packing, pages, pieces, secrets, toxicity
+from coldkeep.llm import crf, imatch, minhash, nndescent, packing, pages, pieces, secrets, suffixes, toxicity
 from coldkeep.llm.common import table
 
 HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
@@ -41,6 +41,17 @@ def op4_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_block_lstm(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "pages")
     return pages.extract(raw, pages.learnt(raw))
@@ -76,6 +87,7 @@ QUERIES = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_imatch": op3_imatch,
     "op4_offset_pieces": op4_offset_pieces,
+    "op5_difference_cover": op5_difference_cover,
     "op6_block_lstm": op6_block_lstm,
     "op7_shortest_pack_first": op7_shortest_pack_first,
     "op8_zstd_novelty": op8_zstd_novelty,
