@@ -34,7 +34,7 @@ from coldkeep.session import staged
 
 WINDOW = 50
 #: Bytes of the parts whose least hash is a window's anchor.
-PART = 24
+PART = 16
 UNIT_BITS, LONGEST_UNIT = 6, 512
 #: Units a task remembers to have sent anchors of.
 REMEMBERED = 500_000
@@ -43,12 +43,18 @@ BUCKET_BYTES = 24 << 20
 SPLIT_SAMPLE = 200_000
 LAST = (1 << 63) - 1
 
-TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u2"), ("room", "u1")])
-NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u2"), ("room", "u1")])
-SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u2")])
+TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
+NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
+SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4")])
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
-INSIDE = np.dtype([("high", "<u4"), ("low", "<u2"), ("unit", "<i8")])
-ACROSS = np.dtype([("high", "<u4"), ("low", "<u2"), ("unit", "<i8"), ("next", "<i8")])
+#: A window that holds a part of PART bytes at its x-th byte belongs to one of CASES ranges of x.
+CASES = 6
+PLACES = WINDOW - PART + 1
+CASE = np.arange(PLACES) * CASES // PLACES
+EXACT = np.arange(PLACES)
+INSIDE = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8")])
+ACROSS = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8"), ("next", "<i8")])
+PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (PLACES,)), ("unit", "<i8")])
 
 
 class Cutter:
@@ -155,32 +161,103 @@ def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Call
 SEAM = np.dtype([("anchor", "<u8"), ("one", "?")])
 
 
-def seams(hashes: np.ndarray, least: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least part hash of the window that starts at each place."""
+    least, width = hashes, 1
+    while 2 * width <= WINDOW - PART + 1:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    shift = WINDOW - PART + 1 - width
+    return np.minimum(least[: len(least) - shift], least[shift:]) if shift else least
+
+
+def periodic(hashes: np.ndarray) -> np.ndarray:
+    """True where a part's hash occurs again within a window."""
+    out = np.zeros(len(hashes), bool)
+    for shift in range(1, WINDOW - PART + 2):
+        again = np.flatnonzero(hashes[:-shift] == hashes[shift:])
+        out[again] = True
+        out[again + shift] = True
+    return out
+
+
+def parts_of(hashes: np.ndarray, first: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Place of the leftmost part with the anchor's hash in the window that starts at first."""
+    part = np.zeros(len(first), np.int64)
+    open_ = np.arange(len(first))
+    for shift in range(WINDOW - PART + 1):
+        hit = hashes[first[open_] + shift] == anchor[open_]
+        part[open_[hit]] = first[open_[hit]] + shift
+        open_ = open_[~hit]
+    return part
+
+
+def sides_of(data: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.SpanHash, cases: np.ndarray) -> np.ndarray:
+    """For each case, 16 bits of a hash of the bytes that all its windows around the part hold.
+
+    Places that share a window agree in its case. 0 where the part occurs twice near: it fits all.
+    """
+    out = np.zeros((len(part), cases[-1] + 1), np.uint16)
+    known = ~odd[part]
+    place = part[known]
+    for case in range(cases[-1] + 1):
+        x = np.flatnonzero(cases == case)
+        h = side(data, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(data)))
+        out[known, case] = (h >> common.U64(48)) | common.U64(1)
+    return out
+
+
+def seams(least: np.ndarray, odd: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The seams before and behind each unit: an anchor that windows on both sides have.
 
     Such an anchor is one place of the text that two units show, and must not look like two places.
-    Where the part's hash occurs twice around the seam, as in periodic text, `one` is false and the
-    two sides count as different places.
+    In periodic text `one` is false and the two sides count as different places.
     """
     before, behind = np.zeros(len(start), SEAM), np.zeros(len(start), SEAM)
     left = np.flatnonzero(text[1:] == text[:-1])
     at = start[left + 1]
     shared = least[at - 1] == least[at]
     left, at = left[shared], at[shared]
-    often = np.zeros(len(at), np.int64)
-    for shift in range(PART - WINDOW, 2 * (WINDOW - PART) + 1):
-        place = at + shift
-        often += (hashes[np.clip(place, 0, len(hashes) - 1)] == least[at]) & (place >= 0) & (place < len(hashes))
+    sums = np.concatenate([[0], np.cumsum(odd)])
+    calm = sums[np.minimum(at + WINDOW - PART + 1, len(odd))] == sums[np.maximum(at - 1, 0)]
     behind["anchor"][left] = before["anchor"][left + 1] = least[at]
-    behind["one"][left] = before["one"][left + 1] = often == 1
+    behind["one"][left] = before["one"][left + 1] = calm
     return before, behind
 
 
+def elsewhere(key: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """1 where the same key has another place."""
+    out = np.zeros(len(key), np.int64)
+    if len(key):
+        order = np.argsort(key)
+        starts = np.flatnonzero(np.append(True, np.diff(key[order]) != 0))
+        several = np.minimum.reduceat(where[order], starts) != np.maximum.reduceat(where[order], starts)
+        out[order] = np.repeat(several, np.diff(np.append(starts, len(key))))
+    return out
+
+
+def agreeing(anchor: np.ndarray, sides: np.ndarray, unit: np.ndarray, where: np.ndarray) -> pa.RecordBatch:
+    """unit, anchor and a bit for each case in which another place of the anchor agrees."""
+    every = sides.shape[1]
+    cases = np.zeros(len(anchor), np.int64)
+    for case in range(every):
+        cases |= elsewhere(anchor << common.U64(16) | sides[:, case], where) << case
+    # A part that can't be told apart shares all cases with every other place of its anchor.
+    blurred = np.isin(anchor, anchor[sides[:, 0] == 0])
+    cases[blurred] |= elsewhere(anchor[blurred], where[blurred]) * ((1 << every) - 1)
+    shared = cases > 0
+    columns = [pa.array(unit[shared], pa.int64()), pa.array(anchor[shared].astype(np.int64)), pa.array(cases[shared])]
+    return pa.RecordBatch.from_arrays(columns, names=["unit", "anchor", "cases"])
+
+
 def anchored(docs: DataFrame, buckets: int) -> DataFrame:
-    """unit: first name of every unit that shares an anchor with another place of the corpus."""
+    """unit, anchor, cases: anchors (48 bits) of a unit (its first name) that another place has as well.
+
+    cases has a bit for each case in which the places agree.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, sent = Cutter(), set()
+        cutter, sent, side = Cutter(), set(), common.SpanHash(73)
         for batch in common.slices(batches, "text"):
             data, offsets = common.utf8(batch.column("text"))
             text, start, end, hashes = cutter(data, offsets)
@@ -194,18 +271,13 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             if len(sent) > REMEMBERED:
                 sent.clear()
             sent.update(names.tolist())
-            least, width = hashes, 1
-            while 2 * width <= WINDOW - PART + 1:
-                least = np.minimum(least[:-width], least[width:])
-                width *= 2
-            shift = WINDOW - PART + 1 - width
-            least = np.minimum(least[: len(least) - shift], least[shift:]) if shift else least
+            least, odd = least_hashes(hashes), periodic(hashes)
             size = (end - start) * keep
             at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             anchor, owner = least[at], np.repeat(np.arange(len(unit)), size)
             new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])) if len(at) else np.zeros(0, bool)
-            anchor, owner = anchor[new], owner[new]
-            before, behind = seams(hashes, least, text, start)
+            anchor, owner, at = anchor[new], owner[new], at[new]
+            before, behind = seams(least, odd, text, start)
             plain = ~(before["one"][owner] & (before["anchor"][owner] == anchor)) & ~(behind["one"][owner] & (behind["anchor"][owner] == anchor))
             inside = np.zeros(int(plain.sum()), INSIDE)
             inside["unit"] = unit[owner[plain]]
@@ -213,7 +285,8 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             seam = np.flatnonzero(behind["one"][:-1] & (keep[:-1] | keep[1:])) if len(unit) > 1 else np.zeros(0, np.int64)
             pair = np.zeros(len(seam), ACROSS)
             pair["unit"], pair["next"] = unit[seam], unit[seam + 1]
-            for records, full, mark in ((inside, anchor[plain], b"i"), (pair, behind["anchor"][seam], b"a")):
+            for records, full, first, mark in ((inside, anchor[plain], at[plain], b"i"), (pair, behind["anchor"][seam], start[seam + 1], b"a")):
+                records["sides"] = sides_of(data, odd, parts_of(hashes, first, full), side, CASE)
                 records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
                 yield packed((full % common.U64(buckets)).astype(np.int32), records, mark)
 
@@ -225,41 +298,117 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
         anchor = np.concatenate(full)
         unit = np.concatenate([inside["unit"], across["unit"], across["next"]])
         where = np.concatenate([inside["unit"].astype(np.int64).view(np.uint64), pair, pair])
-        order = np.lexsort((where, anchor))
-        anchor, unit, where = anchor[order], unit[order], where[order]
-        starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(anchor) else np.zeros(0, np.int64)
-        differ = where[np.append(starts[1:], len(unit)) - 1] != where[starts]
-        shared = np.unique(unit[np.repeat(differ, np.diff(np.append(starts, len(unit))))])
-        yield pa.RecordBatch.from_arrays([pa.array(shared, pa.int64())], names=["unit"])
+        yield agreeing(anchor, np.concatenate([inside["sides"], across["sides"], across["sides"]]), unit, where)
 
     rows = docs.mapInArrow(send, PACKED)
-    return by_bucket(rows, buckets, None, meet, "unit long").distinct()
+    return by_bucket(rows, buckets, None, meet, "unit long, anchor long, cases long").groupBy("unit", "anchor").agg(F.bit_or("cases").alias("cases"))
+
+
+def agreed_windows(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, unit: np.ndarray, pairs: pa.Array, cases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts whose anchor and case are among the pairs (of the units given), and their units."""
+    if not len(unit):
+        return unit, unit
+    key = lambda unit, anchor, case: common.mix64(common.mix64(unit.astype(np.uint64) * common.U64(64) + case) ^ anchor)
+    bits, anchors = pairs.field("cases").to_numpy(), pairs.field("anchor").to_numpy().view(np.uint64)
+    wanted = np.concatenate([key(unit, anchors, common.U64(c))[bits >> c & 1 == 1] for c in range(cases[-1] + 1)])
+    least = least_hashes(hashes)
+    chosen = np.unique(unit)
+    size = (end - start)[chosen]
+    at = np.repeat(start[chosen], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    owner = np.repeat(chosen, size)
+    run = np.append(True, (np.diff(least[at]) != 0) | (np.diff(owner) != 0))
+    x = parts_of(hashes, at[run], least[at[run]])[np.cumsum(run) - 1] - at
+    anchor = least[at] >> common.U64(16)
+    here = np.isin(key(owner, anchor, cases[np.maximum(x, 0)].astype(np.uint64)), wanted)
+    # Behind the first place of a part that occurs twice in a run, any case may hold.
+    here |= (x < 0) & np.isin(key(owner, anchor, common.U64(63)), key(unit, anchors, common.U64(63)))
+    return at[here], owner[here]
+
+
+def stretches(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end (of the bytes) and owner of each run of successive window starts."""
+    new = np.append(True, (np.diff(at) != 1) | (np.diff(owner) != 0)) if len(at) else np.zeros(0, bool)
+    return at[new], at[np.append(new[1:], True)[: len(new)]] + WINDOW, owner[new]
+
+
+def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
+    """doc, version, begin, data: the parts of segments whose every window another segment has.
+
+    As `anchored`, for the few segments that are left, with one case for each place of a part.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, side = Cutter(), common.SpanHash(79)
+        for batch in common.slices(batches, "data"):
+            data, offsets = binaries(batch.column("data"))
+            hashes = cutter.part_hashes(data)
+            least, odd = least_hashes(hashes), periodic(hashes)
+            size = np.diff(offsets) - WINDOW + 1
+            owner = np.repeat(np.arange(len(size)), size)
+            at = offsets[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            run = np.append(True, (np.diff(least[at]) != 0) | (np.diff(owner) != 0))
+            full = least[at[run]]
+            records = np.zeros(len(full), PLACED)
+            records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
+            records["sides"] = sides_of(data, odd, parts_of(hashes, at[run], full), side, EXACT)
+            records["unit"] = batch.column("unit").to_numpy()[owner[run]]
+            yield packed((full % common.U64(buckets)).astype(np.int32), records)
+
+    def meet(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
+        anchor = (records["high"].astype(np.uint64) << common.U64(16)) | records["low"]
+        unit = records["unit"].astype(np.int64)
+        yield agreeing(anchor, records["sides"], unit, unit.view(np.uint64))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter()
+        for batch in common.slices(batches, "data"):
+            data, offsets = binaries(batch.column("data"))
+            shared = batch.column("shared")
+            unit = np.repeat(np.arange(batch.num_rows), np.diff(shared.offsets.to_numpy()))
+            at, owner = agreed_windows(cutter.part_hashes(data), offsets[:-1], offsets[1:] - WINDOW + 1, unit, shared.flatten(), EXACT)
+            begin, stop, owner = stretches(at, owner)
+            raw = data.tobytes()
+            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "version")]
+            columns.append(pa.array(batch.column("begin").to_numpy()[owner] + begin - offsets[owner], pa.int64()))
+            columns.append(pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "version", "begin", "data"])
+
+    found = by_bucket(segments.mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
+    found = found.groupBy("unit", "anchor").agg(F.bit_or("cases").alias("cases"))
+    shared = found.groupBy("unit").agg(F.collect_list(F.struct("anchor", "cases")).alias("shared"))
+    rows = segments.join(shared, "unit").select("doc", "version", "begin", "data", "shared")
+    return rows.mapInArrow(cut, "doc long, version long, begin long, data binary")
+
 
+def segments(docs: DataFrame) -> DataFrame:
+    """unit, doc, version, begin, data: stretches of windows whose anchors are shared.
 
-def unit_texts(docs: DataFrame) -> DataFrame:
-    """unit, doc, data of the wanted units. Docs have (doc, text, places)."""
+    Docs have (doc, version, text, shared), the last an array of (place of the unit, anchor).
+    """
 
     def make():
         cutter = Cutter()
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             data, offsets = common.utf8(batch.column("text"))
-            text, start, end, _ = cutter(data, offsets)
-            unit, _ = cutter.names(data, start, end)
+            text, start, end, hashes = cutter(data, offsets)
             first_unit = np.searchsorted(text, np.arange(batch.num_rows))
-            places = batch.column("places")
-            counts = np.diff(places.offsets.to_numpy())
-            chosen = np.repeat(first_unit, counts) + places.flatten().to_numpy()
+            shared = batch.column("shared")
+            counts = np.diff(shared.offsets.to_numpy())
+            pairs = shared.flatten()
+            unit = np.repeat(first_unit, counts) + pairs.field("place").to_numpy()
+            at, owner_unit = agreed_windows(hashes, start, end, unit, pairs, CASE)
+            owner = text[owner_unit]
+            begin, stop, owner = stretches(at, owner)
             raw = data.tobytes()
-            blobs = [raw[a:b] for a, b in zip(start[chosen].tolist(), (end[chosen] + WINDOW - 1).tolist())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(unit[chosen], pa.int64()), batch.column("doc").take(pa.array(text[chosen], pa.int64())), pa.array(blobs, pa.binary())],
-                names=["unit", "doc", "data"],
-            )
+            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "version")]
+            columns += [pa.array(begin - offsets[owner], pa.int64()), pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "version", "begin", "data"])
 
         return kernel
 
-    return common.arrow_map(docs, make, "unit long, doc long, data binary", "text")
+    rows = common.arrow_map(docs, make, "doc long, version long, begin long, data binary", "text")
+    return rows.withColumn("unit", F.xxhash64("doc", "version", "begin"))
 
 
 def triples(batch: pa.RecordBatch) -> np.ndarray:
@@ -292,9 +441,9 @@ def prefix(records: np.ndarray) -> np.ndarray:
 
 
 def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
-    """unit, starts: window starts of each unit that also start in a unit of a smaller document.
+    """unit, starts: window starts of each segment that also start in one of a smaller document.
 
-    units: unit, doc (least document), data. total: bytes of data.
+    units: unit (number of the segment), doc (least document), data. total: bytes of data.
     """
     buckets = max(1, -(-total * TRIPLE.itemsize // BUCKET_BYTES))
 
@@ -337,7 +486,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         """Triples of names: of sampled suffixes, and of the pairs of classes that meet by a shift."""
         records = records[np.lexsort((records["at"], records["unit"]))]
         at = records["at"].astype(np.int64)
-        place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 17) + at
+        place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 33) + at
 
         def there(shift: int) -> tuple[np.ndarray, np.ndarray]:
             where = np.minimum(np.searchsorted(place, place + shift), len(place) - 1)
@@ -404,21 +553,32 @@ def repeated(docs: DataFrame, label: str = "suffixes") -> DataFrame:
     candidates = common.settled(anchored(docs, max(partitions, 1)), f"{label}-anchored")
 
     # The least document that holds a candidate stands for all.
-    owned = units.join(candidates, units["one"] == candidates["unit"], "left_semi")
-    owned = owned.groupBy("one", "two").agg(F.min(F.struct("doc", "version", "place")).alias("least")).select("one", "two", "least.*")
-    owned = common.settled(owned, f"{label}-owned")
-    places = owned.groupBy("doc", "version").agg(F.collect_set("place").alias("places"))
+    wanted = candidates.select(F.col("unit").alias("one")).distinct()
+    owned = units.join(wanted, "one", "left_semi").groupBy("one", "two").agg(F.min(F.struct("doc", "version", "place")).alias("least"))
+    owned = owned.join(candidates.withColumnRenamed("unit", "one"), "one")
+    places = owned.groupBy("least.doc", "least.version").agg(F.collect_list(F.struct("least.place", "anchor", "cases")).alias("shared"))
     sources = docs.select("doc", "version", "text").join(places, ["doc", "version"])
-    # Rows that are equal in id and text give their units once.
-    texts = common.settled(unit_texts(sources).dropDuplicates(["unit", "doc"]), f"{label}-texts")
-    total = texts.agg(F.sum(F.length("data"))).first()[0] or 0
-    cover = staged(covered_windows(texts, int(total), label), f"{label}-cover")
-
-    # A unit that starts in a smaller document goes whole; its least document loses the covered windows.
-    whole = units.join(repeats, ["one", "two"]).where("doc > first_doc").select("doc", "version", "place", F.lit(None).cast("array<binary>").alias("starts"))
-    in_least = owned.join(cover, owned["one"] == cover["unit"]).select("one", "two", F.col("doc").alias("first_doc"), "starts")
-    partly = units.join(in_least, ["one", "two"]).where("doc = first_doc").select("doc", "version", "place", "starts")
-    marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_list(F.struct("place", "starts")).alias("marks"))
+    # Rows that are equal in id and text give their segments once.
+    sources = sources.dropDuplicates(["doc", "version"])
+    texts = common.settled(segments(sources), f"{label}-texts")
+    texts = common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
+    # Segments of equal bytes are sorted once, for the least document that has them.
+    texts = texts.withColumn("content", F.sha2("data", 256))
+    distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.first("data").alias("data"))
+    distinct = common.settled(distinct.withColumn("unit", F.xxhash64("content")), f"{label}-distinct")
+    total = distinct.agg(F.sum(F.length("data"))).first()[0] or 0
+    cover = covered_windows(distinct, int(total), label)
+
+    # What starts in a smaller document goes whole; the least document loses the covered windows.
+    none = F.lit(None)
+    shape = ("doc", "version", "place", "begin", "size", "starts")
+    whole = units.join(repeats, ["one", "two"]).where("doc > first_doc")
+    whole = whole.withColumns({"begin": none.cast("long"), "size": none.cast("int"), "starts": none.cast("array<binary>")}).select(*shape)
+    first = distinct.select("content", F.col("doc").alias("first_doc"), "unit").join(cover, "unit", "left")
+    partly = texts.select("content", "doc", "version", "begin", F.length("data").alias("size")).join(first, "content")
+    partly = partly.where("doc > first_doc or starts is not null").withColumn("place", none.cast("int"))
+    partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts"))).select(*shape)
+    marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_list(F.struct("place", "begin", "size", "starts")).alias("marks"))
     marks = staged(marks, f"{label}-marks")
     return removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks"))
 
@@ -436,12 +596,15 @@ def removed(docs: DataFrame) -> DataFrame:
             first_unit = np.searchsorted(text, np.arange(batch.num_rows))
             for t, marks in enumerate(batch.column("marks").to_pylist()):
                 for mark in marks or ():
-                    u = first_unit[t] + mark["place"]
-                    if mark["starts"] is None:
+                    if mark["starts"] is None and mark["place"] is None:
+                        depth[offsets[t] + mark["begin"]] += 1
+                        depth[offsets[t] + mark["begin"] + mark["size"]] -= 1
+                    elif mark["starts"] is None:
+                        u = first_unit[t] + mark["place"]
                         depth[start[u]] += 1
                         depth[end[u] + WINDOW - 1] -= 1
                     else:
-                        at = start[u] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u2")).astype(np.int64)
+                        at = offsets[t] + mark["begin"] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u4")).astype(np.int64)
                         np.add.at(depth, at, 1)
                         np.add.at(depth, at + WINDOW, -1)
             gone = np.cumsum(depth)[: len(data)] > 0
