@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldkeep.llm import crf, imatch, minhash, nndescent, packing, pages, pieces, secrets, suffixes, toxicity
 from coldkeep.llm.common import table
 
-HELD_OUT = F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
+def held_out() -> Column:
+    """Rows that no model learns from."""
+    return F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)")
 
 
 def learning(df: DataFrame) -> DataFrame:
     """Rows that models may learn from; the others are held out."""
-    return df.where(~HELD_OUT)
+    return df.where(~held_out())
 
 
 def op1_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = crf.identify(docs, crf.learnt(learning(docs)))
-    return found.select("doc_id", HELD_OUT.alias("held_out"), "lang_pred", "score", "shares")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "shares")
 
 
 def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +77,7 @@ def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learnt(learning(docs), learning(labels))
     return toxicity.score(docs, model).select(
         "doc_id",
-        HELD_OUT.alias("held_out"),
+        held_out().alias("held_out"),
         "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         "worst_unit",

@@ -120,8 +120,11 @@ def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int
     return base, sorted(base + novel_spans(text, base, _novelty()))
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, kinds, starts, ends (arrays, in order) and redacted, the text with every span replaced."""
+def find_secrets(docs: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, kinds, starts, ends (arrays, in order) and redacted, the text with every span replaced.
+
+    The columns named in others are passed through.
+    """
 
     def make():
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -137,12 +140,15 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                 pa.array([[b for _, _, b in spans] for spans in rows], pa.list_(pa.int32())),
                 pa.array(redacted, pa.string()),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "kinds", "starts", "ends", "redacted"])
+            columns += [batch.column(c) for c in others]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "kinds", "starts", "ends", "redacted", *others])
 
         return kernel
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return common.arrow_map(docs, make, "doc_id long, kinds array<string>, starts array<int>, ends array<int>, redacted string", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *others)
+    schema = "doc_id long, kinds array<string>, starts array<int>, ends array<int>, redacted string"
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others)
+    return common.arrow_map(docs, make, schema, "text")
 
 
 def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:

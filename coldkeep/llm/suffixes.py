@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -540,24 +541,29 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     return found.groupBy("unit").agg(F.collect_list("starts").alias("starts"))
 
 
-def repeated(docs: DataFrame, label: str = "suffixes") -> DataFrame:
-    """doc_id, kept (binary), begins, ends (removed runs, bytes) and n_bytes of every row of docs."""
+def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffixes") -> DataFrame:
+    """doc_id, kept (binary), begins, ends (removed runs, bytes) and n_bytes of every row of docs.
+
+    The columns named in others are passed through.
+    """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("version"), "text")
+    passed = F.struct(*others).alias("_others") if others else F.lit(None).cast("int").alias("_others")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), passed)
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("version"), "text", "_others")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    units = common.settled(units_of(docs), f"{label}-units")
+    plain = docs.select("doc", "version", "text")
+    units = common.settled(units_of(plain), f"{label}-units")
     repeats = units.groupBy("one", "two").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("most")).where("first_doc < most")
     repeats = common.settled(repeats.select("one", "two", "first_doc"), f"{label}-repeats")
-    candidates = common.settled(anchored(docs, max(partitions, 1)), f"{label}-anchored")
+    candidates = common.settled(anchored(plain, max(partitions, 1)), f"{label}-anchored")
 
     # The least document that holds a candidate stands for all.
     wanted = candidates.select(F.col("unit").alias("one")).distinct()
     owned = units.join(wanted, "one", "left_semi").groupBy("one", "two").agg(F.min(F.struct("doc", "version", "place")).alias("least"))
     owned = owned.join(candidates.withColumnRenamed("unit", "one"), "one")
     places = owned.groupBy("least.doc", "least.version").agg(F.collect_list(F.struct("least.place", "anchor", "cases")).alias("shared"))
-    sources = docs.select("doc", "version", "text").join(places, ["doc", "version"])
+    sources = plain.join(places, ["doc", "version"])
     # Rows that are equal in id and text give their segments once.
     sources = sources.dropDuplicates(["doc", "version"])
     texts = common.settled(segments(sources), f"{label}-texts")
@@ -580,7 +586,8 @@ def repeated(docs: DataFrame, label: str = "suffixes") -> DataFrame:
     partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts"))).select(*shape)
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_list(F.struct("place", "begin", "size", "starts")).alias("marks"))
     marks = staged(marks, f"{label}-marks")
-    return removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks"))
+    out = removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
+    return out.select("doc_id", "kept", "begins", "ends", "n_bytes", *(f"_others.{c}" for c in others))
 
 
 def removed(docs: DataFrame) -> DataFrame:
@@ -618,9 +625,20 @@ def removed(docs: DataFrame) -> DataFrame:
                 common.lists(begin - offsets[owner], counts, pa.int32()),
                 common.lists(stop - offsets[owner], counts, pa.int32()),
                 pa.array(np.diff(offsets), pa.int64()),
+                batch.column("_others"),
             ]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "begins", "ends", "n_bytes"])
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "begins", "ends", "n_bytes", "_others"])
 
         return kernel
 
-    return common.arrow_map(docs, make, "doc_id long, kept binary, begins array<int>, ends array<int>, n_bytes long", "text")
+    schema = f"doc_id long, kept binary, begins array<int>, ends array<int>, n_bytes long, _others {docs.schema['_others'].dataType.simpleString()}"
+    return common.arrow_map(docs, make, schema, "text")
+
+
+def readable(found: DataFrame) -> DataFrame:
+    """Add text, the kept bytes as characters; what is left of a character that was cut goes too."""
+
+    def decoded(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda x: bytes(x).decode("utf-8", "ignore"))
+
+    return found.withColumn("text", F.pandas_udf(decoded, "string")("kept"))

@@ -299,12 +299,13 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
 _known: dict[int, dict[int, float]] = {}
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """doc_id, score and worst_unit (the unit that decided) of every row of docs."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, score and worst_unit (the unit that decided) of every row of docs, and the columns in others."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *dict.fromkeys(("text", *others)))
     schema = "doc_id long, score double, worst_unit string"
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others)
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("worst_unit"))
+        return docs.select("doc_id", F.lit(0.0).alias("score"), F.lit(None).cast("string").alias("worst_unit"), *others)
 
     def make():
         hash_of = common.SpanHash(17)
@@ -330,8 +331,8 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 for t, lo, hi in zip(text[first], first, np.append(first[1:], len(text))):
                     i = lo + int(value[lo:hi].argmax())
                     decided[t] = shown(symbols[start[i] : end[i]])
-            columns = [batch.column("doc_id"), pa.array(model.score(worst)), pa.array(decided, pa.string())]
-            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "worst_unit"])
+            columns = [batch.column("doc_id"), pa.array(model.score(worst)), pa.array(decided, pa.string()), *(batch.column(c) for c in others)]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "worst_unit", *others])
 
         return kernel
 
