@@ -262,7 +262,7 @@ ORACLE: dict[str, str] = {
     "archived_rows": f"""SELECT {LIST}, TIMESTAMP '{fx.AS_OF}' AS archived_at,
         o_orderdate + INTERVAL 180 DAY AS retention_expires_at, {fx.HOLD_ORDERS} AS legal_hold,
         md5({" || '||' || ".join(f"{c}::varchar" for c in COLUMNS)}) AS checksum,
-        strftime(o_orderdate + INTERVAL 180 DAY, '%Y-%m') AS expiry_month FROM orders""",
+        CAST(year(o_orderdate + INTERVAL 180 DAY) * 12 + month(o_orderdate + INTERVAL 180 DAY) - 1 AS INTEGER) AS expiry_month FROM orders""",
     "normalize_lenient": """SELECT event_id::varchar AS event_id,
         strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id::varchar AS user_id,
         trim(lower(event_type)) AS event_type, format('{:,.5f}', value) AS value,
@@ -367,12 +367,12 @@ ORACLE: dict[str, str] = {
     "blob_readback": f"""{BLOBS}, served AS (SELECT '{FOLDER}' || digest || ext AS key, ext,
             any_value(body) AS body, octet_length(any_value(body))::bigint AS length,
             digest || ext AS name FROM kept WHERE digest IS NOT NULL GROUP BY digest, ext)
-        SELECT key, key AS path, length, CASE WHEN length > 20000 THEN 413 ELSE 200 END AS status,
-            CASE WHEN length <= 20000 THEN CASE ext WHEN '.xml' THEN 'text/xml'
+        SELECT key, key AS path, length, 200 AS status,
+            CASE WHEN true THEN CASE ext WHEN '.xml' THEN 'text/xml'
                 WHEN '.pdf' THEN 'application/pdf' WHEN '.gif' THEN 'image/gif'
                 ELSE 'application/octet-stream' END END AS content_type,
-            CASE WHEN length <= 20000 THEN name END AS file_name,
-            CASE WHEN length <= 20000 THEN base64(body) END AS body FROM served
+            name AS file_name,
+            base64(body) AS body FROM served
         UNION ALL SELECT 'blobs/none/' || sha256(id) || '%2Bx.png', 'blobs/none/' || sha256(id)
             || '+x.png', NULL, 404, NULL, NULL, NULL FROM cells""",
     "object_addresses": """WITH x AS (SELECT page_id,
@@ -428,7 +428,7 @@ ORACLE: dict[str, str] = {
     "archive_condition": f"""SELECT {LIST}, TIMESTAMP '{fx.AS_OF}' AS archived_at,
         o_orderdate + INTERVAL 180 DAY AS retention_expires_at, false AS legal_hold,
         md5({" || '||' || ".join(f"{c}::varchar" for c in COLUMNS)}) AS checksum,
-        strftime(o_orderdate + INTERVAL 180 DAY, '%Y-%m') AS expiry_month FROM orders
+        CAST(year(o_orderdate + INTERVAL 180 DAY) * 12 + month(o_orderdate + INTERVAL 180 DAY) - 1 AS INTEGER) AS expiry_month FROM orders
         WHERE o_orderstatus = 'F' AND o_totalprice > 1000""",
     "archive_validate_report": """WITH t AS (
             SELECT 'SRC_Orders' AS name, count(*) AS n FROM orders WHERE o_orderstatus = 'F'
@@ -455,13 +455,21 @@ ORACLE: dict[str, str] = {
     "purge_survivors": f"WITH {ARCHIVES} SELECT * FROM arc_orders WHERE {KEPT}",
     "purge_survivors_unpartitioned": f"WITH {ARCHIVES} SELECT * FROM arc_orders WHERE {KEPT}",
     "purge_survivors_lineitem": f"""WITH {ARCHIVES}
-        SELECT strftime(retention_expires_at, '%Y-%m') AS expiry_month, legal_hold, count(*) AS n,
+        SELECT CAST(year(retention_expires_at) * 12 + month(retention_expires_at) - 1 AS INTEGER) AS expiry_month, legal_hold, count(*) AS n,
         min(retention_expires_at) AS first_expiry FROM arc_lineitem WHERE {KEPT} GROUP BY ALL""",
+    "purge_far_dates": f"""WITH x AS (
+            SELECT o_orderkey, {fx.HOLD_ORDERS} AS legal_hold, CASE WHEN o_orderkey % 3 = 0
+                THEN TIMESTAMP '9999-12-31' ELSE o_orderdate END + INTERVAL 365 DAY AS t FROM orders
+            UNION ALL SELECT o_orderkey, false, o_orderdate + INTERVAL (8100 * 365) DAY FROM orders),
+        gone AS (SELECT count(*) AS deleted FROM x WHERE t < TIMESTAMP '{fx.AS_OF}' AND NOT legal_hold)
+        SELECT legal_hold, CAST(year(t) AS INTEGER) AS "year", count(*) AS n,
+            sum(o_orderkey)::bigint AS keys, any_value(deleted) AS deleted FROM x, gone
+        WHERE coalesce(NOT (t < TIMESTAMP '{fx.AS_OF}' AND NOT legal_hold), true) GROUP BY 1, 2""",
     "purge_appended": f"""WITH {ARCHIVES}, x AS (
             SELECT a.* FROM arc_orders a WHERE {KEPT}
             UNION ALL SELECT a.* FROM arc_orders a JOIN orders USING (o_orderkey)
             WHERE o_orderstatus = 'F')
-        SELECT strftime(retention_expires_at, '%Y-%m') AS expiry_month, legal_hold, count(*) AS n,
+        SELECT CAST(year(retention_expires_at) * 12 + month(retention_expires_at) - 1 AS INTEGER) AS expiry_month, legal_hold, count(*) AS n,
             sum(o_orderkey)::bigint AS keys FROM x GROUP BY ALL""",
     "saved_purge_plan": f"""{FOUND} SELECT 'a' AS source_name, table_name,
         n AS estimated_rows_to_delete, DATE '{fx.AS_OF}' AS as_of FROM found WHERE n > 0""",

@@ -356,7 +356,7 @@ def blob_readback(spark, sf_dir):
     lost = _blob_source(spark, sf_dir).select(
         F.concat(F.lit("blobs/none/"), F.sha2("id", 256), F.lit("%2Bx.png")).alias("key")
     )
-    found = blob_store.read_blobs(spark, db, links.unionByName(lost), max_bytes=20_000)
+    found = blob_store.read_blobs(spark, db, links.unionByName(lost))
     return found.select("key", "path", "length", "status", "content_type", "file_name", "body")
 
 
@@ -515,6 +515,25 @@ def purge_survivors_unpartitioned(spark, sf_dir):
     return spark.table(f"{db}.flat").select("o_orderkey", "retention_expires_at", "legal_hold")
 
 
+@query
+def purge_far_dates(spark, sf_dir):
+    """Rows that never expire, by a basis or a period of thousands of years, outlive a purge."""
+    db = fx.fresh_database(spark, "far")
+    orders = fx.table(spark, sf_dir, "orders")
+    never = orders.withColumn(
+        "o_orderdate",
+        F.expr("CASE WHEN o_orderkey % 3 = 0 THEN timestamp_ntz'9999-12-31' ELSE o_orderdate END"),
+    )
+    store(archive_rows(never, "1y", F.expr(fx.HOLD_ORDERS), fx.AS_OF, basis="o_orderdate"), f"{db}.orders")
+    ages = archive_rows(orders, "8100y", False, fx.AS_OF, basis="o_orderdate")
+    store(ages, f"{db}.orders", mode="append")
+    deleted = purging.purge_table(spark, f"{db}.orders", fx.AS_OF)
+    kept = spark.table(f"{db}.orders")
+    return kept.groupBy("legal_hold", F.year("retention_expires_at").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.lit(deleted).cast("bigint").alias("deleted")
+    )
+
+
 @query
 def purge_appended(spark, sf_dir):
     """Two runs into one table, a purge, and the first run's orders appended once more."""

@@ -6,14 +6,14 @@ import mimetypes
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Leading bytes (hex) of each file type, tested in this order after JPEG and markup.
-JPEG_MAGIC = "FFD8FF"
+# Leading bytes of each file type, tested in this order after JPEG and markup.
+JPEG_MAGIC = b"\xff\xd8\xff"
 MARKUP_PATTERN = r"^[ \t\n\r\x0B\f]*<"
 MAGIC = {
-    "89504E470D0A1A0A": ".png",
-    "255044462D": ".pdf",
-    "474946383761": ".gif",
-    "474946383961": ".gif",
+    b"\x89PNG\r\n\x1a\n": ".png",
+    b"%PDF-": ".pdf",
+    b"GIF87a": ".gif",
+    b"GIF89a": ".gif",
 }
 DEFAULT_EXTENSION = ".bin"
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
@@ -28,8 +28,8 @@ def binary_columns(df: DataFrame) -> list[str]:
 def sniff_extension(content: Column) -> Column:
     """File extension from the first bytes; any markup counts as .xml."""
 
-    def starts(magic: str) -> Column:
-        return F.startswith(content, F.unhex(F.lit(magic)))
+    def starts(magic: bytes) -> Column:
+        return F.startswith(content, F.lit(magic))
 
     extension = F.when(starts(JPEG_MAGIC), F.lit(".jpg")).when(
         F.decode(content, "ISO-8859-1").rlike(MARKUP_PATTERN), F.lit(".xml")

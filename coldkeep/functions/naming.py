@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Name parts and the pattern that finds a query's first table.
 DATABASE_PREFIX = "archive_"
 QUERY_PREFIX = "query_"
+ADDRESS_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)/*([^?#]*)"
 FIRST_FROM_PATTERN = r"(?i)\bfrom\s+([a-zA-Z0-9_.]+)"
 
 
@@ -19,8 +20,10 @@ def archive_table(schema: Column, table: Column) -> Column:
 
 
 def archive_path(warehouse: Column, connection: Column, schema: Column, table: Column) -> Column:
+    """NULL when a part is unknown: a folder without a root would be a relative one."""
+    slash = F.lit("/")
     root = F.regexp_replace(warehouse, "/+$", "")
-    return F.concat(F.concat_ws("/", root, connection, schema, table), F.lit("/"))
+    return F.concat(root, slash, connection, slash, schema, slash, table, slash)
 
 
 def archive_segment(table: Column, query: Column) -> Column:
@@ -37,13 +40,14 @@ def first_from_table(sql: Column) -> Column:
 
 
 def uri_parts(uri: Column) -> Column:
-    """struct(bucket, key) of an object address."""
-    return F.struct(
-        F.parse_url(uri, F.lit("HOST")).alias("bucket"),
-        F.ltrim(F.parse_url(uri, F.lit("PATH")), F.lit("/")).alias("key"),
-    )
+    """struct(bucket, key) of an object address, whose key may hold any character."""
+    pattern = F.lit(ADDRESS_PATTERN)
+    part = lambda n: F.when(F.rlike(uri, pattern), F.regexp_extract(uri, ADDRESS_PATTERN, n))
+    return F.struct(part(1).alias("bucket"), part(2).alias("key"))
 
 
 def unquote(key: Column) -> Column:
-    """Decode %XX; a plus sign stays a plus sign."""
-    return F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))
+    """Decode %XX; a plus sign stays a plus sign, and so does a percent sign without two digits."""
+    plain = F.replace(key, F.lit("+"), F.lit("%2B"))
+    escaped = F.regexp_replace(plain, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), key)

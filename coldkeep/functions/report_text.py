@@ -75,9 +75,8 @@ def render_summary(df: DataFrame) -> DataFrame:
     rows = F.concat(
         F.format_string("Mismatched checksums: %d rows (", "mismatch_count"),
         F.col("mismatch_percent").cast("string"),
-        F.lit("%). Records: ["),
-        F.concat_ws(", ", "sample_records"),
-        F.lit("]"),
+        F.lit("%). Records: "),
+        F.col("records_at"),
     )
     return df.withColumns(
         {

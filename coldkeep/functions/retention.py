@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A period is a number and one of these units, in days.
 PERIOD_PATTERN = r"^(\d+)([dDmMyY])$"
 UNIT_DAYS = {"d": 1, "m": 30, "y": 365}
+# Columns that archiving adds; a source must not have them, in any case of letters.
+STAMPS = ("archived_at", "retention_expires_at", "legal_hold", "checksum", "expiry_month")
 
 
 def retention_days(text: Column) -> Column:
@@ -46,6 +48,9 @@ def stamp_retention(
     archived = as_timestamp(as_of)
     start = archived if basis is None else (F.col(basis) if isinstance(basis, str) else basis)
     hold = legal_hold if isinstance(legal_hold, Column) else F.lit(legal_hold)
+    taken = {c.lower() for c in df.columns} & {c.lower() for c in STAMPS}
+    if taken:
+        raise ValueError(f"source columns have the names of archive columns: {sorted(taken)}")
     return df.withColumns(
         {
             "archived_at": archived,
@@ -56,7 +61,8 @@ def stamp_retention(
 
 
 def expiry_month(expires: Column) -> Column:
-    return F.date_format(expires, "yyyy-MM")
+    """Months since year 0 as a number: compares rightly for years of any length."""
+    return F.year(expires) * 12 + F.month(expires) - 1
 
 
 def expired(as_of: datetime | date | str) -> Column:

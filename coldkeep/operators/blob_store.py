@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import threading
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,13 +23,18 @@ from coldkeep.session import staged
 BLOB_TABLE = "blob_objects"
 BUCKET_BYTES = 256 * 1024 * 1024
 HOT_COPIES = 10_000
-HOT_KEYS = 10_000  # beyond them no content holds more than a ten-thousandth of all cells
+HOT_SHARE = 10_000  # a hot content holds more than this part of all cells
 SALTS = 64
-GATEWAY_LIMIT = 6 * 1024 * 1024  # largest file a download hands out
+
+# One writer at a time adds to the store of a database; the jobs themselves use the whole cluster.
+_WRITERS: dict[str, threading.Lock] = defaultdict(threading.Lock)
 
 
 def extract_blobs(df: DataFrame, root: str, db: str, schema: str, segment: str) -> DataFrame:
     """All columns, then one link per binary column. Links depend on the content alone."""
+    taken = {c.lower() for c in df.columns} & {f"{c}{LINK_SUFFIX}".lower() for c in binary_columns(df)}
+    if taken:
+        raise ValueError(f"source columns have the names of link columns: {sorted(taken)}")
     links = [
         blob_link(F.lit(blob_folder(root, db, schema, segment, c)), F.col(f"`{c}`")).alias(
             f"{c}{LINK_SUFFIX}"
@@ -65,10 +72,15 @@ def blob_digests(df: DataFrame) -> DataFrame:
 
 
 def hot_digests(digests: DataFrame) -> DataFrame:
-    """Contents with very many copies: at most HOT_KEYS, the most frequent first."""
+    """Contents with more than HOT_COPIES copies and a 1 / HOT_SHARE part of all cells.
+
+    There are fewer than HOT_SHARE of them by the second condition. The set is staged, so that all
+    who use it see the same one.
+    """
     counts = digests.groupBy("sha256").agg(F.count(F.lit(1)).alias("copies"))
-    hot = counts.filter(F.col("copies") > HOT_COPIES).orderBy(F.desc("copies")).limit(HOT_KEYS)
-    return hot.select("sha256")
+    counts = staged(counts.filter(F.col("copies") > HOT_COPIES), "digests")
+    total = digests.count() if counts.take(1) else 0
+    return counts.filter(F.col("copies") * HOT_SHARE > total).select("sha256")
 
 
 def distinct_blobs(cells: DataFrame, hot: DataFrame, buckets: int) -> DataFrame:
@@ -78,7 +90,7 @@ def distinct_blobs(cells: DataFrame, hot: DataFrame, buckets: int) -> DataFrame:
     that a third of all rows hold does not send its bytes to one task from everywhere. All other
     contents have few copies and are shuffled once.
     """
-    hot = F.broadcast(hot)  # bounded: at most HOT_KEYS digests
+    hot = F.broadcast(hot)  # bounded: fewer than HOT_SHARE digests
     cold = cells.join(hot, "sha256", "left_anti")
     salted = cells.join(hot, "sha256", "left_semi").withColumn(
         "salt", F.pmod(F.spark_partition_id(), F.lit(SALTS))
@@ -94,20 +106,30 @@ def write_blobs(linked: DataFrame, db: str, size_in_bytes: int | None = None) ->
     """Add the contents a linked table refers to and the store lacks; returns how many.
 
     The store is bucketed by digest: adding and reading back join it in place. Doing it twice
-    adds nothing. `size_in_bytes` sets the number of buckets of a new store; without it the cells
-    are measured.
+    adds nothing, and moves no bytes. Writers of one store wait for each other. `size_in_bytes`
+    sets the number of buckets of a new store; without it the cells are measured. A store has one
+    bucket for each shuffle partition at least, however small its first table is.
     """
-    spark, name = linked.sparkSession, f"{db}.{BLOB_TABLE}"
     if not binary_columns(linked):
         return 0
+    with _WRITERS[db.lower()]:
+        return _write_blobs(linked, f"{db}.{BLOB_TABLE}", size_in_bytes)
+
+
+def _write_blobs(linked: DataFrame, name: str, size_in_bytes: int | None) -> int:
+    spark = linked.sparkSession
     cells = blob_cells(linked)
     held = spark.table(name) if spark.catalog.tableExists(name) else None
     if held is not None:
+        lacking = blob_digests(linked).distinct().join(held.select("sha256"), "sha256", "left_anti")
+        if lacking.isEmpty():
+            return 0
         buckets, before = _buckets_of(spark, name), held.count()
     else:
         if size_in_bytes is None:
             size_in_bytes = cells.agg(F.sum("length")).head()[0] or 0
-        buckets, before = max(1, math.ceil(size_in_bytes / BUCKET_BYTES)), 0
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets, before = max(least, math.ceil(size_in_bytes / BUCKET_BYTES)), 0
     new = distinct_blobs(cells, hot_digests(blob_digests(linked)), buckets)
     if held is not None:
         # Both sides are partitioned alike: the bytes are not shuffled again.
@@ -140,9 +162,16 @@ def _put_files(batches):
     import pyarrow as pa
     from pyarrow import fs
 
+    stores = {}  # one client for each scheme and host
     for batch in batches:
         for link, content in zip(batch["link"].to_pylist(), batch["content"]):
-            store, path = fs.FileSystem.from_uri(link)
+            root, _, rest = link.partition("://")
+            host, _, key = rest.partition("/")
+            if (root, host) not in stores:
+                store, path = fs.FileSystem.from_uri(link)
+                stores[root, host] = store, path.removesuffix(key)
+            store, folder = stores[root, host]
+            path = folder + key
             if isinstance(store, fs.LocalFileSystem):
                 store.create_dir(path.rsplit("/", 1)[0], recursive=True)
             with store.open_output_stream(path) as out:
@@ -166,7 +195,7 @@ def blob_status(keys: DataFrame, blobs: DataFrame, max_bytes: int | None = None)
     blobs = blobs.select("sha256", "ext", "length", "content")
 
     asked = wanted.filter("sha256 IS NOT NULL")
-    hot = F.broadcast(hot_digests(asked.select("sha256")))  # bounded: at most HOT_KEYS digests
+    hot = F.broadcast(hot_digests(asked.select("sha256")))  # bounded: fewer than HOT_SHARE digests
     plain = asked.join(hot, "sha256", "left_anti").join(blobs, "sha256", "left")
     pieces = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     spread = (
@@ -192,7 +221,7 @@ def blob_status(keys: DataFrame, blobs: DataFrame, max_bytes: int | None = None)
 
 
 def read_blobs(
-    spark: SparkSession, db: str, keys: DataFrame, max_bytes: int | None = GATEWAY_LIMIT
+    spark: SparkSession, db: str, keys: DataFrame, max_bytes: int | None = None
 ) -> DataFrame:
     """Download envelopes for the requested keys."""
     found = blob_status(keys, spark.table(f"{db}.{BLOB_TABLE}"), max_bytes)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -21,7 +22,7 @@ from coldkeep.sinks.tables import (
     table_folder,
     write_archive,
 )
-from coldkeep.sources.connections import Connection
+from coldkeep.sources.connections import Connection, connection_of
 from coldkeep.sources.tables import read_source
 
 PARTITIONS = ("expiry_month", "legal_hold")
@@ -95,17 +96,23 @@ RUN = f"{JOB}, rows bigint, blobs bigint, error string"
 def archive_many(
     spark: SparkSession,
     plan: DataFrame,
-    conn: Connection,
+    conn: Connection | Mapping[str, Connection],
     as_of: datetime | date | str,
     max_parallel: int = 2,
     **options,
 ) -> DataFrame:
-    """Archive every row of a plan, a few at a time; one run row each, failures included."""
+    """Archive every row of a plan, a few at a time; one run row each, failures included.
+
+    Each row is read from the connection it names. A row that its plan refuses fails with the reason.
+    """
 
     def run(item: Row) -> tuple:
         started = datetime.now(timezone.utc)
         try:
-            done = archive(spark, item, conn, as_of, **options)
+            refused = item.asDict().get("refused")
+            if refused:
+                raise ValueError(f"refused by the plan: {refused}")
+            done = archive(spark, item, connection_of(conn, item["connection"]), as_of, **options)
             status, row = "SUCCEEDED", (done.rows, done.blobs, None)
         except Exception as error:
             status, row = "FAILED", (None, None, str(error))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from coldkeep.functions.naming import archive_db, archive_path, archive_segment, archive_table
-from coldkeep.operators.rules import match_rules, query_rules, rule_sources
+from coldkeep.operators.rules import match_rules, query_rules, rule_sources, target_collisions
 
 PLAN_COLUMNS = (
     "source_name",
@@ -35,6 +35,29 @@ def plan(rules: DataFrame, catalogue: DataFrame) -> DataFrame:
     return enrich(matched.unionByName(queries))
 
 
+def gated(items: DataFrame, violations: DataFrame | None = None) -> DataFrame:
+    """Add `refused`, the reasons why a row of the plan must not be carried out, NULL without any.
+
+    A row is refused if its document breaks any rule (rows of `violations` with a `rule`), if
+    something it needs is unknown, or if another row writes the same table.
+    """
+    taken = target_collisions(items).select(
+        F.col("target_db").alias("_db"), F.col("target_table").alias("_table"), F.col("rule").alias("_taken")
+    )
+    lower = F.lower("target_table")
+    same = F.col("target_db").eqNullSafe(F.col("_db")) & lower.eqNullSafe(F.col("_table"))
+    reasons = [F.col("_taken")]
+    for needed in ("connection", "target_path", "retention_policy_value", "legal_hold"):
+        reasons.append(F.when(F.col(needed).isNull(), F.lit(f"unknown_{needed}")))
+    # One row: the distinct broken rules, of which there is a fixed number.
+    if violations is not None:
+        broken = violations.select("rule").distinct().orderBy("rule").collect()
+        reasons += [F.lit(r["rule"]) for r in broken]
+    text = F.concat_ws(", ", *reasons)
+    joined = items.join(taken, same, "left").withColumn("refused", F.when(text != "", text))
+    return joined.select(*items.columns, "refused")
+
+
 def enrich(items: DataFrame) -> DataFrame:
     """Look up connection, warehouse and retention value, and name the target."""
     name = F.coalesce("target_table", archive_table(F.col("schema"), F.col("table")))

@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from coldkeep.functions.naming import archive_db
-from coldkeep.functions.retention import expired, expired_filter
+from coldkeep.functions.retention import as_timestamp, expired, expired_filter
 from coldkeep.session import in_parallel
 from coldkeep.sinks.documents import write_purge_plan
 from coldkeep.sinks.tables import (
@@ -85,9 +85,25 @@ def discovery_summary(discovery: DataFrame) -> DataFrame:
     )
 
 
-def purge_table(spark: SparkSession, name: str, as_of: date | str) -> int:
-    """Delete rows of one table that are past retention and not held; returns how many."""
+class MoreThanPlanned(ValueError):
+    """A purge would delete more rows than its plan found."""
+
+
+def _allow(n: int, at_most: int | None) -> None:
+    if at_most is not None and n > at_most:
+        raise MoreThanPlanned(f"{n} rows would be deleted, the plan found {at_most}; discover again")
+
+
+def purge_table(
+    spark: SparkSession, name: str, as_of: date | str, at_most: int | None = None
+) -> int:
+    """Delete rows of one table that are past retention and not held; returns how many.
+
+    Nothing is changed if that were more than `at_most` rows.
+    """
     day = date.fromisoformat(str(as_of)[:10])
+    if at_most is not None:
+        _allow(expired_count(spark, name, day), at_most)
     if is_row_level(spark, name):
         before = spark.table(name).count()
         spark.sql(
@@ -96,7 +112,7 @@ def purge_table(spark: SparkSession, name: str, as_of: date | str) -> int:
         )
         return before - spark.table(name).count()
     if set(partition_columns(spark, name)) == {"expiry_month", "legal_hold"}:
-        return _purge_partitions(spark, name, day)
+        return _purge_partitions(spark, name, day, at_most)
     if not expired_count(spark, name, day):
         return 0
     before = spark.table(name).count()
@@ -107,47 +123,63 @@ def purge_table(spark: SparkSession, name: str, as_of: date | str) -> int:
     return before - kept
 
 
-def _purge_partitions(spark: SparkSession, name: str, day: date) -> int:
+def _purge_partitions(spark: SparkSession, name: str, day: date, at_most: int | None) -> int:
     """Drop unheld partitions of months gone by; rewrite the month that the limit cuts through.
 
-    All rows of an earlier month are expired, so they are dropped unread. Held partitions and later
-    months are not touched. The catalog is changed in two steps, one for the dropped partitions and
+    A partition is dropped only if its latest expiry lies before the limit, whatever month its name
+    says, and if no expiry in it is unknown; this reads one column. Any other partition up to the
+    limit's month is rewritten. Held partitions and later months are not touched. The catalog is changed in two steps, one for the dropped partitions and
     one for the rewritten one: a run cut short can simply be repeated.
     """
-    limit = f"{day:%Y-%m}"
+    limit = day.year * 12 + day.month - 1
+    midnight = as_timestamp(day)
     free = spark.table(name).filter((F.col("expiry_month") <= limit) & ~F.col("legal_hold"))
-    # One row per month, counted from the Parquet footers.
-    sizes = {r[0]: r[1] for r in free.groupBy("expiry_month").count().collect()}
-    deleted = sum(n for month, n in sizes.items() if month < limit)
-    gone = [_free_partition(month) for month in sizes if month < limit]
+    expires = F.col("retention_expires_at")
+    # One row per month.
+    months = free.groupBy("expiry_month").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.coalesce(expires < midnight, F.lit(False))).alias("past"),
+    )
+    months = {r["expiry_month"]: r for r in months.collect()}
+    _allow(sum(r["past"] for r in months.values()), at_most)
+    gone = [month for month, r in months.items() if r["past"] == r["rows"]]
+    cut = [month for month, r in months.items() if 0 < r["past"] < r["rows"]]
+    deleted = sum(months[month]["rows"] for month in gone)
     if gone:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone)}")
-
-    cut = free.filter(F.col("expiry_month") == limit)
-    if limit in sizes and not cut.filter(expired_filter(day, cut.columns)).isEmpty():
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(_free_partition, gone))}")
+    for month in cut:
         folder = f"{table_folder(spark, name)}/{uuid.uuid4().hex}"
-        kept = cut.filter(~expired(day)).drop("expiry_month", "legal_hold")
+        rows = free.filter(F.col("expiry_month") == month)
+        kept = rows.filter(~expired(day)).drop("expiry_month", "legal_hold")
         kept.write.parquet(folder)
-        deleted += sizes[limit] - spark.read.schema(kept.schema).parquet(folder).count()
-        spark.sql(f"ALTER TABLE {name} {_free_partition(limit)} SET LOCATION '{folder}'")
+        deleted += months[month]["rows"] - spark.read.schema(kept.schema).parquet(folder).count()
+        spark.sql(f"ALTER TABLE {name} {_free_partition(month)} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(name)
     return deleted
 
 
-def _free_partition(month: str) -> str:
-    return f"PARTITION (`expiry_month`='{month}', `legal_hold`=false)"
+def _free_partition(month: int) -> str:
+    return f"PARTITION (`expiry_month`={month}, `legal_hold`=false)"
 
 
-def purge_many(spark: SparkSession, plan: DataFrame, max_parallel: int = 5) -> DataFrame:
+def purge_many(
+    spark: SparkSession, plan: DataFrame, max_parallel: int = 5, within_plan: bool = False
+) -> DataFrame:
     """Purge the tables of a saved plan, several at a time, with the plan's own `as_of`.
 
-    A failing table yields a row with its error; the others go on.
+    A failing table yields a row with its error; the others go on. `within_plan` fails a table,
+    unchanged, if more rows would go than the plan found.
     """
 
     def purge(item: Row) -> tuple:
         name = f"{item['database']}.{item['table_name']}"
         try:
-            deleted = purge_table(spark, name, item["as_of"])
+            deleted = purge_table(
+                spark,
+                name,
+                item["as_of"],
+                at_most=item["estimated_rows_to_delete"] if within_plan else None,
+            )
             left = expired_count(spark, name, item["as_of"])
             row = ("success", item["estimated_rows_to_delete"], deleted, left, None)
         except Exception as error:
@@ -180,7 +212,8 @@ def run(spark: SparkSession, mode: str, db: str, source_name: str, path: str, **
         write_purge_plan(purge_plan(found, source_name), path)
         return found
     if mode == "delete":
-        return purge_many(spark, read_purge_plan(spark, path, source_name), **options)
+        saved = read_purge_plan(spark, path, source_name)
+        return purge_many(spark, saved, within_plan=True, **options)
     raise ValueError(f"unknown mode: {mode!r}")
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from coldkeep.functions.blobs import LINK_SUFFIX, binary_columns
 from coldkeep.functions.checksums import METADATA_COLUMNS
 from coldkeep.functions.normalize import normalize_names
 from coldkeep.functions.report_text import (
@@ -24,10 +25,9 @@ from coldkeep.operators import compare
 from coldkeep.plans.report import JOB, VALIDATE_JOB, job_args
 from coldkeep.session import in_parallel, staged
 from coldkeep.sinks.documents import write_summary
-from coldkeep.sources.connections import Connection
+from coldkeep.sources.connections import Connection, connection_of
 from coldkeep.sources.tables import read_source
 
-SAMPLE_RECORDS = 100
 NUMBERS = {
     "validation_report": "string",
     "result": "string",
@@ -40,7 +40,7 @@ NUMBERS = {
     "source_columns": "array<string>",
     "target_columns": "array<string>",
     "checksums": "array<struct<column: string, source: string, target: string>>",
-    "sample_records": "array<string>",
+    "records_at": "string",
 }
 
 
@@ -62,15 +62,18 @@ def validate(
     source_table: str = "source",
     target_table: str = "target",
     buckets: int = compare.BUCKETS,
+    records_at: str | None = None,
 ) -> Validation:
     """Compare a source with its archive.
 
     Each side is read once, whatever the number of columns; only buckets of rows that differ are
     read a second time. Counts and checksums live in a small staged table that all checks share.
+    The summary names the place of the differing rows, `records_at`, and holds none of them.
     """
     spark = src.sparkSession
     src, tgt = normalize_names(src), normalize_names(tgt)
-    links = [c for c in tgt.columns if c.endswith("_s3_path") and c not in src.columns]
+    # One link for each binary column of the source; any other extra column is a difference.
+    links = [f"{c}{LINK_SUFFIX}" for c in binary_columns(src)]
     common, src_only, tgt_only = compare.compare_columns(src, tgt, [*metadata_cols, *links])
     src, tgt = (df.select(*[f"`{c}`" for c in common]) for df in (src, tgt))
 
@@ -94,7 +97,7 @@ def validate(
             _row(
                 ROW_REPORT,
                 compare.row_check(diff, counts["source_count"]).head().asDict()
-                | {"sample_records": _sample(records, mismatched or common)},
+                | {"records_at": records_at or "Validation.rows"},
             ),
             _row(
                 COLUMN_REPORT,
@@ -122,13 +125,6 @@ def _row(report: str, numbers: dict) -> tuple:
     return tuple({**numbers, "validation_report": report}.get(n) for n in NUMBERS)
 
 
-def _sample(records: DataFrame, shown: Sequence[str]) -> list[str]:
-    """Some differing rows as text, for the remarks."""
-    record = F.struct(*[F.col("record")[c].alias(c) for c in shown]).alias("record")
-    texts = F.to_json(F.struct("side", "copies", record, "row_checksum"))
-    return [r[0] for r in records.limit(SAMPLE_RECORDS).select(texts).collect()]
-
-
 def verdict(summary: DataFrame) -> DataFrame:
     """One row per archived table: did all of its checks pass?"""
     return summary.groupBy("source_table", "target_table").agg(
@@ -146,12 +142,20 @@ def validate_archive(
     source_table: str = "source",
     target_table: str | None = None,
     stage_source: bool = False,
+    condition: str | None = None,
+    records_at: str | None = None,
 ) -> Validation:
-    """Validate a table of the archive; `stage_source` reads a remote database only once."""
+    """Validate a table of the archive; `stage_source` reads a remote database only once.
+
+    With the condition of the source only the archive's rows that meet it are compared: an archive
+    that was appended to holds rows of other conditions as well.
+    """
     src = staged(source, "source") if stage_source else source
+    archived = spark.table(archive_name)
     return validate(
         src,
-        spark.table(archive_name),
+        archived.filter(condition) if condition else archived,
+        records_at=records_at,
         key=key,
         mode=mode,
         source_table=source_table,
@@ -165,14 +169,15 @@ RUN = f"{JOB}, error string"
 def validate_many(
     spark: SparkSession,
     plan: DataFrame,
-    conn: Connection,
+    conn: Connection | Mapping[str, Connection],
     report_root: str,
     max_parallel: int = 2,
     **options,
 ) -> DataFrame:
     """Validate every row of an archived plan; one run row each.
 
-    Saves the summary and, as the text holds only a sample, all differing rows. A query is run on the source again and compared with its archived result.
+    Saves the summary, all differing rows and their mismatched pairs. A query is run on the source
+    again and compared with its archived result. Each row is read from the connection it names.
     """
 
     def run(item: Row) -> tuple:
@@ -181,21 +186,25 @@ def validate_many(
         target = f"{p['target_db']}.{p['target_table']}"
         table = f"{p['source_schema']}.{p['source_table']}" if p["source_table"] else None
         try:
+            of_row = connection_of(conn, p["connection"])
             source = read_source(
-                spark, conn, table=table, query=p["query"], condition=p["condition"]
+                spark, of_row, table=table, query=p["query"], condition=p["condition"]
             )
+            folder = f"{report_root.rstrip('/')}/{p['target_db']}/{p['target_table']}"
             result = validate_archive(
                 spark,
                 source,
                 target.lower(),
                 source_table=table or p["source_schema"],
                 target_table=target,
-                stage_source=conn.kind != "catalog",
+                stage_source=of_row.kind != "catalog",
+                condition=p["condition"] if not p["query"] else None,
+                records_at=f"{folder}/mismatch_records",
                 **options,
             )
-            folder = f"{report_root.rstrip('/')}/{p['target_db']}/{p['target_table']}"
             write_summary(result.summary, f"{folder}/validation_summary")
             result.rows.write.mode("overwrite").parquet(f"{folder}/mismatch_records")
+            result.pairs.write.mode("overwrite").parquet(f"{folder}/mismatch_pairs")
             status, error = "SUCCEEDED", None
         except Exception as failure:
             status, error = "FAILED", str(failure)

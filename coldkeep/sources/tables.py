@@ -76,14 +76,25 @@ def _bounds(reader, dbtable: str, column: str) -> tuple:
     return str(row[0]) if row[0] is not None else None, str(row[1])
 
 
-def source_catalogue(spark: SparkSession, conn: Connection, schemas: Sequence[str]) -> DataFrame:
-    """(schema, table) for the base tables of the given schemas, schemas spelled as given."""
+def source_catalogue(
+    spark: SparkSession, conn: Connection, schemas: Sequence[str], connection: str | None = None
+) -> DataFrame:
+    """(schema, table) for the base tables of the given schemas, schemas spelled as given.
+
+    With `connection`, the name that the rules document gives the connection, this is a column too:
+    where several connections are listed, schemas of one name must not be mixed up.
+    """
+    listed = _catalogue(spark, conn, schemas).select("schema", "table")
+    return listed.withColumn("connection", F.lit(connection)) if connection else listed
+
+
+def _catalogue(spark: SparkSession, conn: Connection, schemas: Sequence[str]) -> DataFrame:
     if conn.kind == "catalog":
-        found = None
+        found = spark.createDataFrame([], "schema string, table string")
         for schema in schemas:
             tables = spark.sql(f"SHOW TABLES IN {schema}").filter(~F.col("isTemporary"))
             tables = tables.select(F.lit(schema).alias("schema"), F.col("tableName").alias("table"))
-            found = tables if found is None else found.unionByName(tables)
+            found = found.unionByName(tables)
         return found
     if conn.kind == "postgres":
         return read_source(spark, conn, query=POSTGRES_CATALOGUE.format(schemas=_quoted(schemas)))
