@@ -73,41 +73,42 @@ class Memory:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int32)
         self.flat = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.starts = np.zeros(1, np.int64)
 
-    def _add(self, keys: list[int], words: list[bytes]) -> None:
+    def _add(self, keys: np.ndarray, words: list[bytes]) -> None:
         learnt = self.learn(words)
+        used, first = int(self.starts[-1]), len(self.keys)
         sizes = np.array([len(x) for x in learnt], np.int64)
-        first, need = len(self.index), self.used + int(sizes.sum())
+        need = used + int(sizes.sum())
         if need > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * need)
-        if first + len(keys) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (first + len(keys) + 1))
-        self.flat[self.used : need] = np.concatenate(learnt)
-        self.starts[first] = self.used
-        self.starts[first + 1 : first + 1 + len(keys)] = self.used + np.cumsum(sizes)
-        self.index.update(zip(keys, range(first, first + len(keys))))
-        self.used = need
+            self.flat = np.concatenate([self.flat[:used], np.zeros(need + need // 2 - used, np.int32)])
+        self.flat[used:need] = np.concatenate(learnt)
+        self.starts = np.concatenate([self.starts, used + np.cumsum(sizes)])
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.places = np.insert(self.places, at, first + np.arange(len(keys), dtype=np.int32))
+
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words in order, and the number of ids of each word."""
         if not len(hashes):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        if len(self.index) + len(keys) > self.limit:
+        if len(self.keys) + len(keys) > self.limit:
             self.clear()
-        found = [self.index.get(k, -1) for k in keys]
-        new = [i for i, x in enumerate(found) if x < 0]
-        if new:
-            at = where[new]
+        at, known = self._known(keys)
+        if not known.all():
+            new = where[~known]
             raw = data.tobytes()
-            self._add([keys[i] for i in new], [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
-            found = [self.index[k] for k in keys]
-        place = np.array(found, np.int64)[inverse]
+            self._add(keys[~known], [raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())])
+            at, _ = self._known(keys)
+        place = self.places[at][inverse]
         first = self.starts[place]
         sizes = self.starts[place + 1] - first
         before = np.cumsum(sizes) - sizes

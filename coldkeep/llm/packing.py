@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from coldkeep.llm import common
 from coldkeep.llm.bpe import Memory, Merges
-from coldkeep.session import staged
+from coldkeep.llm.common import staged
 
 SEQUENCE = 2048
 END_ID = 1
 #: Words whose ids a worker remembers; it starts anew when the memory is full.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 #: Lower-case letters of Latin-1, then signs: two runs of the tokenizer's own rule.
 PLAIN = re.compile("([a-zß-öø-ÿ]{1,24})([!-&(-/:-@[-`{-~]{1,6})?")
 #: A length's pieces are ranked in so many parts.

@@ -29,7 +29,7 @@ from coldkeep.llm import common
 from coldkeep.llm.bpe import Memory, Merges
 
 #: Runs whose pieces a worker remembers; it starts anew when the memory is full.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 SPACE = "▁"
 #: Longer runs are left to the library.
 LONGEST_RUN = 40
