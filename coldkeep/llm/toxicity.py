@@ -33,12 +33,12 @@ from coldkeep.llm import common
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
 #: The training sample: so many labelled documents of each kind at most, none longer than this.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARACTERS = 2000, 4000, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARACTERS = 1200, 2400, 20_000
 LANDMARKS = 256
 ROUNDS = 4
 THRESHOLD = 0.7
 #: Units whose values a worker remembers; it starts anew when the memory is full.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 START, END, ACUTE, GRAVE, OTHER_ACCENT = 27, 28, 29, 30, 31
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), ORDER - 1)]
