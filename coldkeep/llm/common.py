@@ -11,10 +11,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.session import staged
+from coldkeep.session import scratch_path
+from coldkeep.sinks.tables import remove_folder
 
 #: Text bytes that a task turns into numpy arrays at once; one longer document is taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Rows of an Arrow batch: bounds what a Python worker holds of very long texts.
 ARROW_ROWS = "512"
 
@@ -31,13 +32,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
+_staged: list[str] = []
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back; `clear` removes it unless it is to be kept."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    if not keep:
+        _staged.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what operators have staged so far; results that still read it must be written by then."""
+    while _staged:
+        remove_folder(spark, _staged.pop())
+    release(spark)
+
+
+def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Stage a result in the shared folder, then let Spark drop the shuffles that made it.
 
     Shuffle files go when their plan is collected as garbage; asking for that between the steps of
     a long operator keeps the disk to the largest step instead of the sum of all.
     """
-    out = staged(df, label)
+    out = staged(df, label, keep)
     release(df.sparkSession)
     return out
 
@@ -114,12 +134,19 @@ class SpanHash:
             step[0] = back[0] = 1
             self.powers, self.inverses = np.cumprod(step), np.cumprod(back)
 
-    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Prefix sums of the bytes, which serve all spans of them."""
         self._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.codes[data] * self.powers[: len(data)], out=sums[1:])
+        return sums
+
+    def spans(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix64((sums[end] - sums[start]) * self.inverses[start] + (end - start).astype(np.uint64))
 
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self.spans(self.sums(data), start, end)
+
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.zeros(len(counts) + 1, np.int32)
@@ -163,12 +190,14 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, text: str) -> DataFrame:
+def arrow_map(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, text: str, size: int = SLICE_BYTES
+) -> DataFrame:
     """`mapInArrow` over slices of bounded text; `make` builds the kernel once in each worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make()
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, size):
             yield kernel(batch)
 
     return df.mapInArrow(run, schema)

@@ -31,25 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldkeep.llm import common
-from coldkeep.session import staged
+from coldkeep.llm.common import staged
 
 WINDOW = 50
 #: Bytes of the parts whose least hash is a window's anchor.
 PART = 16
-UNIT_BITS, LONGEST_UNIT = 6, 512
+UNIT_BITS, LONGEST_UNIT = 8, 1024
 #: Units a task remembers to have sent anchors of.
 REMEMBERED = 500_000
 #: Bytes that a bucket of a sort holds on average.
 BUCKET_BYTES = 24 << 20
 SPLIT_SAMPLE = 200_000
 LAST = (1 << 63) - 1
+#: Bytes that a task turns into arrays at once.
+SLICE = 1 << 20
 
 TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
 NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
 SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4")])
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
 #: A window that holds a part of PART bytes at its x-th byte belongs to one of CASES ranges of x.
-CASES = 6
+CASES = 2
 PLACES = WINDOW - PART + 1
 CASE = np.arange(PLACES) * CASES // PLACES
 EXACT = np.arange(PLACES)
@@ -66,10 +68,7 @@ class Cutter:
 
     def part_hashes(self, data: np.ndarray) -> np.ndarray:
         """Hash of the PART bytes from each place on."""
-        h = self.parts
-        h._grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(h.codes[data] * h.powers[: len(data)], out=sums[1:])
+        h, sums = self.parts, self.parts.sums(data)
         n = len(data) - PART + 1
         return common.mix64((sums[PART:] - sums[:n]) * h.inverses[:n])
 
@@ -123,7 +122,7 @@ def units_of(docs: DataFrame) -> DataFrame:
 
         return kernel
 
-    return common.arrow_map(docs, make, "doc long, version long, place int, one long, two long", "text")
+    return common.arrow_map(docs, make, "doc long, version long, place int, one long, two long", "text", SLICE)
 
 
 def packed(bucket: np.ndarray, records: np.ndarray, mark: bytes = b"") -> pa.RecordBatch:
@@ -173,10 +172,10 @@ def least_hashes(hashes: np.ndarray) -> np.ndarray:
 
 
 def periodic(hashes: np.ndarray) -> np.ndarray:
-    """True where a part's hash occurs again within a window."""
-    out = np.zeros(len(hashes), bool)
+    """True where a part's hash occurs again within a window, going by 32 of its bits."""
+    out, low = np.zeros(len(hashes), bool), hashes.astype(np.uint32)
     for shift in range(1, WINDOW - PART + 2):
-        again = np.flatnonzero(hashes[:-shift] == hashes[shift:])
+        again = np.flatnonzero(low[:-shift] == low[shift:])
         out[again] = True
         out[again + shift] = True
     return out
@@ -200,10 +199,10 @@ def sides_of(data: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.S
     """
     out = np.zeros((len(part), cases[-1] + 1), np.uint16)
     known = ~odd[part]
-    place = part[known]
+    place, sums = part[known], side.sums(data)
     for case in range(cases[-1] + 1):
         x = np.flatnonzero(cases == case)
-        h = side(data, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(data)))
+        h = side.spans(sums, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(data)))
         out[known, case] = (h >> common.U64(48)) | common.U64(1)
     return out
 
@@ -259,7 +258,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, sent, side = Cutter(), set(), common.SpanHash(73)
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE):
             data, offsets = common.utf8(batch.column("text"))
             text, start, end, hashes = cutter(data, offsets)
             if not len(text):
@@ -340,7 +339,7 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, side = Cutter(), common.SpanHash(79)
-        for batch in common.slices(batches, "data"):
+        for batch in common.slices(batches, "data", SLICE):
             data, offsets = binaries(batch.column("data"))
             hashes = cutter.part_hashes(data)
             least, odd = least_hashes(hashes), periodic(hashes)
@@ -362,7 +361,7 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter()
-        for batch in common.slices(batches, "data"):
+        for batch in common.slices(batches, "data", SLICE):
             data, offsets = binaries(batch.column("data"))
             shared = batch.column("shared")
             unit = np.repeat(np.arange(batch.num_rows), np.diff(shared.offsets.to_numpy()))
@@ -408,7 +407,7 @@ def segments(docs: DataFrame) -> DataFrame:
 
         return kernel
 
-    rows = common.arrow_map(docs, make, "doc long, version long, begin long, data binary", "text")
+    rows = common.arrow_map(docs, make, "doc long, version long, begin long, data binary", "text", SLICE)
     return rows.withColumn("unit", F.xxhash64("doc", "version", "begin"))
 
 
@@ -449,7 +448,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     buckets = max(1, -(-total * TRIPLE.itemsize // BUCKET_BYTES))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "data"):
+        for batch in common.slices(batches, "data", SLICE):
             records = triples(batch)
             keep = common.mix64(records["unit"].view(np.uint64) + records["at"]) % common.U64(max(1, total)) < SPLIT_SAMPLE
             yield pa.RecordBatch.from_arrays([pa.array(prefix(records)[keep].tolist(), pa.binary())], names=["key"])
@@ -458,7 +457,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     splits = np.array([drawn[i * len(drawn) // buckets] for i in range(1, buckets)] if drawn else [], "S16")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "data"):
+        for batch in common.slices(batches, "data", SLICE):
             records = triples(batch)
             yield packed(np.searchsorted(splits, prefix(records), side="right").astype(np.int32), records)
 
@@ -632,7 +631,7 @@ def removed(docs: DataFrame) -> DataFrame:
         return kernel
 
     schema = f"doc_id long, kept binary, begins array<int>, ends array<int>, n_bytes long, _others {docs.schema['_others'].dataType.simpleString()}"
-    return common.arrow_map(docs, make, schema, "text")
+    return common.arrow_map(docs, make, schema, "text", SLICE)
 
 
 def readable(found: DataFrame) -> DataFrame:
