@@ -124,4 +124,22 @@ ORACLE = {
         SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM sizes JOIN lowest ON a = doc_id
     """,
+    "op9_nn_descent": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        good AS (
+            SELECT vec_id, e FROM vectors
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND list_sum(list_transform(e, lambda x: abs(x))) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM vectors
+            UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+        lowest AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM vectors JOIN lowest ON lowest.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+    """,
 }

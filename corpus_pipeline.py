@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read by the next.
+
+A stage begins by removing what the stages before it have staged: their results are written by then.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldkeep.llm import minhash, packing, secrets, suffixes, toxicity
-from coldkeep.llm.common import settled, table, tuned
+from coldkeep.llm.common import clear, settled, table, tuned
 from coldkeep.llm.queries import learning
 
 #: Columns of documents besides the id and the text, which every stage but the last passes on.
@@ -23,6 +26,7 @@ def shaped(df: DataFrame, text: str) -> DataFrame:
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
+    clear(spark)
     labels = table(spark, sf_dir, "labels")
     model = toxicity.learnt(learning(docs), learning(labels))
     scored = toxicity.score(docs, model, ("text", *PASSED))
@@ -34,6 +38,7 @@ def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows that repeat a doc_id are one document; rows without an id can't be named, and stay.
     """
+    clear(spark)
     groups = minhash.near_duplicates(docs.where("doc_id is not null"))
     kept = docs.join(groups.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id is null")).select("doc_id", "text", *PASSED)
@@ -41,17 +46,20 @@ def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that start in a document of a smaller id as well."""
+    clear(spark)
     found = suffixes.repeated(docs, PASSED)
     return shaped(suffixes.readable(found), "text")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced."""
+    clear(spark)
     return shaped(secrets.find_secrets(docs, PASSED), "redacted")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their places in sequences."""
+    clear(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
@@ -70,5 +78,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tuned(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
