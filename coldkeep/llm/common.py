@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,8 +64,10 @@ def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # references are queued by one collection and gone by the next
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

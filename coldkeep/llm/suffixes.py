@@ -23,6 +23,7 @@ a null doc_id is larger than every other; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,8 @@ PART = 16
 UNIT_BITS, LONGEST_UNIT = 8, 1024
 #: Units a task remembers to have sent anchors of.
 REMEMBERED = 500_000
+#: Shift from a suffix to its first name: places of the further names, and the classes it serves.
+SHIFTS = {0: (15, 30, (1, 2)), 1: (15, 27, (0, 1)), 2: (15, 27, (0, 2))}
 #: Bytes that a bucket of a sort holds on average.
 BUCKET_BYTES = 24 << 20
 SPLIT_SAMPLE = 200_000
@@ -482,7 +485,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
 
     named = common.settled(by_bucket(units.mapInArrow(send, PACKED), buckets, TRIPLE, name, PACKED), f"{label}-names")
 
-    def recurse(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def recurse(_: int, records: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
         """Triples of names: of sampled suffixes, and of the pairs of classes that meet by a shift."""
         records = records[np.lexsort((records["at"], records["unit"]))]
         at = records["at"].astype(np.int64)
@@ -493,8 +496,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
             return where, place[where] == place + shift
 
         around = lambda rows, k: (records["around"][rows] >> np.uint32(8 * k)) & np.uint32(255)
-        # (shift from the suffix to the first name, further names, classes of suffixes)
-        for shift, second, third, classes in ((0, 15, 30, (1, 2)), (1, 15, 27, (0, 1)), (2, 15, 27, (0, 2))):
+        for second, third, classes in (SHIFTS[shift],):
             w2, ok2 = there(second)
             w3, ok3 = there(third)
             start = at - shift
@@ -517,7 +519,6 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
                 mixed = common.mix64(mixed * common.U64(31) + out[field].astype(np.uint64))
             yield packed((mixed % common.U64(back)).astype(np.int32), out)
 
-    suffixes = by_bucket(named, back, NAMED, recurse, PACKED)
 
     def adjacent(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Suffixes in order; neighbours of equal keys share WINDOW bytes."""
@@ -536,7 +537,12 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         starts = [x.tobytes() for x in np.split(np.ascontiguousarray(gone["at"]), cuts[1:])] if len(gone) else []
         yield pa.RecordBatch.from_arrays([pa.array(gone["unit"][cuts], pa.int64()), pa.array(starts, pa.binary())], names=["unit", "starts"])
 
-    found = common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered")
+    # One shift after the other: the records of one are gone before the next ones are made.
+    found = None
+    for shift in SHIFTS:
+        suffixes = by_bucket(named, back, NAMED, partial(recurse, shift=shift), PACKED)
+        part = common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered")
+        found = part if found is None else found.unionByName(part)
     return found.groupBy("unit").agg(F.collect_list("starts").alias("starts"))
 
 
