@@ -161,7 +161,7 @@ def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Call
     return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-SEAM = np.dtype([("anchor", "<u8"), ("one", "?")])
+SEAM = np.dtype([("anchor", "<u8"), ("part", "<i8"), ("one", "?")])
 
 
 def least_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -210,10 +210,11 @@ def sides_of(data: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.S
     return out
 
 
-def seams(least: np.ndarray, odd: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def seams(hashes: np.ndarray, least: np.ndarray, odd: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The seams before and behind each unit: an anchor that windows on both sides have.
 
-    Such an anchor is one place of the text that two units show, and must not look like two places.
+    Such an anchor is one place of the text (`part`) that two units show, and must not look like two
+    places. The same anchor at other places of the units is none of the seam's.
     In periodic text `one` is false and the two sides count as different places.
     """
     before, behind = np.zeros(len(start), SEAM), np.zeros(len(start), SEAM)
@@ -224,6 +225,7 @@ def seams(least: np.ndarray, odd: np.ndarray, text: np.ndarray, start: np.ndarra
     sums = np.concatenate([[0], np.cumsum(odd)])
     calm = sums[np.minimum(at + WINDOW - PART + 1, len(odd))] == sums[np.maximum(at - 1, 0)]
     behind["anchor"][left] = before["anchor"][left + 1] = least[at]
+    behind["part"][left] = before["part"][left + 1] = parts_of(hashes, at, least[at])
     behind["one"][left] = before["one"][left + 1] = calm
     return before, behind
 
@@ -280,16 +282,17 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             anchor, owner = least[at], np.repeat(np.arange(len(unit)), size)
             new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])) if len(at) else np.zeros(0, bool)
             anchor, owner, at = anchor[new], owner[new], at[new]
-            before, behind = seams(least, odd, text, start)
-            plain = ~(before["one"][owner] & (before["anchor"][owner] == anchor)) & ~(behind["one"][owner] & (behind["anchor"][owner] == anchor))
+            before, behind = seams(hashes, least, odd, text, start)
+            part = parts_of(hashes, at, anchor)
+            plain = ~np.any([s["one"][owner] & (s["part"][owner] == part) for s in (before, behind)], axis=0)
             inside = np.zeros(int(plain.sum()), INSIDE)
             inside["unit"] = unit[owner[plain]]
             # A seam is sent if one of its units is new.
             seam = np.flatnonzero(behind["one"][:-1] & (keep[:-1] | keep[1:])) if len(unit) > 1 else np.zeros(0, np.int64)
             pair = np.zeros(len(seam), ACROSS)
             pair["unit"], pair["next"] = unit[seam], unit[seam + 1]
-            for records, full, first, mark in ((inside, anchor[plain], at[plain], b"i"), (pair, behind["anchor"][seam], start[seam + 1], b"a")):
-                records["sides"] = sides_of(data, odd, parts_of(hashes, first, full), side, CASE)
+            for records, full, place, mark in ((inside, anchor[plain], part[plain], b"i"), (pair, behind["anchor"][seam], behind["part"][seam], b"a")):
+                records["sides"] = sides_of(data, odd, place, side, CASE)
                 records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
                 yield packed((full % common.U64(buckets)).astype(np.int32), records, mark)
 

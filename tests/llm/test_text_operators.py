@@ -114,6 +114,24 @@ def test_suffixes_match_brute_force(spark, texts):
     assert suffixes.repeated(frame(spark, [])).count() == 0
 
 
+def test_suffixes_keep_windows_around_repeated_labels(spark):
+    """A part that is the anchor at a seam and again further inside the unit is two places."""
+    rng = random.Random(21)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = []
+    for form in range(12):
+        label = noise(20)
+        fields = [noise(rng.randrange(40, 71)) for _ in range(60)]
+        rows.append((100 * form, "".join(label + f for f in fields)))
+        for i in range(1, 25):
+            shared = fields[rng.randrange(59)]
+            rows.append((100 * form + i, noise(30) + shared[-20:] + label + shared[:25] + noise(30)))
+            at = fields.index(shared)
+            rows.append((100 * form + 50 + i, noise(60) + fields[at][-18:] + label + fields[at + 1][:16] + noise(60)))
+    got = suffixes.repeated(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows)
+
+
 def test_fingerprints(spark, texts):
     rows = [*texts.items(), (300, texts[10])]
     got = {r.doc_id: r for r in imatch.fingerprints(frame(spark, rows)).collect()}
