@@ -1,10 +1,12 @@
 """Secrets in texts: fixed patterns, and strings that zstandard finds novel in a sensitive context.
 
 The patterns give the base spans (kinds assign, access, hex): whole matches, in code points, end
-exclusive. The method adds spans of kind novel: a string after a sensitive word is measured by the
-bytes it adds when it is compressed behind its surroundings, with a dictionary of identifiers that
-code is full of. Words, names and repeated values cost little there; random strings cost about
-their own entropy, and are reported. A novel string inside a base span adds nothing and is left out.
+exclusive. The method adds spans of kind novel: every string of 12 or more characters anywhere behind
+a sensitive word of the text is measured by the bytes it adds when it is compressed behind its
+surroundings, with a dictionary of identifiers that code is full of. Words, names and repeated values
+cost little there; random strings cost about their own entropy, and are reported. A long string is
+measured in blocks and reported whole if one of them is novel. A novel string that meets a base span
+is left out.
 
 Defined results: a null text is an empty one and has no spans; every row is scanned on its own, so
 repeated rows have equal results; extra columns are ignored.
@@ -28,16 +30,21 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: One of these must be in a text for ASSIGN to match; checked on the lower-cased text.
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
-#: A candidate stands behind one of these words, in the same line and within CONTEXT characters.
+#: A candidate stands behind one of these words, at any distance.
 SENSITIVE = re.compile(r"(?ai:passphrase|passw|pwd|secret|token|api.?key|auth|bearer|credential|private.?key|signature|session.?id|access.?key)")
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "api", "auth", "bearer", "credential", "private", "signature", "session", "access")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=])[A-Za-z0-9+/_=]{12,512}(?![A-Za-z0-9+/_=])")
-CONTEXT = 64
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=])[A-Za-z0-9+/_=]{12,}(?![A-Za-z0-9+/_=])")
+#: The short last line of a value that is broken into lines.
+TAIL = re.compile(r"[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_=]{1,11}(?=[\x20\t]*(?:[\r\n]|\Z))")
+#: Longer strings are measured in blocks of at most so many characters.
+BLOCK = 512
 #: Text on both sides of a candidate that the compressor has seen before it.
 SURROUNDINGS = 512
 #: Compressed bytes a character must add. From LONG characters on, zstandard codes hexadecimal
-#: digits by their entropy of half a byte; shorter strings stay as they are.
+#: digits by their entropy of half a byte; shorter strings stay as they are. Strings that look like
+#: words or numbers must add more, as a rare word does add more than a common one.
 LEAST_NOVELTY, LEAST_NOVELTY_LONG, LONG = 0.62, 0.45, 48
+LEAST_NOVELTY_PLAIN = 0.7
 #: Identifiers of common code; a value made of them is no secret.
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key private_key public_key credential credentials "
@@ -89,23 +96,31 @@ def mixed(value: str) -> bool:
     return letters >= 3 and (digits >= 3 or turns >= 4)
 
 
+def novel(text: str, start: int, end: int, novelty: Novelty) -> bool:
+    """Whether one of the blocks of a string adds as many bytes as a string of its kind must."""
+    blocks = -(-(end - start) // BLOCK)
+    cuts = [start + (end - start) * i // blocks for i in range(blocks + 1)]
+    for a, b in zip(cuts, cuts[1:]):
+        around = text[max(0, a - SURROUNDINGS) : a] + text[b : b + SURROUNDINGS]
+        least = LEAST_NOVELTY_LONG if b - a >= LONG else LEAST_NOVELTY
+        if novelty(around, text[a:b]) >= (least if mixed(text[a:b]) else LEAST_NOVELTY_PLAIN):
+            return True
+    return False
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE_WORDS):
         return []
-    found, seen = [], set()
-    for context in SENSITIVE.finditer(text):
-        stop = text.find("\n", context.end(), context.end() + CONTEXT)
-        stop = context.end() + CONTEXT if stop < 0 else stop
-        for m in CANDIDATE.finditer(text, context.end()):
-            if m.start() >= stop:
-                break
-            if m.span() in seen or not mixed(m[0]) or any(a < m.end() and m.start() < b for a, _, b in base):
-                continue
-            seen.add(m.span())
-            around = text[max(0, m.start() - SURROUNDINGS) : m.start()] + text[m.end() : m.end() + SURROUNDINGS]
-            if novelty(around, m[0]) >= (LEAST_NOVELTY_LONG if len(m[0]) >= LONG else LEAST_NOVELTY):
-                found.append((m.start(), 3, m.end()))
+    context = SENSITIVE.search(text)
+    if not context:
+        return []
+    found = []
+    for m in CANDIDATE.finditer(text, context.end()):
+        if any(a < m.end() and m.start() < b for a, _, b in base) or not novel(text, *m.span(), novelty):
+            continue
+        tail = TAIL.match(text, m.end()) if len(m[0]) >= LONG else None
+        found.append((m.start(), 3, tail.end() if tail else m.end()))
     return found
 
 
