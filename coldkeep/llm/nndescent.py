@@ -4,8 +4,8 @@ The graph starts from small blocks of vectors that agree in the signs of random
 round joins, at every vector, its neighbours and some vectors it is a neighbour of, and keeps the
 best K of everybody: neighbours of neighbours. Edges of at least the threshold, verified in double
 precision, connect components. A list whose K entries all reach the threshold is saturated: there
-may be more links than it can hold. Such lists are enlarged without end by counting, inside a
-component, all links exactly: angles to the component's mean direction prove most pairs linked, by
+may be more links than it can hold. Such nodes are compared with all nodes of other components, and
+inside a component all links are counted exactly: angles to the component's mean direction prove most pairs linked, by
 the triangle inequality; the others are compared in blocks, of which only counts leave.
 
 A bounded set of vectors is compared with all rows after that. If less than LEAST_RECALL of its
@@ -36,6 +36,8 @@ AUDITED, LEAST_RECALL, AUDITS = 256, 0.995, 3
 #: Angles are counted in so many bins up to the threshold's angle.
 BINS = 2048
 COMPARED = 512
+#: Pivots that nodes of saturated lists are dealt to, and the most of their cells that are broadcast.
+PIVOTS, MOST_CELLS = 1024, 100_000
 
 
 def grouped(df: DataFrame, kernel: Callable[[pa.Table], pa.Table | None], schema: str, rows: int = 20_000) -> DataFrame:
@@ -275,6 +277,79 @@ def exact_counts(members: DataFrame, dims: int, threshold: float) -> DataFrame:
     return base.unionByName(more).groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def bridges(nodes: DataFrame, placed: DataFrame, full: DataFrame, dims: int, threshold: float) -> DataFrame | None:
+    """a, b: for each other component that nodes of saturated lists (full: node) link to, such pairs.
+
+    Saturated nodes of a component are cells around their nearest pivots. A node is compared with a
+    cell of another component where the triangle inequality leaves room, in blocks, of which one pair
+    for each two components leaves. The number of pivots decides how much is compared, not what is found.
+    """
+    wide = float(np.arccos(threshold)) + 1e-6
+    every = nodes.join(placed, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "v")
+    every = common.settled(every.join(full.withColumn("full", F.lit(True)), "node", "left"), "nn-every")
+    pivots = np.zeros((0, dims))
+    for row in every.where("full").orderBy(F.xxhash64("node")).limit(PIVOTS).collect():
+        v = np.frombuffer(row["v"])
+        if not len(pivots) or (pivots @ v).max() < np.cos(wide / 2):
+            pivots = np.vstack([pivots, v])
+    if not len(pivots):
+        return None
+    angles = lambda b: np.arccos(np.clip(matrix(b.column("v"), dims) @ pivots.T, -1, 1))
+    fields = ["node", "component", "v"]
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            angle = angles(b)
+            yield pa.RecordBatch.from_arrays([*(b.column(f) for f in fields), pa.array(angle.argmin(axis=1).astype(np.int32)), pa.array(angle.min(axis=1))], names=[*fields, "pivot", "angle"])
+
+    schema = "node long, component long, v binary, pivot int, angle double"
+    cell = F.xxhash64("component", "pivot").alias("cell")
+    asked = common.settled(every.where("full").select(*fields).mapInArrow(nearest, schema), "nn-asked")
+    cells = asked.groupBy("component", "pivot").agg(F.max("angle").alias("radius")).select(cell, F.col("component").alias("home"), "pivot", "radius")
+    cells = common.settled(cells, "nn-cells")
+    reach = np.full(len(pivots), -np.inf)
+    for row in cells.groupBy("pivot").agg(F.max("radius").alias("radius")).collect():
+        reach[row["pivot"]] = row["radius"] + wide
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            angle = angles(b)
+            rows, pivot = np.nonzero(angle <= reach)
+            taken = [b.column(f).take(pa.array(rows)) for f in fields]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(pivot.astype(np.int32)), pa.array(angle[rows, pivot])], names=[*fields, "pivot", "angle"])
+
+    small = F.broadcast(cells) if cells.count() <= MOST_CELLS else cells
+    targets = every.select(*fields).mapInArrow(near, schema).join(small, "pivot").where((F.col("home") != F.col("component")) & (F.col("angle") <= F.col("radius") + wide))
+    targets = common.settled(targets.select("cell", *fields), "nn-targets")
+    theirs = targets.groupBy("cell").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("theirs"))
+    asked = asked.select(cell, *fields)
+    ours = asked.groupBy("cell").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("ours"))
+    parts = common.settled(theirs.join(ours, "cell"), "nn-parts")
+    part = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    all_ = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    one = asked.join(parts, "cell").select("cell", *fields, part("ours").alias("p"), all_("theirs").alias("q"), F.lit(True).alias("asks"))
+    two = targets.join(parts, "cell").select("cell", *fields, all_("ours").alias("p"), part("theirs").alias("q"), F.lit(False).alias("asks"))
+    dealt = one.unionByName(two).select(F.xxhash64("cell", "p", "q").alias("gid"), *fields, "asks")
+
+    def meet(table: pa.Table) -> pa.Table | None:
+        gid, node, component = (table.column(n).to_numpy() for n in ("gid", "node", "component"))
+        asks = table.column("asks").to_numpy()
+        x = matrix(table.column("v"), dims)
+        a, b = [], []
+        for lo, hi in bounds(gid):
+            mine, others = lo + np.flatnonzero(asks[lo:hi]), lo + np.flatnonzero(~asks[lo:hi])
+            if not len(mine) or not len(others):
+                continue
+            linked = x[mine] @ x[others].T >= threshold
+            hit = np.flatnonzero(linked.any(axis=0))
+            hit = hit[np.unique(component[others[hit]], return_index=True)[1]]
+            a.append(node[mine[linked[:, hit].argmax(axis=0)]] if len(hit) else node[:0])
+            b.append(node[others[hit]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else None
+
+    return grouped(dealt, meet, "a long, b long")
+
+
 def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: float) -> float:
     """Share of the links of a bounded set of nodes that lie within a component."""
     share = min(1 << 20, int((1 << 20) * AUDITED / n) + 1)
@@ -311,6 +386,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> D
         found = common.settled(verified(pairs, nodes, dims, threshold), "nn-edges")
         edges = found if edges is None else edges.unionByName(found)
         placed = common.settled(common.components(edges, "nn-cc"), "nn-cc")
+        full = lists.where((F.size("list") >= k << audit) & (F.element_at("list", -1)["sim"] >= threshold - 1e-5)).select("node")
+        more = bridges(nodes, placed, full, dims, threshold)
+        more = None if more is None else common.settled(more, "nn-bridges")
+        if more is not None and not more.isEmpty():
+            edges = edges.unionByName(more)
+            placed = common.settled(common.components(edges, "nn-cc"), "nn-cc")
         if recall(nodes, placed, n, dims, threshold) >= LEAST_RECALL:
             break
     if placed is None:

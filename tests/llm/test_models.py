@@ -87,6 +87,21 @@ def test_neighbours_against_brute_force(spark):
     assert nndescent.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_bridges_between_dense_groups(spark):
+    """The bridge is nearer to 200 vectors of one group than to the other, whose lists are full as well."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for group in range(8):
+        a, b = np.linalg.qr(rng.normal(size=(24, 2)))[0].T
+        for degrees, many in ((0, 200), (4, 1), (28, 14)):
+            t = np.radians(degrees)
+            for _ in range(many):
+                rows.append((1000 * group + len(rows) % 215, (np.cos(t) * a + np.sin(t) * b + 0.001 * rng.normal(size=24)).tolist()))
+    got = nndescent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()
+    links = {i: 214 if i == 200 else 200 if i < 200 else 14 for i in range(215)}
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(k, links[k % 1000], k // 1000 * 1000) for k, _ in sorted(rows)]
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class="site-header"><h1>My site</h1><nav>
 <a href=/>Home</a></nav></header><div class="cookie-notice">We use cookies.</div><main><article><h1>Real &amp; title</h1>
 <p>First <b>para</b> with <a href="x>y">link</a>ed   text.<br>More.<aside>Buy now!</aside><p>Unclosed <ul><li>one<li>two</ul>
