@@ -8,8 +8,9 @@ may be more links than it can hold. Such nodes are compared with all nodes of ot
 inside a component all links are counted exactly: angles to the component's mean direction prove most pairs linked, by
 the triangle inequality; the others are compared in blocks, of which only counts leave.
 
-A bounded set of vectors is compared with all rows after that. If less than LEAST_RECALL of its
-links lie within components, the rounds go on with longer lists.
+A bounded set of vectors is compared with all rows after that. Each vector that has links counts the
+same, however many: while the mean share of links within components is less than LEAST_RECALL, the
+rounds go on from other blocks. If AUDITS such audits do not reach it, the measured recall is raised.
 
 Defined results: null, empty and zero vectors, vectors with null or non-finite components, and those
 of another length than most link with nothing; equal vectors are one node that counts as often as it
@@ -32,7 +33,9 @@ K = 12
 TABLES, BLOCK = 8, 256
 #: A round that improves less than this share of all entries is the last one; so is the last of ROUNDS.
 STILL, ROUNDS = 0.02, 5
-AUDITED, LEAST_RECALL, AUDITS = 256, 0.995, 3
+AUDITED, LEAST_RECALL, AUDITS = 256, 0.995, 40
+#: Lists are enlarged by this factor at most; further audits only start from other blocks.
+LONGER = 4
 #: Angles are counted in so many bins up to the threshold's angle.
 BINS = 2048
 COMPARED = 512
@@ -351,7 +354,7 @@ def bridges(nodes: DataFrame, placed: DataFrame, full: DataFrame, dims: int, thr
 
 
 def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: float) -> float:
-    """Share of the links of a bounded set of nodes that lie within a component."""
+    """Mean share of the links of a node that lie within a component, for a bounded set of nodes."""
     share = min(1 << 20, int((1 << 20) * AUDITED / n) + 1)
     asked = nodes.join(placed, "node", "left").where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 20)) < share).select("node", "v", "component").limit(2 * AUDITED).collect()
     if not asked:
@@ -365,11 +368,14 @@ def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: fl
             node = b.column("node").to_numpy()
             linked = (matrix(b.column("v"), dims) @ queries.T >= threshold) & (node[:, None] != names)
             same = linked & (b.column("place").to_numpy()[:, None] == places)
-            yield pa.RecordBatch.from_arrays([pa.array([linked.sum()], pa.int64()), pa.array([same.sum()], pa.int64())], names=["links", "found"])
+            hit = np.flatnonzero(linked.any(axis=0))
+            columns = [pa.array(names[hit]), pa.array(linked.sum(axis=0)[hit], pa.int64()), pa.array(same.sum(axis=0)[hit], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["name", "links", "found"])
 
     every = nodes.join(placed, "node", "left").select("node", "v", F.coalesce("component", "node").alias("place"))
-    total = every.mapInArrow(run, "links long, found long").agg(F.sum("links").alias("links"), F.sum("found").alias("found")).first()
-    return total["found"] / total["links"] if total["links"] else 1.0
+    shares = every.mapInArrow(run, "name long, links long, found long").groupBy("name").agg((F.sum("found") / F.sum("links")).alias("share"))
+    mean = shares.agg(F.avg("share")).first()[0]
+    return 1.0 if mean is None else mean
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> DataFrame:
@@ -379,21 +385,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> D
     n = nodes.count()
     edges = placed = None
     for audit in range(AUDITS if n else 0):
-        lists, start = neighbour_lists(nodes, n, dims, k << audit, threshold, seed=audit)
+        longer = k * min(1 << audit, LONGER)
+        lists, start = neighbour_lists(nodes, n, dims, longer, threshold, seed=audit)
         entries = lists.select("node", F.explode("list").alias("e")).select("node", "e.other", "e.sim").where(F.col("sim") >= threshold - 1e-5)
         entries = entries.unionByName(start.select("node", "other", "sim"))
         pairs = entries.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         found = common.settled(verified(pairs, nodes, dims, threshold), "nn-edges")
         edges = found if edges is None else edges.unionByName(found)
         placed = common.settled(common.components(edges, "nn-cc"), "nn-cc")
-        full = lists.where((F.size("list") >= k << audit) & (F.element_at("list", -1)["sim"] >= threshold - 1e-5)).select("node")
+        full = lists.where((F.size("list") >= longer) & (F.element_at("list", -1)["sim"] >= threshold - 1e-5)).select("node")
         more = bridges(nodes, placed, full, dims, threshold)
         more = None if more is None else common.settled(more, "nn-bridges")
         if more is not None and not more.isEmpty():
             edges = edges.unionByName(more)
             placed = common.settled(common.components(edges, "nn-cc"), "nn-cc")
-        if recall(nodes, placed, n, dims, threshold) >= LEAST_RECALL:
+        reached = recall(nodes, placed, n, dims, threshold)
+        if reached >= LEAST_RECALL:
             break
+    else:
+        if n:
+            raise RuntimeError(f"recall {reached:.4f} of links after {AUDITS} audits, {LEAST_RECALL} asked for")
     if placed is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     members = nodes.join(placed, "node").select("node", "component", "copies", "v")

@@ -102,6 +102,23 @@ def test_bridges_between_dense_groups(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(k, links[k % 1000], k // 1000 * 1000) for k, _ in sorted(rows)]
 
 
+def test_recall_counts_every_vector_the_same(spark, monkeypatch):
+    """A large group that is found does not hide that all pairs are lost; a recall not reached is an error."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=24)
+    x = [centre + 0.01 * rng.normal(size=24) for _ in range(150)]
+    for _ in range(40):
+        one = rng.normal(size=24)
+        x += [one, one + 0.01 * rng.normal(size=24)]
+    nodes = spark.createDataFrame([(i, (v / np.linalg.norm(v)).tobytes()) for i, v in enumerate(x)], "node long, v binary")
+    placed = spark.createDataFrame([(i, 0) for i in range(150)], "node long, component long")
+    assert abs(nndescent.recall(nodes, placed, len(x), 24, 0.9) - 150 / 230) < 1e-9
+    monkeypatch.setattr(nndescent, "recall", lambda *_: 0.5)
+    monkeypatch.setattr(nndescent, "AUDITS", 1)
+    with pytest.raises(RuntimeError, match="recall 0.5"):
+        nndescent.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:60])], "vec_id long, embedding array<double>"))
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class="site-header"><h1>My site</h1><nav>
 <a href=/>Home</a></nav></header><div class="cookie-notice">We use cookies.</div><main><article><h1>Real &amp; title</h1>
 <p>First <b>para</b> with <a href="x>y">link</a>ed   text.<br>More.<aside>Buy now!</aside><p>Unclosed <ul><li>one<li>two</ul>
