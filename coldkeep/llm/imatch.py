@@ -1,7 +1,8 @@
 """Document fingerprints by I-Match: hashes of randomised subsets of mid-frequency terms.
 
-Terms whose share of documents lies in a band are the lexicon; a hash table of LEXICON_SLOTS slots
-keeps one term per slot, so the lexicon has a bound that does not grow with the corpus. Each term
+Terms whose share of documents lies in a band are the lexicon, all of them: there are at most as many
+as the mean distinct terms of a document over LEAST_SHARE. Hash tables of one term per slot hold them;
+terms that a table has no slot for are in the next one. Each term
 belongs to one of SUBSETS random subsets of the lexicon and, by further bits, to nested thinner
 lexicons (level d holds one term in 2^d). A document is fingerprinted at the level that leaves it
 16 to 32 terms and at the next one: per subset, its distinct terms there are sorted and hashed.
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.1
-LEXICON_SLOTS = 1 << 15
 SUBSETS = 64
 LEVEL_BITS = 4
 #: Limits of the blocks of document ids at most; a block is one group of the window below.
@@ -33,23 +33,46 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def lexicon(docs: DataFrame) -> Column:
-    """The term of each slot, as a constant array; an empty slot holds a number that belongs to another.
-
-    Statistics cover all documents. The array is one foldable literal: a cast of a split text.
+def tables(held: list[int]) -> list[list[int]]:
+    """Hash tables that together hold each term; an empty slot holds a number of another slot."""
+    out = []
+    while held:
+        slots = 1 << max(1, (2 * len(held) - 1).bit_length())
+        table, left = [slot + 1 for slot in range(slots)], []
+        taken = set()
+        for h in held:
+            slot = (h >> 8 * len(out) % 48) % slots
+            if slot in taken:
+                left.append(h)
+            else:
+                taken.add(slot)
+                table[slot] = h
+        out.append(table)
+        held = left
+    return out
+
+
+def lexicon(docs: DataFrame) -> list[Column]:
+    """The terms of the band as constant arrays, the tables; statistics cover all documents.
+
+    An array is one foldable literal: a cast of a split text.
     """
     total = docs.count()
     shares = docs.select(F.explode(terms(F.col("text"))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
     band = shares.where(f"df >= {LEAST_SHARE * total} and df <= {max(1.0, MOST_SHARE * total)}")
-    slots = band.groupBy(F.pmod("h", F.lit(LEXICON_SLOTS)).alias("slot")).agg(F.min("h").alias("h"))
-    held = {row["slot"]: row["h"] for row in slots.collect()}
-    text = ",".join(str(held.get(slot, slot + 1)) for slot in range(LEXICON_SLOTS))
-    return F.split(F.lit(text), ",").cast("array<bigint>")
+    held = sorted(row["h"] for row in band.select("h").collect())
+    return [F.split(F.lit(",".join(map(str, t))), ",").cast("array<bigint>") for t in tables(held)]
+
 
+def in_lexicon(hashes: Column, lexicon: list[Column]) -> Column:
+    def held(h: Column) -> Column:
+        found = F.lit(False)
+        for at, table in enumerate(lexicon):
+            slot = F.pmod(F.shiftright(h, 8 * at % 48), F.size(table).cast("bigint")) + 1
+            found = found | (F.element_at(table, slot.cast("int")) == h)
+        return found
 
-def in_lexicon(hashes: Column, lexicon: Column) -> Column:
-    slot = lambda h: (F.pmod(h, F.lit(LEXICON_SLOTS)) + 1).cast("int")
-    return F.filter(hashes, lambda h: F.element_at(lexicon, slot(h)) == h)
+    return F.filter(hashes, held)
 
 
 def subset_hashes(chosen: Column, level: Column) -> Column:
@@ -65,7 +88,7 @@ def subset_hashes(chosen: Column, level: Column) -> Column:
     )
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, lexicon: Column) -> DataFrame:
+def with_fingerprint(df: DataFrame, text: str, name: str, lexicon: list[Column]) -> DataFrame:
     """Add a struct of level and the subset hashes at this level and the next."""
     df = df.withColumn("_terms", terms(F.col(text)))
     df = df.withColumn("_chosen", F.transform(in_lexicon(F.col("_terms"), lexicon), lambda h: F.xxhash64(h)))

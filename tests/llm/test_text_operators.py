@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from coldkeep.llm import imatch, minhash, packing, pieces, secrets, suffixes
 from coldkeep.llm.queries import ORACLE
@@ -149,6 +150,14 @@ def test_fingerprints(spark, texts):
     assert imatch.fingerprints(frame(spark, [])).count() == 0
 
 
+def test_lexicon_holds_every_term_of_the_band(spark):
+    """60,000 terms that two of 40 documents have, beside 100 that all of them have."""
+    rows = [(i, " ".join([f"w{i // 2}x{j}" for j in range(3000)] + [f"all{j}" for j in range(100)])) for i in range(40)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    kept = F.size(imatch.in_lexicon(imatch.terms(F.col("text")), imatch.lexicon(docs)))
+    assert {r[0] for r in docs.select(kept).collect()} == {3000}
+
+
 ODD_TEXTS = ["", " ", "  two  spaces   ", "\n", "a\n\nb", "▁lit▁eral ▁ x", "<s> </s><unk>", "中文 test123 ½²³", "x" * 100, "é" * 60 + " y", "😀😀 a😀b"]
 ODD_TEXTS += ["ab\x00cd", "Σίσυφοσ ΣΑΣ", "don't WE'LL <|endoftext|> x<|ENDOFTEXT|>y", "İ ﬁ é ́ x　z", "a\x1cb \x85c", "ß ẞ ÀÉÞ×÷"]
 
