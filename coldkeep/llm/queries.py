@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldkeep.llm import crf, imatch, minhash, nndescent, packing, pages, pieces, secrets, suffixes, toxicity
+from coldkeep.llm import (
+    content_sort,
+    crf,
+    imatch,
+    minhash,
+    nndescent,
+    packing,
+    pages,
+    periods,
+    pieces,
+    secrets,
+    shared_search,
+    suffixes,
+    toxicity,
+)
 from coldkeep.llm.common import table
 
 def held_out() -> Column:
@@ -84,6 +98,18 @@ def op10_string_kernel_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), edited=True).drop("runs", "kept")
+
+
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.content_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {
     "op1_crf": op1_crf,
     "op2_circulant_minhash": op2_circulant_minhash,
@@ -95,6 +121,9 @@ QUERIES = {
     "op8_zstd_novelty": op8_zstd_novelty,
     "op9_nn_descent": op9_nn_descent,
     "op10_string_kernel_svm": op10_string_kernel_svm,
+    "op11_sync_runs": op11_sync_runs,
+    "op12_content_sort": op12_content_sort,
+    "op13_shared_search": op13_shared_search,
 }
 
 ORACLE = {
@@ -142,4 +171,39 @@ ORACLE = {
         SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
         FROM vectors JOIN lowest ON lowest.a = vec_id LEFT JOIN degree ON degree.a = vec_id
     """,
+    "op12_content_sort": r"""
+        WITH plain AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+        groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM plain GROUP BY t)
+        SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+        FROM plain JOIN groups USING (t)
+    """,
+    "op13_shared_search": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        sizes AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM words WHERE len(w) > 0),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+        counts AS (
+            SELECT doc_id, term, count(*) AS tf
+            FROM (SELECT doc_id, unnest(w) AS term FROM words) GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM counts, totals GROUP BY term, docs),
+        items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(weight
+                * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+            FROM items JOIN counts USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+            GROUP BY item_id, doc_id)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scores WHERE score > 0)
+        WHERE rank <= 50
+    """,
 }
