@@ -4,13 +4,17 @@ Differences are found without sorting or collecting whole columns:
 
 * `side_stats` reads both sides once and keeps, per bucket of rows, the row count and the sums of
   the row and column hashes. Its size depends on the number of buckets, not on the data.
-* A bucket whose count and row sum agree holds the same multiset of rows on both sides. Only the
-  other buckets are read again and grouped row by row.
+* A bucket whose count and row sum agree holds the same multiset of rows on both sides. The others
+  are split by further bits of the same hash (`narrowed`), as often as it takes until the suspect
+  rows are few: a tree of sums of which only differing branches are followed.
+* `row_diff` sends hashes of 128 bits and counts of copies over the network. Text is made and
+  grouped only for the rows whose hashes differ in number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,8 +27,19 @@ from coldkeep.functions.checksums import (
 from coldkeep.functions.normalize import normalize_values, value_key
 from coldkeep.functions.report_text import verdict_text
 from coldkeep.operators.ranking import rank_within
+from coldkeep.session import staged
 
 BUCKETS = 4096
+#: A level of the tree of sums splits a bucket by so many bits at most.
+LEVEL_BITS = 14
+#: Rows of both sides that a leaf holds on average.
+LEAF_ROWS = 2
+#: Suspect rows, of all rows, that may be read again without splitting their buckets further.
+SUSPECT_SHARE = 0.05
+#: So few suspect rows are read again whatever their share: another level would cost more.
+FEW_ROWS = 1_000_000
+#: Suspect buckets or unequal hashes that are sent to every task; more are joined.
+MOST_BROADCAST = 2_000_000
 SOURCE, TARGET = "source", "target"
 
 
@@ -90,19 +105,35 @@ def row_count_check(src: DataFrame, tgt: DataFrame) -> DataFrame:
     )
 
 
-def _key_hashes(df: DataFrame, other: DataFrame, cols: Sequence[str], mode: str | None) -> list:
+def _key_hashes(
+    df: DataFrame, other: DataFrame, cols: Sequence[str], mode: str | None, seed: str | None = None
+) -> list:
     """One hash per column; equal where the normalised values are."""
+    first = [] if seed is None else [F.lit(seed)]
     if mode is None:
-        return [F.xxhash64(f"`{c}`") for c in cols]
+        return [F.xxhash64(*first, f"`{c}`") for c in cols]
     ours, theirs = df.schema, other.schema
     return [
-        F.xxhash64(value_key(c, ours[c].dataType, theirs[c].dataType, mode)) for c in cols
+        F.xxhash64(*first, value_key(c, ours[c].dataType, theirs[c].dataType, mode)) for c in cols
     ]
 
 
-def _bucket(hashes: Sequence[Column], buckets: int) -> Column:
-    """Another hash function than the one summed up, so that it takes no bits away from the sums."""
-    return F.pmod(F.hash(*hashes), F.lit(buckets))
+def _bits(buckets: int) -> int:
+    if buckets < 1 or buckets & (buckets - 1):
+        raise ValueError(f"the number of buckets must be a power of two: {buckets}")
+    return buckets.bit_length() - 1
+
+
+def _place(hashes: Sequence[Column]) -> Column:
+    """A row's place in the tree of buckets, whose first bits are its bucket.
+
+    Another hash than the one summed up, so that it takes no bits away from the sums.
+    """
+    return F.xxhash64(F.lit(SOURCE), *hashes)
+
+
+def _branch(place: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(place, 64 - bits) if bits else F.lit(0).cast("bigint")
 
 
 def side_stats(
@@ -117,13 +148,13 @@ def side_stats(
     One pass over each side and at most 2 * buckets result rows. With `mode` the columns are raw
     and compared as if normalised that way; without, they are normalised text already.
     """
-    names = [f"h{i}" for i in range(len(cols))]
+    names, bits = [f"h{i}" for i in range(len(cols))], _bits(buckets)
 
     def hashed(df: DataFrame, other: DataFrame, side: str) -> DataFrame:
         hashes = _key_hashes(df, other, cols, mode)
         keyed = df.select(*[h.alias(n) for n, h in zip(names, hashes)])
         row = F.xxhash64(*names)
-        bucket = _bucket([F.col(n) for n in names], buckets)
+        bucket = _branch(_place([F.col(n) for n in names]), bits)
         return keyed.select(
             F.lit(side).alias("side"), bucket.alias("bucket"), row.alias("h"), *names
         )
@@ -186,48 +217,157 @@ def column_checksum_diff(src: DataFrame, tgt: DataFrame) -> DataFrame:
     return _judged(both.fillna("N/A", [SOURCE, TARGET]))
 
 
-def suspect_buckets(stats: DataFrame) -> DataFrame:
-    """Buckets whose rows differ between the sides; never more than the bucket count."""
+def _differing(stats: DataFrame) -> DataFrame:
+    """(bucket, n_rows, differs) from `side_stats`."""
     signed = F.when(F.col("side") == SOURCE, 1).otherwise(-1)
 
     def gap(value) -> Column:
         return F.sum(value * signed) != 0
 
     differs = gap(F.col("n_rows").cast("decimal(38,0)")) | gap(combine_parts("row"))
-    return stats.groupBy("bucket").agg(differs.alias("differs")).filter("differs").select("bucket")
+    return stats.groupBy("bucket").agg(F.sum("n_rows").alias("n_rows"), differs.alias("differs"))
+
+
+def suspect_buckets(stats: DataFrame) -> DataFrame:
+    """Buckets whose rows differ between the sides; never more than the bucket count."""
+    return _differing(stats).filter("differs").select("bucket")
+
+
+@dataclass(frozen=True)
+class Suspects:
+    """Buckets that differ, at one depth of the tree, and the rows of both sides in them."""
+
+    buckets: DataFrame
+    bits: int
+    n_buckets: int
+    n_rows: int
+    all_rows: int
+
+    def of(self, df: DataFrame, place: Column) -> DataFrame:
+        """The rows of `df` whose place lies in a suspect bucket."""
+        # Sent to every task only where their counted number is small.
+        own = self.buckets.select(F.col("bucket").alias("_bucket"))
+        own = F.broadcast(own) if self.n_buckets <= MOST_BROADCAST else own
+        return df.withColumn("_bucket", _branch(place, self.bits)).join(own, "_bucket", "left_semi").drop("_bucket")
+
+
+def suspects(stats: DataFrame, buckets: int = BUCKETS) -> Suspects:
+    """The differing buckets of `side_stats`, counted."""
+    found = staged(_differing(stats), "suspects")
+    bad = F.col("differs")
+    n = found.agg(
+        F.count_if(bad).alias("n_buckets"),
+        F.coalesce(F.sum(F.when(bad, F.col("n_rows"))), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("all_rows"),
+    ).head()
+    return Suspects(found.filter("differs").select("bucket"), _bits(buckets), *n)
+
+
+def narrowed(
+    src: DataFrame,
+    tgt: DataFrame,
+    cols: Sequence[str],
+    found: Suspects,
+    mode: str | None = None,
+    few_rows: int = FEW_ROWS,
+) -> Suspects:
+    """Split the suspect buckets until their rows are few, a small share of all, or lie in leaves.
+
+    The places and hashes of the suspect rows, two numbers for each, are staged once; every level
+    sums them up by more bits of the place and goes on with the branches that differ.
+    """
+    rows = None
+    while found.n_rows > max(few_rows, SUSPECT_SHARE * found.all_rows) and found.bits < 60:
+        excess = found.n_rows // (LEAF_ROWS * found.n_buckets)
+        if excess < 2:
+            break
+        bits = min(found.bits + min(LEVEL_BITS, excess.bit_length()), 60)
+        if rows is None:
+            rows = _places(src, tgt, cols, mode)
+        rows = staged(found.of(rows, F.col("place")), "places")
+        level = rows.groupBy("sign", _branch(F.col("place"), bits).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n_rows"), *part_sums("row", F.col("h"))
+        )
+        side = F.when(F.col("sign") > 0, F.lit(SOURCE)).otherwise(F.lit(TARGET))
+        split = suspects(level.withColumn("side", side), 1 << bits)
+        found = Suspects(split.buckets, bits, split.n_buckets, split.n_rows, found.all_rows)
+    return found
+
+
+def _places(src: DataFrame, tgt: DataFrame, cols: Sequence[str], mode: str | None) -> DataFrame:
+    """(sign, place, h) of every row of both sides."""
+
+    def side(df: DataFrame, other: DataFrame, sign: int) -> DataFrame:
+        hashes = _key_hashes(df, other, cols, mode)
+        return df.select(F.lit(sign).alias("sign"), _place(hashes).alias("place"), F.xxhash64(*hashes).alias("h"))
+
+    return side(src, tgt, 1).unionByName(side(tgt, src, -1))
+
+
+def _wide_hash(df: DataFrame, other: DataFrame, cols: Sequence[str], mode: str | None) -> list[Column]:
+    """128 bits of a row: two hashes with different seeds over each value, then over the row."""
+    plain, seeded = _key_hashes(df, other, cols, mode), _key_hashes(df, other, cols, mode, seed=TARGET)
+    return [F.xxhash64(*plain).alias("_h1"), F.xxhash64(F.lit(TARGET), *seeded).alias("_h2")]
+
+
+def hash_diff(src: DataFrame, tgt: DataFrame, cols: Sequence[str], mode: str | None = None) -> DataFrame:
+    """Row hashes (_h1, _h2) that occur unequally often, with their copies on both sides.
+
+    Hashes and counts are all that is exchanged; copies are counted before.
+    """
+
+    def side(df: DataFrame, other: DataFrame, n_src: int) -> DataFrame:
+        counts = (F.lit(n_src).alias("n_src"), F.lit(1 - n_src).alias("n_tgt"))
+        return df.select(*_wide_hash(df, other, cols, mode), *counts)
+
+    counted = side(src, tgt, 1).unionByName(side(tgt, src, 0)).groupBy("_h1", "_h2")
+    sums = counted.agg(F.sum("n_src").alias("n_src"), F.sum("n_tgt").alias("n_tgt"))
+    return sums.filter("n_src <> n_tgt")
 
 
 def row_diff(
     src: DataFrame,
     tgt: DataFrame,
     cols: Sequence[str],
-    suspects: DataFrame | None = None,
+    suspects: Suspects | None = None,
     mode: str | None = None,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Distinct rows that occur more often on one side: the normalised columns, n_src and n_tgt.
 
     Copies are counted before the shuffle, so one row repeated a billion times costs one row per
-    task. `suspects`, from `suspect_buckets` with the same mode and buckets, keeps agreeing buckets
-    out of the shuffle; where all agree, nothing is read again.
+    task. With `suspects`, found in the same mode, only rows of their buckets are read again; where
+    there are none, nothing is. Without, `hash_diff` finds the hashes that differ first (at once: they
+    are staged and counted); joined back, they let only their own rows through. Text tells rows of one
+    hash apart in both cases.
     """
+    unequal = None
+    if suspects is None:
+        unequal = staged(hash_diff(src, tgt, cols, mode).select("_h1", "_h2"), "unequal")
+        n_unequal = unequal.count()
+        unequal = F.broadcast(unequal) if n_unequal <= MOST_BROADCAST else unequal
+    if not (suspects.n_buckets if suspects else n_unequal):
+        return _empty_diff(src, cols)
 
     def side(df: DataFrame, other: DataFrame) -> DataFrame:
-        kept = df.select(*_cols(cols))
         if suspects is not None:
-            bucket = _bucket(_key_hashes(df, other, cols, mode), buckets)
-            # Bounded: one integer per differing bucket.
-            kept = kept.withColumn("_bucket", bucket).join(
-                F.broadcast(suspects.withColumnRenamed("bucket", "_bucket")), "_bucket", "left_semi"
-            )
-        return kept.drop("_bucket") if mode is None else normalize_values(kept.drop("_bucket"), mode=mode)
-
-    counted = _tagged(side(src, tgt), side(tgt, src), cols).groupBy(*_cols(cols)).agg(
-        F.sum("n_src").alias("n_src"), F.sum("n_tgt").alias("n_tgt")
-    )
+            kept = suspects.of(df.select(*_cols(cols)), _place(_key_hashes(df, other, cols, mode)))
+            return kept if mode is None else normalize_values(kept, mode=mode)
+        hashed = df.select(*_cols(cols), *_wide_hash(df, other, cols, mode))
+        return hashed if mode is None else normalize_values(hashed, ignore=("_h1", "_h2"), mode=mode)
+
+    hashes = [] if unequal is None else ["_h1", "_h2"]
+    both = _tagged(side(src, tgt), side(tgt, src), [*cols, *hashes])
+    if unequal is not None:
+        both = both.join(unequal, hashes, "left_semi")
+    counted = both.groupBy(*_cols(cols)).agg(F.sum("n_src").alias("n_src"), F.sum("n_tgt").alias("n_tgt"))
     return counted.filter("n_src <> n_tgt")
 
 
+def _empty_diff(src: DataFrame, cols: Sequence[str]) -> DataFrame:
+    names = [f"`{c}` string" for c in cols]
+    return src.sparkSession.createDataFrame([], ", ".join([*names, "n_src bigint", "n_tgt bigint"]))
+
+
 def rows_only_in(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows of `a` that `b` does not have at all, with their number of copies in `a`."""
     only = row_diff(a, b, cols).filter("n_tgt = 0")

@@ -66,8 +66,9 @@ def validate(
 ) -> Validation:
     """Compare a source with its archive.
 
-    Each side is read once, whatever the number of columns; only buckets of rows that differ are
-    read a second time. Counts and checksums live in a small staged table that all checks share.
+    Each side is read once, whatever the number of columns; only rows of buckets that differ are
+    read again, after these were split until few other rows lie in them. Counts and checksums live
+    in a small staged table that all checks share.
     The summary names the place of the differing rows, `records_at`, and holds none of them.
     """
     spark = src.sparkSession
@@ -78,13 +79,16 @@ def validate(
     src, tgt = (df.select(*[f"`{c}`" for c in common]) for df in (src, tgt))
 
     stats = staged(compare.side_stats(src, tgt, common, mode, buckets), "stats")
-    suspects = compare.suspect_buckets(stats)
-    diff = staged(compare.row_diff(src, tgt, common, suspects, mode, buckets), "rows")
+    found = compare.suspects(stats, buckets)
+    found = compare.narrowed(src, tgt, common, found, mode)
+    diff = compare.row_diff(src, tgt, common, found, mode)
+    if found.n_buckets:
+        diff = staged(diff, "rows")
 
     # One row per column.
-    found = compare.stats_checksums(stats, common)
-    checksums = found.collect()
-    columns = spark.createDataFrame(checksums, found.schema)
+    sums = compare.stats_checksums(stats, common)
+    checksums = sums.collect()
+    columns = spark.createDataFrame(checksums, sums.schema)
     mismatched = [r["column"] for r in checksums if r["result"] != PASSED]
     records = compare.mismatch_records(diff, common, mismatched)
 

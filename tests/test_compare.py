@@ -42,8 +42,80 @@ def test_buckets_give_the_same_difference(spark):
     src, tgt = pair(spark, a, b)
     for buckets in (1, 16, 4096):
         stats = compare.side_stats(src, tgt, COLS, buckets=buckets)
-        suspects = compare.suspect_buckets(stats)
-        assert diff_rows(compare.row_diff(src, tgt, COLS, suspects, buckets=buckets)) == brute(a, b)
+        found = compare.suspects(stats, buckets)
+        assert diff_rows(compare.row_diff(src, tgt, COLS, found)) == brute(a, b)
+        split = compare.narrowed(src, tgt, COLS, found, few_rows=0)
+        assert split.bits >= found.bits and split.n_rows <= found.n_rows
+        assert diff_rows(compare.row_diff(src, tgt, COLS, split)) == brute(a, b)
+    with pytest.raises(ValueError, match="power of two"):
+        compare.side_stats(src, tgt, COLS, buckets=100)
+
+
+def test_scattered_defects_are_narrowed_down(spark):
+    """One row in a hundred differs: nearly every bucket does, but few rows are read again."""
+    src = spark.range(60_000).selectExpr("string(id) AS k", "string(id % 977) AS v")
+    tgt = src.selectExpr("k", "if(k % 100 = 7, 'x', v) AS v")
+    first = compare.suspects(compare.side_stats(src, tgt, COLS, buckets=64), 64)
+    assert first.n_buckets == 64 and first.n_rows == first.all_rows == 120_000
+    for level in (3, 14):
+        compare_level, compare.LEVEL_BITS = compare.LEVEL_BITS, level
+        try:
+            split = compare.narrowed(src, tgt, COLS, first, few_rows=0)
+        finally:
+            compare.LEVEL_BITS = compare_level
+        assert split.n_rows < 0.05 * split.all_rows
+        kept = split.of(src, compare._place(compare._key_hashes(src, tgt, COLS, None)))
+        assert kept.count() < 0.05 * 60_000
+        diff = compare.row_diff(src, tgt, COLS, split)
+        assert diff.count() == 1200 and diff.filter("k % 100 <> 7").count() == 0
+
+
+def test_equal_sides_are_not_read_again(spark):
+    src, _ = pair(spark, [("a", "b")] * 10, [])
+    found = compare.suspects(compare.side_stats(src, src, COLS))
+    assert (found.n_buckets, found.n_rows, found.all_rows) == (0, 0, 20)
+    assert compare.narrowed(src, src, COLS, found, few_rows=0) is found
+    diff = compare.row_diff(src, src, COLS, found)
+    assert diff.columns == [*COLS, "n_src", "n_tgt"] and diff.count() == 0
+
+
+def exchanged(df):
+    """Columns that shuffles of the plan carry."""
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if "Exchange" in node.nodeName():
+            out.append({node.output().apply(i).name() for i in range(node.output().size())})
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan.initialPlan() if "Adaptive" in plan.nodeName() else plan)
+    return out
+
+
+def test_hashes_are_exchanged_without_text(spark):
+    src, tgt = pair(spark, [("a", "x")] * 3, [("a", "x"), ("b", "y")])
+    found = compare.hash_diff(src, tgt, COLS)
+    assert sorted((r.n_src, r.n_tgt) for r in found.collect()) == [(0, 1), (3, 1)]
+    (only,) = exchanged(found)
+    assert {c.split("#")[0] for c in only} == {"_h1", "_h2", "sum"}
+
+
+def test_rows_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Where all hashes clash, text decides."""
+    monkeypatch.setattr(compare, "_wide_hash", lambda *a: [F.lit(1).alias("_h1"), F.lit(2).alias("_h2")])
+    a, b = [("a", "x"), ("b", "y"), ("c", "z")], [("a", "x"), ("b", "z")]
+    src, tgt = pair(spark, a, b)
+    assert diff_rows(compare.row_diff(src, tgt, COLS)) == brute(a, b)
+
+
+def test_unequal_hashes_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(compare, "MOST_BROADCAST", 1)
+    a, b = [("a", "x"), ("b", "y"), ("c", "z")], [("a", "x"), ("b", "z")]
+    src, tgt = pair(spark, a, b)
+    assert diff_rows(compare.row_diff(src, tgt, COLS)) == brute(a, b)
+    found = compare.suspects(compare.side_stats(src, tgt, COLS))
+    assert diff_rows(compare.row_diff(src, tgt, COLS, found)) == brute(a, b)
 
 
 DOUBLES = [
@@ -100,8 +172,9 @@ def test_nulls_in_different_columns_are_told_apart(spark):
     src = spark.createDataFrame([(None, 5), (1, None)], "a int, b int")
     tgt = spark.createDataFrame([(5, None), (None, 1)], "a int, b int")
     stats = compare.side_stats(src, tgt, ["a", "b"], "strict")
-    suspects = compare.suspect_buckets(stats)
-    assert compare.row_diff(src, tgt, ["a", "b"], suspects, "strict").count() == 4
+    found = compare.suspects(stats)
+    assert compare.row_diff(src, tgt, ["a", "b"], found, "strict").count() == 4
+    assert compare.row_diff(src, tgt, ["a", "b"], mode="strict").count() == 4
 
 
 def test_sides_of_different_types_compare_as_text(spark):
@@ -192,15 +265,18 @@ def test_validate_reports_missing_and_extra_columns(spark):
     assert remarks == "Mismatched columns: x, z"
 
 
-def test_validate_records_show_only_suspect_columns(spark):
+def test_validate_text_names_the_place_of_the_records(spark):
     src = spark.createDataFrame([(1, "a"), (2, "b")], "ID int, name string")
     tgt = spark.createDataFrame([(1, "a"), (2, "c")], "id int, name string")
-    v = validate(src, tgt, key=["id"])
-    remarks = v.summary.filter("validation_report = 'row_checksum_validation'").head().remarks
-    assert remarks.startswith(
-        'Mismatched checksums: 1 rows (50.0%). Records: [{"side":"source","copies":1,"record":{"name":"b"}'
-    )
-    assert '"id"' not in remarks
+    for place, text in ((None, "Validation.rows"), ("s3://vault/r", "s3://vault/r")):
+        v = validate(src, tgt, key=["id"], records_at=place)
+        remarks = v.summary.filter("validation_report = 'row_checksum_validation'").head().remarks
+        assert remarks == f"Mismatched checksums: 1 rows (50.0%). Records: {text}"
+    # The differing rows themselves; their checksum covers the columns under suspicion.
+    rows = {(r.side, r.copies, r.record.id, r.record.name) for r in v.rows.collect()}
+    assert rows == {("source", 1, "2", "b"), ("target", 1, "2", "c")}
+    same = validate(src, tgt.withColumn("id", F.lit(2)), key=["id"]).rows
+    assert same.select("row_checksum").distinct().count() == same.count()
     (p,) = v.pairs.collect()
     assert (p.id, p.source.name, p.target.name) == ("2", "b", "c")
 
