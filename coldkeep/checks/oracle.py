@@ -120,9 +120,10 @@ FOUND = f"""WITH {ARCHIVES}, found AS (
 
 BLOBS = """WITH cells AS (
         SELECT 'p' || page_id AS id, encode(html) AS body, html AS txt FROM pages
-        UNION ALL SELECT 'd' || doc_id, encode(text), text FROM documents),
-    kept AS (SELECT id, CASE WHEN id LIKE '%3' OR id LIKE '%7' OR octet_length(body) = 0 THEN NULL
-                             ELSE sha256(txt) END AS digest, body,
+        UNION ALL SELECT 'd' || doc_id, encode(text), text FROM documents
+        UNION ALL SELECT 'p' || page_id || '-empty', encode(''), '' FROM pages
+        UNION ALL SELECT 'd' || doc_id || '-null', NULL, NULL FROM documents),
+    kept AS (SELECT id, CASE WHEN octet_length(body) > 0 THEN sha256(txt) END AS digest, body,
              CASE WHEN regexp_matches(txt, '^[ \\t\\n\\r\\x0B\\f]*<') THEN '.xml'
                   WHEN starts_with(txt, '%PDF-') THEN '.pdf'
                   WHEN starts_with(txt, 'GIF87a') OR starts_with(txt, 'GIF89a') THEN '.gif'

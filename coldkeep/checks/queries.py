@@ -326,8 +326,12 @@ def _blob_source(spark, sf_dir):
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
         F.encode("text", "UTF-8").alias("body"),
     )
-    empty = F.expr("CASE WHEN id LIKE '%3' THEN X'' WHEN id LIKE '%7' THEN NULL ELSE body END")
-    return pages.unionByName(texts).withColumn("body", empty)
+    whole = pages.unionByName(texts)
+    bare = whole.select(
+        F.concat("id", F.when(F.col("id").startswith("p"), F.lit("-empty")).otherwise(F.lit("-null"))).alias("id"),
+        F.expr("CASE WHEN id LIKE 'p%' THEN X'' END").alias("body"),
+    )
+    return whole.unionByName(bare)
 
 
 def _linked(spark, sf_dir):
@@ -348,7 +352,7 @@ def blob_table(spark, sf_dir):
     linked = staged(_linked(spark, sf_dir), "linked")
     blob_store.write_blobs(linked, db)
     blob_store.write_blobs(linked, db)
-    return spark.table(f"{db}.{blob_store.BLOB_TABLE}").select("sha256", "ext", "length")
+    return blob_store.stored_blobs(spark, db).select("sha256", "ext", "length")
 
 
 @query

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 # Leading bytes of each file type, tested in this order after JPEG and markup.
 JPEG_MAGIC = b"\xff\xd8\xff"
 MARKUP_PATTERN = r"^[ \t\n\r\x0B\f]*<"
+BLANK_PATTERN = r"^[ \t\n\r\x0B\f]*$"
 MAGIC = {
     b"\x89PNG\r\n\x1a\n": ".png",
     b"%PDF-": ".pdf",
@@ -17,6 +18,7 @@ MAGIC = {
 }
 DEFAULT_EXTENSION = ".bin"
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
+SNIFFED_BYTES = 64
 LINK_SUFFIX = "_s3_path"
 BLOB_FOLDER = "blobs"
 
@@ -31,8 +33,11 @@ def sniff_extension(content: Column) -> Column:
     def starts(magic: bytes) -> Column:
         return F.startswith(content, F.lit(magic))
 
+    # The whole cell is decoded only where its beginning is nothing but white space.
+    begin = F.decode(F.substring(content, 1, SNIFFED_BYTES), "ISO-8859-1")
+    markup = F.when(begin.rlike(BLANK_PATTERN), F.decode(content, "ISO-8859-1").rlike(MARKUP_PATTERN))
     extension = F.when(starts(JPEG_MAGIC), F.lit(".jpg")).when(
-        F.decode(content, "ISO-8859-1").rlike(MARKUP_PATTERN), F.lit(".xml")
+        markup.otherwise(begin.rlike(MARKUP_PATTERN)), F.lit(".xml")
     )
     for magic, name in MAGIC.items():
         extension = extension.when(starts(magic), F.lit(name))

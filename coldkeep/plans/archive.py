@@ -15,13 +15,7 @@ from coldkeep.functions.retention import expiry_month, stamp_retention
 from coldkeep.operators.blob_store import export_blobs, extract_blobs, write_blobs
 from coldkeep.plans.report import ARCHIVE_JOB, JOB, job_args
 from coldkeep.session import in_parallel
-from coldkeep.sinks.tables import (
-    ensure_database,
-    folder_size,
-    is_row_level,
-    table_folder,
-    write_archive,
-)
+from coldkeep.sinks.tables import ensure_database, write_archive
 from coldkeep.sources.connections import Connection, connection_of
 from coldkeep.sources.tables import read_source
 
@@ -83,8 +77,7 @@ def archive(
     written = store(rows, name, mode, scattered=basis is not None)
     blobs = 0
     if written and binary_columns(df):
-        size = None if is_row_level(spark, name) else folder_size(spark, table_folder(spark, name))
-        blobs = write_blobs(spark.table(name), p["target_db"], size)
+        blobs = write_blobs(spark.table(name), p["target_db"])
         if export:
             export_blobs(spark.table(name), p["target_db"])
     return Archived(name, written, blobs)

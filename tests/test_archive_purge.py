@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldkeep.functions.retention import expired
-from coldkeep.operators.blob_store import BLOB_TABLE
+from coldkeep.operators.blob_store import stored_blobs
 from coldkeep.plans import purge
 from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import PLAN_COLUMNS
@@ -62,7 +62,7 @@ def test_archive_and_validate(spark, feed):
     assert verdict(staged.summary).head().passed
     again = archive(spark, row, Connection("c"), AS_OF)
     assert (again.rows, again.blobs) == (120, 0)
-    assert spark.table(f"{feed}.{BLOB_TABLE}").count() == 5
+    assert stored_blobs(spark, feed).count() == 5
 
 
 def test_seeded_defect_is_reported(spark, feed):

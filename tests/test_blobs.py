@@ -3,16 +3,18 @@ import base64
 import pytest
 from pyspark.sql import functions as F
 
+from plan_columns import exchanged
+
 from coldkeep.functions.blobs import binary_columns, sniff_extension
 from coldkeep.functions.naming import uri_parts, unquote
 from coldkeep.operators import blob_store
 from coldkeep.operators.blob_store import (
-    BLOB_TABLE,
     blob_cells,
     blob_digests,
     distinct_blobs,
     extract_blobs,
     read_blobs,
+    stored_blobs,
     write_blobs,
 )
 
@@ -36,6 +38,11 @@ def cells(spark, values):
         (b"\n\nabc<", ".bin"),
         (b" %PDF-1.7", ".bin"),
         (b"\xff\xfe\x00<", ".bin"),
+        (b" " * 64 + b"<a>", ".xml"),
+        (b"\n" * 200 + b"<a>", ".xml"),
+        (b" " * 200, ".bin"),
+        (b" " * 63 + b"x<", ".bin"),
+        (b" " * 64 + b"x<", ".bin"),
     ],
 )
 def test_sniff(spark, content, ext):
@@ -57,10 +64,99 @@ def test_store_twice_adds_nothing(spark, database):
     assert write_blobs(linked.repartition(3), database) == 0
     more = extract_blobs(cells(spark, [b"b", b"<c>"]), "s3://v", "d", "s", "t")
     assert write_blobs(more, database) == 1
-    rows = {r.sha256: (r.ext, bytes(r.content)) for r in spark.table(f"{database}.{BLOB_TABLE}").collect()}
+    rows = {r.sha256: (r.ext, bytes(r.content)) for r in stored_blobs(spark, database).collect()}
     assert sorted(rows.values()) == [(".bin", b"a"), (".bin", b"b"), (".xml", b"<c>")]
 
 
+def of(spark, values):
+    return extract_blobs(cells(spark, values), "s3://v", "d", "s", "t")
+
+
+def contents(spark, database):
+    return sorted(bytes(r.content) for r in stored_blobs(spark, database).collect())
+
+
+def test_a_store_grows_by_levels(spark, database, monkeypatch):
+    """Begun with one blob, it spreads over more buckets once a large table comes."""
+    monkeypatch.setattr(blob_store, "BUCKET_BYTES", 50)
+    assert write_blobs(of(spark, [b"first"]), database) == 1
+    assert [v.buckets for v in blob_store.blob_levels(spark, database)] == [4]
+    many = [b"content %04d" % i for i in range(200)]
+    assert write_blobs(of(spark, many + [b"first"]), database) == 200
+    assert [v.buckets for v in blob_store.blob_levels(spark, database)] == [4, 64]
+    # A small table still fits the first level; the second is not touched.
+    assert write_blobs(of(spark, [b"small", many[7]]), database) == 1
+    small, large = [spark.table(v.name) for v in blob_store.blob_levels(spark, database)]
+    assert (small.count(), large.count()) == (2, 200)
+    assert large.select(F.input_file_name()).distinct().count() > 32
+    assert contents(spark, database) == sorted([b"first", b"small", *many])
+    keys = of(spark, [many[3], b"first", b"small", b"absent"]).selectExpr("Body_s3_path AS key")
+    served = read_blobs(spark, database, keys).collect()
+    assert sorted(r.status for r in served) == [200, 200, 200, 404]
+    bodies = {base64.b64decode(r.body) for r in served if r.status == 200}
+    assert bodies == {many[3], b"first", b"small"}
+
+
+def test_two_drivers_add_the_same_content(spark, database, monkeypatch):
+    """Each sees the store without what the other is adding: readers still get one row."""
+    monkeypatch.setattr(blob_store, "BUCKET_BYTES", 40)
+    linked = of(spark, [b"x%d" % i for i in range(10)])
+    assert write_blobs(linked, database) == 10
+    (level,) = blob_store.blob_levels(spark, database)
+    spark.table(level.name).write.mode("append").bucketBy(level.buckets, "sha256").sortBy("sha256").saveAsTable(level.name)
+    twin = blob_store.Level(f"{database}.{blob_store.BLOB_TABLE}_64", 64)
+    spark.table(level.name).limit(15).write.bucketBy(64, "sha256").sortBy("sha256").saveAsTable(twin.name)
+    assert blob_store.blob_levels(spark, database) == [level, twin]
+    assert contents(spark, database) == sorted(b"x%d" % i for i in range(10))
+    assert write_blobs(linked, database) == 0
+    keys = linked.selectExpr("Body_s3_path AS key")
+    got = read_blobs(spark, database, keys).collect()
+    assert len(got) == 10 and {r.status for r in got} == {200}
+
+
+def test_held_bytes_are_not_exchanged(spark, database):
+    linked = of(spark, [b"x%d" % i for i in range(10)])
+    write_blobs(linked, database)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        levels = [spark.table(v.name) for v in blob_store.blob_levels(spark, database)]
+        lacking = blob_store.lacking_digests(of(spark, [b"x1", b"new"]), levels)
+        assert lacking.count() == 1 and exchanged(lacking) == [{"sha256"}] * len(exchanged(lacking))
+        for shuffle in exchanged(blob_store.lacking_cells(linked, lacking, 1)):
+            assert "content" not in shuffle and "Body" not in shuffle
+        asked = blob_store.blob_status(spark, database, linked.selectExpr("Body_s3_path AS key"))
+        for df in (stored_blobs(spark, database), asked):
+            # Only contents that very many keys ask for are dealt out in pieces.
+            assert all("salt" in shuffle for shuffle in exchanged(df) if "content" in shuffle)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_more_new_contents_than_a_broadcast_takes(spark, database, monkeypatch):
+    monkeypatch.setattr(blob_store, "MOST_BROADCAST", 1)
+    assert write_blobs(of(spark, [b"a", b"b", b"b", b"c"]), database) == 3
+    assert contents(spark, database) == [b"a", b"b", b"c"]
+
+
+def test_reading_before_any_write(spark, database):
+    keys = of(spark, [b"a"]).selectExpr("Body_s3_path AS key")
+    (row,) = read_blobs(spark, database, keys).collect()
+    assert (row.status, row.body, row.length) == (404, None, None)
+    assert stored_blobs(spark, database).count() == 0
+
+
+def test_export_from_several_levels(spark, database, monkeypatch, tmp_path):
+    monkeypatch.setattr(blob_store, "BUCKET_BYTES", 10)
+    linked = extract_blobs(cells(spark, [b"one", b"<two>"]), f"file://{tmp_path}", "d", "s", "t")
+    more = extract_blobs(cells(spark, [b"%d" % i * 9 for i in range(9)] + [b"one"]), f"file://{tmp_path}", "d", "s", "t")
+    write_blobs(linked, database)
+    write_blobs(more, database)
+    assert len(blob_store.blob_levels(spark, database)) == 2
+    assert blob_store.export_blobs(linked.unionByName(more), database) == 11
+    files = [p for p in tmp_path.rglob("blobs/**/*") if p.is_file()]
+    assert len(files) == 11 and b"<two>" in {p.read_bytes() for p in files}
+
+
 def test_no_blobs(spark, database):
     linked = extract_blobs(cells(spark, [b"", None]), "s3://v", "d", "s", "t")
     assert write_blobs(linked, database) == 0
