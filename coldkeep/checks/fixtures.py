@@ -188,6 +188,31 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document.select(F.from_json(F.to_json(F.struct("*")), RULES).alias("r")).select("r.*")
 
 
+BROKEN_SOURCE = """
+'{"name":"' || lower(r_name) || '","connection":"' || if(r_name = 'ASIA', 'nowhere', 'conn')
+|| '","warehouse":"main","retention_policy":"' || if(r_name = 'AFRICA', 'forever', 'short')
+|| '","legal_hold":' || if(r_name = 'EUROPE', '"yes"', 'false') || ',"include":{"schemas":['
+|| array_join(transform(array_sort(collect_list(n_name)), n -> '{"name":"' || n || '","tables":' ||
+   if(n IN ('BRAZIL', 'KENYA'), '{}', '[{"name":"BUILDING_1","regex":true,"condition":"x < 1"},'
+   || '{"name":"MACHINERY","regex":true},{"query":"SELECT 1","target_table":"' || n || '_ONE"'
+   || if(n IN ('CANADA', 'PERU'), ',"condition":"y"', '') || '},{"query":"SELECT 2","name":"both","target_table":"'
+   || n || '_TWO"}]') || '}'), ',') || ']}}'"""
+
+
+def broken_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rules document with a source per region, as JSON text; some of its parts are broken."""
+    nation = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
+    )
+    sources = nation.groupBy("r_name").agg(F.expr(BROKEN_SOURCE).alias("source"))
+    listed = F.concat_ws(",", F.array_sort(F.collect_list("source")))
+    head = (
+        '{"env":"dev","connections":{"conn":"prod"},"warehouses":{"main":"s3://vault/"},'
+        '"retention_policies":{"short":"6m"},"sources":['
+    )
+    return sources.agg(F.concat(F.lit(head), listed, F.lit("]}")).alias("document"))
+
+
 # ---- rules documents with defects, one per customer, as JSON text in both engines' SQL ----
 
 DOCUMENT_TEXT = """

@@ -400,7 +400,8 @@ ORACLE: dict[str, str] = {
             "table" AS source_table, query, condition,
             's3://vault/conn_' || source_name || '/' || schema || '/' || folder || '/' AS target_path,
             'archive_conn_' || source_name || '_prod' AS target_db, target AS target_table, segment,
-            {RETENTION} AS retention_policy_value, source_name = 'europe' AS legal_hold FROM items""",
+            {RETENTION} AS retention_policy_value, source_name = 'europe' AS legal_hold,
+            NULL::varchar AS refused FROM items""",
     "plan_collisions": f"""WITH {CATALOGUE} SELECT 'archive_x' AS target_db,
         lower(schema || '_' || "table") AS target_table, 2::bigint AS n_plans,
         'duplicate_target' AS rule FROM cat WHERE "table" LIKE 'BUILDING_1%'""",
@@ -514,4 +515,54 @@ ORACLE: dict[str, str] = {
             CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE md5(lower(c_mktsegment)) END, 'FAILED' FROM customer""",
     "archive_expired_by_hold": f"""WITH {ARCHIVES} SELECT legal_hold, count(*) AS n_rows,
         count(*) FILTER ({EXPIRED}) AS n_expired FROM arc_orders GROUP BY legal_hold""",
+    "plan_refusals": f"""WITH {CATALOGUE}, place AS (
+            SELECT lower(r_name) AS source_name, n_name AS schema, r_name, n_name NOT IN ('BRAZIL', 'KENYA') AS listed
+            FROM nation JOIN region ON n_regionkey = r_regionkey),
+        items AS (
+            SELECT source_name, schema, r_name, "table", NULL AS query, schema || '_' || "table" AS target, '' AS own
+            FROM place JOIN cat USING (schema)
+            WHERE listed AND ("table" LIKE 'BUILDING_1%' OR "table" LIKE 'MACHINERY%')
+            UNION ALL SELECT source_name, schema, r_name, NULL, 'SELECT 1', schema || '_ONE',
+                CASE WHEN schema IN ('CANADA', 'PERU') THEN 'query_with_condition' ELSE '' END FROM place WHERE listed
+            UNION ALL SELECT source_name, schema, r_name, NULL, 'SELECT 2', schema || '_TWO',
+                'not_exactly_one_of_name_and_query' FROM place WHERE listed),
+        reasons AS (SELECT *, [CASE r_name WHEN 'ASIA' THEN 'unknown_connection' END,
+            CASE r_name WHEN 'AFRICA' THEN 'unknown_retention_policy_value' END,
+            CASE r_name WHEN 'EUROPE' THEN 'unknown_legal_hold' END] AS parts,
+            [nullif(own, ''), CASE r_name WHEN 'ASIA' THEN 'unknown_connection'
+                WHEN 'AFRICA' THEN 'unknown_retention_policy' WHEN 'EUROPE' THEN 'legal_hold_not_boolean' END] AS rules
+            FROM items)
+        SELECT source_name, schema AS source_schema, "table" AS source_table, query, target AS target_table,
+            nullif(array_to_string(list_filter(parts, lambda x: x IS NOT NULL)
+                || list_sort(list_filter(rules, lambda x: x IS NOT NULL)), ', '), '') AS refused FROM reasons""",
+    "report_odd_columns": f"""{SUMMARY}, names AS (SELECT unnest([
+            ['o_orderkey', 'o_orderkey'], ['o_custkey', 'cust: key'], ['o_orderstatus', 'o_orderstatus'],
+            ['o_totalprice', 'total, price'], ['o_orderdate', 'o_orderdate'], ['o_orderpriority', '[prio]']]) AS n)
+        SELECT 'a.orders' AS target_table, n[2] AS "column", true AS in_source, n[1] <> 'o_orderstatus' AS in_target,
+            CASE WHEN n[1] <> 'o_orderstatus' THEN 'PASSED' ELSE 'FAILED' END AS result,
+            CASE WHEN n[1] = 'o_orderstatus' THEN NULL
+                WHEN list_contains(string_split(coalesce(bad.names, ''), ','), n[1]) THEN 'FAILED' ELSE 'PASSED' END
+            AS checksum_result FROM names, bad""",
+    "report_mismatch_rows": f"WITH p AS ({pairs(('o_orderkey',))}), lines AS ("
+    + " UNION ALL ".join(
+        f"SELECT 'SRC_orders' AS target_table, o_orderkey::varchar AS key, rank, '{c}' AS \"column\", "
+        f"source_{c}::varchar AS source_value, target_{c}::varchar AS target_value FROM p"
+        for c in COLUMNS
+        if c != "o_orderkey"
+    )
+    + """ UNION ALL SELECT 'SRC_nation', n_nationkey::varchar, 1, 'n_name', lower(n_name), lower(n_name) || 'x'
+            FROM nation WHERE n_nationkey < 9
+        UNION ALL SELECT 'SRC_nation', n_nationkey::varchar, 1, 'n_regionkey', n_regionkey::varchar,
+            n_regionkey::varchar FROM nation WHERE n_nationkey < 9)
+        SELECT *, CASE WHEN source_value IS NOT DISTINCT FROM target_value THEN 'PASSED' ELSE 'FAILED' END AS result
+        FROM lines""",
+    "report_legacy_mismatches": """WITH x AS (SELECT 't' || o_orderkey AS target_table, o_custkey::varchar AS k,
+            o_orderpriority AS p, md5(o_orderpriority) AS c, o_orderstatus <> 'F' AS pair
+            FROM orders WHERE o_orderstatus <> 'P'),
+        y AS (SELECT target_table, c, pair, 'k' AS "column", k AS s, CASE WHEN pair THEN k END AS t FROM x
+            UNION ALL SELECT target_table, c, pair, 'p', p, NULL FROM x
+            UNION ALL SELECT target_table, c, pair, 's', NULL, 'it, is]' FROM x WHERE pair)
+        SELECT target_table, 1::bigint AS rank, "column", s AS source_value, t AS target_value,
+            c AS source_checksum, CASE WHEN pair THEN 'c' END AS target_checksum,
+            CASE WHEN s IS NOT DISTINCT FROM t THEN 'PASSED' ELSE 'FAILED' END AS result FROM y""",
 }

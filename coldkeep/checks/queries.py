@@ -13,10 +13,15 @@ from coldkeep.functions.retention import expired, expiry_month, retention_days,
 from coldkeep.operators import blob_store, compare, rules as rule_ops
 from coldkeep.plans import purge as purging, report as reporting
 from coldkeep.plans.archive import archive, archive_many, archive_rows, store
-from coldkeep.plans.plan import plan
+from coldkeep.plans.plan import plan, plan_documents
 from coldkeep.plans.validate import validate, validate_many, verdict
 from coldkeep.session import scratch_path, staged
-from coldkeep.sinks.documents import register_config, registrations, write_purge_plan
+from coldkeep.sinks.documents import (
+    register_config,
+    registrations,
+    write_purge_plan,
+    write_summary,
+)
 from coldkeep.sinks.tables import write_archive
 from coldkeep.sources import documents as docs
 from coldkeep.sources.tables import query_over, read_archive, read_source
@@ -422,6 +427,14 @@ def plan_enriched(spark, sf_dir):
     return plan(fx.rules(spark, sf_dir), fx.catalogue(spark, sf_dir))
 
 
+@query
+def plan_refusals(spark, sf_dir):
+    """One document of which some sources, schemas and entries are broken and the others good."""
+    document = fx.broken_document(spark, sf_dir)
+    planned = plan_documents(document, fx.catalogue(spark, sf_dir))
+    return planned.select("source_name", "source_schema", "source_table", "query", "target_table", "refused")
+
+
 @query
 def plan_collisions(spark, sf_dir):
     """Tables whose archive names differ only by case."""
@@ -654,6 +667,58 @@ def report_checksum_rows(spark, sf_dir):
     return reporting.checksum_rows(_legacy_columns(spark, sf_dir, report_text.COLUMN_REPORT))
 
 
+@query
+def report_odd_columns(spark, sf_dir):
+    """Lines of a saved summary whose column names hold what the text parts lists with."""
+    src, tgt = fx.orders_pair(spark, sf_dir)
+    odd = {"o_totalprice": "total, price", "o_orderpriority": "[prio]", "o_custkey": "cust: key"}
+    src, tgt = src.withColumnsRenamed(odd), tgt.withColumnsRenamed(odd).drop("o_orderstatus")
+    root = scratch_path(spark, "odd")
+    write_summary(validate(src, tgt, target_table="a.orders").summary, f"{root}/validation_summary")
+    saved = docs.read_summaries(spark, root)
+    columns, sums = reporting.schema_rows(saved), reporting.checksum_rows(saved)
+    sums = sums.select("target_table", "column", F.col("result").alias("checksum_result"))
+    return columns.join(sums, ["target_table", "column"], "left")
+
+
+@query
+def report_mismatch_rows(spark, sf_dir):
+    """Mismatched rows of two tables, validated and saved by two runs, as lines of one report."""
+    db, target = fx.fresh_database(spark, "pairs_src"), fx.fresh_database(spark, "pairs")
+    src, tgt = fx.orders_pair(spark, sf_dir)
+    src.write.saveAsTable(f"{db}.orders")
+    tgt.write.saveAsTable(f"{target}.src_orders")
+    nation = fx.table(spark, sf_dir, "nation")
+    nation.write.saveAsTable(f"{db}.nation")
+    renamed = F.expr("if(n_nationkey < 9, n_name || 'X', n_name)")
+    nation.withColumn("n_name", renamed).write.saveAsTable(f"{target}.src_nation")
+    root = scratch_path(spark, "pairs")
+    for name, key in (("orders", "o_orderkey"), ("nation", "n_nationkey")):
+        row = (db, name, None, None, target, f"SRC_{name}")
+        validate_many(spark, fx.plan_rows(spark, [row]), fx.Connection(name="landing"), root, key=[key])
+    lines = reporting.mismatch_rows(docs.read_pairs(spark, root))
+    return lines.select(
+        F.substring_index("target_table", ".", -1).alias("target_table"),
+        F.concat_ws(",", F.map_values("key")).alias("key"),
+        "rank", "column", "source_value", "target_value", "result",
+    )
+
+
+@query
+def report_legacy_mismatches(spark, sf_dir):
+    """Mismatched records that older summaries hold in their text, source beside target."""
+    summaries = fx.table(spark, sf_dir, "orders").selectExpr(
+        "'row_checksum_validation' AS validation_report",
+        "'t' || CAST(o_orderkey AS STRING) AS target_table",
+        "'Mismatched checksums: 1 rows (1.0%). Records: ' || CASE WHEN o_orderstatus = 'P' THEN '[broken' ELSE "
+        "'[{\"source_row\": {\"record\": {\"k\": ' || CAST(o_custkey AS STRING) || ', \"p\": \"' || o_orderpriority "
+        "|| '\"}, \"checksum\": \"' || md5(o_orderpriority) || '\"}}' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE "
+        "', {\"target_row\": {\"record\": {\"k\": ' || CAST(o_custkey AS STRING) || ', \"s\": \"it, is]\"}, "
+        "\"checksum\": \"c\"}}' END END || ']' AS remarks",
+    )
+    return reporting.mismatch_rows(reporting.legacy_pairs(summaries)).drop("key")
+
+
 @query
 def archive_validate_report(spark, sf_dir):
     """Three plan rows through archiving, validation and the report."""

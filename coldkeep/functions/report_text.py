@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ast
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 # The wording of the summary, shared by writer and reader.
@@ -17,6 +21,7 @@ COUNT_PATTERN = r"source_table_count: (\d+), target_table_count: (\d+)"
 COLUMNS_PATTERN = r"source_columns: \[(.*?)\], target_columns: \[(.*?)\]"
 VALIDATED_PATTERN = r"row checksums validated: (\d+)"
 MISMATCH_PATTERN = r"Mismatched checksums: (\d+) rows \(([\d.]+)%\)"
+RECORDS_PATTERN = r"(?s)Records:\s*(\[.*\])"
 SOURCE_CHECKSUMS_PATTERN = r"source_column_checksum: \[(.*?)\]"
 TARGET_CHECKSUMS_PATTERN = r"target_column_checksum: \[(.*?)\]"
 
@@ -144,3 +149,34 @@ def parse_legacy_columns(df: DataFrame) -> DataFrame:
             "target_checksums": _checksum_map(value, TARGET_CHECKSUMS_PATTERN),
         }
     )
+
+
+LEGACY_RECORDS = "array<struct<side: string, record: map<string, string>, checksum: string>>"
+
+
+def _record_list(text: str | None) -> str | None:
+    """The list of records as JSON; a text that is no such list has none."""
+    try:
+        rows = [
+            {
+                "side": side,
+                "record": {str(k): str(v) for k, v in found[f"{side}_row"].get("record", {}).items()},
+                "checksum": str(found[f"{side}_row"].get("checksum", "")),
+            }
+            for found in (ast.literal_eval(text) if text else [])
+            for side in ("source", "target")
+            if f"{side}_row" in found
+        ]
+    except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError):
+        return None
+    return json.dumps(rows)
+
+
+def legacy_records(remarks: Column) -> Column:
+    """Records of mismatched rows in the text of older summaries, which list them as literals."""
+
+    @F.pandas_udf("string")
+    def as_json(texts: pd.Series) -> pd.Series:
+        return texts.map(_record_list)
+
+    return F.from_json(as_json(F.regexp_extract(remarks, RECORDS_PATTERN, 1)), LEGACY_RECORDS)

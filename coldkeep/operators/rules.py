@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def rule_sources(rules: DataFrame) -> DataFrame:
-    """One row per source of a rules document, with the document's lookup maps beside it."""
+    """One row per source of a rules document, with the document's lookup maps beside it.
+
+    `document_id` tells documents apart; without this column there is one document.
+    """
+    given = "document_id" in rules.columns
+    document = F.col("document_id") if given else F.lit("").alias("document_id")
     return rules.select(
-        "warehouses", "connections", "retention_policies", F.posexplode("sources")
+        document, "warehouses", "connections", "retention_policies", F.posexplode("sources")
     ).select(
+        "document_id",
         F.col("pos").alias("source_idx"),
         "col.*",
         "warehouses",
@@ -23,79 +29,95 @@ def starts_like(text: Column, pattern: Column) -> Column:
     return F.rlike(text, F.concat(F.lit("^(?:"), pattern, F.lit(")")))
 
 
-def excluded(table: Column, patterns: Column) -> Column:
-    return F.coalesce(F.exists(patterns, lambda p: starts_like(table, p)), F.lit(False))
-
-
 def exclude(catalogue: DataFrame, patterns: list[str]) -> DataFrame:
     """Catalogue entries whose table name starts with none of the patterns."""
-    listed = F.array(*[F.lit(p) for p in patterns]).cast("array<string>")
-    return catalogue.filter(~excluded(F.col("table"), listed))
+    banned = F.lit(False)
+    for pattern in patterns:
+        banned = banned | starts_like(F.col("table"), F.lit(pattern))
+    return catalogue.filter(~banned)
 
 
-def first_rule(table: Column, entries: Column) -> Column:
-    """The first table entry that names this table exactly or, if it is a pattern, as a prefix."""
+def literal_prefix(pattern: Column) -> Column:
+    """Letters, digits and underscores that every match of a pattern begins with; maybe none.
 
-    def hits(entry: Column) -> Column:
-        pattern = F.coalesce(entry["regex"], F.lit(False))
-        exact, prefix = entry["name"] == table, starts_like(table, entry["name"])
-        named = entry["name"].isNotNull() & entry["query"].isNull()
-        return named & F.coalesce(F.when(pattern, prefix).otherwise(exact), F.lit(False))
-
-    return F.try_element_at(F.filter(entries, hits), F.lit(1))
+    A quantifier may do without the letter before it, and an alternation without all of them.
+    """
+    begin = F.regexp_extract(pattern, r"^([A-Za-z0-9_]*)(?![*?{])", 1)
+    return F.when(F.contains(pattern, F.lit("|")), F.lit("")).otherwise(begin)
 
 
-def schema_entries(sources: DataFrame) -> DataFrame:
-    """One row per (source, schema name): its table entries in document order.
+def matching(texts: DataFrame, text: str, patterns: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs of a text and a `pattern` of the same `on` that matches it from its beginning.
 
-    The entries stay the array they are in the document. Schemas listed twice are joined up.
+    The literal prefix of the patterns is an index: per group of `on` the lengths of its prefixes are
+    known, and a text is looked up by its own prefixes of these lengths. It is tried against the
+    patterns found that way only, not against all of its group.
     """
-    named = sources.withColumn("schema_names", F.array_distinct("include.schemas.name"))
-    return named.select("*", F.explode("schema_names").alias("schema")).withColumn(
-        "entries",
-        F.flatten(
-            F.transform(
-                F.filter("include.schemas", lambda s: s["name"] == F.col("schema")),
-                lambda s: F.coalesce(s["tables"], F.array().cast(_ENTRIES)),
-            )
-        ),
+    indexed = patterns.withColumn("_prefix", literal_prefix(F.col("pattern")))
+    indexed = indexed.withColumn("_length", F.length("_prefix"))
+    # One row for each group, of as many numbers as prefixes have lengths.
+    lengths = indexed.groupBy(*on).agg(F.collect_set("_length").alias("_lengths"))
+    keyed = (
+        texts.join(lengths, on)
+        .select(*texts.columns, F.explode("_lengths").alias("_length"))
+        .filter(F.length(text) >= F.col("_length"))
+        .withColumn("_prefix", F.expr(f"substring(`{text}`, 1, _length)"))
     )
+    found = keyed.join(indexed, [*on, "_length", "_prefix"])
+    return found.filter(starts_like(F.col(text), F.col("pattern"))).drop("_length", "_prefix")
 
 
-_ENTRIES = (
-    "array<struct<name: string, regex: boolean, condition: string, query: string, "
-    "target_table: string>>"
-)
+def schema_entries(sources: DataFrame) -> DataFrame:
+    """One row per table entry: its source, the schema, the `place` among all entries that the source
+    has for this schema name, and `entry`, its position in its own list of the document."""
+    schemas = sources.select("document_id", "source_idx", F.posexplode("include.schemas").alias("list", "s"))
+    entries = schemas.select(
+        "document_id", "source_idx", F.col("s.name").alias("schema"), "list",
+        F.posexplode("s.tables").alias("entry", "rule"),
+    )
+    return entries.withColumn("place", F.struct("list", "entry")).drop("list")
 
 
 def match_rules(sources: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Catalogue tables that a rule selects: source, schema, table and the condition if it has one.
+    """Catalogue tables that a rule selects: source, schema, table, the condition if the rule has one,
+    and the `entry` that the rule is. A table that is listed twice is one table.
 
-    One equi-join on the schema, then a scan of that schema's rule list per table: the first rule
-    wins without emitting the losing pairs. A `connection` column in the catalogue joins too.
+    The first rule that names a table, or is a pattern that its name begins with, wins. Names are
+    joined, patterns looked up by `matching`, the exclusions of a source alike. A `connection` column
+    in the catalogue must be that of the source.
     """
-    entries = schema_entries(sources)
-    on = ["schema"] + (["connection"] if "connection" in catalogue.columns else [])
-    rule = first_rule(F.col("table"), F.col("entries"))
+    by_schema = ["schema"] + (["connection"] if "connection" in catalogue.columns else [])
+    tables = catalogue.select(*by_schema, "table").distinct()
+    of_source = ["document_id", "source_idx"]
+    head = sources.drop("include", "exclude")
+    rules = schema_entries(sources).filter("rule.name IS NOT NULL AND rule.query IS NULL")
+    rules = rules.join(head.select(*of_source, "connection"), of_source)
+    if len(by_schema) == 1:
+        rules = rules.drop("connection")
+    pattern = F.coalesce(F.col("rule.regex"), F.lit(False))
+    named = tables.join(rules.filter(~pattern).withColumn("table", F.col("rule.name")), [*by_schema, "table"])
+    patterns = rules.filter(pattern).withColumn("pattern", F.col("rule.name"))
+    like = matching(tables, "table", patterns, by_schema).drop("pattern")
+    hits = named.unionByName(like)
+    key = [*of_source, *by_schema, "table"]
+    first = hits.groupBy(*key).agg(F.min_by(F.struct("rule.condition", "entry"), "place").alias("first"))
+    bans = sources.select(*of_source, F.explode("exclude.tables").alias("pattern"))
+    banned = matching(first.select(*key), "table", bans, of_source).select(*key)
+    condition = F.col("first.condition")
     return (
-        catalogue.join(entries, on)
-        .filter(~excluded(F.col("table"), F.col("exclude.tables")))
-        .withColumn("rule", rule)
-        .filter(F.col("rule").isNotNull())
-        .withColumn("condition", F.when(F.col("rule.condition") != "", F.col("rule.condition")))
-        .drop("rule", "entries")
+        first.join(banned, key, "left_anti")
+        .withColumns({"condition": F.when(condition != "", condition), "entry": F.col("first.entry")})
+        .drop("first")
+        .join(head, of_source + by_schema[1:])
     )
 
 
 def query_rules(sources: DataFrame) -> DataFrame:
     """Entries that archive a query: they need no catalogue."""
-    return (
-        schema_entries(sources)
-        .select("*", F.explode("entries").alias("rule"))
-        .filter(F.col("rule.query").isNotNull())
-        .withColumns({"query": F.col("rule.query"), "target_table": F.col("rule.target_table")})
-        .drop("rule", "entries")
+    asked = schema_entries(sources).filter("rule.query IS NOT NULL").select(
+        "document_id", "source_idx", "schema", "entry", "rule.query", "rule.target_table"
     )
+    return asked.join(sources.drop("include", "exclude"), ["document_id", "source_idx"])
 
 
 # ---- checks of a rules document, on what was really written in it ----
@@ -130,6 +152,8 @@ def _violations(df: DataFrame, rules: dict[str, Column], *keep: Column) -> DataF
     return df.select(*keep, F.explode(broken).alias("rule"))
 
 
+#: Rules about a schema as a whole; those about the document or a source leave `schema` NULL as well.
+SCHEMA_RULES = ("schema_without_name", "tables_not_a_list")
 REQUIRED_KEYS = ("env", "warehouses", "connections", "sources", "retention_policies")
 
 
@@ -256,6 +280,35 @@ def purge_target_violations(documents: DataFrame, id_cols: tuple[str, ...] = ())
     return document_level.unionByName(target_level)
 
 
+def refusals(items: DataFrame, violations: DataFrame) -> DataFrame:
+    """Add `broken`, the sorted rules that concern a row's place, to rows with the columns document_id,
+    source_idx, schema and entry.
+
+    A rule of the document concerns all of its rows, one of a source the rows of that source, and so
+    on down to the single entry; a schema without a name is one whose name is NULL.
+    """
+    of_schema = F.col("rule").isin(*SCHEMA_RULES)
+    levels = [
+        ([], F.col("source_idx").isNull()),
+        (["source_idx"], F.col("source_idx").isNotNull() & F.col("schema").isNull() & F.col("entry").isNull() & ~of_schema),
+        (["source_idx", "schema"], of_schema),
+        (["source_idx", "schema", "entry"], F.col("entry").isNotNull()),
+    ]
+    out = items
+    for n, (place, condition) in enumerate(levels):
+        on = ["document_id", *place]
+        broken = violations.filter(condition).groupBy(*on).agg(F.collect_set("rule").alias(f"_rules{n}"))
+        keys = broken.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on)], f"_rules{n}")
+        same = F.lit(True)
+        for i, c in enumerate(on):
+            same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        out = out.join(keys, same, "left").drop(*[f"_k{i}" for i in range(len(on))])
+    nothing = F.array().cast("array<string>")
+    found = [F.coalesce(F.col(f"_rules{n}"), nothing) for n in range(len(levels))]
+    rules = F.array_sort(F.array_distinct(F.concat(*found)))
+    return out.withColumn("broken", rules).drop(*[f"_rules{n}" for n in range(len(levels))])
+
+
 def target_collisions(plan: DataFrame) -> DataFrame:
     """Archive tables that more than one plan row would write, since names are lower-cased."""
     target = [F.col("target_db"), F.lower("target_table").alias("target_table")]

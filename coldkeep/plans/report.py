@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from coldkeep.functions.report_text import (
     COLUMN_REPORT,
+    ROW_REPORT,
     SCHEMA_REPORT,
     duration_seconds,
     duration_text,
+    legacy_records,
     parse_legacy_columns,
     severity,
 )
@@ -21,6 +25,11 @@ ARG_SOURCE = "--source_table"
 ARG_QUERY = "--query"
 NO_SOURCE = "UNKNOWN_SOURCE"
 
+#: Columns of `SAVED_PAIRS`.
+PAIR_COLUMNS = (
+    "target_table", "key", "rank", "source", "target", "source_copies", "target_copies",
+    "source_checksum", "target_checksum",
+)
 JOB = (
     "job_name string, job_run_id string, status string, start_time timestamp, end_time timestamp, "
     "script_args map<string,string>"
@@ -122,13 +131,29 @@ def report(summaries: DataFrame, jobs: DataFrame) -> DataFrame:
     )
 
 
+def _branches(summaries: DataFrame, report: str, typed: str) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of a check that carry the typed column, and those that have only text."""
+    rows = summaries.filter(F.col("validation_report") == report)
+    if typed not in summaries.columns:
+        return None, rows
+    lists = [c for c in ("source_columns", "target_columns", "checksums") if c in summaries.columns]
+    return rows.filter(F.col(typed).isNotNull()), rows.filter(F.col(typed).isNull()).drop(*lists)
+
+
 def schema_rows(summaries: DataFrame) -> DataFrame:
-    """Column lines of the report, one per column of either side."""
-    parsed = parse_legacy_columns(summaries.filter(F.col("validation_report") == SCHEMA_REPORT))
+    """Column lines of the report, one per column of either side.
+
+    They come from the lists of the summary; older summaries have only text, which is read back.
+    """
+    typed, texts = _branches(summaries, SCHEMA_REPORT, "source_columns")
+    sides = ("target_table", "source_columns", "target_columns")
+    rows = parse_legacy_columns(texts).select(*sides)
+    if typed is not None:
+        rows = typed.select(*sides).unionByName(rows)
     names = F.array_sort(F.array_union("source_columns", "target_columns"))
     in_source = F.array_contains("source_columns", F.col("column"))
     in_target = F.array_contains("target_columns", F.col("column"))
-    return parsed.select("*", F.explode(names).alias("column")).select(
+    return rows.select("*", F.explode(names).alias("column")).select(
         "target_table",
         "column",
         in_source.alias("in_source"),
@@ -139,20 +164,95 @@ def schema_rows(summaries: DataFrame) -> DataFrame:
 
 def checksum_rows(summaries: DataFrame) -> DataFrame:
     """Checksum lines of the report, one per column of either side; a missing side is N/A."""
-    parsed = parse_legacy_columns(summaries.filter(F.col("validation_report") == COLUMN_REPORT))
+    typed, texts = _branches(summaries, COLUMN_REPORT, "checksums")
+    parsed = parse_legacy_columns(texts)
     names = F.array_sort(
         F.array_union(F.map_keys("source_checksums"), F.map_keys("target_checksums"))
     )
 
     def side(name: str) -> Column:
-        return F.coalesce(F.try_element_at(f"{name}_checksums", F.col("column")), F.lit("N/A"))
+        return F.try_element_at(f"{name}_checksums", F.col("column")).alias(name)
 
-    return parsed.select("*", F.explode(names).alias("column")).select(
+    rows = parsed.select("*", F.explode(names).alias("column")).select(
+        "target_table", "column", side("source"), side("target")
+    )
+    if typed is not None:
+        lines = typed.select("target_table", F.inline("checksums"))
+        rows = lines.select("target_table", "column", "source", "target").unionByName(rows)
+    source, target = (F.coalesce(name, F.lit("N/A")) for name in ("source", "target"))
+    return rows.select(
         "target_table",
         "column",
-        side("source").alias("source_checksum"),
-        side("target").alias("target_checksum"),
-        F.when(side("source") == side("target"), F.lit("PASSED"))
-        .otherwise(F.lit("FAILED"))
-        .alias("result"),
+        source.alias("source_checksum"),
+        target.alias("target_checksum"),
+        F.when(source == target, F.lit("PASSED")).otherwise(F.lit("FAILED")).alias("result"),
     )
+
+
+def savable_pairs(pairs: DataFrame, target_table: str, key: Sequence[str] = ()) -> DataFrame:
+    """Mismatched pairs of any table in one form (`SAVED_PAIRS`): values by column name."""
+    ours = ("copies", "row_checksum")
+
+    def side(name: str) -> list[Column]:
+        values = [f.name for f in pairs.schema[name].dataType.fields[: -len(ours)]]
+        entries = [x for c in values for x in (F.lit(c), F.col(name)[c])]
+        row = F.when(F.col(name).isNotNull(), F.create_map(*entries).cast("map<string,string>"))
+        return [
+            row.alias(name),
+            F.col(name)["copies"].alias(f"{name}_copies"),
+            F.col(name)["row_checksum"].alias(f"{name}_checksum"),
+        ]
+
+    entries = [x for c in key for x in (F.lit(c), F.col(f"`{c}`"))]
+    found = pairs.select(
+        F.lit(target_table).alias("target_table"),
+        F.create_map(*entries).cast("map<string,string>").alias("key"),
+        F.col("rank").cast("bigint").alias("rank"),
+        *side("source"),
+        *side("target"),
+    )
+    return found.select(*PAIR_COLUMNS)
+
+
+def mismatch_rows(pairs: DataFrame) -> DataFrame:
+    """Row lines of the report: each column of a mismatched pair, source value beside target value.
+
+    A row without a partner has values on its own side only.
+    """
+    nothing = F.array().cast("array<string>")
+    sides = [F.coalesce(F.map_keys(name), nothing) for name in ("source", "target")]
+    names = F.array_sort(F.array_union(*sides))
+    value = {name: F.try_element_at(name, F.col("column")) for name in ("source", "target")}
+    same = value["source"].eqNullSafe(value["target"])
+    return pairs.select("*", F.explode(names).alias("column")).select(
+        "target_table",
+        "key",
+        "rank",
+        "column",
+        value["source"].alias("source_value"),
+        value["target"].alias("target_value"),
+        "source_checksum",
+        "target_checksum",
+        F.when(same, F.lit("PASSED")).otherwise(F.lit("FAILED")).alias("result"),
+    )
+
+
+def legacy_pairs(summaries: DataFrame) -> DataFrame:
+    """Mismatched pairs (`SAVED_PAIRS`) from older summaries, whose text holds the records.
+
+    Two neighbouring records are a pair, as they were written; the key is not known there.
+    """
+    rows = summaries.filter(F.col("validation_report") == ROW_REPORT)
+    listed = rows.select("target_table", F.posexplode(legacy_records(F.col("remarks"))).alias("at", "r"))
+    rank = (F.floor(F.col("at") / 2) + 1).cast("bigint").alias("rank")
+
+    def side(name: str) -> list[Column]:
+        of_side = F.when(F.col("r.side") == name, F.col("at"))
+        return [
+            F.max_by("r.record", of_side).alias(name),
+            F.max_by("r.checksum", of_side).alias(f"{name}_checksum"),
+            F.when(F.count(of_side) > 0, F.lit(1)).cast("bigint").alias(f"{name}_copies"),
+        ]
+
+    found = listed.groupBy("target_table", rank).agg(*side("source"), *side("target"))
+    return found.withColumn("key", F.create_map().cast("map<string,string>")).select(*PAIR_COLUMNS)

@@ -22,7 +22,7 @@ from coldkeep.functions.report_text import (
     render_summary,
 )
 from coldkeep.operators import compare
-from coldkeep.plans.report import JOB, VALIDATE_JOB, job_args
+from coldkeep.plans.report import JOB, VALIDATE_JOB, job_args, savable_pairs
 from coldkeep.session import in_parallel, staged
 from coldkeep.sinks.documents import write_summary
 from coldkeep.sources.connections import Connection, connection_of
@@ -51,6 +51,7 @@ class Validation:
     columns: DataFrame
     rows: DataFrame
     pairs: DataFrame
+    key: tuple[str, ...] = ()
 
 
 def validate(
@@ -119,9 +120,8 @@ def validate(
     )
     texts = ["validation_report", "source_table", "target_table", "result"]
     rendered = render_summary(named.select(*texts, *[c for c in summary.columns if c not in texts]))
-    return Validation(
-        rendered, schema, columns, records, compare.pair_mismatches(diff, common, list(key or []))
-    )
+    pairs = compare.pair_mismatches(diff, common, list(key or []))
+    return Validation(rendered, schema, columns, records, pairs, tuple(key or ()))
 
 
 def _row(report: str, numbers: dict) -> tuple:
@@ -180,7 +180,8 @@ def validate_many(
 ) -> DataFrame:
     """Validate every row of an archived plan; one run row each.
 
-    Saves the summary, all differing rows and their mismatched pairs. A query is run on the source
+    Saves the summary, all differing rows and their mismatched pairs, these in a form that tables
+    share, so that one report reads those of all. A query is run on the source
     again and compared with its archived result. Each row is read from the connection it names.
     """
 
@@ -208,7 +209,8 @@ def validate_many(
             )
             write_summary(result.summary, f"{folder}/validation_summary")
             result.rows.write.mode("overwrite").parquet(f"{folder}/mismatch_records")
-            result.pairs.write.mode("overwrite").parquet(f"{folder}/mismatch_pairs")
+            pairs = savable_pairs(result.pairs, target, result.key)
+            pairs.write.mode("overwrite").parquet(f"{folder}/mismatch_pairs")
             status, error = "SUCCEEDED", None
         except Exception as failure:
             status, error = "FAILED", str(failure)

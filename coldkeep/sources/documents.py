@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,6 +32,15 @@ SUMMARY_NUMBERS = (
     "source_count bigint, target_count bigint, difference bigint, mismatch_count bigint, "
     "mismatch_percent double, mismatched_columns array<string>"
 )
+SUMMARY_LISTS = (
+    "source_columns array<string>, target_columns array<string>, "
+    "checksums array<struct<column: string, source: string, target: string>>, records_at string"
+)
+SAVED_PAIRS = (
+    "target_table string, key map<string, string>, rank bigint, source map<string, string>, "
+    "target map<string, string>, source_copies bigint, target_copies bigint, "
+    "source_checksum string, target_checksum string"
+)
 PURGE_PLAN = (
     "source_name string, database string, table_name string, estimated_rows_to_delete bigint, "
     "as_of date, discovered_at timestamp"
@@ -54,8 +64,9 @@ def yaml_to_json(documents: DataFrame, column: str = "document") -> DataFrame:
     return documents.withColumn(column, convert(column))
 
 
-def parse_rules(documents: DataFrame, column: str = "document") -> DataFrame:
-    return documents.select(F.from_json(column, RULES).alias("rules")).select("rules.*")
+def parse_rules(documents: DataFrame, column: str = "document", keep: Sequence[str] = ()) -> DataFrame:
+    """The documents as typed columns, beside those to keep; a broken one has none of its parts."""
+    return documents.select(*keep, F.from_json(column, RULES).alias("rules")).select(*keep, "rules.*")
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -69,9 +80,10 @@ def read_purge_targets(spark: SparkSession, path: str) -> DataFrame:
 def read_summaries(spark: SparkSession, root: str) -> DataFrame:
     """Summary rows of all JSON-lines files below a folder; broken lines are skipped.
 
-    `seq` is the time the file was written, for `latest_by_type`.
+    `seq` is the time the file was written, for `latest_by_type`. Numbers and lists are NULL in rows
+    that older runs have saved as text alone.
     """
-    schema = f"{SUMMARY}, {SUMMARY_NUMBERS}"
+    schema = f"{SUMMARY}, {SUMMARY_NUMBERS}, {SUMMARY_LISTS}"
     rows = (
         spark.read.schema(schema)
         .option("mode", "DROPMALFORMED")
@@ -82,6 +94,11 @@ def read_summaries(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("*", F.col("_metadata.file_modification_time").alias("seq"))
 
 
+def read_pairs(spark: SparkSession, root: str) -> DataFrame:
+    """Mismatched pairs that `validate_many` has saved below a folder, of all tables."""
+    return spark.read.schema(SAVED_PAIRS).parquet(f"{root.rstrip('/')}/*/*/mismatch_pairs")
+
+
 def read_purge_plan(spark: SparkSession, path: str, source_name: str) -> DataFrame:
     plan = spark.read.schema(PURGE_PLAN).json(path)
     return plan.filter(F.col("source_name") == source_name)

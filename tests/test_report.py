@@ -8,7 +8,20 @@ from coldkeep.functions.report_text import (
     parse_legacy_counts,
     severity,
 )
-from coldkeep.plans.report import JOB, checksum_rows, job_metadata, latest_by_type, report, schema_rows
+from coldkeep.plans.report import (
+    JOB,
+    checksum_rows,
+    job_metadata,
+    latest_by_type,
+    legacy_pairs,
+    mismatch_rows,
+    report,
+    savable_pairs,
+    schema_rows,
+)
+from coldkeep.plans.validate import validate
+from coldkeep.sinks.documents import write_summary
+from coldkeep.sources.documents import SAVED_PAIRS, SUMMARY_LISTS, read_summaries
 
 
 def one(spark, sql, column):
@@ -94,6 +107,72 @@ def test_column_lines(spark):
     ]
 
 
+def test_typed_and_older_summaries_in_one_report(spark):
+    """Lists are used where a summary has them, whatever its text says; older rows are read from text."""
+    odd = "a, b]: 'c'"
+    df = spark.createDataFrame(
+        [
+            ("schema_validation", "new", "source_columns: ['x'], target_columns: ['x']", [odd, "n"], [odd], None),
+            ("schema_validation", "old", "source_columns: ['a'], target_columns: ['a', 'b']", None, None, None),
+            ("column_checksum_validation", "new", "source_column_checksum: [], target_column_checksum: []", None, None,
+             [(odd, "1", "2"), ("n", None, "3")]),
+            ("column_checksum_validation", "old", "source_column_checksum: [a: 1], target_column_checksum: [a: 1]", None, None, None),
+        ],
+        f"validation_report string, target_table string, value string, {SUMMARY_LISTS.removesuffix(', records_at string')}",
+    )
+    lines = {(r.target_table, r.column): r.result for r in schema_rows(df).collect()}
+    assert lines == {("new", odd): "PASSED", ("new", "n"): "FAILED", ("old", "a"): "PASSED", ("old", "b"): "FAILED"}
+    sums = {(r.target_table, r.column): (r.source_checksum, r.target_checksum, r.result) for r in checksum_rows(df).collect()}
+    assert sums == {("new", odd): ("1", "2", "FAILED"), ("new", "n"): ("N/A", "3", "FAILED"), ("old", "a"): ("1", "1", "PASSED")}
+
+
+def test_summaries_come_back_typed(spark, tmp_path):
+    src = spark.createDataFrame([(1, "a")], "`k, 1` int, `v]` string")
+    summary = validate(src, src.drop("v]"), target_table="d.t", records_at="s3://r").summary
+    write_summary(summary, str(tmp_path / "d" / "t" / "validation_summary"))
+    back = read_summaries(spark, str(tmp_path))
+    rows = {r.validation_report: r for r in back.collect()}
+    assert rows["schema_validation"].source_columns == ["k, 1", "v]"]
+    assert rows["row_checksum_validation"].records_at == "s3://r"
+    assert [c.column for c in rows["column_checksum_validation"].checksums] == ["k, 1"]
+    assert {(r.column, r.result) for r in schema_rows(back).collect()} == {("k, 1", "PASSED"), ("v]", "FAILED")}
+
+
+def test_mismatch_lines(spark):
+    src = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], "id int, `n, m` string, o string")
+    tgt = spark.createDataFrame([(1, "a", "x"), (2, "B!", "y"), (4, "d", "z")], "id int, `n, m` string, o string")
+    v = validate(src, tgt, key=["id"])
+    saved = savable_pairs(v.pairs, "d.t", v.key)
+    assert saved.schema.simpleString() == spark.createDataFrame([], SAVED_PAIRS).schema.simpleString()
+    got = {(r.key["id"], r.column): (r.source_value, r.target_value, r.result) for r in mismatch_rows(saved).collect()}
+    assert got == {
+        ("2", "n, m"): ("b", "b!", "FAILED"), ("2", "o"): ("y", "y", "PASSED"),
+        ("3", "n, m"): ("c", None, "FAILED"), ("3", "o"): ("z", None, "FAILED"),
+        ("4", "n, m"): (None, "d", "FAILED"), ("4", "o"): (None, "z", "FAILED"),
+    }
+    keyless = validate(src, tgt)
+    assert mismatch_rows(savable_pairs(keyless.pairs, "d.t")).filter("size(key) = 0").count() == 6
+
+
+def test_legacy_mismatches(spark):
+    records = [
+        {"source_row": {"record": {"k": 1, "v": "it's, [x]"}, "checksum": "s1"}},
+        {"target_row": {"record": {"k": 1, "v": None}, "checksum": "t1"}},
+        {"source_row": {"record": {"k": 2}, "checksum": "s2"}},
+    ]
+    texts = [f"Mismatched checksums: 2 rows (1.0%). Records: {records}", "Records: [oops", "Records: 7", "Records: []", "", None]
+    df = spark.createDataFrame(
+        [("row_checksum_validation", f"t{i}", t) for i, t in enumerate(texts)],
+        "validation_report string, target_table string, remarks string",
+    )
+    rows = {(r.target_table, r["rank"], r.column): (r.source_value, r.target_value, r.result, r.target_checksum) for r in mismatch_rows(legacy_pairs(df)).collect()}
+    assert rows == {
+        ("t0", 1, "k"): ("1", "1", "PASSED", "t1"),
+        ("t0", 1, "v"): ("it's, [x]", "None", "FAILED", "t1"),
+        ("t0", 2, "k"): ("2", None, "FAILED", None),
+    }
+
+
 def jobs(spark):
     def runs(rows):
         return spark.createDataFrame(
