@@ -1,30 +1,40 @@
-"""Document fingerprints by I-Match: hashes of randomised subsets of mid-frequency terms.
+"""Document fingerprints by I-Match: hashes of a document's mid-frequency terms under randomised lexicons.
 
 Terms whose share of documents lies in a band are the lexicon, all of them: there are at most as many
-as the mean distinct terms of a document over LEAST_SHARE. Hash tables of one term per slot hold them;
-terms that a table has no slot for are in the next one. Each term
-belongs to one of SUBSETS random subsets of the lexicon and, by further bits, to nested thinner
-lexicons (level d holds one term in 2^d). A document is fingerprinted at the level that leaves it
-16 to 32 terms and at the next one: per subset, its distinct terms there are sorted and hashed.
+as the mean distinct terms of a document over LEAST_SHARE. A document's distinct terms in it are sorted
+and hashed
+
+* whole, and under WIDE random lexicons that hold three terms in four each (`whole`): equal for
+  documents that differ in few terms, as in plain I-Match;
+* under families of SUBSETS disjoint random lexicons that become thinner level by level: level d holds
+  one term in 2^d, and each term belongs to one subset. Hashes are kept for the level that leaves the
+  document 16 to 32 terms (`here`) and for the next one (`above`). Likeness is the share of subsets with
+  equal hashes at the higher one of two documents' levels, so it falls little by little as terms change.
 
 Everything is built from SQL functions; the driver sees the document count, the block limits and
-the lexicon, whose sizes are parameters.
+the lexicon, whose sizes are bounded by parameters.
 
 Defined results: a null text is an empty one; a document without a lexicon term is fingerprinted by
 all its terms, without any term by its text; rows that repeat a doc_id follow each other in the
-order of their texts; a null doc_id comes last; extra columns are ignored.
+order of their texts; a null doc_id comes last; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.1
 SUBSETS = 64
 LEVEL_BITS = 4
-#: Limits of the blocks of document ids at most; a block is one group of the window below.
-MOST_BLOCKS = 4096
+WIDE = 3
+#: Text bytes of a block of document ids; a block is one group of the window below.
+BLOCK_BYTES = 64 << 20
+#: Limits between blocks that one row is compared with at once.
+FAN = 64
 
 
 def terms(text: Column) -> Column:
@@ -33,79 +43,86 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def tables(held: list[int]) -> list[list[int]]:
-    """Hash tables that together hold each term; an empty slot holds a number of another slot."""
-    out = []
-    while held:
-        slots = 1 << max(1, (2 * len(held) - 1).bit_length())
-        table, left = [slot + 1 for slot in range(slots)], []
-        taken = set()
-        for h in held:
-            slot = (h >> 8 * len(out) % 48) % slots
-            if slot in taken:
-                left.append(h)
-            else:
-                taken.add(slot)
-                table[slot] = h
-        out.append(table)
-        held = left
+def slots(held: list[int]) -> list[list[int]]:
+    """The terms by some bits of their hashes; an array of about one term for each value of these."""
+    size = 1 << max(1, (len(held) - 1).bit_length()) if held else 1
+    out: list[list[int]] = [[] for _ in range(size)]
+    for h in held:
+        out[(h >> 12) & (size - 1)].append(h)
     return out
 
 
-def lexicon(docs: DataFrame) -> list[Column]:
-    """The terms of the band as constant arrays, the tables; statistics cover all documents.
-
-    An array is one foldable literal: a cast of a split text.
-    """
+def lexicon(docs: DataFrame) -> Column:
+    """The terms of the band as one constant, their `slots`; statistics cover all documents."""
     total = docs.count()
     shares = docs.select(F.explode(terms(F.col("text"))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
     band = shares.where(f"df >= {LEAST_SHARE * total} and df <= {max(1.0, MOST_SHARE * total)}")
     held = sorted(row["h"] for row in band.select("h").collect())
-    return [F.split(F.lit(",".join(map(str, t))), ",").cast("array<bigint>") for t in tables(held)]
+    return F.from_json(F.lit(json.dumps(slots(held), separators=(",", ":"))), "array<array<bigint>>")
 
 
-def in_lexicon(hashes: Column, lexicon: list[Column]) -> Column:
+def in_lexicon(hashes: Column, lexicon: Column) -> Column:
     def held(h: Column) -> Column:
-        found = F.lit(False)
-        for at, table in enumerate(lexicon):
-            slot = F.pmod(F.shiftright(h, 8 * at % 48), F.size(table).cast("bigint")) + 1
-            found = found | (F.element_at(table, slot.cast("int")) == h)
-        return found
+        slot = F.shiftright(h, 12).bitwiseAND(F.size(lexicon).cast("bigint") - 1) + 1
+        return F.array_contains(F.element_at(lexicon, slot.cast("int")), h)
 
     return F.filter(hashes, held)
 
 
-def subset_hashes(chosen: Column, level: Column) -> Column:
-    """Per subset, the hash of the sorted terms that the thinner lexicon of this level leaves it."""
-    subset = lambda g: g.bitwiseAND(F.lit(SUBSETS - 1))
-    step = F.pow(F.lit(2.0), level).cast("long")
-    left = F.sort_array(F.filter(chosen, lambda g: F.pmod(F.shiftrightunsigned(g, 6), step) == 0))
+def _subset(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(SUBSETS - 1))
+
+
+def _thinned(chosen: Column, level: Column) -> Column:
+    """The sorted terms that the lexicons of a level hold."""
+    rest = F.pow(F.lit(2.0), level).cast("bigint") - 1
+    return F.filter(chosen, lambda h: F.shiftrightunsigned(h, 6).bitwiseAND(rest) == 0)
+
+
+def _subset_hashes(left: str) -> Column:
+    """Per subset, the hash of its terms among the sorted ones of a column."""
     return F.sort_array(
         F.transform(
-            F.array_distinct(F.transform(left, subset)),
-            lambda s: F.shiftleft(F.xxhash64(F.filter(left, lambda g: subset(g) == s)), 6).bitwiseOR(s),
+            F.array_distinct(F.transform(left, _subset)),
+            lambda s: F.shiftleft(F.xxhash64(F.filter(left, lambda h: _subset(h) == s)), 6).bitwiseOR(s),
         )
     )
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, lexicon: list[Column]) -> DataFrame:
-    """Add a struct of level and the subset hashes at this level and the next."""
+def _whole_hashes(chosen: str) -> Column:
+    """The hash of all sorted terms, and of those that each wide lexicon holds."""
+    wide = [
+        F.xxhash64(F.lit(r), F.filter(chosen, lambda h: F.shiftrightunsigned(h, 40 + 4 * r).bitwiseAND(F.lit(3)) != 0))
+        for r in range(WIDE)
+    ]
+    return F.array(F.xxhash64(chosen), *wide)
+
+
+def with_fingerprint(df: DataFrame, text: str, name: str, lexicon: Column) -> DataFrame:
+    """Add a struct of the level, the hashes of all terms, and the subset hashes at this level and the next.
+
+    What is used more than once has a column of its own, so that it is worked out once.
+    """
     df = df.withColumn("_terms", terms(F.col(text)))
-    df = df.withColumn("_chosen", F.transform(in_lexicon(F.col("_terms"), lexicon), lambda h: F.xxhash64(h)))
-    others = F.when(F.size("_terms") > 0, F.transform("_terms", lambda h: F.xxhash64(h))).otherwise(F.array(F.xxhash64(text)))
-    df = df.withColumn("_chosen", F.when(F.size("_chosen") > 0, F.col("_chosen")).otherwise(others))
+    df = df.withColumn("_held", in_lexicon(F.col("_terms"), lexicon))
+    others = F.when(F.size("_terms") > 0, F.col("_terms")).otherwise(F.array(F.xxhash64(text)))
+    df = df.withColumn("_chosen", F.sort_array(F.when(F.size("_held") > 0, F.col("_held")).otherwise(others)))
     df = df.withColumn("_level", F.greatest(F.lit(0), F.floor(F.log2(F.size("_chosen"))).cast("int") - LEVEL_BITS))
+    df = df.withColumn("_here", _thinned(F.col("_chosen"), F.col("_level")))
+    df = df.withColumn("_above", _thinned(F.col("_here"), F.col("_level") + 1))
     fingerprint = F.struct(
         F.col("_level").alias("level"),
-        subset_hashes(F.col("_chosen"), F.col("_level")).alias("here"),
-        subset_hashes(F.col("_chosen"), F.col("_level") + 1).alias("above"),
+        _whole_hashes("_chosen").alias("whole"),
+        _subset_hashes("_here").alias("here"),
+        _subset_hashes("_above").alias("above"),
     )
-    return df.withColumn(name, fingerprint).drop("_terms", "_chosen", "_level")
+    return df.withColumn(name, fingerprint).drop("_terms", "_held", "_chosen", "_level", "_here", "_above")
 
 
 def as_text(fingerprint: str) -> Column:
     part = lambda field: F.array_join(F.transform(F.col(f"{fingerprint}.{field}"), lambda x: F.hex(x)), ",")
-    return F.concat_ws(":", F.col(f"{fingerprint}.level").cast("string"), part("here"), part("above"))
+    level = F.col(f"{fingerprint}.level").cast("string")
+    return F.concat_ws(":", level, part("whole"), part("here"), part("above"))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -116,56 +133,70 @@ def likeness(a: str, b: str) -> Column:
         own = F.col(f"{x}.level")
         return F.when(own == level, F.col(f"{x}.here")).when(own == level - 1, F.col(f"{x}.above"))
 
-    subset = lambda g: g.bitwiseAND(F.lit(SUBSETS - 1))
-    either = F.size(F.array_union(F.transform(at(a), subset), F.transform(at(b), subset)))
+    either = F.size(F.array_union(F.transform(at(a), _subset), F.transform(at(b), _subset)))
     share = F.when(either > 0, F.size(F.array_intersect(at(a), at(b))) / either)
     return F.when(F.col(a) == F.col(b), 1.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Add next_<column>: the values of the next row by descending doc_id; after the last, the first.
-
-    Rows are dealt into blocks of ids by approximate quantiles. Each block gets a copy of the first
-    row after it, so one shuffle serves all rows and no task sees more than a block.
-    """
-    blocks = min(MOST_BLOCKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / blocks for i in range(1, blocks)] or [0.5]
-    limits = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or []))
-    block = lambda c: F.coalesce(F.size(F.filter(F.array(*map(F.lit, limits)), lambda x: x < c)), F.lit(0)) if limits else F.lit(0)
+def _block(key: Column, limits: list[int]) -> Column:
+    """How many limits a key lies above, found in two steps: the group of limits, then the one in it."""
+    if not limits:
+        return F.lit(0)
+    groups = [limits[i : i + FAN] for i in range(0, len(limits), FAN)]
+    above = lambda values: F.size(F.filter(values, lambda x: x < key))
+    heads = F.array(*[F.lit(g[0]) for g in groups])
+    group = above(heads)
+    inside = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
+    return F.when(group == 0, F.lit(0)).otherwise((group - 1) * FAN + above(F.element_at(inside, F.greatest(group, F.lit(1)))))
+
+
+def blocked(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows dealt into blocks of ids by approximate quantiles, and for each block a copy of the row that
+    comes after it by descending id; after the last comes the first."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(2, math.ceil(size / BLOCK_BYTES))
+    shares = [i / n for i in range(1, n)]
+    limits = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0] or []))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long"))
-    dealt = docs.withColumn("_key", key).withColumn("_block", block(key))
-
+    dealt = docs.withColumn("_key", key)
+    dealt = dealt.withColumn("_block", _block(F.col("_key"), limits))
     # One row a block: the block before it (that is, of larger ids) ends with a copy of its first row.
     tops = sorted(dealt.groupBy("_block").agg(F.max("_key")).collect(), reverse=True)
     if not tops:
-        return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
+        return dealt, None
     after = {tops[i][0]: tops[(i + 1) % len(tops)] for i in range(len(tops))}
-    spark = docs.sparkSession
-    rows = spark.createDataFrame([(block, top[0], top[1]) for block, top in after.items()], "_for int, _block int, _key long")
+    rows = docs.sparkSession.createDataFrame(
+        [(block, top[0], top[1]) for block, top in after.items()], "_for int, _block int, _key long"
+    )
     copies = dealt.join(F.broadcast(rows), ["_block", "_key"])
-    first = F.row_number().over(Window.partitionBy("_for").orderBy("text"))
-    copies = copies.withColumn("_first", first).where("_first = 1")
-    copies = copies.withColumn("_block", F.col("_for")).select(*dealt.columns, F.lit(1).alias("_copy"))
-    order = Window.partitionBy("_block").orderBy("_copy", F.desc("_key"), "text")
-    both = dealt.withColumn("_copy", F.lit(0)).unionByName(copies)
-    out = both.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-    return out.where("_copy = 0").drop("_copy", "_block", "_key")
+    # Rows that repeat the id of a top are told apart by their texts.
+    least = copies.groupBy("_for").agg(F.min("text").alias("text"), F.first("_key").alias("_key"), F.first("doc_id").alias("doc_id"))
+    return dealt, least.withColumn("_block", F.col("_for").cast("int")).drop("_for")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text, of its edited form, and their likeness; see the module's text.
 
-    The edited form has its last third replaced by as many leading code points of the next row.
+    The edited form has its last third replaced by as many leading code points of the next row. Rows
+    meet the next one in a single shuffle, and no task sees more than its blocks; every text and every
+    edited text is fingerprinted once.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     words = lexicon(docs)
-    df = with_next(with_fingerprint(docs, "text", "fp", words), ["text", "fp"])
+    dealt, copies = blocked(docs)
+    both = dealt.withColumn("_copy", F.lit(0))
+    if copies is not None:
+        both = both.unionByName(copies.withColumn("_copy", F.lit(1)))
+    order = Window.partitionBy("_block").orderBy("_copy", F.desc("_key"), "text")
+    both = with_fingerprint(both, "text", "fp", words)
+    df = both.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "fp")]).where("_copy = 0")
     cut = F.floor(F.char_length("text") / 3).cast("int")
     df = df.withColumn("n_chars", F.char_length("text").cast("long"))
     edited = F.concat(
         F.substring("text", F.lit(1), F.char_length("text") - cut), F.substring("next_text", F.lit(1), cut)
     )
-    df = with_fingerprint(df.withColumn("edited", edited), "edited", "edited_fp", words)
+    df = df.withColumn("edited", edited).drop("_copy", "_block", "_key", "next_text")
+    df = with_fingerprint(df, "edited", "edited_fp", words)
     return df.select(
         "doc_id",
         "n_chars",

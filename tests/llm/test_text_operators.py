@@ -1,13 +1,17 @@
 """Operators over documents against brute force, on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from coldkeep.llm import imatch, minhash, packing, pieces, secrets, suffixes
@@ -150,6 +154,91 @@ def test_fingerprints(spark, texts):
     assert imatch.fingerprints(frame(spark, [])).count() == 0
 
 
+def spark_hash(values, seed=42):
+    """Spark's 64-bit hash of strings, ints, longs and lists of them."""
+    h = seed & (2**64 - 1)
+    for v in values:
+        if isinstance(v, list):
+            h = spark_hash(v, h) & (2**64 - 1)
+        else:
+            data = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+            h = xxhash.xxh64_intdigest(data, h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def imatch_by_force(text, held):
+    unsigned = lambda h: h & (2**64 - 1)
+    found = {spark_hash([w]) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+    chosen = sorted(found & held or found or {spark_hash([text])})
+    level = max(0, int(math.log2(len(chosen))) - 4)
+
+    def thinned(d):
+        left = [h for h in chosen if (unsigned(h) >> 6) % (1 << d) == 0]
+        by_subset = {s: [h for h in left if unsigned(h) % 64 == s] for s in {unsigned(h) % 64 for h in left}}
+        signed = lambda x: x - 2**64 if x >= 2**63 else x
+        return {s: signed((unsigned(spark_hash([own])) << 6 | s) % 2**64) for s, own in by_subset.items()}
+
+    whole = [spark_hash([chosen])]
+    whole += [spark_hash([(r,), [h for h in chosen if (unsigned(h) >> 40 + 4 * r) & 3]]) for r in range(imatch.WIDE)]
+    return level, whole, thinned(level), thinned(level + 1)
+
+
+def test_fingerprints_equal_brute_force(spark, texts):
+    """Terms, lexicon, every hash and the likeness, worked out again row by row."""
+    rng = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(900)] + ["ÄÖ", "日本", "x9"]
+    rows = list(texts.items()) + [(400 + i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 900)))) for i in range(60)]
+    rows = [(k, t) for k, t in rows if k != 300]
+    split = lambda t: {spark_hash([w]) for w in regex.split(r"[^\p{L}\p{N}]+", (t or "").lower()) if w}
+    df = {}
+    for _, t in rows:
+        for h in split(t):
+            df[h] = df.get(h, 0) + 1
+    held = {h for h, n in df.items() if imatch.LEAST_SHARE * len(rows) <= n <= max(1, imatch.MOST_SHARE * len(rows))}
+    assert 0 < len(held) < len(df)
+    text = {k: t or "" for k, t in rows}
+    order = sorted(text, reverse=True)
+
+    def written(fp):
+        level, whole, here, above = fp
+        part = lambda xs: ",".join(f"{x & (2**64 - 1):X}" for x in xs)
+        return ":".join([str(level), part(whole), part(sorted(here.values())), part(sorted(above.values()))])
+
+    def likeness(a, b):
+        if a == b:
+            return 1.0
+        level = max(a[0], b[0])
+        at = lambda f: f[2] if f[0] == level else f[3] if f[0] == level - 1 else None
+        x, y = at(a), at(b)
+        if x is None or y is None or not set(x) | set(y):
+            return 0.0
+        return len(set(x.values()) & set(y.values())) / len(set(x) | set(y))
+
+    for r in imatch.fingerprints(frame(spark, rows)).collect():
+        own, after = text[r.doc_id], text[order[(order.index(r.doc_id) + 1) % len(order)]]
+        cut = len(own) // 3
+        edited = own[: len(own) - cut] + after[:cut]
+        a, e, n = (imatch_by_force(t, held) for t in (own, edited, after))
+        assert r.fingerprint == written(a) and r.edited_fingerprint == written(e)
+        assert (r.near_edited, r.near_next) == pytest.approx((likeness(a, e), likeness(a, n)))
+
+
+def test_blocks_meet_the_next_row(spark, monkeypatch):
+    """Many small blocks, repeated and null ids: each row still gets the one after it."""
+    monkeypatch.setattr(imatch, "BLOCK_BYTES", 30)
+    monkeypatch.setattr(imatch, "FAN", 3)
+    rng = random.Random(6)
+    rows = [(k, f"t{k} " * rng.randint(1, 5)) for k in rng.sample(range(500), 90)] + [(None, "none")]
+    rows += [(rows[0][0], "again"), (rows[0][0], "an earlier text")]
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = set()
+    for at, (key, own) in enumerate(order):
+        after, cut = order[(at + 1) % len(order)][1], len(own) // 3
+        want.add((key, len(own), hashlib.sha256((own[: len(own) - cut] + after[:cut]).encode()).hexdigest()))
+    got = imatch.fingerprints(frame(spark, rows)).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(rows)
+
+
 def test_lexicon_holds_every_term_of_the_band(spark):
     """60,000 terms that two of 40 documents have, beside 100 that all of them have."""
     rows = [(i, " ".join([f"w{i // 2}x{j}" for j in range(3000)] + [f"all{j}" for j in range(100)])) for i in range(40)]
