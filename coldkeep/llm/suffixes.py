@@ -104,13 +104,11 @@ class Cutter:
         return self.one(data, start, reach).view(np.int64), self.two(data, start, reach).view(np.int64)
 
 
-def index_within(text: np.ndarray) -> np.ndarray:
-    first = np.flatnonzero(np.append(True, text[1:] != text[:-1])) if len(text) else text
-    return np.arange(len(text)) - np.repeat(first, np.diff(np.append(first, len(text))))
-
-
 def units_of(docs: DataFrame) -> DataFrame:
-    """key, place, one, two: the units of each text in order. Docs have (key, text)."""
+    """doc, version, begin, size, one, two: the units of each text. Docs have (doc, version, text).
+
+    size counts the window starts; with what these reach a unit has WINDOW - 1 bytes more.
+    """
 
     def make():
         cutter = Cutter()
@@ -120,12 +118,13 @@ def units_of(docs: DataFrame) -> DataFrame:
             text, start, end, _ = cutter(data, offsets)
             names = cutter.names(data, start, end)
             keys = [batch.column(c).take(pa.array(text)) for c in ("doc", "version")]
-            columns = [*keys, pa.array(index_within(text), pa.int32()), *(pa.array(x, pa.int64()) for x in names)]
-            return pa.RecordBatch.from_arrays(columns, names=["doc", "version", "place", "one", "two"])
+            where = [pa.array(x, pa.int32()) for x in (start - offsets[text], end - start)]
+            columns = [*keys, *where, *(pa.array(x, pa.int64()) for x in names)]
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "version", "begin", "size", "one", "two"])
 
         return kernel
 
-    return common.arrow_map(docs, make, "doc long, version long, place int, one long, two long", "text", SLICE)
+    return common.arrow_map(docs, make, "doc long, version long, begin int, size int, one long, two long", "text", SLICE)
 
 
 def packed(bucket: np.ndarray, records: np.ndarray, mark: bytes = b"") -> pa.RecordBatch:
@@ -338,7 +337,7 @@ def stretches(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
-    """doc, version, begin, data: the parts of segments whose every window another segment has.
+    """doc, one, two, begin, data: the parts of segments whose every window another segment has.
 
     As `anchored`, for the few segments that are left, with one case for each place of a part.
     """
@@ -374,22 +373,27 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
             at, owner = agreed_windows(cutter.part_hashes(data), offsets[:-1], offsets[1:] - WINDOW + 1, unit, shared.flatten(), EXACT)
             begin, stop, owner = stretches(at, owner)
             raw = data.tobytes()
-            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "version")]
-            columns.append(pa.array(batch.column("begin").to_numpy()[owner] + begin - offsets[owner], pa.int64()))
+            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "one", "two")]
+            columns.append(pa.array(batch.column("begin").to_numpy()[owner] + begin - offsets[owner], pa.int32()))
             columns.append(pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "version", "begin", "data"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "one", "two", "begin", "data"])
 
     found = by_bucket(segments.mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
     found = found.groupBy("unit", "anchor").agg(F.bit_or("cases").alias("cases"))
     shared = found.groupBy("unit").agg(F.collect_list(F.struct("anchor", "cases")).alias("shared"))
-    rows = segments.join(shared, "unit").select("doc", "version", "begin", "data", "shared")
-    return rows.mapInArrow(cut, "doc long, version long, begin long, data binary")
+    rows = segments.join(shared, "unit").select("doc", "one", "two", "begin", "data", "shared")
+    return rows.mapInArrow(cut, SEGMENT)
+
+
+#: A stretch of windows of a unit: the least document that holds the unit, its names, and where in it.
+SEGMENT = "doc long, one long, two long, begin int, data binary"
 
 
 def segments(docs: DataFrame) -> DataFrame:
-    """unit, doc, version, begin, data: stretches of windows whose anchors are shared.
+    """doc, one, two, begin, data, unit: stretches of a unit's windows whose anchors are shared.
 
-    Docs have (doc, version, text, shared), the last an array of (place of the unit, anchor).
+    Docs have (doc, text, shared), the last an array of units: begin, size, names, pairs of anchors and
+    cases. Only the bytes of these units are hashed.
     """
 
     def make():
@@ -397,24 +401,30 @@ def segments(docs: DataFrame) -> DataFrame:
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             data, offsets = common.utf8(batch.column("text"))
-            text, start, end, hashes = cutter(data, offsets)
-            first_unit = np.searchsorted(text, np.arange(batch.num_rows))
             shared = batch.column("shared")
-            counts = np.diff(shared.offsets.to_numpy())
-            pairs = shared.flatten()
-            unit = np.repeat(first_unit, counts) + pairs.field("place").to_numpy()
-            at, owner_unit = agreed_windows(hashes, start, end, unit, pairs, CASE)
-            owner = text[owner_unit]
-            begin, stop, owner = stretches(at, owner)
-            raw = data.tobytes()
-            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "version")]
-            columns += [pa.array(begin - offsets[owner], pa.int64()), pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["doc", "version", "begin", "data"])
+            text = np.repeat(np.arange(batch.num_rows), np.diff(shared.offsets.to_numpy()))
+            units = shared.flatten()
+            at, size = (units.field(c).to_numpy().astype(np.int64) for c in ("begin", "size"))
+            at += offsets[text]
+            end = np.cumsum(size + WINDOW - 1)
+            start = end - size - WINDOW + 1
+            own = np.concatenate([data[a : a + n + WINDOW - 1] for a, n in zip(at.tolist(), size.tolist())] or [data[:0]])
+            pairs = units.field("pairs")
+            unit = np.repeat(np.arange(len(start)), np.diff(pairs.offsets.to_numpy()))
+            found, owner = at[:0], at[:0]
+            if len(own):
+                found, owner = agreed_windows(cutter.part_hashes(own), start, start + size, unit, pairs.flatten(), CASE)
+            begin, stop, owner = stretches(found, owner)
+            raw = own.tobytes()
+            columns = [batch.column("doc").take(pa.array(text[owner], pa.int64()))]
+            columns += [units.field(c).take(pa.array(owner, pa.int64())) for c in ("one", "two")]
+            columns += [pa.array(begin - start[owner], pa.int32()), pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "one", "two", "begin", "data"])
 
         return kernel
 
-    rows = common.arrow_map(docs, make, "doc long, version long, begin long, data binary", "text", SLICE)
-    return rows.withColumn("unit", F.xxhash64("doc", "version", "begin"))
+    rows = common.arrow_map(docs, make, SEGMENT, "text", SLICE)
+    return rows.withColumn("unit", F.xxhash64("one", "two", "begin"))
 
 
 def triples(batch: pa.RecordBatch) -> np.ndarray:
@@ -566,15 +576,17 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     repeats = common.settled(repeats.select("one", "two", "first_doc"), f"{label}-repeats")
     candidates = common.settled(anchored(plain, max(partitions, 1)), f"{label}-anchored")
 
-    # The least document that holds a candidate stands for all.
-    wanted = candidates.select(F.col("unit").alias("one")).distinct()
-    owned = units.join(wanted, "one", "left_semi").groupBy("one", "two").agg(F.min(F.struct("doc", "version", "place")).alias("least"))
-    owned = owned.join(candidates.withColumnRenamed("unit", "one"), "one")
-    places = owned.groupBy("least.doc", "least.version").agg(F.collect_list(F.struct("least.place", "anchor", "cases")).alias("shared"))
+    # The first place of a candidate in the least document that holds it stands for all.
+    paired = candidates.groupBy(F.col("unit").alias("one")).agg(F.collect_list(F.struct("anchor", "cases")).alias("pairs"))
+    least = F.min(F.struct("doc", "version", "begin", "size")).alias("least")
+    owned = units.join(paired.select("one"), "one", "left_semi").groupBy("one", "two").agg(least).join(paired, "one")
+    places = owned.groupBy("least.doc", "least.version").agg(
+        F.collect_list(F.struct("least.begin", "least.size", "one", "two", "pairs")).alias("shared")
+    )
     sources = plain.join(places, ["doc", "version"])
     # Rows that are equal in id and text give their segments once.
     sources = sources.dropDuplicates(["doc", "version"])
-    texts = common.settled(segments(sources), f"{label}-texts")
+    texts = common.settled(segments(sources.select("doc", "text", "shared")), f"{label}-texts")
     texts = common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
     # Segments of equal bytes are sorted once, for the least document that has them.
     texts = texts.withColumn("content", F.sha2("data", 256))
@@ -583,16 +595,19 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     total = distinct.agg(F.sum(F.length("data"))).first()[0] or 0
     cover = covered_windows(distinct, int(total), label)
 
-    # What starts in a smaller document goes whole; the least document loses the covered windows.
+    # A unit goes whole where a smaller document holds it. Every place of a unit in the least document
+    # that holds it loses the same windows: those that start in a smaller document as part of another unit.
     none = F.lit(None)
-    shape = ("doc", "version", "place", "begin", "size", "starts")
+    shape = ("doc", "version", "begin", "size", "starts")
     whole = units.join(repeats, ["one", "two"]).where("doc > first_doc")
-    whole = whole.withColumns({"begin": none.cast("long"), "size": none.cast("int"), "starts": none.cast("array<binary>")}).select(*shape)
+    whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("array<binary>")}).select(*shape)
     first = distinct.select("content", F.col("doc").alias("first_doc"), "unit").join(cover, "unit", "left")
-    partly = texts.select("content", "doc", "version", "begin", F.length("data").alias("size")).join(first, "content")
-    partly = partly.where("doc > first_doc or starts is not null").withColumn("place", none.cast("int"))
-    partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts"))).select(*shape)
-    marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_list(F.struct("place", "begin", "size", "starts")).alias("marks"))
+    partly = texts.select("content", "doc", "one", "two", F.col("begin").alias("within"), F.length("data").alias("part")).join(first, "content")
+    partly = partly.where("doc > first_doc or starts is not null")
+    partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts")))
+    partly = units.drop("size").join(partly.drop("content", "unit", "first_doc"), ["one", "two", "doc"])
+    partly = partly.withColumns({"begin": F.col("begin") + F.col("within"), "size": F.col("part")}).select(*shape)
+    marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))
     marks = staged(marks, f"{label}-marks")
     out = removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
     return out.select("doc_id", "kept", "begins", "ends", "n_bytes", *(f"_others.{c}" for c in others))
@@ -602,22 +617,14 @@ def removed(docs: DataFrame) -> DataFrame:
     """Drop every byte that a marked window covers."""
 
     def make():
-        cutter = Cutter()
-
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             data, offsets = common.utf8(batch.column("text"))
-            text, start, end, _ = cutter(data, offsets)
             depth = np.zeros(len(data) + WINDOW + 1, np.int32)
-            first_unit = np.searchsorted(text, np.arange(batch.num_rows))
             for t, marks in enumerate(batch.column("marks").to_pylist()):
                 for mark in marks or ():
-                    if mark["starts"] is None and mark["place"] is None:
+                    if mark["starts"] is None:
                         depth[offsets[t] + mark["begin"]] += 1
                         depth[offsets[t] + mark["begin"] + mark["size"]] -= 1
-                    elif mark["starts"] is None:
-                        u = first_unit[t] + mark["place"]
-                        depth[start[u]] += 1
-                        depth[end[u] + WINDOW - 1] -= 1
                     else:
                         at = offsets[t] + mark["begin"] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u4")).astype(np.int64)
                         np.add.at(depth, at, 1)

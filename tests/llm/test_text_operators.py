@@ -137,6 +137,22 @@ def test_suffixes_keep_windows_around_repeated_labels(spark):
     assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows)
 
 
+def test_suffixes_judge_every_copy_of_a_unit(spark):
+    """A document, or two rows of one id, hold a passage twice; smaller documents hold parts of it."""
+    rng = random.Random(31)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, line = noise(4000), noise(70)
+    rows = []
+    for i in range(12):
+        at, size = rng.randrange(3800), rng.randrange(60, 160)
+        rows.append((i, noise(40) + passage[at : at + size] + noise(40)))
+    rows.append((100, noise(200) + passage + noise(300) + passage + noise(100)))
+    rows += [(200, noise(100) + passage[:2500]), (200, noise(90) + passage[1000:])]
+    rows += [(50, line[10:65] + noise(30)), (60, "\n".join([line] * 40)), (61, "\n".join([line] * 9))]
+    got = suffixes.repeated(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows)
+
+
 def test_fingerprints(spark, texts):
     rows = [*texts.items(), (300, texts[10])]
     got = {r.doc_id: r for r in imatch.fingerprints(frame(spark, rows)).collect()}
