@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from coldkeep.functions.naming import archive_db
 from coldkeep.functions.retention import as_timestamp, expired, expired_filter
+from coldkeep.plans.archive import PARTITIONS
 from coldkeep.session import in_parallel
 from coldkeep.sinks.documents import write_purge_plan
 from coldkeep.sinks.tables import (
+    finish_replacing,
     is_row_level,
     partition_columns,
+    replace_files,
     table_folder,
     write_archive,
 )
@@ -35,9 +38,26 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def expired_count(spark: SparkSession, name: str, as_of: date | str) -> int:
+def expired_rows(spark: SparkSession, name: str, as_of: date | str) -> DataFrame:
+    """One empty row for each expired one, to be counted.
+
+    In a table partitioned by month and hold the months before the limit's are known to be past it:
+    of their files no column is read, only the row counts in the footers. Rows of the month that the
+    limit cuts through are looked at.
+    """
     table = spark.table(name)
-    return table.filter(expired_filter(as_of, table.columns)).count()
+    past = expired_filter(as_of, table.columns)
+    if is_row_level(spark, name) or set(partition_columns(spark, name)) != set(PARTITIONS):
+        return table.filter(past).select()
+    day = date.fromisoformat(str(as_of)[:10])
+    limit, free = day.year * 12 + day.month - 1, ~F.col("legal_hold")
+    gone = table.filter((F.col("expiry_month") < limit) & free).select()
+    cut = table.filter((F.col("expiry_month") == limit) & free & past).select()
+    return gone.unionByName(cut)
+
+
+def expired_count(spark: SparkSession, name: str, as_of: date | str) -> int:
+    return expired_rows(spark, name, as_of).count()
 
 
 def discover_expired(
@@ -111,8 +131,10 @@ def purge_table(
             "AND legal_hold = false"
         )
         return before - spark.table(name).count()
-    if set(partition_columns(spark, name)) == {"expiry_month", "legal_hold"}:
+    if set(partition_columns(spark, name)) == set(PARTITIONS):
         return _purge_partitions(spark, name, day, at_most)
+    if not partition_columns(spark, name):
+        return _purge_files(spark, name, day)
     if not expired_count(spark, name, day):
         return 0
     before = spark.table(name).count()
@@ -123,6 +145,24 @@ def purge_table(
     return before - kept
 
 
+def _purge_files(spark: SparkSession, name: str, day: date) -> int:
+    """Rewrite the files that hold expired rows; all others stay as they are, name and time included.
+
+    A run that was cut short is finished first.
+    """
+    finish_replacing(spark, name)
+    table = spark.table(name)
+    past = table.filter(expired_filter(day, table.columns))
+    # One row for each file that is to be rewritten.
+    found = past.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("past")).collect()
+    if not found:
+        return 0
+    files = sorted(row["file"] for row in found)
+    touched = spark.read.schema(table.schema).parquet(*files)
+    before = touched.count()  # from the footers
+    return before - replace_files(spark, name, files, touched.filter(~expired(day)))
+
+
 def _purge_partitions(spark: SparkSession, name: str, day: date, at_most: int | None) -> int:
     """Drop unheld partitions of months gone by; rewrite the month that the limit cuts through.
 

@@ -1,13 +1,17 @@
 """Archive databases and tables in the Spark catalog.
 
-Built-in Parquet tables are written to a fresh folder and then switched to it, so a crash leaves
-the old table in place. Catalogs that support row-level changes get their own statements.
+Built-in Parquet tables are written to a fresh folder and then switched to it, a partitioned table
+partition by partition: the name is there at every moment, and a run cut short can be repeated. Only
+where a replaced table changes its columns is the old one dropped first. Catalogs that support
+row-level changes get their own statements.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -108,9 +112,19 @@ def _switch(
     partition_by: Sequence[str],
     exists: bool,
 ) -> None:
-    """Point the table at the staged folder; only metadata changes."""
-    if exists and not partition_by and spark.table(name).schema == written.schema:
+    """Point the table at the staged folder; only metadata changes.
+
+    Partitions are switched one after the other: readers meanwhile see old and new ones, a repeated
+    run puts all of them right. Other columns need another table of the same name.
+    """
+    alike = exists and spark.table(name).schema == written.schema
+    if alike and list(partition_by) != partition_columns(spark, name):
+        alike = False
+    if alike and not partition_by:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{stage}'")
+    elif alike:
+        for statement in switch_statements(spark, name, stage, len(partition_by)):
+            spark.sql(statement)
     else:
         # Partitions are registered under a passing name, so the old table is there until the end.
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema.fields)
@@ -124,6 +138,86 @@ def _switch(
     spark.catalog.refreshTable(name)
 
 
+#: Partitions that one statement adds or drops.
+BATCH = 200
+
+
+def switch_statements(spark: SparkSession, name: str, stage: str, depth: int) -> list[str]:
+    """Statements that replace a table's partitions by those below a folder: the new ones are added
+    first, those that stay are pointed to their new folder, and the others dropped last."""
+    fs, root = _file_system(spark, stage)
+    folders = {"": root}
+    for _ in range(depth):
+        below = {}
+        for text, folder in folders.items():
+            for status in fs.listStatus(folder):
+                step = status.getPath().getName()
+                if status.isDirectory() and "=" in step:
+                    below[f"{text}/{step}" if text else step] = status.getPath()
+        folders = below
+    old = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    spec = {text: f"PARTITION ({partition_spec(text)})" for text in {*old, *folders}}
+    added = [f"{spec[t]} LOCATION '{folders[t]}'" for t in sorted(folders) if t not in old]
+    gone = [spec[t] for t in sorted(old) if t not in folders]
+    batches = lambda items: [items[i : i + BATCH] for i in range(0, len(items), BATCH)]
+    return [
+        *[f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(some)}" for some in batches(added)],
+        *[f"ALTER TABLE {name} {spec[t]} SET LOCATION '{folders[t]}'" for t in sorted(folders) if t in old],
+        *[f"ALTER TABLE {name} DROP IF EXISTS {', '.join(some)}" for some in batches(gone)],
+    ]
+
+
+PURGE_FOLDER = "_purge_"
+MANIFEST = "_files"
+
+
+def replace_files(spark: SparkSession, name: str, files: Sequence[str], rows: DataFrame) -> int:
+    """Replace some files of an unpartitioned table by the given rows; returns how many these are.
+
+    The rows are written to a hidden folder of the table. A list of the files that they replace makes
+    the change final: from then on `finish_replacing` carries it out, after a crash in the next run.
+    All other files keep their names and times.
+    """
+    home = _location(spark, name)
+    folder = f"{home}/{PURGE_FOLDER}{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    kept = spark.read.schema(rows.schema).parquet(folder).count()
+    fs, passing = _file_system(spark, f"{folder}/{MANIFEST}_new")
+    out = fs.create(passing, False)
+    out.write(bytearray("\n".join(file_name(f) for f in files).encode()))
+    out.close()
+    fs.rename(passing, _file_system(spark, f"{folder}/{MANIFEST}")[1])
+    finish_replacing(spark, name)
+    return kept
+
+
+def finish_replacing(spark: SparkSession, name: str) -> None:
+    """Carry out replacements of files that are final, and remove what unfinished ones have left.
+
+    New files come in before old ones go: a reader in between may see a row twice, but none is missing.
+    """
+    fs, home = _file_system(spark, _location(spark, name))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for status in fs.listStatus(home):
+        folder = status.getPath()
+        if not (status.isDirectory() and folder.getName().startswith(PURGE_FOLDER)):
+            continue
+        listed = path(folder, MANIFEST)
+        if fs.exists(listed):
+            names = spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(listed), "UTF-8").split("\n")
+            for new in fs.listStatus(folder):
+                if not re.match(r"[_.]", new.getPath().getName()):
+                    fs.rename(new.getPath(), path(home, new.getPath().getName()))
+            for old in names:
+                fs.delete(path(home, old), False)
+        fs.delete(folder, True)
+    spark.catalog.refreshTable(name)
+
+
+def file_name(address: str) -> str:
+    return unquote(address.rsplit("/", 1)[1])
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
@@ -168,9 +262,14 @@ def _folder_path(spark: SparkSession, location: str) -> str:
 def partition_spec(text: str) -> str:
     """`a=1/b=x` as the literal list of a PARTITION clause."""
     pairs = (item.split("=", 1) for item in text.split("/"))
-    return ", ".join(
-        f"`{k}`=" + ("null" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, v in pairs
-    )
+
+    def literal(value: str) -> str:
+        if value == "__HIVE_DEFAULT_PARTITION__":
+            return "null"
+        plain = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{plain}'"
+
+    return ", ".join(f"`{unquote(k)}`={literal(v)}" for k, v in pairs)
 
 
 def remove_superseded(spark: SparkSession, name: str) -> int:

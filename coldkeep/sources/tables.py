@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+import logging
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from coldkeep.sources.connections import Connection, jdbc_options
+from coldkeep.sources.connections import Connection, jdbc_options, kind_of
+
+log = logging.getLogger(__name__)
+
+#: Share of a source's keys that are read for split points, and keys that the driver holds of them.
+SAMPLE_SHARE = 0.01
+MOST_SAMPLED = 100_000
 
 # Where each database lists its tables.
 POSTGRES_CATALOGUE = (
@@ -40,9 +50,10 @@ def read_source(
 ) -> DataFrame:
     """A source table, optionally filtered, or the result of a query.
 
-    A table the connection has `partitioning` for is read by many tasks: `partition_column` gives
-    even ranges between its smallest and largest value, `predicates` one task per predicate, for
-    keys that are not even. Without, the database is read through a single connection.
+    A table or query the connection has `partitioning` for is read by many tasks: `partition_column`
+    gives even ranges between its smallest and largest value, `split_column` ranges that hold about as
+    many rows each, by quantiles of a sample that the database draws, and `predicates` one task per
+    predicate. Without, the database is read through a single connection, and a warning says so.
     """
     dbtable = jdbc_table(table, query, condition)
     if conn.kind == "catalog":
@@ -52,11 +63,19 @@ def read_source(
     options = {**jdbc_options(conn.url, conn.enforce_ssl, conn.cert_dn, conn.driver), **conn.options}
     if conn.user is not None:
         options |= {"user": conn.user, "password": conn.password or ""}
-    split = conn.partitioning.get(table or "", {})
-    if "predicates" in split:
-        url = options.pop("url")
-        return spark.read.jdbc(url, dbtable, predicates=list(split["predicates"]), properties=options)
+    split = conn.partitioning.get(table or (query or "").strip(), {})
     reader = spark.read.format("jdbc").options(**options)
+    predicates = list(split.get("predicates", ()))
+    if "split_column" in split:
+        sample = sample_query(dbtable, split["split_column"], kind_of(conn.url).random, split.get("sample", SAMPLE_SHARE))
+        drawn = reader.option("dbtable", sample).load().limit(MOST_SAMPLED)
+        points = split_points([r[0] for r in drawn.collect()], int(split["num_partitions"]))
+        predicates = split_predicates(split["split_column"], points)
+    if predicates:
+        url = options.pop("url")
+        return spark.read.jdbc(url, dbtable, predicates=predicates, properties=options)
+    if "partition_column" not in split:
+        log.warning("%s is read through a single connection: no partitioning is given", table or "a query")
     if "partition_column" in split:
         low, high = _bounds(reader, dbtable, split["partition_column"])
         if low is not None:
@@ -69,6 +88,43 @@ def read_source(
     return reader.option("dbtable", dbtable).load()
 
 
+def sample_query(dbtable: str, column: str, random: str, share: float) -> str:
+    """The `dbtable` option that reads a random share of a source's keys; the database draws it."""
+    if not random:
+        raise ValueError("split_column needs a kind of database that is known; give predicates")
+    source = dbtable if dbtable.startswith("(") else f"{dbtable} t"
+    return f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL AND {random} < {share}) s"
+
+
+def split_points(sample: Sequence, parts: int) -> list:
+    """Keys that cut the sample into parts of about equal size; a key that fills several is one cut."""
+    drawn = sorted(v for v in sample if not (isinstance(v, float) and math.isnan(v)))
+    cuts = (drawn[i * len(drawn) // parts] for i in range(1, parts)) if drawn else ()
+    return sorted(set(cuts))
+
+
+def split_predicates(column: str, points: Sequence) -> list[str]:
+    """Predicates of which every row meets exactly one, whatever its key: ranges between the points,
+    the first and last one open, and rows without a key."""
+    if not points:
+        return [f"{column} IS NOT NULL", f"{column} IS NULL"]
+    marks = [_sql_literal(p) for p in points]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(marks, marks[1:])]
+    return [f"{column} < {marks[0]}", *inner, f"{column} >= {marks[-1]}", f"{column} IS NULL"]
+
+
+def _sql_literal(value) -> str:
+    if isinstance(value, bool) or value is None:
+        raise ValueError(f"no key to split by: {value!r}")
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def _bounds(reader, dbtable: str, column: str) -> tuple:
     source = dbtable if dbtable.startswith("(") else f"{dbtable} t"
     probe = f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {source}) b"

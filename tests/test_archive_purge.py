@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -13,6 +14,7 @@ from coldkeep.plans.plan import PLAN_COLUMNS
 from coldkeep.plans.report import JOB_COLUMNS, job_metadata, report
 from coldkeep.plans.validate import validate_archive, validate_many, verdict
 from coldkeep.sinks.documents import register_config, registrations, write_purge_plan, write_summary
+from coldkeep.sinks import tables as sink
 from coldkeep.sinks.tables import drop_archive_db, remove_superseded, table_folder, write_archive
 from coldkeep.sources.connections import Connection
 from coldkeep.sources.documents import (
@@ -289,3 +291,130 @@ def test_config_registry(spark, tmp_path):
     rows = {r.source_name: r for r in latest_config(spark.read.parquet(path)).collect()}
     assert set(rows) == {"a", "b"} and {r.dag_run_id for r in rows.values()} == {"r2"}
     assert json.loads(rows["a"].config)["env"] == "prod"
+
+
+def month_rows(spark, months, tag):
+    rows = [(i, m, hold, tag) for m in months for hold in (True, False, None) for i in range(2)]
+    return spark.createDataFrame(rows, "id int, expiry_month int, legal_hold boolean, tag string")
+
+
+def test_partitioned_replace_keeps_the_name(spark, database, monkeypatch):
+    """Whatever statement a run dies before, the table is there, and a repeated run completes it."""
+    parts = ("expiry_month", "legal_hold")
+    name = f"{database}.arc"
+    write = lambda months, tag: write_archive(month_rows(spark, months, tag).select("id", "tag", *parts), name, partition_by=parts)
+    write([1, 2, 3], "old")
+    real, issued = sink.switch_statements, []
+    for stop in range(20):
+        def failing(*args, stop=stop):
+            statements = real(*args)
+            issued.append(len(statements))
+            return statements[:stop] + (["SELECT raise_error('dead')"] if stop < len(statements) else [])
+
+        monkeypatch.setattr(sink, "switch_statements", failing)
+        write([2, 3, 4], f"new{stop}")
+        found = {(r.expiry_month, r.tag) for r in spark.table(name).select("expiry_month", "tag").distinct().collect()}
+        # Months that both tables have are there at any time, from one of them.
+        assert {2, 3} <= {m for m, _ in found}
+        monkeypatch.setattr(sink, "switch_statements", real)
+        assert write([2, 3, 4], "done") == 18
+        assert {(r.expiry_month, r.legal_hold, r.tag) for r in spark.table(name).collect()} == {
+            (m, h, "done") for m in (2, 3, 4) for h in (True, False, None)
+        }
+        if stop >= issued[-1]:
+            break
+        write([1, 2, 3], "old")
+    assert stop > 3
+    left = spark.table(name).count()
+    assert remove_superseded(spark, name) > 0 and spark.table(name).count() == left
+
+
+def test_partitioned_replace_with_other_columns(spark, database):
+    parts = ("expiry_month", "legal_hold")
+    name = f"{database}.arc"
+    write_archive(month_rows(spark, [1], "a"), name, partition_by=parts)
+    more = month_rows(spark, [2], "b").withColumn("more", F.lit(1)).select("id", "tag", "more", *parts)
+    assert write_archive(more, name, partition_by=parts) == 6
+    assert spark.table(name).columns == ["id", "tag", "more", *parts] and spark.table(name).count() == 6
+
+
+def test_partition_values_are_quoted(spark, database):
+    name = f"{database}.odd"
+    values = ["a=b/c", "it's", "x y%z", "\\back", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, p string")
+    for _ in range(2):
+        assert write_archive(rows, name, partition_by=["p"]) == 5
+        assert sorted(map(tuple, spark.table(name).collect()), key=repr) == sorted(enumerate(values), key=repr)
+
+
+def stamps(spark, name):
+    return {p.name: p.stat().st_mtime_ns for p in files_below(spark, name)}
+
+
+def flat_archive(spark, feed):
+    """Files of ten days each, so that a purge touches a few of them."""
+    rows = archived(spark, feed).withColumn("legal_hold", F.lit(False))
+    name = f"{feed}.flat"
+    write_archive(rows.repartitionByRange(12, "id").sortWithinPartitions("id"), name)
+    return name
+
+
+def test_purge_rewrites_touched_files_only(spark, feed):
+    name = flat_archive(spark, feed)
+    before, rows = stamps(spark, name), spark.table(name)
+    want = {r.id for r in rows.filter(~expired(AS_OF)).collect()}
+    untouched = {r.f for r in rows.groupBy(F.col("_metadata.file_name").alias("f")).agg(
+        F.count_if(expired(AS_OF)).alias("n")).filter("n = 0").select("f").collect()}
+    assert len(before) == 12 and 2 < len(untouched) < 12
+    assert purge.purge_table(spark, name, AS_OF) == 120 - len(want)
+    after = stamps(spark, name)
+    assert untouched == set(before) & set(after)
+    assert all(after[f] == before[f] for f in untouched)
+    assert {r.id for r in spark.table(name).collect()} == want
+    assert purge.purge_table(spark, name, AS_OF) == 0
+
+
+@pytest.mark.parametrize("die", ["before the list", "after the list", "after one move"])
+def test_purge_by_file_survives_a_crash(spark, feed, monkeypatch, die):
+    name = flat_archive(spark, feed)
+    want = {r.id for r in spark.table(name).filter(~expired(AS_OF)).collect()}
+    real = sink.finish_replacing
+
+    def dead(*args):
+        raise RuntimeError("dead")
+
+    if die == "before the list":
+        monkeypatch.setattr(sink, "_file_system", dead)
+    else:
+        monkeypatch.setattr(sink, "finish_replacing", dead)
+    with pytest.raises(RuntimeError):
+        rows = spark.table(name)
+        past = rows.filter(expired(AS_OF)).select("_metadata.file_path").distinct().collect()
+        files = sorted(r.file_path for r in past)
+        touched = spark.read.schema(rows.schema).parquet(*files)
+        sink.replace_files(spark, name, files, touched.filter(~expired(AS_OF)))
+    monkeypatch.undo()
+    assert spark.table(name).count() == 120  # the old rows, until the change is final and carried out
+    if die == "after one move":
+        (folder,) = [p for p in Path(sink._location(spark, name).split(":", 1)[-1]).iterdir() if p.name.startswith("_purge_")]
+        one = sorted(folder.glob("*.parquet"))[0]
+        one.rename(folder.parent / one.name)
+    real(spark, name)
+    purge.purge_table(spark, name, AS_OF)
+    assert sorted(r.id for r in spark.table(name).collect()) == sorted(want)
+    assert not any(p.name.startswith("_purge_") for p in Path(sink._location(spark, name).split(":", 1)[-1]).iterdir())
+
+
+def scanned(df):
+    """What each scan of a plan reads."""
+    return re.findall(r"ReadSchema: (struct<[^>]*>)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_discovery_reads_no_column_of_months_gone_by(spark, feed):
+    name = f"{feed}.arc"
+    store(archived(spark, feed), name)
+    found = purge.expired_rows(spark, name, AS_OF)
+    assert sorted(scanned(found)) == ["struct<>", "struct<retention_expires_at:timestamp>"]
+    assert found.count() == archived(spark, feed).filter(expired(AS_OF)).count() > 0
+    for day in ("1997-01-01", "1996-12-05", "1990-01-01", "2030-06-15"):
+        assert purge.expired_count(spark, name, day) == archived(spark, feed).filter(expired(day)).count()

@@ -1,6 +1,9 @@
+import datetime as dt
+import decimal
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from coldkeep.sources.connections import Connection, db_kind, jdbc_options, tls_url
 from coldkeep.sources.documents import (
@@ -18,7 +21,10 @@ from coldkeep.sources.tables import (
     query_over,
     read_archive,
     read_source,
+    sample_query,
     source_catalogue,
+    split_points,
+    split_predicates,
 )
 
 ORACLE = "jdbc:oracle:thin:@//db.example.org:2484/SVC"
@@ -131,3 +137,84 @@ def test_yaml_rules(spark, tmp_path):
 
 def test_password_is_not_shown():
     assert "hunter2" not in repr(Connection("c", url=POSTGRES, user="u", password="hunter2"))
+
+
+@pytest.mark.parametrize(
+    "values,kind",
+    [
+        ([5, 1, 1, 1, 9, -3, None, 7, 7, 2**40], "bigint"),
+        ([1.5, -2.25, None, 0.0, 1e9], "double"),
+        ([decimal.Decimal("1.10"), decimal.Decimal("-7.25"), None], "decimal(12,2)"),
+        (["b", "ab", "", None, "zz z", "É"], "string"),
+        ([dt.date(2020, 1, 1), dt.date(1969, 5, 1), None, dt.date(9999, 12, 31)], "date"),
+        ([dt.datetime(2020, 1, 1, 12, 30, 1, 500000), None, dt.datetime(1999, 1, 1)], "timestamp"),
+        ([None, None], "int"),
+        ([], "int"),
+    ],
+)
+def test_split_predicates_cover_every_row_once(spark, values, kind):
+    """Each row, also one beyond the sample or without a key, meets exactly one predicate."""
+    df = spark.createDataFrame([(v,) for v in values], f"k {kind}")
+    sample = [v for v in values if v is not None]
+    for parts in (1, 2, 3, 10):
+        for drawn in (sample, sample[: len(sample) // 2]):
+            predicates = split_predicates("k", split_points(drawn, parts))
+            assert len(predicates) <= parts + 1
+            met = F.expr(" + ".join(f"int(coalesce({p}, false))" for p in predicates))
+            assert df.filter(met != 1).count() == 0
+
+
+def test_split_points_are_even():
+    points = split_points([i * i for i in range(1000)], 4)
+    assert points == [250**2, 500**2, 750**2]
+    assert split_points([7] * 90 + [8] * 10, 5) == [7]
+    assert split_points([1.0, float("nan"), 2.0], 2) == [2.0]
+    with pytest.raises(ValueError):
+        split_predicates("k", [True])
+
+
+def test_sample_queries():
+    assert sample_query("S.T", "ID", "RANDOM()", 0.01) == "(SELECT ID FROM S.T t WHERE ID IS NOT NULL AND RANDOM() < 0.01) s"
+    query = jdbc_table(query="SELECT * FROM A JOIN B USING (K)")
+    assert sample_query(query, "K", "DBMS_RANDOM.VALUE", 0.5).startswith("(SELECT K FROM (SELECT * FROM A JOIN B USING (K)) t WHERE")
+    with pytest.raises(ValueError, match="predicates"):
+        sample_query("T", "K", "", 0.1)
+
+
+class Reader:
+    """Stands in for Spark's JDBC reader, which needs a database: it keeps what it is asked for."""
+
+    def __init__(self, spark, keys):
+        self.spark, self.keys, self.asked, self.given = spark, keys, [], {}
+
+    read = property(lambda self: self)
+
+    def format(self, kind):
+        return self
+
+    def options(self, **options):
+        self.given |= options
+        return self
+
+    def option(self, name, value):
+        self.asked.append(value)
+        return self
+
+    def load(self):
+        return self.spark.createDataFrame([(k,) for k in self.keys], "k int")
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append((table, predicates))
+        return self.load()
+
+
+def test_queries_are_split(spark, caplog):
+    query = "SELECT k FROM a"
+    conn = Connection("c", url=POSTGRES, partitioning={query: {"split_column": "k", "num_partitions": 3}})
+    reader = Reader(spark, range(9))
+    read_source(reader, conn, query=f" {query} ")
+    assert reader.asked[0] == "(SELECT k FROM (SELECT k FROM a) t WHERE k IS NOT NULL AND RANDOM() < 0.01) s"
+    assert reader.asked[1] == ("(SELECT k FROM a) t", ["k < 3", "k >= 3 AND k < 6", "k >= 6", "k IS NULL"])
+    assert "url" in reader.given and not caplog.records
+    read_source(Reader(spark, [1]), conn, table="S.T")
+    assert "S.T is read through a single connection" in caplog.text
