@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -33,23 +35,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_staged: list[str] = []
+class Scratch:
+    """Owner of what operators stage while it is in use; nothing else is ever removed with it.
+
+    `with scratch.renewed(spark)` first removes what was staged in the block before, whose result must
+    be written by then.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    @contextmanager
+    def renewed(self, spark: SparkSession) -> Iterator[None]:
+        self.clear(spark)
+        before = _owner.set(self)
+        try:
+            yield
+        finally:
+            _owner.reset(before)
+
+    def clear(self, spark: SparkSession) -> None:
+        if self.paths:
+            release(spark)
+        while self.paths:
+            remove_folder(spark, self.paths.pop())
+
+
+_owner: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
 
 def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """Write once to the shared folder and read back; `clear` removes it unless it is to be kept."""
+    """Write once to the shared folder and read back. An owner in use may remove it, unless it is kept."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    if not keep:
-        _staged.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    owner = _owner.get()
+    if owner is not None and not keep:
+        owner.paths.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-def clear(spark: SparkSession) -> None:
-    """Remove what operators have staged so far; results that still read it must be written by then."""
-    while _staged:
-        remove_folder(spark, _staged.pop())
-    release(spark)
+def discard(*frames: DataFrame) -> None:
+    """Remove staged frames that an operator has no more use for: all that it made of them is staged."""
+    for df in frames:
+        remove_folder(df.sparkSession, df.staged_at)
 
 
 def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:

@@ -28,7 +28,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldkeep.llm import common
@@ -49,9 +49,15 @@ LAST = (1 << 63) - 1
 #: Bytes that a task turns into arrays at once.
 SLICE = 1 << 20
 
-TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
-NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4"), ("room", "u1")])
-SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("doc", "<i8"), ("at", "<u4")])
+#: The number of a segment: the rank of its document, then its place among the segments of that.
+DOC_SHIFT = 24
+TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
+NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
+SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("at", "<u2")])
+#: A sort is done in so many passes over ranges of its keys; the records of one are gone before the next.
+PASSES, HALVES = 3, 2
+#: Bytes of the pieces that named suffixes are kept in.
+PIECE_BYTES = 1 << 16
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
 #: A window that holds a part of PART bytes at its x-th byte belongs to one of CASES ranges of x.
 CASES = 2
@@ -430,7 +436,7 @@ def segments(docs: DataFrame) -> DataFrame:
 def triples(batch: pa.RecordBatch) -> np.ndarray:
     """Records of the sampled suffixes of units: 20 bytes, four bytes around, and where they are."""
     data, offsets = binaries(batch.column("data"))
-    unit, doc = batch.column("unit").to_numpy(), batch.column("doc").to_numpy()
+    unit = batch.column("unit").to_numpy()
     owner = np.repeat(np.arange(len(unit)), np.diff(offsets))
     at = np.arange(len(data)) - offsets[:-1][owner]
     behind = np.diff(offsets)[owner] - at - 20
@@ -441,7 +447,7 @@ def triples(batch: pa.RecordBatch) -> np.ndarray:
     out = np.zeros(len(sampled), TRIPLE)
     out["k1"], out["k2"], out["k3"] = word(0, 8), word(8, 8), word(16, 4)
     out["around"] = sum(byte(s).astype(np.uint32) << np.uint32(8 * k) for k, s in enumerate((-2, -1, 20, 21)))
-    out["unit"], out["doc"], out["at"] = unit[owner[sampled]], doc[owner[sampled]], at[sampled]
+    out["unit"], out["at"] = unit[owner[sampled]], at[sampled]
     out["room"] = np.minimum(behind[sampled], 2)
     return out
 
@@ -456,12 +462,66 @@ def prefix(records: np.ndarray) -> np.ndarray:
     return np.stack([records["k1"], records["k2"]], 1).astype(">u8").view("S16").ravel()
 
 
+def _triples_of_names(records: np.ndarray, shift: int, half: int, back: int) -> pa.RecordBatch:
+    """Records of three names that cover a window, at the suffixes that a shift serves; of their keys
+    one part in HALVES."""
+    at = records["at"].astype(np.int64)
+    place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 33) + at
+
+    def there(shift: int) -> tuple[np.ndarray, np.ndarray]:
+        where = np.minimum(np.searchsorted(place, place + shift), len(place) - 1)
+        return where, place[where] == place + shift
+
+    around = lambda rows, k: (records["around"][rows] >> np.uint32(8 * k)) & np.uint32(255)
+    second, third, classes = SHIFTS[shift]
+    w2, ok2 = there(second)
+    w3, ok3 = there(third)
+    start = at - shift
+    # Where names end before the window does, the segment must hold the bytes behind them.
+    fits = records["room"][w3] >= WINDOW - 20 - shift - third
+    good = np.flatnonzero(ok2 & ok3 & fits & (start >= 0) & np.isin(start % 3, classes))
+    out = np.zeros(len(good), SUFFIX)
+    out["a"], out["b"], out["c"] = records["name"][good], records["name"][w2[good]], records["name"][w3[good]]
+    tail = w3[good]
+    if shift == 1:  # one byte before the names, two behind
+        rest = around(good, 1) | around(tail, 2) << np.uint32(8) | around(tail, 3) << np.uint32(16)
+    elif shift == 2:  # two bytes before, one behind
+        rest = around(good, 0) | around(good, 1) << np.uint32(8) | around(tail, 2) << np.uint32(16)
+    else:
+        rest = np.zeros(len(good), np.uint32)
+    out["rest"] = rest | np.uint32(shift << 24)
+    out["unit"], out["at"] = records["unit"][good], start[good]
+    mixed = np.zeros(len(good), np.uint64)
+    for field in ("a", "b", "c", "rest"):
+        mixed = common.mix64(mixed * common.U64(31) + out[field].astype(np.uint64))
+    now = (mixed >> common.U64(32)) % common.U64(HALVES) == half
+    return packed((mixed[now] % common.U64(back)).astype(np.int32), out[now])
+
+
+def numbered(distinct: DataFrame, label: str) -> DataFrame:
+    """Add unit, numbers of the segments in the order of their documents: equal up to DOC_SHIFT bits
+    for segments of one document."""
+    docs = distinct.select("doc").distinct()
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("local")
+    ranked = docs.repartitionByRange(parts, "doc").sortWithinPartitions("doc")
+    ranked = staged(ranked.select("doc", F.spark_partition_id().alias("part"), local), f"{label}-docs")
+    # One row for each partition.
+    sizes = sorted((r["part"], r["count"]) for r in ranked.groupBy("part").count().collect())
+    before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    starts = docs.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(sizes, before)], "part int, before long")
+    rank = ranked.join(F.broadcast(starts), "part").select("doc", (F.col("before") + F.col("local")).alias("rank"))
+    own = F.row_number().over(Window.partitionBy("doc").orderBy("content")) - 1
+    unit = F.shiftleft(F.col("rank"), DOC_SHIFT) + F.col("own")
+    return distinct.withColumn("own", own).join(rank, "doc").withColumn("unit", unit).drop("own", "rank")
+
+
 def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     """unit, starts: window starts of each segment that also start in one of a smaller document.
 
-    units: unit (number of the segment), doc (least document), data. total: bytes of data.
+    units: unit (number of the segment, see `numbered`), data. total: bytes of data.
     """
-    buckets = max(1, -(-total * TRIPLE.itemsize // BUCKET_BYTES))
+    buckets = max(PASSES, -(-total * TRIPLE.itemsize // BUCKET_BYTES))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "data", SLICE):
@@ -469,13 +529,16 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
             keep = common.mix64(records["unit"].view(np.uint64) + records["at"]) % common.U64(max(1, total)) < SPLIT_SAMPLE
             yield pa.RecordBatch.from_arrays([pa.array(prefix(records)[keep].tolist(), pa.binary())], names=["key"])
 
-    drawn = sorted(r["key"] for r in units.mapInArrow(keys, "key binary").limit(2 * SPLIT_SAMPLE).collect()) if buckets > 1 else []
+    drawn = sorted(r["key"] for r in units.mapInArrow(keys, "key binary").limit(2 * SPLIT_SAMPLE).collect())
     splits = np.array([drawn[i * len(drawn) // buckets] for i in range(1, buckets)] if drawn else [], "S16")
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+        """The triples of the buckets whose turn it is."""
         for batch in common.slices(batches, "data", SLICE):
             records = triples(batch)
-            yield packed(np.searchsorted(splits, prefix(records), side="right").astype(np.int32), records)
+            bucket = np.searchsorted(splits, prefix(records), side="right").astype(np.int32)
+            now = bucket % PASSES == turn
+            yield packed(bucket[now], records[now])
 
     back = max(1, buckets)
 
@@ -490,52 +553,49 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         out = np.zeros(int(many.sum()), NAMED)
         chosen = records[order][many]
         out["name"] = (np.int64(bucket) << 36) + rank[many]
-        for field in ("around", "unit", "doc", "at", "room"):
+        for field in ("around", "unit", "at", "room"):
             out[field] = chosen[field]
         for lo in range(0, len(out), 1 << 18):
             part = out[lo : lo + (1 << 18)]
-            yield packed((part["unit"] % back).astype(np.int32), part)
-
-    named = common.settled(by_bucket(units.mapInArrow(send, PACKED), buckets, TRIPLE, name, PACKED), f"{label}-names")
+            yield packed((common.mix64(part["unit"].view(np.uint64)) % common.U64(back)).astype(np.int32), part)
 
-    def recurse(_: int, records: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
-        """Triples of names: of sampled suffixes, and of the pairs of classes that meet by a shift."""
+    def gathered(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Named suffixes in the order of the text, in pieces that hold whole segments."""
         records = records[np.lexsort((records["at"], records["unit"]))]
-        at = records["at"].astype(np.int64)
-        place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 33) + at
-
-        def there(shift: int) -> tuple[np.ndarray, np.ndarray]:
-            where = np.minimum(np.searchsorted(place, place + shift), len(place) - 1)
-            return where, place[where] == place + shift
-
-        around = lambda rows, k: (records["around"][rows] >> np.uint32(8 * k)) & np.uint32(255)
-        for second, third, classes in (SHIFTS[shift],):
-            w2, ok2 = there(second)
-            w3, ok3 = there(third)
-            start = at - shift
-            # Where names end before the window does, the unit must hold the bytes behind them.
-            fits = records["room"][w3] >= WINDOW - 20 - shift - third
-            good = np.flatnonzero(ok2 & ok3 & fits & (start >= 0) & np.isin(start % 3, classes))
-            out = np.zeros(len(good), SUFFIX)
-            out["a"], out["b"], out["c"] = records["name"][good], records["name"][w2[good]], records["name"][w3[good]]
-            tail = w3[good]
-            if shift == 1:  # one byte before the names, two behind
-                rest = around(good, 1) | around(tail, 2) << np.uint32(8) | around(tail, 3) << np.uint32(16)
-            elif shift == 2:  # two bytes before, one behind
-                rest = around(good, 0) | around(good, 1) << np.uint32(8) | around(tail, 2) << np.uint32(16)
-            else:
-                rest = np.zeros(len(good), np.uint32)
-            out["rest"] = rest | np.uint32(shift << 24)
-            out["unit"], out["doc"], out["at"] = records["unit"][good], records["doc"][good], start[good]
-            mixed = np.zeros(len(good), np.uint64)
-            for field in ("a", "b", "c", "rest"):
-                mixed = common.mix64(mixed * common.U64(31) + out[field].astype(np.uint64))
-            yield packed((mixed % common.U64(back)).astype(np.int32), out)
-
+        ends = np.flatnonzero(np.append(records["unit"][1:] != records["unit"][:-1], True)) + 1
+        cuts = [0]
+        for end in ends.tolist():
+            if (end - cuts[-1]) * NAMED.itemsize >= PIECE_BYTES or end == len(records):
+                cuts.append(end)
+        pieces = [records[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], names=["records"])
+
+    named = None
+    for turn in range(PASSES):
+        sent = units.mapInArrow(partial(send, turn=turn), PACKED)
+        part = common.settled(by_bucket(sent, buckets, TRIPLE, name, PACKED), f"{label}-names")
+        named = [part] if named is None else [*named, part]
+    everything = named[0]
+    for part in named[1:]:
+        everything = everything.unionByName(part)
+    pieces = []
+    for turn in range(PASSES):
+        some = everything.where(F.col("bucket") % PASSES == turn)
+        pieces.append(common.settled(by_bucket(some, back, NAMED, gathered, "records binary"), f"{label}-pieces"))
+    common.discard(*named)
+    text = pieces[0]
+    for part in pieces[1:]:
+        text = text.unionByName(part)
+
+    def recurse(batches: Iterator[pa.RecordBatch], shift: int, half: int) -> Iterator[pa.RecordBatch]:
+        """Triples of names: of sampled suffixes, and of the pairs of classes that meet by a shift."""
+        for batch in common.slices(batches, "records", 32 * SLICE):
+            records = np.frombuffer(b"".join(batch.column("records").to_pylist()), NAMED)
+            yield _triples_of_names(records, shift, half, back)
 
     def adjacent(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Suffixes in order; neighbours of equal keys share WINDOW bytes."""
-        order = np.lexsort((records["doc"], records["rest"], records["c"], records["b"], records["a"]))
+        order = np.lexsort((records["unit"], records["rest"], records["c"], records["b"], records["a"]))
         records = records[order]
         if not len(records):
             return
@@ -543,19 +603,22 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         for field in ("a", "b", "c", "rest"):
             same &= records[field][1:] == records[field][:-1]
         first = np.append(True, ~same)
-        least = records["doc"][np.flatnonzero(first)][np.cumsum(first) - 1]
-        gone = records[records["doc"] > least]
+        doc = records["unit"] >> DOC_SHIFT
+        least = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
+        gone = records[doc > least]
         gone = gone[np.lexsort((gone["at"], gone["unit"]))]
         cuts = np.flatnonzero(np.append(True, gone["unit"][1:] != gone["unit"][:-1])) if len(gone) else np.zeros(0, np.int64)
         starts = [x.tobytes() for x in np.split(np.ascontiguousarray(gone["at"]), cuts[1:])] if len(gone) else []
         yield pa.RecordBatch.from_arrays([pa.array(gone["unit"][cuts], pa.int64()), pa.array(starts, pa.binary())], names=["unit", "starts"])
 
-    # One shift after the other: the records of one are gone before the next ones are made.
+    # One part of one shift after the other: the records of one are gone before the next ones are made.
     found = None
     for shift in SHIFTS:
-        suffixes = by_bucket(named, back, NAMED, partial(recurse, shift=shift), PACKED)
-        part = common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered")
-        found = part if found is None else found.unionByName(part)
+        for half in range(HALVES):
+            suffixes = text.mapInArrow(partial(recurse, shift=shift, half=half), PACKED)
+            part = common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered")
+            found = part if found is None else found.unionByName(part)
+    common.discard(*pieces)
     return found.groupBy("unit").agg(F.collect_list("starts").alias("starts"))
 
 
@@ -587,11 +650,13 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     # Rows that are equal in id and text give their segments once.
     sources = sources.dropDuplicates(["doc", "version"])
     texts = common.settled(segments(sources.select("doc", "text", "shared")), f"{label}-texts")
-    texts = common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
+    common.discard(candidates)
+    wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
+    common.discard(wider)
     # Segments of equal bytes are sorted once, for the least document that has them.
-    texts = texts.withColumn("content", F.sha2("data", 256))
+    trimmed_texts, texts = texts, texts.withColumn("content", F.sha2("data", 256))
     distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.first("data").alias("data"))
-    distinct = common.settled(distinct.withColumn("unit", F.xxhash64("content")), f"{label}-distinct")
+    distinct = common.settled(numbered(distinct, label), f"{label}-distinct")
     total = distinct.agg(F.sum(F.length("data"))).first()[0] or 0
     cover = covered_windows(distinct, int(total), label)
 
@@ -608,7 +673,8 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     partly = units.drop("size").join(partly.drop("content", "unit", "first_doc"), ["one", "two", "doc"])
     partly = partly.withColumns({"begin": F.col("begin") + F.col("within"), "size": F.col("part")}).select(*shape)
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))
-    marks = staged(marks, f"{label}-marks")
+    marks = common.settled(marks, f"{label}-marks")
+    common.discard(units, repeats, trimmed_texts, distinct)
     out = removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
     return out.select("doc_id", "kept", "begins", "ends", "n_bytes", *(f"_others.{c}" for c in others))
 
@@ -626,7 +692,7 @@ def removed(docs: DataFrame) -> DataFrame:
                         depth[offsets[t] + mark["begin"]] += 1
                         depth[offsets[t] + mark["begin"] + mark["size"]] -= 1
                     else:
-                        at = offsets[t] + mark["begin"] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u4")).astype(np.int64)
+                        at = offsets[t] + mark["begin"] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u2")).astype(np.int64)
                         np.add.at(depth, at, 1)
                         np.add.at(depth, at + WINDOW, -1)
             gone = np.cumsum(depth)[: len(data)] > 0
