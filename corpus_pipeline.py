@@ -1,6 +1,6 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read by the next.
 
-A stage begins by removing what the stages before it have staged: their results are written by then.
+A stage begins by removing what the stage before it has staged, whose result is written by then.
 """
 
 from __future__ import annotations
@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldkeep.llm import minhash, packing, secrets, suffixes, toxicity
-from coldkeep.llm.common import clear, settled, table, tuned
+from coldkeep.llm.common import Scratch, settled, table, tuned
 from coldkeep.llm.queries import learning
 
+#: What the stages have staged; only this is removed between them.
+SCRATCH = Scratch()
+
 #: Columns of documents besides the id and the text, which every stage but the last passes on.
 PASSED = ("lang", "source", "n_chars")
 
@@ -26,41 +29,43 @@ def shaped(df: DataFrame, text: str) -> DataFrame:
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
-    clear(spark)
-    labels = table(spark, sf_dir, "labels")
-    model = toxicity.learnt(learning(docs), learning(labels))
-    scored = toxicity.score(docs, model, ("text", *PASSED))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select("doc_id", "text", *PASSED)
+    with SCRATCH.renewed(spark):
+        labels = table(spark, sf_dir, "labels")
+        model = toxicity.learnt(learning(docs), learning(labels))
+        scored = toxicity.score(docs, model, ("text", *PASSED))
+        return scored.where(F.col("score") < toxicity.THRESHOLD).select("doc_id", "text", *PASSED)
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each near-duplicate group, and every document in no group.
 
-    Rows that repeat a doc_id are one document; rows without an id can't be named, and stay.
+    Rows that repeat a doc_id are one document if their texts are equal, else all of them stay with
+    their id; rows without an id can't be named, and stay.
     """
-    clear(spark)
-    groups = minhash.near_duplicates(docs.where("doc_id is not null"))
-    kept = docs.join(groups.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select("doc_id", "text", *PASSED)
+    with SCRATCH.renewed(spark):
+        groups = minhash.near_duplicates(docs.where("doc_id is not null"))
+        kept = docs.join(groups.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+        kept = kept.dropDuplicates(["doc_id", "text"])
+        return kept.unionByName(docs.where("doc_id is null")).select("doc_id", "text", *PASSED)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that start in a document of a smaller id as well."""
-    clear(spark)
-    found = suffixes.repeated(docs, PASSED)
-    return shaped(suffixes.readable(found), "text")
+    with SCRATCH.renewed(spark):
+        found = suffixes.repeated(docs, PASSED)
+        return shaped(suffixes.readable(found), "text")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced."""
-    clear(spark)
-    return shaped(secrets.find_secrets(docs, PASSED), "redacted")
+    with SCRATCH.renewed(spark):
+        return shaped(secrets.find_secrets(docs, PASSED), "redacted")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their places in sequences."""
-    clear(spark)
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048)
+    with SCRATCH.renewed(spark):
+        return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
