@@ -31,8 +31,8 @@ LEAST_SHARE, MOST_SHARE = 0.0005, 0.1
 SUBSETS = 64
 LEVEL_BITS = 4
 WIDE = 3
-#: Text bytes of a block of document ids; a block is one group of the window below.
-BLOCK_BYTES = 64 << 20
+#: Text bytes of a block of document ids, one group of the window below; beyond so many blocks they grow.
+BLOCK_BYTES, MOST_BLOCKS = 16 << 20, 1 << 16
 #: Limits between blocks that one row is compared with at once.
 FAN = 64
 
@@ -144,8 +144,7 @@ def _block(key: Column, limits: list[int]) -> Column:
         return F.lit(0)
     groups = [limits[i : i + FAN] for i in range(0, len(limits), FAN)]
     above = lambda values: F.size(F.filter(values, lambda x: x < key))
-    heads = F.array(*[F.lit(g[0]) for g in groups])
-    group = above(heads)
+    group = above(F.from_json(F.lit(json.dumps([g[0] for g in groups])), "array<bigint>"))
     inside = F.from_json(F.lit(json.dumps(groups)), "array<array<bigint>>")
     return F.when(group == 0, F.lit(0)).otherwise((group - 1) * FAN + above(F.element_at(inside, F.greatest(group, F.lit(1)))))
 
@@ -154,7 +153,7 @@ def blocked(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Rows dealt into blocks of ids by approximate quantiles, and for each block a copy of the row that
     comes after it by descending id; after the last comes the first."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(2, math.ceil(size / BLOCK_BYTES))
+    n = min(max(2, math.ceil(size / BLOCK_BYTES)), MOST_BLOCKS)
     shares = [i / n for i in range(1, n)]
     limits = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0] or []))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long"))
