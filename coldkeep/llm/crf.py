@@ -9,14 +9,19 @@ its words' marginals, and that share is the score.
 Training texts have one language each. Training sequences are spliced from stretches of texts in
 different languages, so that the transitions see switches.
 
+Letters are the code points of Unicode's letter categories; a word is a run of letters and of the marks
+that are written on them.
+
 Defined results: a null text or one without letters is `und` with score 0; without labelled texts
 every text is; ties go to the language that sorts first; rows that repeat a doc_id are labelled one
-by one; extra columns are ignored.
+by one, and so are rows without one; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,25 +43,47 @@ EPOCHS, RATE, RIDGE = 6, 0.25, 1e-5
 #: Words of a block; transfer matrices of blocks make long texts parallel.
 BLOCK = 32
 
-LETTER = np.zeros(256, bool)
-LETTER[[*range(65, 91), *range(97, 123), *range(0x80, 256)]] = True
+MARK, LETTER = 1, 2
+
+
+@cache
+def kinds() -> np.ndarray:
+    """Whether each code point is a letter, a mark or neither."""
+    of = {"L": LETTER, "M": MARK}
+    return np.array([of.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
+
+
+def letters(data: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 text belongs to."""
+    out = kinds()[:128][np.minimum(data, 127)]
+    out[data >= 0x80] = 0
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        first = data[lead].astype(np.int32)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        code = first & np.array([0, 0, 0x1F, 0x0F, 0x07])[size]
+        for k in range(1, 4):
+            more = size > k
+            code[more] = code[more] << 6 | data[lead[more] + k] & 0x3F
+        kind = kinds()[code]
+        for k in range(4):
+            more = size > k
+            out[lead[more] + k] = kind[more]
+    return out
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, start and end of each run of letters, and the text of each."""
+    """Lower-cased bytes, start and end of each word, and the text of each."""
     low = data + ((data >= 65) & (data <= 90)) * np.uint8(32)
     after = np.zeros(len(data), bool)
     after[1:] = data[:-1] == 0xC3
     low = low + (after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)) * np.uint8(32)
-    inside = LETTER[data].copy()
-    # Signs of Latin-1 and general punctuation are no letters.
-    lead = np.flatnonzero(data == 0xC2)
-    signs = [lead, lead + 1]
-    lead = np.flatnonzero((data[:-1] == 0xE2) & (data[1:] == 0x80)) if len(data) > 1 else lead[:0]
-    signs += [lead, lead + 1, lead + 2]
-    signs = np.concatenate(signs)
-    inside[signs[signs < len(data)]] = False
-    start, end = common.runs(inside, offsets)
+    kind = letters(data)
+    start, end = common.runs(kind > 0, offsets)
+    # Marks alone are no word.
+    count = np.concatenate([[0], np.cumsum(kind == LETTER)])
+    word = count[end] > count[start]
+    start, end = start[word], end[word]
     return low, start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
