@@ -6,14 +6,16 @@ on a whole band propose links; links are confirmed on the full shingle sets.
 
 Defined results: a null text or one without words has an empty set and no link; a text with fewer
 words than a shingle has its whole sequence as its one shingle; rows that repeat a doc_id are one
-document each in the set sense and share that id; extra columns are ignored.
+document each in the set sense and share that id; a row without a doc_id is never the least of a group
+that has others, and is kept only where its whole group has none; extra columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldkeep.llm import common
@@ -23,6 +25,8 @@ from coldkeep.llm.common import staged
 BANDS, ROWS = 64, 8
 #: Columns that identify a set of shingles.
 SET = ("n_shingles", "c1", "c2")
+#: Stands for a missing id: larger than every other.
+NO_ID = (1 << 63) - 1
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
 
@@ -99,7 +103,7 @@ def identity(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, c1 and c2 (identity of the set), bands (array of keys)."""
+    """doc_id, version, n_shingles, c1 and c2 (identity of the set), bands (array of keys)."""
 
     def make():
         shingle = Shingler(words)
@@ -112,15 +116,16 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("version"),
                     *identity(sets),
                     common.lists(keys.ravel(), np.where(sizes > 0, BANDS, 0), pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "c1", "c2", "bands"],
+                names=["doc_id", "version", "n_shingles", "c1", "c2", "bands"],
             )
 
         return kernel
 
-    return common.arrow_map(docs.select("doc_id", "text"), make, "doc_id long, n_shingles long, c1 long, c2 long, bands array<long>", "text")
+    return common.arrow_map(docs, make, "doc_id long, version long, n_shingles long, c1 long, c2 long, bands array<long>", "text")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -169,6 +174,11 @@ def _outside_main(members: DataFrame, group: str) -> tuple[DataFrame, DataFrame]
     return minor.select(group, *[F.col(k).alias(f"x_{k}") for k in minor.columns if k != group]), every
 
 
+def _kept(component: Column, key: str) -> Column:
+    """Whether a row stands for its component; a row without a key does where there is no other one."""
+    return F.coalesce(component == F.col(key), component.isNull())
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text, ...).
 
@@ -177,11 +187,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     after that are tested with each other, so that no proposed link is lost. There, differences
     to the leader stand for the sets of members close to it, and its distances exclude most pairs.
     """
+    # A row is known by its id, or a number above all ids, and its text.
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id")
+    docs = docs.select(known, F.xxhash64("text").alias("version"), "text")
     # Nodes are identified by a 64-bit number of their set, its documents by the set's least id.
     sketch = staged(sketches(docs, words), "minhash").withColumn("node", F.xxhash64(*SET))
     full = sketch.where("n_shingles > 0")
-    nodes = full.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"))
-    owner = full.join(nodes.select("node", F.col("least").alias("doc_id")), ["node", "doc_id"], "left_semi").dropDuplicates(["node"])
+    first = F.min(F.struct("doc_id", "version")).alias("first")
+    nodes = full.groupBy("node").agg(first, F.min("n_shingles").alias("n"))
+    nodes = nodes.select("node", "n", F.col("first.doc_id").alias("least"), F.col("first.version").alias("version"))
+    owner = full.join(nodes.select("node", F.col("least").alias("doc_id"), "version"), ["node", "doc_id", "version"], "left_semi").dropDuplicates(["node"])
     member = owner.select("node", F.explode("bands").alias("key"))
     crowded = member.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = staged(member.join(crowded, "key"), "minhash-shared")
@@ -195,8 +210,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     star = staged(star.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "minhash-star")
 
     # Full sets, only of documents that share a bucket with another one.
-    wanted = bucket.select("node").distinct().join(nodes, "node").select("node", F.col("least").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id")
+    wanted = bucket.select("node").distinct().join(nodes, "node").select("node", F.col("least").alias("doc_id"), "version")
+    texts = docs.join(wanted, ["doc_id", "version"])
     sets = staged(shingle_sets(texts, words).dropDuplicates(["node"]), "minhash-sets")
 
     # The difference to the leader is kept where it is smaller than the sets.
@@ -248,5 +263,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "node", F.coalesce("component_least", "least").alias("component_id")
     )
     out = sketch.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("node"))).join(of_node, "node", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    named = lambda c: F.when(c != NO_ID, c)
+    component = named(F.coalesce("component_id", "doc_id"))
+    out = out.withColumn("component_id", component).withColumn("doc_id", named(F.col("doc_id")))
+    component = F.col("component_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), _kept(component, "doc_id").alias("kept"))
