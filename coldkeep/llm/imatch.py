@@ -150,10 +150,11 @@ def _block(key: Column, limits: list[int]) -> Column:
 
 
 def blocked(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows dealt into blocks of ids by approximate quantiles, and for each block a copy of the row that
+    """Rows dealt into blocks of ids by approximate quantiles, one for each task at least, and for each block a copy of the row that
     comes after it by descending id; after the last comes the first."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = min(max(2, math.ceil(size / BLOCK_BYTES)), MOST_BLOCKS)
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(max(2, least, math.ceil(size / BLOCK_BYTES)), MOST_BLOCKS)
     shares = [i / n for i in range(1, n)]
     limits = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * n))).first()[0] or []))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long"))
