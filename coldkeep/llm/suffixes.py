@@ -612,14 +612,16 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(gone["unit"][cuts], pa.int64()), pa.array(starts, pa.binary())], names=["unit", "starts"])
 
     # One part of one shift after the other: the records of one are gone before the next ones are made.
-    found = None
+    found, parts = None, []
     for shift in SHIFTS:
         for half in range(HALVES):
             suffixes = text.mapInArrow(partial(recurse, shift=shift, half=half), PACKED)
-            part = common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered")
-            found = part if found is None else found.unionByName(part)
+            parts.append(common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered"))
+            found = parts[-1] if found is None else found.unionByName(parts[-1])
     common.discard(*pieces)
-    return found.groupBy("unit").agg(F.collect_list("starts").alias("starts"))
+    cover = common.settled(found.groupBy("unit").agg(F.collect_list("starts").alias("starts")), f"{label}-cover")
+    common.discard(*parts)
+    return cover
 
 
 def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffixes") -> DataFrame:
@@ -654,7 +656,7 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
     common.discard(wider)
     # Segments of equal bytes are sorted once, for the least document that has them.
-    trimmed_texts, texts = texts, texts.withColumn("content", F.sha2("data", 256))
+    trimmed_texts, texts = texts, texts.withColumn("content", F.unhex(F.sha2("data", 256)))
     distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.first("data").alias("data"))
     distinct = common.settled(numbered(distinct, label), f"{label}-distinct")
     total = distinct.agg(F.sum(F.length("data"))).first()[0] or 0
@@ -666,15 +668,18 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     shape = ("doc", "version", "begin", "size", "starts")
     whole = units.join(repeats, ["one", "two"]).where("doc > first_doc")
     whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("array<binary>")}).select(*shape)
+    whole = common.settled(whole, f"{label}-whole")
     first = distinct.select("content", F.col("doc").alias("first_doc"), "unit").join(cover, "unit", "left")
     partly = texts.select("content", "doc", "one", "two", F.col("begin").alias("within"), F.length("data").alias("part")).join(first, "content")
     partly = partly.where("doc > first_doc or starts is not null")
     partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts")))
-    partly = units.drop("size").join(partly.drop("content", "unit", "first_doc"), ["one", "two", "doc"])
+    partly = common.settled(partly.drop("content", "unit", "first_doc"), f"{label}-partly")
+    common.discard(repeats, trimmed_texts, distinct, cover)
+    partly = units.drop("size").join(partly, ["one", "two", "doc"])
     partly = partly.withColumns({"begin": F.col("begin") + F.col("within"), "size": F.col("part")}).select(*shape)
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))
     marks = common.settled(marks, f"{label}-marks")
-    common.discard(units, repeats, trimmed_texts, distinct)
+    common.discard(units, whole)
     out = removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
     return out.select("doc_id", "kept", "begins", "ends", "n_bytes", *(f"_others.{c}" for c in others))
 
