@@ -10,8 +10,10 @@ drawn from the lists below, whose labels are known, and the sampled pages themse
 their article is marked by a tag of its own.
 
 Defined results: a null or empty page has an empty text; unclosed and stray tags are tolerated;
-contents of scripts, styles and templates and comments are no leaves; rows that repeat a page_id
-are extracted one by one; extra columns are ignored.
+contents of scripts, styles, templates, drawings, frames and comments are no leaves, but a drawing,
+frame or text area that closes itself or is never closed hides nothing; rows that repeat a page_id
+are extracted one by one, and so are rows without one; extra columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -34,11 +36,13 @@ LAYOUTS, EPOCHS, BATCH, RATE = 1500, 12, 30, 0.01
 HIDDEN, WORD_DIMS, PATH_DIMS, MEASURES = 20, 32, 512, 5
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|$)|<(script|style|template|svg|textarea|iframe|object)\b(?:[^<>"']|"[^"<]*"|'[^'<]*')*>.*?(?:</\1\s*>|$)"""
+    r"""<!--.*?(?:-->|$)|<(script|style)\b(?:[^<>"']|"[^"<]*"|'[^'<]*')*>.*?(?:</\1\s*>|$)"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+|[^<>]*)>|<[!?][^>]*>""",
     re.DOTALL | re.IGNORECASE,
 )
 MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
+#: Tags whose content is hidden up to their end, if they have one.
+HIDDEN_TAGS = frozenset("template svg textarea iframe object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
@@ -100,8 +104,8 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             flush()
         del stack[upto:]
 
-    at = 0
-    for m in TOKEN.finditer(page):
+    at, endless = 0, set()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append(page[at : m.start()])
             if any(tag == "a" for tag, _ in stack):
@@ -117,6 +121,15 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             elif tag not in INLINE:
                 flush()
             continue
+        if tag in HIDDEN_TAGS:
+            # Once no end is found there is none further on either.
+            if not m[4].rstrip().endswith("/") and tag not in endless:
+                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    endless.add(tag)
+            continue
         if tag == "br":
             parts.append(" ")
         if tag not in INLINE and tag != "br":
@@ -189,11 +202,12 @@ class Network:
             p[f"c{d}"] = np.repeat(np.array([0, 1, 0, 0], np.float32), HIDDEN)
         return Network(p)
 
-    def run(self, dense: np.ndarray, paths: np.ndarray, used: np.ndarray, keep: bool = False):
-        """Logits (steps, pages). dense: (steps, pages, dims); paths: the same with path indicators; used: mask."""
+    def run(self, dense: np.ndarray, paths: "Paths", used: np.ndarray, keep: bool = False):
+        """Logits (steps, pages). dense: (steps, pages, dims); paths: the path marks; used: mask."""
         p, steps, traces, states = self.parameters, len(dense), {}, []
         for d in "fb":
-            inputs = dense @ p[f"x{d}"] + paths @ p[f"p{d}"] + p[f"c{d}"]
+            inputs = dense @ p[f"x{d}"] + p[f"c{d}"]
+            paths.add(inputs, p[f"p{d}"])
             h = c = np.zeros((dense.shape[1], HIDDEN), np.float32)
             hidden = np.zeros((steps, dense.shape[1], HIDDEN), np.float32)
             trace = []
@@ -211,7 +225,8 @@ class Network:
             traces[d] = trace
             states.append(hidden)
         both = np.concatenate(states, 2)
-        logits = both @ p["out"] + paths @ p["skip"] + p["out_bias"]
+        logits = both @ p["out"] + p["out_bias"]
+        paths.add(logits, p["skip"])
         return (logits, both, traces) if keep else logits
 
     def gradients(self, dense, paths, used, label) -> tuple[float, dict[str, np.ndarray]]:
@@ -222,7 +237,7 @@ class Network:
         n = used.sum()
         loss = -np.sum(used * (label * np.log(prob + 1e-9) + (1 - label) * np.log(1 - prob + 1e-9))) / n
         d_logit = (prob - label) * used / n
-        out = {"out": np.einsum("tb,tbh->h", d_logit, both), "out_bias": d_logit.sum(keepdims=True)[0], "skip": np.einsum("tb,tbk->k", d_logit, paths)}
+        out = {"out": np.einsum("tb,tbh->h", d_logit, both), "out_bias": d_logit.sum(keepdims=True)[0], "skip": paths.back(d_logit)}
         for k, d in enumerate("fb"):
             d_hidden = d_logit[:, :, None] * p["out"][k * HIDDEN : (k + 1) * HIDDEN]
             d_inputs = np.zeros((*dense.shape[:2], 4 * HIDDEN), np.float32)
@@ -238,10 +253,31 @@ class Network:
                 dh = np.where(mask, dz @ p[f"h{d}"].T, dh)
                 dc = np.where(mask, inner_c * f, dc)
             flat = d_inputs.reshape(-1, 4 * HIDDEN)
-            out |= {f"x{d}": dense.reshape(-1, dense.shape[2]).T @ flat, f"p{d}": paths.reshape(-1, PATH_DIMS).T @ flat, f"h{d}": d_recurrent, f"c{d}": flat.sum(0)}
+            out |= {f"x{d}": dense.reshape(-1, dense.shape[2]).T @ flat, f"p{d}": paths.back(d_inputs), f"h{d}": d_recurrent, f"c{d}": flat.sum(0)}
         return loss, out
 
 
+@dataclass
+class Paths:
+    """Path marks of leaves as lists: mark `number` is on the leaf at (step, page)."""
+
+    step: np.ndarray
+    page: np.ndarray
+    number: np.ndarray
+
+    def add(self, to: np.ndarray, rows: np.ndarray) -> None:
+        """Add to each leaf the rows of its marks; the marks of a leaf lie behind one another."""
+        if len(self.number):
+            new = np.flatnonzero(np.append(True, (np.diff(self.step) != 0) | (np.diff(self.page) != 0)))
+            to[self.step[new], self.page[new]] += np.add.reduceat(rows[self.number], new, axis=0)
+
+    def back(self, gradient: np.ndarray) -> np.ndarray:
+        """Gradient of the rows from that of the leaves."""
+        out = np.zeros((PATH_DIMS, *gradient.shape[2:]), gradient.dtype)
+        np.add.at(out, self.number, gradient[self.step, self.page])
+        return out
+
+
 def batch_of(vectors: Vectors, pages: list[list[tuple[str, tuple[str, ...], float]]]):
     """Padded (steps, pages, dims) arrays of the leaves of several pages."""
     size = np.array([len(p) for p in pages])
@@ -250,13 +286,13 @@ def batch_of(vectors: Vectors, pages: list[list[tuple[str, tuple[str, ...], floa
     page = np.repeat(np.arange(len(pages)), size)
     step = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
     dense = np.zeros((steps, len(pages), WORD_DIMS + MEASURES), np.float32)
-    paths = np.zeros((steps, len(pages), PATH_DIMS), np.float32)
+    paths = Paths(*(np.zeros(0, np.int64) for _ in range(3)))
     used = np.zeros((steps, len(pages)), bool)
     if flat:
         dense[step, page] = vectors.dense([t for t, _, _ in flat], [x for _, _, x in flat])
         numbers = [vectors.path(path) for _, path, _ in flat]
         many = [len(x) for x in numbers]
-        paths[np.repeat(step, many), np.repeat(page, many), np.concatenate(numbers)] = 1
+        paths = Paths(np.repeat(step, many), np.repeat(page, many), np.concatenate(numbers).astype(np.int64))
         used[step, page] = True
     return dense, paths, used, step, page
 
