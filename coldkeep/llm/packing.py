@@ -34,15 +34,11 @@ END_ID = 1
 REMEMBERED = 800_000
 #: Lower-case letters of Latin-1, then signs: two runs of the tokenizer's own rule.
 PLAIN = re.compile("([a-zß-öø-ÿ]{1,24})([!-&(-/:-@[-`{-~]{1,6})?")
-#: A length's pieces are ranked in so many parts.
-RANK_PARTS = 64
+#: Pieces of one length that are ranked together, on average.
+RANK_ROWS = 200_000
 SPACE_BYTES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: Texts with other bytes than those of ASCII and of Latin-1 letters are left to the library.
 ODD_BYTES = (np.arange(256) >= 0x1C) & (np.arange(256) <= 0x1F) | (np.arange(256) >= 0xC0) & (np.arange(256) != 0xC3)
-#: Lower-case letters of Latin-1, then signs: two runs of the tokenizer's own rule.
-PLAIN = re.compile("([a-zß-öø-ÿ]{1,24})([!-&(-/:-@[-`{-~]{1,6})?")
-#: A length's pieces are ranked in so many parts.
-RANK_PARTS = 64
 #: Characters that one side takes for white space and the other doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎​  ﻿]")
 
@@ -215,10 +211,19 @@ class Places:
 
 
 def pack(docs: DataFrame, path: str, length: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
-    """Every piece with its sequence_id and its offset there."""
-    cut = staged(pieces(docs, path, length, keep_ids).withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(RANK_PARTS))), "packing")
+    """Every piece with its sequence_id and its offset there.
+
+    Pieces of one length are ranked in parts whose number grows with them, so that a length that most
+    pieces have, the full one at that, is ranked by many tasks.
+    """
+    cut = staged(pieces(docs, path, length, keep_ids), "packing")
+    # One row for each length that occurs.
+    lengths = [(r["length"], -(-r["count"] // RANK_ROWS)) for r in cut.groupBy("length").count().collect()]
+    of_length = cut.sparkSession.createDataFrame(lengths, "length long, parts long")
+    dealt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("parts")).cast("int").alias("part")
+    cut = cut.join(F.broadcast(of_length), "length").select(*cut.columns, dealt)
     sizes = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
-    # At most length x RANK_PARTS rows.
+    # One row for RANK_ROWS pieces, and one for each length.
     counts = sizes.toPandas().sort_values(["length", "part"])
     counts["first"] = counts.groupby("length")["n"].cumsum() - counts["n"]
     histogram = {int(k): int(n) for k, n in counts.groupby("length")["n"].sum().items()}
