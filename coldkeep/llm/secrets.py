@@ -1,15 +1,17 @@
 """Secrets in texts: fixed patterns, and strings that zstandard finds novel in a sensitive context.
 
 The patterns give the base spans (kinds assign, access, hex): whole matches, in code points, end
-exclusive. The method adds spans of kind novel: every string of 12 or more characters anywhere behind
-a sensitive word of the text is measured by the bytes it adds when it is compressed behind its
-surroundings, with a dictionary of identifiers that code is full of. Words, names and repeated values
-cost little there; random strings cost about their own entropy, and are reported. A long string is
-measured in blocks and reported whole if one of them is novel. A novel string that meets a base span
-is left out.
+exclusive. The method adds spans of kind novel: every string of 12 or more characters, three of them
+letters, in a text that has a sensitive word somewhere, before or behind the string, is measured by
+the bytes it adds when it is compressed behind the text on both of its sides, with a dictionary of
+identifiers that code is full of. Words, names and repeated values cost little there; random strings
+cost about their own entropy, and are reported. A string without letters is a number, not a secret. A
+long string is measured in blocks and reported whole if one of them is novel. A novel string that
+meets a base span is left out.
 
 Defined results: a null text is an empty one and has no spans; every row is scanned on its own, so
-repeated rows have equal results; extra columns are ignored.
+repeated rows have equal results, whatever their ids; extra columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -30,10 +32,13 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: One of these must be in a text for ASSIGN to match; checked on the lower-cased text.
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 
-#: A candidate stands behind one of these words, at any distance.
+#: A candidate's text holds one of these words, at any distance.
 SENSITIVE = re.compile(r"(?ai:passphrase|passw|pwd|secret|token|api.?key|auth|bearer|credential|private.?key|signature|session.?id|access.?key)")
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "api", "auth", "bearer", "credential", "private", "signature", "session", "access")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=])[A-Za-z0-9+/_=]{12,}(?![A-Za-z0-9+/_=])")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=](?:[A-Za-z0-9+/_=.-]*[A-Za-z0-9+/_=])?")
+LEAST, LEAST_LETTERS = 12, 3
+#: Dotted or dashed strings that are no secrets: words without digits, and names of hosts.
+COMPOUND = re.compile(r"[A-Za-z]*(?:[.+/_=-]+[A-Za-z]*)+|(?:[a-z0-9-]{1,20}\.)+[a-z]{2,6}")
 #: The short last line of a value that is broken into lines.
 TAIL = re.compile(r"[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_=]{1,11}(?=[\x20\t]*(?:[\r\n]|\Z))")
 #: Longer strings are measured in blocks of at most so many characters.
@@ -112,11 +117,12 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE_WORDS):
         return []
-    context = SENSITIVE.search(text)
-    if not context:
+    if not SENSITIVE.search(text):
         return []
     found = []
-    for m in CANDIDATE.finditer(text, context.end()):
+    for m in CANDIDATE.finditer(text):
+        if m.end() - m.start() < LEAST or sum(map(str.isalpha, m[0])) < LEAST_LETTERS or COMPOUND.fullmatch(m[0]):
+            continue
         if any(a < m.end() and m.start() < b for a, _, b in base) or not novel(text, *m.span(), novelty):
             continue
         tail = TAIL.match(text, m.end()) if len(m[0]) >= LONG else None
