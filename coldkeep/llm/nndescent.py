@@ -11,14 +11,19 @@ the triangle inequality; the others are compared in blocks, of which only counts
 A bounded set of vectors is compared with all rows after that. Each vector that has links counts the
 same, however many: while the mean share of links within components is less than LEAST_RECALL, the
 rounds go on from other blocks. If AUDITS such audits do not reach it, the measured recall is raised.
+Vectors are drawn until LINKED of them have links, DRAWS times at most; if none has, the recall is
+unmeasured, and a warning says so.
 
 Defined results: null, empty and zero vectors, vectors with null or non-finite components, and those
 of another length than most link with nothing; equal vectors are one node that counts as often as it
-occurs; rows that repeat a vec_id are vectors of their own; extra columns are ignored.
+occurs; rows that repeat a vec_id are vectors of their own; a row without a vec_id takes part in links,
+is never the least of a component that has others, and is kept only where no other one is; extra
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,11 +34,15 @@ from pyspark.sql import functions as F
 from coldkeep.llm import common
 from coldkeep.llm.common import staged
 
+log = logging.getLogger(__name__)
+
 K = 12
 TABLES, BLOCK = 8, 256
 #: A round that improves less than this share of all entries is the last one; so is the last of ROUNDS.
 STILL, ROUNDS = 0.02, 5
 AUDITED, LEAST_RECALL, AUDITS = 256, 0.995, 40
+#: Vectors with links that an audit wants, and how often it draws AUDITED more for that.
+LINKED, DRAWS = 64, 16
 #: Lists are enlarged by this factor at most; further audits only start from other blocks.
 LONGER = 4
 #: Angles are counted in so many bins up to the threshold's angle.
@@ -353,12 +362,27 @@ def bridges(nodes: DataFrame, placed: DataFrame, full: DataFrame, dims: int, thr
     return grouped(dealt, meet, "a long, b long")
 
 
-def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: float) -> float:
-    """Mean share of the links of a node that lie within a component, for a bounded set of nodes."""
-    share = min(1 << 20, int((1 << 20) * AUDITED / n) + 1)
-    asked = nodes.join(placed, "node", "left").where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 20)) < share).select("node", "v", "component").limit(2 * AUDITED).collect()
+def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: float) -> float | None:
+    """Mean share of the links of a node that lie within a component, for a bounded set of nodes.
+
+    None where no node that was drawn has links.
+    """
+    spread = 1 << 30
+    step = min(spread, int(spread * AUDITED / n) + 1)
+    shares: list[float] = []
+    for draw in range(DRAWS):
+        if len(shares) >= LINKED or draw * step >= spread:
+            break
+        shares += _audited(nodes, placed, draw * step, (draw + 1) * step, spread, dims, threshold)
+    return sum(shares) / len(shares) if shares else None
+
+
+def _audited(nodes: DataFrame, placed: DataFrame, low: int, high: int, spread: int, dims: int, threshold: float) -> list[float]:
+    """For each drawn node that has links, the share of them that lie within its component."""
+    drawn = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(spread))
+    asked = nodes.join(placed, "node", "left").where((drawn >= low) & (drawn < high)).select("node", "v", "component").limit(4 * AUDITED).collect()
     if not asked:
-        return 1.0
+        return []
     queries = np.frombuffer(b"".join(r["v"] for r in asked), np.float64).reshape(-1, dims)
     names = np.array([r["node"] for r in asked])
     places = np.array([r["component"] if r["component"] is not None else r["node"] for r in asked])
@@ -374,8 +398,7 @@ def recall(nodes: DataFrame, placed: DataFrame, n: int, dims: int, threshold: fl
 
     every = nodes.join(placed, "node", "left").select("node", "v", F.coalesce("component", "node").alias("place"))
     shares = every.mapInArrow(run, "name long, links long, found long").groupBy("name").agg((F.sum("found") / F.sum("links")).alias("share"))
-    mean = shares.agg(F.avg("share")).first()[0]
-    return 1.0 if mean is None else mean
+    return [r["share"] for r in shares.select("share").collect()]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> DataFrame:
@@ -400,7 +423,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> D
             edges = edges.unionByName(more)
             placed = common.settled(common.components(edges, "nn-cc"), "nn-cc")
         reached = recall(nodes, placed, n, dims, threshold)
-        if reached >= LEAST_RECALL:
+        if reached is None:
+            log.warning("recall unmeasured: none of the vectors that were drawn has links")
+        if reached is None or reached >= LEAST_RECALL:
             break
     else:
         if n:
@@ -415,4 +440,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, k: int = K) -> D
     named = named.select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = rows.join(named, "node", "left")
     component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), component.isNull()).alias("kept"))
