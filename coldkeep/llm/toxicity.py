@@ -2,8 +2,9 @@
 
 A text is cut into units: words folded to the letters a to z, each accent a symbol behind its
 letter, without signs between the letters, common digit substitutes read as letters, and letters
-that stand alone joined ("i d i o t"). The
-kernel of two units counts the subsequences of ORDER symbols they share, within SPAN symbols, each
+that stand alone joined ("i d i o t"). Where texts are scored, pairs of neighbouring short words are
+units as well, as a parted word ("id iot") has its gap where words have one; the machine learns from
+single words. The kernel of two units counts the subsequences of ORDER symbols they share, within SPAN symbols, each
 gap symbol costing a factor DECAY; so inserted characters lower a likeness but don't end it.
 
 Landmarks are units of the training sample. The Nyström map turns a unit into its kernel values
@@ -14,9 +15,12 @@ worst unit, a document as its worst sentence; labels are given for documents, so
 carry a label are found in rounds: the best unit of each toxic document against the worst of clean
 ones. A logistic curve, fitted on the same sample, gives the score.
 
-Defined results: a null text or one without letters has the lowest score of the curve; without
-labels of both kinds every score is 0; rows that repeat a doc_id have their own scores; labels that
-are neither 0 nor 1 are left out; extra columns are ignored.
+Letters of other scripts are no symbols: what is written in them has no unit.
+
+Defined results: a null text or one without units has the lowest score of the curve; without
+labels of both kinds every score is 0; rows that repeat a doc_id have their own scores, and so have
+rows without one; labels that are neither 0 nor 1 are left out; extra columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARACTERS = 1200, 2400, 20_000
 LANDMARKS = 256
 ROUNDS = 4
 THRESHOLD = 0.7
+#: Two neighbouring words are a unit as well if one has at most PARTED symbols and both have at most PAIRED.
+#: A pair must be by so much more like an insult, as there are many pairs.
+PARTED, PAIRED, PAIR_MARGIN = 3, 10, 0.1
 #: Units whose values a worker remembers; it starts anew when the memory is full.
 REMEMBERED = 300_000
 
@@ -69,7 +76,7 @@ FOLD, FOLD_LETTER, FOLD_ACCENT = _folded()
 
 
 def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all texts, start and end of each unit in them, and the text of each unit."""
+    """Symbols of all texts, start and end of each word in them, and the text of each word."""
     symbol = FOLD[data]
     accented = np.flatnonzero(data[:-1] == 0xC3)
     symbol[accented] = FOLD_LETTER[data[accented + 1]]
@@ -87,8 +94,20 @@ def units_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     alone = size == 1
     joined = np.zeros(len(first), bool)
     joined[1:] = alone[1:] & alone[:-1] & (text[1:] == text[:-1])
-    start = first[~joined]
-    return symbols, start, np.append(start[1:], len(at)), text[~joined]
+    start, text = first[~joined], text[~joined]
+    end = np.append(start[1:], len(at))
+    return symbols, start, end, text
+
+
+def with_pairs(start: np.ndarray, end: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of words and of pairs of neighbours that may be one parted word, and which is one."""
+    size = end - start
+    near = (text[1:] == text[:-1]) & (np.minimum(size[1:], size[:-1]) <= PARTED) & (size[1:] + size[:-1] <= PAIRED)
+    two = np.flatnonzero(near)
+    every = np.concatenate([text, text[two]])
+    order = np.argsort(every, kind="stable")
+    pair = np.arange(len(every)) >= len(text)
+    return np.concatenate([start, start[two]])[order], np.concatenate([end, end[two + 1]])[order], every[order], pair[order]
 
 
 def shown(symbols: np.ndarray) -> str:
@@ -161,13 +180,28 @@ class Bags:
     """Units of the sample documents: distinct ones once, and which documents hold them."""
 
     def __init__(self, texts: list[str]):
-        data, offsets = common.utf8(pa.array(texts, pa.string()))
-        self.symbols, start, end, text = units_of(data, offsets)
-        hashes = common.SpanHash(17)(self.symbols, start, end)
-        _, where, unit = np.unique(hashes, return_index=True, return_inverse=True)
-        self.start, self.end = start[where], end[where]
-        held = np.unique(text.astype(np.int64) << 32 | unit)
-        self.text, self.unit = held >> 32, held & 0xFFFFFFFF
+        hash_of, column = common.SpanHash(17), pa.array(texts, pa.string())
+        symbols, sizes, names, held = [], [], [], []
+        before = 0
+        for part in common.slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
+            found, start, end, text = units_of(*common.utf8(part.column("text")))
+            hashes = hash_of(found, start, end)
+            name, where = np.unique(hashes, return_index=True)
+            size = end[where] - start[where]
+            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            symbols.append(found[np.repeat(start[where], size) + within])
+            sizes.append(size)
+            names.append(name)
+            both = np.unique(np.stack([(text + before).astype(np.uint64), hashes], 1), axis=0)
+            held.append(both)
+            before += part.num_rows
+        sizes, names = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, names))
+        every = np.concatenate(held) if held else np.zeros((0, 2), np.uint64)
+        self.symbols = np.concatenate(symbols) if symbols else np.zeros(0, np.uint8)
+        ends = np.cumsum(sizes)
+        known, where = np.unique(names, return_index=True)
+        self.start, self.end = (ends - sizes)[where], ends[where]
+        self.text, self.unit = every[:, 0].astype(np.int64), np.searchsorted(known, every[:, 1])
         self.texts = len(texts)
 
     def worst(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,7 +321,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     have = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     spread = 1 << 20
-    share = {kind: min(spread, int(spread * most * 1.2 / max(1, have.get(kind, 0)))) for kind, most in ((0, SAMPLE_CLEAN), (1, SAMPLE_TOXIC))}
+    share = {kind: min(spread, int(spread * most * 1.2 / max(1, have.get(kind, 0))) + 1) for kind, most in ((0, SAMPLE_CLEAN), (1, SAMPLE_TOXIC))}
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
     drawn = labels.where((F.col("toxic") == 1) & (draw < share[1]) | (F.col("toxic") == 0) & (draw < share[0]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.char_length("text") <= SAMPLE_CHARACTERS)
@@ -312,7 +346,8 @@ def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) ->
         memory = _known.setdefault(model.key, {})
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-            symbols, start, end, text = units_of(*common.utf8(batch.column("text")))
+            symbols, *words = units_of(*common.utf8(batch.column("text")))
+            start, end, text, pair = with_pairs(*words)
             keys, where, unit = np.unique(hash_of(symbols, start, end), return_index=True, return_inverse=True)
             numbers = keys.tolist()
             if len(memory) + len(numbers) > REMEMBERED:
@@ -323,7 +358,7 @@ def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) ->
                 fresh = values(model.table, symbols, start[where[new]], end[where[new]]).tolist()
                 memory.update(zip((numbers[i] for i in new.tolist()), fresh))
                 known = [memory[k] for k in numbers]
-            value = np.array(known, np.float64)[unit] + model.bias if len(unit) else np.zeros(0)
+            value = np.array(known, np.float64)[unit] + model.bias - PAIR_MARGIN * pair if len(unit) else np.zeros(0)
             worst, decided = np.full(batch.num_rows, NO_UNIT), [None] * batch.num_rows
             if len(text):
                 first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
