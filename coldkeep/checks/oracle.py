@@ -355,11 +355,29 @@ ORACLE: dict[str, str] = {
             'Mismatched row count. Difference: ' || abs(n - m) END FROM counts
         UNION ALL SELECT 'row_checksum_validation', 'row checksums validated: ' || n,
             CASE WHEN k = 0 THEN '' ELSE 'Mismatched checksums: ' || k || ' rows ('
-            || round(100.0::double * k / n, 2) || '%)' END FROM counts, gaps
-        UNION ALL SELECT 'column_checksum_validation', NULL,
-            coalesce('Mismatched columns: ' || replace(names, ',', ', '), 'Passed') FROM bad""",
+            || round(100.0::double * k / n, 2) || '%). Records: Validation.rows' END FROM counts, gaps
+        UNION ALL SELECT 'column_checksum_validation',
+            'source_column_checksum: [' || sums || '], target_column_checksum: [' || sums || ']',
+            coalesce('Mismatched columns: ' || replace(names, ',', ', '), 'Passed') FROM bad, (
+                SELECT string_agg(column_name || ': n', ', ' ORDER BY column_name) AS sums FROM (DESCRIBE orders)
+                WHERE column_name <> 'o_orderstatus' AND column_name IN ({', '.join(f"'{c}'" for c in COLUMNS)}))""",
+    "summary_files": f"""{SUMMARY}, lines AS (
+        SELECT 'schema_validation' AS validation_report, 'failed' AS result,
+            'Mismatched columns: o_note, o_orderstatus' AS remarks
+        UNION ALL SELECT 'row_count_validation', CASE WHEN n = m THEN 'passed' ELSE 'failed' END,
+            CASE WHEN n = m THEN '' ELSE 'Mismatched row count. Difference: ' || abs(n - m) END FROM counts
+        UNION ALL SELECT 'row_checksum_validation', CASE WHEN k = 0 THEN 'passed' ELSE 'failed' END,
+            CASE WHEN k = 0 THEN '' ELSE 'Mismatched checksums: ' || k || ' rows ('
+            || round(100.0::double * k / n, 2) || '%). Records: Validation.rows' END FROM counts, gaps
+        UNION ALL SELECT 'column_checksum_validation', CASE WHEN names IS NULL THEN 'passed' ELSE 'failed' END,
+            coalesce('Mismatched columns: ' || replace(names, ',', ', '), 'Passed') FROM bad)
+        SELECT kind, validation_report, 'orders' AS source_table, 'a.orders' AS target_table, result, remarks
+        FROM lines, (SELECT unnest(['csv', 'json']) AS kind)""",
     "validation_verdict": f"""WITH {with_texts()} SELECT 'lineitem' AS source_table,
-        'a.lineitem' AS target_table, true AS passed, 4::bigint AS n_checks
+        'a.lineitem' AS target_table,
+        NOT EXISTS ((SELECT * FROM lineitem EXCEPT ALL SELECT * EXCLUDE (archived_at, hold)
+            FROM (SELECT *, TIMESTAMP '{fx.AS_OF}' AS archived_at, false AS hold FROM lineitem))) AS passed,
+        4::bigint AS n_checks
         UNION ALL SELECT 'orders', 'a.orders', NOT EXISTS (SELECT * FROM s EXCEPT ALL SELECT * FROM t),
         4""",
     "blob_links": f"{BLOBS} SELECT id, 's3://vault/{FOLDER}' || digest || ext AS body_s3_path FROM kept",
@@ -515,6 +533,23 @@ ORACLE: dict[str, str] = {
             CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE md5(lower(c_mktsegment)) END, 'FAILED' FROM customer""",
     "archive_expired_by_hold": f"""WITH {ARCHIVES} SELECT legal_hold, count(*) AS n_rows,
         count(*) FILTER ({EXPIRED}) AS n_expired FROM arc_orders GROUP BY legal_hold""",
+    "plan_from_file": f"""WITH {MATCHED}, items AS (
+            SELECT source_name, NULL AS query, condition FROM chosen
+            UNION ALL SELECT lower(r_name), 'q', NULL FROM nation JOIN region ON n_regionkey = r_regionkey)
+        SELECT source_name, {RETENTION} AS retention_policy_value, source_name = 'europe' AS legal_hold,
+            count(*) AS n_rows, count(query) AS n_queries, count(condition) AS n_conditions
+        FROM items GROUP BY source_name""",
+    "archive_empty_source": """SELECT 'SRC_None' AS name, 'SUCCEEDED' AS status,
+            (SELECT count(*) FROM orders WHERE o_orderkey < 0) AS rows, false AS has_table
+        UNION ALL SELECT 'SRC_Some', 'SUCCEEDED', (SELECT count(*) FROM orders WHERE o_orderstatus = 'F'), true
+        UNION ALL SELECT 'SRC_Missing', 'FAILED', NULL, false""",
+    "drop_database": """SELECT 'src_orders' AS name, count(*) AS n_rows, false AS db_exists FROM orders
+        UNION ALL SELECT 'src_lineitem', count(*), false FROM lineitem
+        UNION ALL SELECT 'src_events', count(*), false FROM events
+        UNION ALL SELECT 'src_nation', count(*), false FROM nation""",
+    "purge_by_targets": f"""{FOUND} SELECT source_name, table_name AS "table", 'success' AS status,
+        n AS estimated_rows_deleted, n AS rows_deleted, 0::bigint AS remaining_expired_rows
+        FROM found, (SELECT unnest(['src0', 'src1']) AS source_name) WHERE n > 0""",
     "plan_refusals": f"""WITH {CATALOGUE}, place AS (
             SELECT lower(r_name) AS source_name, n_name AS schema, r_name, n_name NOT IN ('BRAZIL', 'KENYA') AS listed
             FROM nation JOIN region ON n_regionkey = r_regionkey),

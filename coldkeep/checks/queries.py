@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,9 +23,9 @@ from coldkeep.sinks.documents import (
     write_purge_plan,
     write_summary,
 )
-from coldkeep.sinks.tables import write_archive
+from coldkeep.sinks.tables import drop_archive_db, write_archive
 from coldkeep.sources import documents as docs
-from coldkeep.sources.tables import query_over, read_archive, read_source
+from coldkeep.sources.tables import list_tables, query_over, read_archive, read_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -302,12 +303,25 @@ def schema_diff(spark, sf_dir):
 
 @query
 def validation_text(spark, sf_dir):
-    """Rendered text of the checks whose wording does not hold checksums or records."""
+    """Rendered text of all checks; numbers of checksums, which only Spark's hash gives, are an n."""
     summary = _summary(spark, sf_dir).summary
-    short = F.col("validation_report").isin(report_text.SCHEMA_REPORT, report_text.COUNT_REPORT)
-    remarks = F.when(short, F.col("remarks")).otherwise(F.split("remarks", r"\. Records")[0])
-    value = F.when(F.col("validation_report") != report_text.COLUMN_REPORT, F.col("value"))
-    return summary.select("validation_report", value.alias("value"), remarks.alias("remarks"))
+    value = F.regexp_replace("value", r": [0-9]+-[0-9]+", ": n")
+    return summary.select("validation_report", value.alias("value"), "remarks")
+
+
+@query
+def summary_files(spark, sf_dir):
+    """A summary written as CSV and JSON lines, and both read back."""
+    root = scratch_path(spark, "summary")
+    write_summary(_summary(spark, sf_dir).summary, root)
+    columns = ["validation_report", "source_table", "target_table", "result", "remarks"]
+    text = spark.read.option("header", True).option("escape", '"').csv(f"{root}/csv")
+    lines = docs.read_summaries(spark, root)
+    return (
+        text.select(F.lit("csv").alias("kind"), *columns)
+        .unionByName(lines.select(F.lit("json").alias("kind"), *columns))
+        .withColumn("remarks", F.coalesce("remarks", F.lit("")))
+    )
 
 
 @query
@@ -427,6 +441,18 @@ def plan_enriched(spark, sf_dir):
     return plan(fx.rules(spark, sf_dir), fx.catalogue(spark, sf_dir))
 
 
+@query
+def plan_from_file(spark, sf_dir):
+    """The rules document written to a file, read back, and planned."""
+    path = scratch_path(spark, "rules")
+    rules = fx.rules(spark, sf_dir)
+    rules.select(F.to_json(F.struct(*rules.columns)).alias("value")).coalesce(1).write.text(path)
+    planned = plan(docs.read_rules(spark, path), fx.catalogue(spark, sf_dir))
+    return planned.groupBy("source_name", "retention_policy_value", "legal_hold").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("query").alias("n_queries"), F.count("condition").alias("n_conditions")
+    )
+
+
 @query
 def plan_refusals(spark, sf_dir):
     """One document of which some sources, schemas and entries are broken and the others good."""
@@ -475,6 +501,52 @@ def archive_condition(spark, sf_dir):
     return read_archive(spark, target, "SRC_Orders", condition="o_totalprice > 1000")
 
 
+@query
+def archive_empty_source(spark, sf_dir):
+    """A source without rows succeeds and makes no table; one that fails makes none either."""
+    conn, db = fx.landing(spark, sf_dir)
+    target = fx.fresh_database(spark, "empty")
+    rows = [
+        (db, "orders", None, "o_orderkey < 0", target, "SRC_None"),
+        (db, "orders", None, "o_orderstatus = 'F'", target, "SRC_Some"),
+        (db, "no_such_table", None, None, target, "SRC_Missing"),
+    ]
+    runs = archive_many(spark, fx.plan_rows(spark, rows), conn, fx.AS_OF, max_parallel=3)
+    # One row for each table of the new database.
+    made = spark.createDataFrame([(t,) for t in list_tables(spark, target)], "made string")
+    name = F.col("script_args")[reporting.ARG_TABLE]
+    return runs.join(made, F.lower(name) == F.col("made"), "left").select(
+        name.alias("name"), "status", "rows", F.col("made").isNotNull().alias("has_table")
+    )
+
+
+@query
+def drop_database(spark, sf_dir):
+    """An archive dropped with its tables: what was there, and that its name is gone."""
+    db = fx.archive_database(spark, sf_dir, "drop")
+    counts = {t: spark.table(f"{db}.{t}").count() for t in list_tables(spark, db)}
+    dropped = drop_archive_db(spark, db, confirm="DELETE")
+    left = spark.catalog.databaseExists(db)
+    return spark.createDataFrame([(t, counts[t], left) for t in dropped], "name string, n_rows bigint, db_exists boolean")
+
+
+@query
+def purge_by_targets(spark, sf_dir):
+    """Discovery, then delete, for every target of a purge document."""
+    path, plans = scratch_path(spark, "targets"), scratch_path(spark, "plans")
+    dbs = [fx.archive_database(spark, sf_dir, f"target{i}") for i in range(2)]
+    targets = [
+        {"source_name": f"src{i}", "connection": db.removeprefix("archive_"), "max_parallel_tables": i + 1}
+        for i, db in enumerate(dbs)
+    ]
+    text = spark.createDataFrame([(json.dumps({"targets": targets}, indent=1),)], "value string")
+    text.coalesce(1).write.text(path)
+    read = docs.read_purge_targets(spark, path)
+    purging.run_targets(spark, "discovery", read, plans, as_of=fx.AS_OF)
+    done = purging.run_targets(spark, "delete", read, plans)
+    return done.select("source_name", "table", "status", "estimated_rows_deleted", "rows_deleted", "remaining_expired_rows")
+
+
 @query
 def expired_rows(spark, sf_dir):
     rows = fx.archived(spark, sf_dir, "orders", "o_orderdate", fx.HOLD_ORDERS)

@@ -12,11 +12,11 @@ from coldkeep.plans import purge
 from coldkeep.plans.archive import archive, archive_many, archive_rows, store
 from coldkeep.plans.plan import PLAN_COLUMNS
 from coldkeep.plans.report import JOB_COLUMNS, job_metadata, report
-from coldkeep.plans.validate import validate_archive, validate_many, verdict
+from coldkeep.plans.validate import validate, validate_archive, validate_many, verdict
 from coldkeep.sinks.documents import register_config, registrations, write_purge_plan, write_summary
 from coldkeep.sinks import tables as sink
 from coldkeep.sinks.tables import drop_archive_db, remove_superseded, table_folder, write_archive
-from coldkeep.sources.connections import Connection
+from coldkeep.sources.connections import Connection, connection_of
 from coldkeep.sources.documents import (
     latest_config,
     parse_rules,
@@ -418,3 +418,54 @@ def test_discovery_reads_no_column_of_months_gone_by(spark, feed):
     assert found.count() == archived(spark, feed).filter(expired(AS_OF)).count() > 0
     for day in ("1997-01-01", "1996-12-05", "1990-01-01", "2030-06-15"):
         assert purge.expired_count(spark, name, day) == archived(spark, feed).filter(expired(day)).count()
+
+
+def test_columns_of_the_archive_s_own_names_are_refused(spark, feed):
+    for name in ("checksum", "Legal_Hold", "expiry_month"):
+        with pytest.raises(ValueError, match=name.lower()):
+            archive_rows(spark.range(1).withColumn(name, F.lit(1)), "1d", False, AS_OF)
+    clash = spark.table(f"{feed}.feed").withColumn("DOC_s3_path", F.lit("x"))
+    with pytest.raises(ValueError, match="doc_s3_path"):
+        archive_rows(clash, "1d", False, AS_OF, blob_root="s3://v")
+    clash.write.saveAsTable(f"{feed}.clash")
+    (run,) = archive_many(spark, plan_row(spark, feed, table="clash"), Connection("c"), AS_OF).collect()
+    assert run.status == "FAILED" and "doc_s3_path" in run.error
+
+
+def test_rows_are_read_from_the_connection_they_name(spark, feed):
+    plan = plan_row(spark, feed, target="a").union(
+        plan_row(spark, feed, target="b").withColumn("connection", F.lit("d"))
+    ).union(plan_row(spark, feed, target="x").withColumn("connection", F.lit("unknown")))
+    conns = {"c": Connection("c"), "d": Connection("d")}
+    runs = {r.script_args["--target_glue_table"]: r for r in archive_many(spark, plan, conns, AS_OF).collect()}
+    assert {t: r.status for t, r in runs.items()} == {"a": "SUCCEEDED", "b": "SUCCEEDED", "x": "FAILED"}
+    assert "unknown connection: 'unknown'" in runs["x"].error
+    (single,) = archive_many(spark, plan_row(spark, feed, target="y").withColumn("connection", F.lit("d")), Connection("c"), AS_OF).collect()
+    assert single.status == "FAILED"
+    assert connection_of(Connection("c"), None).name == "c"
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_a_purge_stops_above_its_plan(spark, feed, partitioned):
+    rows, name = archived(spark, feed), f"{feed}.arc"
+    store(rows, name) if partitioned else write_archive(rows, name)
+    n = rows.filter(expired(AS_OF)).count()
+    with pytest.raises(purge.MoreThanPlanned, match=f"{n} rows would be deleted, the plan found {n - 1}"):
+        purge.purge_table(spark, name, AS_OF, at_most=n - 1)
+    assert spark.table(name).count() == 120
+    plan = spark.createDataFrame(
+        [("s", feed, "arc", n - 1, dt.date(1997, 1, 15))],
+        "source_name string, database string, table_name string, estimated_rows_to_delete bigint, as_of date",
+    )
+    (row,) = purge.purge_many(spark, plan, within_plan=True).collect()
+    assert row.status == "failed" and spark.table(name).count() == 120
+    assert purge.purge_table(spark, name, AS_OF, at_most=n) == n
+
+
+def test_links_of_other_columns_are_drift(spark, feed):
+    done = archive(spark, plan_row(spark, feed).head(), Connection("c"), AS_OF)
+    src, tgt = spark.table(f"{feed}.feed"), spark.table(done.table)
+    schema = lambda v: v.summary.filter("validation_report = 'schema_validation'").head()
+    assert schema(validate(src, tgt)).result == "passed"
+    drifted = schema(validate(src, tgt.withColumn("made_s3_path", F.lit("x"))))
+    assert (drifted.result, drifted.mismatched_columns) == ("failed", ["made_s3_path"])
