@@ -43,7 +43,7 @@ REMEMBERED = 500_000
 #: Shift from a suffix to its first name: places of the further names, and the classes it serves.
 SHIFTS = {0: (15, 30, (1, 2)), 1: (15, 27, (0, 1)), 2: (15, 27, (0, 2))}
 #: Bytes that a bucket of a sort holds on average.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 SPLIT_SAMPLE = 200_000
 LAST = (1 << 63) - 1
 #: Bytes that a task turns into arrays at once.
@@ -70,14 +70,16 @@ PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (PLACES,)),
 
 
 class Cutter:
-    """Units and anchors of the texts of a slice."""
+    """Units and anchors of the texts of a slice; the prefix sums of the last one serve all its hashes."""
 
     def __init__(self):
-        self.parts, self.one, self.two = common.SpanHash(61), common.SpanHash(67), common.SpanHash(71)
+        self.parts, self.two = common.SpanHash(61), common.SpanHash(71)
+        self.sums = np.zeros(1, np.uint64)
 
     def part_hashes(self, data: np.ndarray) -> np.ndarray:
         """Hash of the PART bytes from each place on."""
-        h, sums = self.parts, self.parts.sums(data)
+        h = self.parts
+        sums = self.sums = h.sums(data)
         n = len(data) - PART + 1
         return common.mix64((sums[PART:] - sums[:n]) * h.inverses[:n])
 
@@ -104,10 +106,13 @@ class Cutter:
         unit_start = np.repeat(start, many) + part * LONGEST_UNIT
         return long[np.repeat(text, many)], unit_start, np.minimum(unit_start + LONGEST_UNIT, np.repeat(end, many)), hashes
 
+    def first_names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64 bits that stand for the bytes of each unit of the slice that was cut last."""
+        return self.parts.spans(self.sums, start, end + WINDOW - 1).view(np.int64)
+
     def names(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits that stand for the bytes of each unit."""
-        reach = end + WINDOW - 1
-        return self.one(data, start, reach).view(np.int64), self.two(data, start, reach).view(np.int64)
+        """128 bits that stand for the bytes of each unit of the slice that was cut last."""
+        return self.first_names(start, end), self.two(data, start, end + WINDOW - 1).view(np.int64)
 
 
 def units_of(docs: DataFrame) -> DataFrame:
@@ -273,7 +278,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             text, start, end, hashes = cutter(data, offsets)
             if not len(text):
                 continue
-            unit, _ = cutter.names(data, start, end)
+            unit = cutter.first_names(start, end)
             # Units seen before in this task have sent their anchors.
             keep = np.zeros(len(unit), bool)
             names, where = np.unique(unit, return_index=True)
