@@ -25,7 +25,7 @@ from coldkeep.llm.common import settled, tuned
 #: Bytes of a text that a splitter holds.
 SPLITTER_BYTES = 48
 #: Text bytes of one range.
-RANGE_BYTES = 64 << 20
+RANGE_BYTES = 32 << 20
 
 RUNS = (
     "doc_id long, text_sha256 string, part int, run long, keep_id long, size long, leads boolean, head binary, tail binary"
