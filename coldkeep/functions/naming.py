@@ -40,7 +40,7 @@ def first_from_table(sql: Column) -> Column:
 
 
 def uri_parts(uri: Column) -> Column:
-    """struct(bucket, key) of an object address, whose key may hold any character."""
+    """struct(bucket, key) of an object address; a `?` or `#` ends the key."""
     pattern = F.lit(ADDRESS_PATTERN)
     part = lambda n: F.when(F.rlike(uri, pattern), F.regexp_extract(uri, ADDRESS_PATTERN, n))
     return F.struct(part(1).alias("bucket"), part(2).alias("key"))
