@@ -11,7 +11,7 @@ from contextvars import ContextVar
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldkeep.session import scratch_path
@@ -100,6 +100,21 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+#: Rows are drawn for samples by so many values of a hash: enough for tables of any size.
+SPREAD = 1 << 40
+
+
+def drawn(*columns: str) -> Column:
+    """A number below SPREAD for each row, by a hash of some columns."""
+    h, half = F.xxhash64(*columns), 1 << 20
+    return F.pmod(h, F.lit(half)) * half + F.pmod(F.shiftright(h, 20), F.lit(half))
+
+
+def share_of(most: float, rows: int) -> int:
+    """The bound below which `drawn` leaves about 1.2 times as many of the rows as are wanted; never none."""
+    return min(SPREAD, int(SPREAD * most * 1.2 / max(1, rows)) + 1)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each hold about `size` bytes, at least one row."""
     for batch in batches:

@@ -299,11 +299,10 @@ def sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     have = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not have:
         return [], []
-    spread = 1 << 20
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread))
+    draw = common.drawn("doc_id", "text")
     kept = None
     for lang, n in sorted(have.items()):
-        some = (F.col("lang") == lang) & (draw < min(spread, int(spread * SAMPLE_TEXTS * 1.2 / n) + 1))
+        some = (F.col("lang") == lang) & (draw < common.share_of(SAMPLE_TEXTS, n))
         kept = some if kept is None else kept | some
     rows = labelled.where(kept).limit(2 * SAMPLE_TEXTS * len(have)).collect()
     rows.sort(key=lambda r: (str(r["doc_id"]), r["text"]))

@@ -395,8 +395,7 @@ def sample(pages: DataFrame) -> list[str]:
     """Pages, evenly thinned by a hash of their id to the sample's bounds."""
     short = pages.where((F.length("html") > 0) & (F.length("html") <= SAMPLE_CHARACTERS)).select("page_id", "html")
     n = max(1, short.count())
-    share = int((1 << 20) * SAMPLE_PAGES * 1.2 / n) + 1
-    rows = short.where(F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 20)) < share).limit(2 * SAMPLE_PAGES).collect()
+    rows = short.where(common.drawn("page_id", "html") < common.share_of(SAMPLE_PAGES, n)).limit(2 * SAMPLE_PAGES).collect()
     return [r["html"] for r in sorted(rows, key=lambda r: (str(r["page_id"]), r["html"]))]
 
 

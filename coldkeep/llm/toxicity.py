@@ -320,9 +320,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     # Where labels of a document contradict each other, any 1 counts.
     labels = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     have = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    spread = 1 << 20
-    share = {kind: min(spread, int(spread * most * 1.2 / max(1, have.get(kind, 0))) + 1) for kind, most in ((0, SAMPLE_CLEAN), (1, SAMPLE_TOXIC))}
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(spread))
+    share = {kind: common.share_of(most, have.get(kind, 0)) for kind, most in ((0, SAMPLE_CLEAN), (1, SAMPLE_TOXIC))}
+    draw = common.drawn("doc_id")
     drawn = labels.where((F.col("toxic") == 1) & (draw < share[1]) | (F.col("toxic") == 0) & (draw < share[0]))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.char_length("text") <= SAMPLE_CHARACTERS)
     rows = texts.join(F.broadcast(drawn), "doc_id").limit(2 * (SAMPLE_CLEAN + SAMPLE_TOXIC)).collect()

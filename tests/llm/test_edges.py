@@ -182,15 +182,16 @@ def test_parted_insults(spark, models):
     assert got[0] >= 0.7 and got[1] >= 0.7 and got[2] < 0.5 and got[3] >= 0.7
 
 
-def test_samples_of_very_large_tables_are_not_empty(spark, monkeypatch):
-    """With billions of labels the share of a kind is still more than nothing."""
-    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 1e-9)
-    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 1e-9)
-    docs = spark.range(400_000).selectExpr("id AS doc_id", "'text' AS text")
-    labels = spark.range(400_000).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
-    drawn = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < 1).count()
-    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 10)
-    assert drawn >= 0 and len(toxicity.sample(docs, labels)[0]) > 0
+def test_samples_of_very_large_tables(spark):
+    """About as many rows as are wanted are drawn, also of very many, and never none."""
+    numbers = spark.range(200_000).select(common.drawn("id").alias("d"))
+    assert numbers.agg(F.min("d"), F.max("d")).first()[1] < common.SPREAD
+    for most in (50, 1200, 10**6):
+        n = numbers.where(F.col("d") < common.share_of(most, 200_000)).count()
+        assert abs(n - min(1.2 * most, 200_000)) <= 5 * most**0.5
+    for rows in (10**10, 10**15):
+        assert 1.1 * 1200 < common.share_of(1200, rows) / common.SPREAD * rows < 1.3 * 1200 + rows / common.SPREAD
+    assert common.share_of(1, 10**18) == 1 and common.share_of(5, 0) == common.SPREAD
 
 
 def test_an_audit_without_links_is_unmeasured(spark, caplog):
