@@ -233,11 +233,6 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
-def folder_size(spark: SparkSession, folder: str) -> int:
-    fs, path = _file_system(spark, folder)
-    return fs.getContentSummary(path).getLength()
-
-
 def _location(spark: SparkSession, name: str, partition: str = "") -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()
     # For a partition its own location comes first, then the table's.
