@@ -55,8 +55,7 @@ class Scratch:
             _owner.reset(before)
 
     def clear(self, spark: SparkSession) -> None:
-        if self.paths:
-            release(spark)
+        release(spark)
         while self.paths:
             remove_folder(spark, self.paths.pop())
 
