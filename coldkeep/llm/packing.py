@@ -34,8 +34,8 @@ END_ID = 1
 REMEMBERED = 800_000
 #: Lower-case letters of Latin-1, then signs: two runs of the tokenizer's own rule.
 PLAIN = re.compile("([a-zß-öø-ÿ]{1,24})([!-&(-/:-@[-`{-~]{1,6})?")
-#: Pieces of one length that are ranked together, on average.
-RANK_ROWS = 200_000
+#: Pieces of one length that are ranked together: so many on average, and fewer while that makes FEW_PARTS at most.
+RANK_ROWS, FEW_ROWS, FEW_PARTS = 200_000, 200, 64
 SPACE_BYTES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: Texts with other bytes than those of ASCII and of Latin-1 letters are left to the library.
 ODD_BYTES = (np.arange(256) >= 0x1C) & (np.arange(256) <= 0x1F) | (np.arange(256) >= 0xC0) & (np.arange(256) != 0xC3)
@@ -218,12 +218,13 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE, keep_ids: bool = Fa
     """
     cut = staged(pieces(docs, path, length, keep_ids), "packing")
     # One row for each length that occurs.
-    lengths = [(r["length"], -(-r["count"] // RANK_ROWS)) for r in cut.groupBy("length").count().collect()]
+    parts = lambda n: max(-(-n // RANK_ROWS), min(FEW_PARTS, -(-n // FEW_ROWS)))
+    lengths = [(r["length"], parts(r["count"])) for r in cut.groupBy("length").count().collect()]
     of_length = cut.sparkSession.createDataFrame(lengths, "length long, parts long")
     dealt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("parts")).cast("int").alias("part")
     cut = cut.join(F.broadcast(of_length), "length").select(*cut.columns, dealt)
     sizes = cut.groupBy("length", "part").agg(F.count("*").alias("n"))
-    # One row for RANK_ROWS pieces, and one for each length.
+    # One row for RANK_ROWS pieces, and FEW_PARTS for each length at most.
     counts = sizes.toPandas().sort_values(["length", "part"])
     counts["first"] = counts.groupby("length")["n"].cumsum() - counts["n"]
     histogram = {int(k): int(n) for k, n in counts.groupby("length")["n"].sum().items()}
