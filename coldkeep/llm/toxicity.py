@@ -45,7 +45,7 @@ THRESHOLD = 0.7
 #: A pair must be by so much more like an insult, as there are many pairs.
 PARTED, PAIRED, PAIR_MARGIN = 3, 10, 0.1
 #: Units whose values a worker remembers; it starts anew when the memory is full.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 START, END, ACUTE, GRAVE, OTHER_ACCENT = 27, 28, 29, 30, 31
 OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), ORDER - 1)]
