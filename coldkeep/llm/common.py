@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -237,14 +239,50 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+#: What a worker keeps from task to task, by the step that made it.
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """Something a worker keeps for the further tasks of a step; it ends when another step's begins."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def give_back(keep: bool = False) -> None:
+    """Give the memory that a task has freed back to the system, and what the worker holds unless told to keep it.
+
+    Workers outlive their tasks and wait beside the next ones, each with the largest heap that it ever had.
+    """
+    if not keep:
+        _held.clear()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim is not None:
+            trim(0)
+
+
 def arrow_map(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, text: str, size: int = SLICE_BYTES
+    df: DataFrame,
+    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    schema: str,
+    text: str,
+    size: int = SLICE_BYTES,
+    keep: bool = False,
 ) -> DataFrame:
-    """`mapInArrow` over slices of bounded text; `make` builds the kernel once in each worker."""
+    """`mapInArrow` over slices of bounded text; `make` builds the kernel once in each task.
+
+    `keep` leaves what is `held` to the next task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = make()
         for batch in slices(batches, text, size):
             yield kernel(batch)
+        del kernel
+        give_back(keep)
 
     return df.mapInArrow(run, schema)

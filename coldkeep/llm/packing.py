@@ -16,7 +16,6 @@ import json
 import re
 import zlib
 from collections import defaultdict
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -112,10 +111,9 @@ class WordEncoder:
         return ids, counts
 
 
-@cache
 def encoder(path: str) -> WordEncoder:
     """One encoder a worker, so that its memory lasts from task to task."""
-    return WordEncoder(path)
+    return common.held(("words", path), lambda: WordEncoder(path))
 
 
 def pieces(docs: DataFrame, path: str, length: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
@@ -152,7 +150,7 @@ def pieces(docs: DataFrame, path: str, length: int = SEQUENCE, keep_ids: bool =
 
         return kernel
 
-    return common.arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, schema, "text")
+    return common.arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, schema, "text", keep=True)
 
 
 def patterns(histogram: dict[int, int], length: int = SEQUENCE) -> list[tuple[int, tuple[int, ...]]]:

@@ -28,6 +28,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,18 +45,22 @@ REMEMBERED = 500_000
 SHIFTS = {0: (15, 30, (1, 2)), 1: (15, 27, (0, 1)), 2: (15, 27, (0, 2))}
 #: Bytes that a bucket of a sort holds on average.
 BUCKET_BYTES = 12 << 20
+#: Buckets of a sort that a task takes one after the other.
+EACH = 3
 SPLIT_SAMPLE = 200_000
 LAST = (1 << 63) - 1
 #: Bytes that a task turns into arrays at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 #: The number of a segment: the rank of its document, then its place among the segments of that.
 DOC_SHIFT = 24
 TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
 NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
 SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("at", "<u2")])
+#: A suffix that loses its window: its segment and place.
+GONE = np.dtype([("unit", "<i8"), ("at", "<u2")])
 #: A sort is done in so many passes over ranges of its keys; the records of one are gone before the next.
-PASSES, HALVES = 3, 2
+PASSES = 2
 #: Bytes of the pieces that named suffixes are kept in.
 PIECE_BYTES = 1 << 16
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
@@ -143,15 +148,24 @@ def packed(bucket: np.ndarray, records: np.ndarray, mark: bytes = b"") -> pa.Rec
     order = np.argsort(bucket, kind="stable")
     bucket, records = bucket[order], records[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    blobs = [mark + r.tobytes() for r in np.split(records, cuts[1:])] if len(bucket) else []
-    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "records"])
+    blobs = pa.array([mark + r.tobytes() for r in np.split(records, cuts[1:])], pa.binary()) if mark and len(bucket) else blobs_of(records, cuts)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts], pa.int32()), blobs], names=["bucket", "records"])
+
+
+def blobs_of(records: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the records from each cut to the next one."""
+    ends = np.append(cuts, len(records)) * records.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(records.tobytes())])
 
 
 PACKED = "bucket int, records binary"
 
 
-def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Callable, schema: str) -> DataFrame:
-    """Apply a kernel to each bucket and all its records; without a kind, to the list of its blobs."""
+def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Callable, schema: str, each: int = 1) -> DataFrame:
+    """Apply a kernel to each bucket and all its records; without a kind, to the list of its blobs.
+
+    A task takes `each` buckets on average, one after the other.
+    """
 
     def whole(blobs: list[bytes]):
         return blobs if kind is None else np.frombuffer(b"".join(blobs), kind)
@@ -167,8 +181,10 @@ def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Call
                 held.append(blob)
         if held:
             yield from kernel(current, whole(held))
+        held.clear()
+        common.give_back()
 
-    return rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    return rows.repartition(max(1, buckets // each), "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 SEAM = np.dtype([("anchor", "<u8"), ("part", "<i8"), ("one", "?")])
@@ -205,17 +221,18 @@ def parts_of(hashes: np.ndarray, first: np.ndarray, anchor: np.ndarray) -> np.nd
     return part
 
 
-def sides_of(data: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.SpanHash, cases: np.ndarray) -> np.ndarray:
+def sides_of(sums: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.SpanHash, cases: np.ndarray) -> np.ndarray:
     """For each case, 16 bits of a hash of the bytes that all its windows around the part hold.
 
     Places that share a window agree in its case. 0 where the part occurs twice near: it fits all.
+    sums: prefix sums of the text by the hash.
     """
     out = np.zeros((len(part), cases[-1] + 1), np.uint16)
     known = ~odd[part]
-    place, sums = part[known], side.sums(data)
+    place = part[known]
     for case in range(cases[-1] + 1):
         x = np.flatnonzero(cases == case)
-        h = side.spans(sums, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(data)))
+        h = side.spans(sums, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(sums) - 1))
         out[known, case] = (h >> common.U64(48)) | common.U64(1)
     return out
 
@@ -261,8 +278,12 @@ def agreeing(anchor: np.ndarray, sides: np.ndarray, unit: np.ndarray, where: np.
     blurred = np.isin(anchor, anchor[sides[:, 0] == 0])
     cases[blurred] |= elsewhere(anchor[blurred], where[blurred]) * ((1 << every) - 1)
     shared = cases > 0
-    columns = [pa.array(unit[shared], pa.int64()), pa.array(anchor[shared].astype(np.int64)), pa.array(cases[shared])]
-    return pa.RecordBatch.from_arrays(columns, names=["unit", "anchor", "cases"])
+    unit, anchor, cases = unit[shared], anchor[shared].astype(np.int64), cases[shared]
+    order = np.lexsort((anchor, unit))
+    unit, anchor, cases = unit[order], anchor[order], cases[order]
+    first = np.flatnonzero(np.append(True, (np.diff(unit) != 0) | (np.diff(anchor) != 0))) if len(unit) else np.zeros(0, np.int64)
+    cases = np.bitwise_or.reduceat(cases, first) if len(first) else cases
+    return pa.RecordBatch.from_arrays([pa.array(unit[first]), pa.array(anchor[first]), pa.array(cases)], names=["unit", "anchor", "cases"])
 
 
 def anchored(docs: DataFrame, buckets: int) -> DataFrame:
@@ -286,7 +307,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             if len(sent) > REMEMBERED:
                 sent.clear()
             sent.update(names.tolist())
-            least, odd = least_hashes(hashes), periodic(hashes)
+            least, odd, sums = least_hashes(hashes), periodic(hashes), side.sums(data)
             size = (end - start) * keep
             at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             anchor, owner = least[at], np.repeat(np.arange(len(unit)), size)
@@ -302,9 +323,11 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             pair = np.zeros(len(seam), ACROSS)
             pair["unit"], pair["next"] = unit[seam], unit[seam + 1]
             for records, full, place, mark in ((inside, anchor[plain], part[plain], b"i"), (pair, behind["anchor"][seam], behind["part"][seam], b"a")):
-                records["sides"] = sides_of(data, odd, place, side, CASE)
+                records["sides"] = sides_of(sums, odd, place, side, CASE)
                 records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
                 yield packed((full % common.U64(buckets)).astype(np.int32), records, mark)
+        del sent
+        common.give_back()
 
     def meet(_: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         inside = np.frombuffer(b"".join(b[1:] for b in blobs if b[:1] == b"i"), INSIDE)
@@ -317,27 +340,36 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
         yield agreeing(anchor, np.concatenate([inside["sides"], across["sides"], across["sides"]]), unit, where)
 
     rows = docs.mapInArrow(send, PACKED)
-    return by_bucket(rows, buckets, None, meet, "unit long, anchor long, cases long").groupBy("unit", "anchor").agg(F.bit_or("cases").alias("cases"))
+    return by_bucket(rows, buckets, None, meet, "unit long, anchor long, cases long")
 
 
 def agreed_windows(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, unit: np.ndarray, pairs: pa.Array, cases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Window starts whose anchor and case are among the pairs (of the units given), and their units."""
     if not len(unit):
         return unit, unit
-    key = lambda unit, anchor, case: common.mix64(common.mix64(unit.astype(np.uint64) * common.U64(64) + case) ^ anchor)
-    bits, anchors = pairs.field("cases").to_numpy(), pairs.field("anchor").to_numpy().view(np.uint64)
-    wanted = np.concatenate([key(unit, anchors, common.U64(c))[bits >> c & 1 == 1] for c in range(cases[-1] + 1)])
+    key = lambda unit, anchor: common.mix64(common.mix64(unit.astype(np.uint64)) ^ anchor)
+    wanted = key(unit, pairs.field("anchor").to_numpy().view(np.uint64))
+    order = np.argsort(wanted)
+    wanted, bits = wanted[order], pairs.field("cases").to_numpy()[order]
+    # Anchors are part of a hash: buckets that differ in the rest of it may both name one.
+    once = np.flatnonzero(np.append(True, wanted[1:] != wanted[:-1]))
+    wanted, bits = wanted[once], np.bitwise_or.reduceat(bits, once)
     least = least_hashes(hashes)
     chosen = np.unique(unit)
     size = (end - start)[chosen]
     at = np.repeat(start[chosen], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     owner = np.repeat(chosen, size)
-    run = np.append(True, (np.diff(least[at]) != 0) | (np.diff(owner) != 0))
-    x = parts_of(hashes, at[run], least[at[run]])[np.cumsum(run) - 1] - at
-    anchor = least[at] >> common.U64(16)
-    here = np.isin(key(owner, anchor, cases[np.maximum(x, 0)].astype(np.uint64)), wanted)
+    # Windows of one anchor that follow each other are looked up once.
+    first = np.flatnonzero(np.append(True, (np.diff(least[at]) != 0) | (np.diff(owner) != 0)))
+    own = key(owner[first], least[at[first]] >> common.U64(16))
+    where = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+    bits = np.where(wanted[where] == own, bits[where], 0)
+    part = parts_of(hashes, at[first], least[at[first]])
+    length = np.diff(np.append(first, len(at)))
+    x = np.repeat(part, length) - at
     # Behind the first place of a part that occurs twice in a run, any case may hold.
-    here |= (x < 0) & np.isin(key(owner, anchor, common.U64(63)), key(unit, anchors, common.U64(63)))
+    here = np.repeat(bits, length) >> cases[np.maximum(x, 0)] & 1 == 1
+    here |= (x < 0) & np.repeat(bits != 0, length)
     return at[here], owner[here]
 
 
@@ -366,7 +398,7 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
             full = least[at[run]]
             records = np.zeros(len(full), PLACED)
             records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
-            records["sides"] = sides_of(data, odd, parts_of(hashes, at[run], full), side, EXACT)
+            records["sides"] = sides_of(side.sums(data), odd, parts_of(hashes, at[run], full), side, EXACT)
             records["unit"] = batch.column("unit").to_numpy()[owner[run]]
             yield packed((full % common.U64(buckets)).astype(np.int32), records)
 
@@ -390,7 +422,6 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "one", "two", "begin", "data"])
 
     found = by_bucket(segments.mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
-    found = found.groupBy("unit", "anchor").agg(F.bit_or("cases").alias("cases"))
     shared = found.groupBy("unit").agg(F.collect_list(F.struct("anchor", "cases")).alias("shared"))
     rows = segments.join(shared, "unit").select("doc", "one", "two", "begin", "data", "shared")
     return rows.mapInArrow(cut, SEGMENT)
@@ -467,9 +498,8 @@ def prefix(records: np.ndarray) -> np.ndarray:
     return np.stack([records["k1"], records["k2"]], 1).astype(">u8").view("S16").ravel()
 
 
-def _triples_of_names(records: np.ndarray, shift: int, half: int, back: int) -> pa.RecordBatch:
-    """Records of three names that cover a window, at the suffixes that a shift serves; of their keys
-    one part in HALVES."""
+def _triples_of_names(records: np.ndarray, shift: int, back: int) -> pa.RecordBatch:
+    """Records of three names that cover a window, at the suffixes that a shift serves."""
     at = records["at"].astype(np.int64)
     place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 33) + at
 
@@ -499,8 +529,7 @@ def _triples_of_names(records: np.ndarray, shift: int, half: int, back: int) ->
     mixed = np.zeros(len(good), np.uint64)
     for field in ("a", "b", "c", "rest"):
         mixed = common.mix64(mixed * common.U64(31) + out[field].astype(np.uint64))
-    now = (mixed >> common.U64(32)) % common.U64(HALVES) == half
-    return packed((mixed[now] % common.U64(back)).astype(np.int32), out[now])
+    return packed((mixed % common.U64(back)).astype(np.int32), out)
 
 
 def numbered(distinct: DataFrame, label: str) -> DataFrame:
@@ -578,7 +607,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     named = None
     for turn in range(PASSES):
         sent = units.mapInArrow(partial(send, turn=turn), PACKED)
-        part = common.settled(by_bucket(sent, buckets, TRIPLE, name, PACKED), f"{label}-names")
+        part = common.settled(by_bucket(sent, buckets, TRIPLE, name, PACKED, EACH), f"{label}-names")
         named = [part] if named is None else [*named, part]
     everything = named[0]
     for part in named[1:]:
@@ -586,17 +615,17 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     pieces = []
     for turn in range(PASSES):
         some = everything.where(F.col("bucket") % PASSES == turn)
-        pieces.append(common.settled(by_bucket(some, back, NAMED, gathered, "records binary"), f"{label}-pieces"))
+        pieces.append(common.settled(by_bucket(some, back, NAMED, gathered, "records binary", EACH), f"{label}-pieces"))
     common.discard(*named)
     text = pieces[0]
     for part in pieces[1:]:
         text = text.unionByName(part)
 
-    def recurse(batches: Iterator[pa.RecordBatch], shift: int, half: int) -> Iterator[pa.RecordBatch]:
+    def recurse(batches: Iterator[pa.RecordBatch], shift: int) -> Iterator[pa.RecordBatch]:
         """Triples of names: of sampled suffixes, and of the pairs of classes that meet by a shift."""
         for batch in common.slices(batches, "records", 32 * SLICE):
             records = np.frombuffer(b"".join(batch.column("records").to_pylist()), NAMED)
-            yield _triples_of_names(records, shift, half, back)
+            yield _triples_of_names(records, shift, back)
 
     def adjacent(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Suffixes in order; neighbours of equal keys share WINDOW bytes."""
@@ -610,21 +639,27 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         first = np.append(True, ~same)
         doc = records["unit"] >> DOC_SHIFT
         least = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
-        gone = records[doc > least]
+        late = records[doc > least]
+        gone = np.zeros(len(late), GONE)
+        gone["unit"], gone["at"] = late["unit"], late["at"]
+        yield packed((common.mix64(gone["unit"].view(np.uint64)) % common.U64(fewer)).astype(np.int32), gone)
+
+    def starts(_: int, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """One row for each segment: its window starts that go."""
         gone = gone[np.lexsort((gone["at"], gone["unit"]))]
-        cuts = np.flatnonzero(np.append(True, gone["unit"][1:] != gone["unit"][:-1])) if len(gone) else np.zeros(0, np.int64)
-        starts = [x.tobytes() for x in np.split(np.ascontiguousarray(gone["at"]), cuts[1:])] if len(gone) else []
-        yield pa.RecordBatch.from_arrays([pa.array(gone["unit"][cuts], pa.int64()), pa.array(starts, pa.binary())], names=["unit", "starts"])
+        cuts = np.flatnonzero(np.append(True, gone["unit"][1:] != gone["unit"][:-1]))
+        units = pa.array(gone["unit"][cuts], pa.int64())
+        yield pa.RecordBatch.from_arrays([units, blobs_of(np.ascontiguousarray(gone["at"]), cuts)], names=["unit", "starts"])
 
-    # One part of one shift after the other: the records of one are gone before the next ones are made.
+    # One shift after the other: the records of one are gone before the next ones are made.
+    fewer = max(1, back // 4)
     found, parts = None, []
     for shift in SHIFTS:
-        for half in range(HALVES):
-            suffixes = text.mapInArrow(partial(recurse, shift=shift, half=half), PACKED)
-            parts.append(common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, "unit long, starts binary"), f"{label}-covered"))
-            found = parts[-1] if found is None else found.unionByName(parts[-1])
+        suffixes = text.mapInArrow(partial(recurse, shift=shift), PACKED)
+        parts.append(common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, PACKED, EACH), f"{label}-covered"))
+        found = parts[-1] if found is None else found.unionByName(parts[-1])
     common.discard(*pieces)
-    cover = common.settled(found.groupBy("unit").agg(F.collect_list("starts").alias("starts")), f"{label}-cover")
+    cover = common.settled(by_bucket(found, fewer, GONE, starts, "unit long, starts binary"), f"{label}-cover")
     common.discard(*parts)
     return cover
 
@@ -672,7 +707,7 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     none = F.lit(None)
     shape = ("doc", "version", "begin", "size", "starts")
     whole = units.join(repeats, ["one", "two"]).where("doc > first_doc")
-    whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("array<binary>")}).select(*shape)
+    whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("binary")}).select(*shape)
     whole = common.settled(whole, f"{label}-whole")
     first = distinct.select("content", F.col("doc").alias("first_doc"), "unit").join(cover, "unit", "left")
     partly = texts.select("content", "doc", "one", "two", F.col("begin").alias("within"), F.length("data").alias("part")).join(first, "content")
@@ -685,7 +720,7 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))
     marks = common.settled(marks, f"{label}-marks")
     common.discard(units, whole)
-    out = removed(docs.join(marks, ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
+    out = removed(docs.join(marks.hint("shuffle_hash"), ["doc", "version"], "left").select("doc_id", "text", "marks", "_others"))
     return out.select("doc_id", "kept", "begins", "ends", "n_bytes", *(f"_others.{c}" for c in others))
 
 
@@ -696,23 +731,25 @@ def removed(docs: DataFrame) -> DataFrame:
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             data, offsets = common.utf8(batch.column("text"))
             depth = np.zeros(len(data) + WINDOW + 1, np.int32)
-            for t, marks in enumerate(batch.column("marks").to_pylist()):
-                for mark in marks or ():
-                    if mark["starts"] is None:
-                        depth[offsets[t] + mark["begin"]] += 1
-                        depth[offsets[t] + mark["begin"] + mark["size"]] -= 1
-                    else:
-                        at = offsets[t] + mark["begin"] + np.unique(np.frombuffer(b"".join(mark["starts"]), "<u2")).astype(np.int64)
-                        np.add.at(depth, at, 1)
-                        np.add.at(depth, at + WINDOW, -1)
+            lists = batch.column("marks")
+            marks = lists.flatten()
+            begin = np.repeat(offsets[:-1], pc.fill_null(pc.list_value_length(lists), 0).to_numpy()) + marks.field("begin").to_numpy()
+            some = marks.field("starts").is_valid().to_numpy(zero_copy_only=False)
+            whole = begin[~some]
+            many = pc.fill_null(pc.binary_length(marks.field("starts")), 0).to_numpy() // 2
+            at = np.repeat(begin, many) + np.frombuffer(b"".join(marks.field("starts").drop_null().to_pylist()), "<u2")
+            first = np.concatenate([whole, at])
+            last = np.concatenate([whole + marks.field("size").to_numpy()[~some], at + WINDOW])
+            np.add.at(depth, first, 1)
+            np.add.at(depth, last, -1)
             gone = np.cumsum(depth)[: len(data)] > 0
             begin, stop = common.runs(gone, offsets)
             owner = np.searchsorted(offsets, begin, side="right") - 1
             counts = np.bincount(owner, minlength=batch.num_rows)
-            kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets, offsets[1:])]
+            before = np.append(0, np.cumsum(~gone))[offsets[:-1]]
             columns = [
                 batch.column("doc_id"),
-                pa.array(kept, pa.binary()),
+                blobs_of(data[~gone], before),
                 common.lists(begin - offsets[owner], counts, pa.int32()),
                 common.lists(stop - offsets[owner], counts, pa.int32()),
                 pa.array(np.diff(offsets), pa.int64()),

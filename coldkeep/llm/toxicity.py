@@ -329,9 +329,6 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows])
 
 
-_known: dict[int, dict[int, float]] = {}
-
-
 def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, score and worst_unit (the unit that decided) of every row of docs, and the columns in others."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *dict.fromkeys(("text", *others)))
@@ -342,7 +339,7 @@ def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) ->
 
     def make():
         hash_of = common.SpanHash(17)
-        memory = _known.setdefault(model.key, {})
+        memory = common.held(("units", model.key), dict)
 
         def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
             symbols, *words = units_of(*common.utf8(batch.column("text")))
@@ -370,7 +367,7 @@ def score(docs: DataFrame, model: Model | None, others: tuple[str, ...] = ()) ->
 
         return kernel
 
-    return common.arrow_map(docs, make, schema, "text")
+    return common.arrow_map(docs, make, schema, "text", keep=True)
 
 
 def learnt(docs: DataFrame, labels: DataFrame) -> Model | None:

@@ -421,3 +421,44 @@ def test_oracles_run(spark):
     con = oracle_compare.connect(sf_dir)
     for name, sql in ORACLE.items():
         assert oracle_compare.compare(entry.queries()[name](spark, sf_dir), con, sql) is None
+
+
+def test_suffix_marks_travel_packed(spark, monkeypatch):
+    """Window starts that go are rows by bucket, not by segment; each segment has them once."""
+    rng = random.Random(5)
+    passages = [prose(rng, 15) for _ in range(120)]
+    rows = [(0, " ".join(passages)), *((i + 1, f"{prose(rng, 3)} {p} {prose(rng, 3)}") for i, p in enumerate(passages))]
+    sizes, settled = {}, suffixes.common.settled
+
+    def counted(df, label, keep=False):
+        out = settled(df, label, keep)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffixes.common, "settled", counted)
+    got = suffixes.repeated(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows)
+    assert sizes["suffixes-cover"] >= 100 and sizes["suffixes-covered"] <= 3 * suffixes.PASSES
+
+
+def test_anchors_named_twice_keep_all_cases():
+    """Anchors are 48 bits of a hash: two buckets may name the same one of a unit."""
+    hashes = np.random.default_rng(1).integers(0, 1 << 63, 200, np.uint64)
+    least = suffixes.least_hashes(hashes)
+    start, end, unit = np.array([0]), np.array([60]), np.array([0, 0])
+    anchor = int(least[0] >> np.uint64(16))
+    pairs = suffixes.pa.array([{"anchor": anchor, "cases": c} for c in (1, 2)], suffixes.pa.struct([("anchor", "int64"), ("cases", "int64")]))
+    at, owner = suffixes.agreed_windows(hashes, start, end, unit, pairs, suffixes.CASE)
+    assert at.tolist() == [i for i in range(60) if least[i] == least[0]] and not owner.any()
+
+
+def test_workers_hold_one_step_only():
+    common = suffixes.common
+    first = common.held(("a",), list)
+    assert common.held(("a",), list) is first
+    common.held(("b",), dict)
+    assert list(common._held) == [("b",)]
+    common.give_back(keep=True)
+    assert list(common._held) == [("b",)]
+    common.give_back()
+    assert not common._held
