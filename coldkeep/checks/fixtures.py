@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from coldkeep.functions.naming import archive_segment
-from coldkeep.plans.archive import archive_rows, store
+from coldkeep.plans.archive import archive_rows, dealt, store
 from coldkeep.session import in_parallel, scratch_path
 from coldkeep.sinks.tables import ensure_database
 from coldkeep.sources.connections import Connection
@@ -111,6 +111,12 @@ def archived(
     return archive_rows(table(spark, sf_dir, name), policy, F.expr(hold), AS_OF, basis=basis)
 
 
+def store_archived(spark: SparkSession, sf_dir: str, target: str, name: str, basis: str, hold: str, policy: str = POLICY) -> int:
+    """An archive table of `archived` rows."""
+    rows = dealt(table(spark, sf_dir, name), policy, F.expr(hold), AS_OF, basis)
+    return store(archive_rows(rows, policy, F.expr(hold), AS_OF, basis=basis), target, scattered=False)
+
+
 def archive_database(spark: SparkSession, sf_dir: str, label: str) -> str:
     """An archive of orders, lineitem and events, and a table without retention columns."""
     db = fresh_database(spark, label)
@@ -121,7 +127,7 @@ def archive_database(spark: SparkSession, sf_dir: str, label: str) -> str:
     ]
 
     def fill(item: tuple) -> int:
-        return store(archived(spark, sf_dir, *item), f"{db}.src_{item[0]}")
+        return store_archived(spark, sf_dir, f"{db}.src_{item[0]}", *item)
 
     in_parallel(spark, fill, tables, max_parallel=3)
     table(spark, sf_dir, "nation").write.saveAsTable(f"{db}.src_nation")

@@ -45,6 +45,19 @@ def archive_rows(
     return stamped.withColumn("checksum", row_checksum(df, sources))
 
 
+def dealt(
+    df: DataFrame, policy: str, legal_hold: bool | Column, as_of: datetime | date | str, basis: str | Column
+) -> DataFrame:
+    """Source rows rebalanced by the partitions that they will have in the archive.
+
+    Stamps and checksums are made behind this shuffle, so they do not pass through it.
+    """
+    stamped = stamp_retention(df, policy, legal_hold, as_of, basis)
+    month = expiry_month(F.col("retention_expires_at")).alias("expiry_month")
+    parted = stamped.select(*[f"`{c}`" for c in df.columns], month, "legal_hold")
+    return parted.hint("rebalance", *PARTITIONS).drop(*PARTITIONS)
+
+
 def archive(
     spark: SparkSession,
     plan_row: Row,
@@ -64,6 +77,10 @@ def archive(
     name = f"{p['target_db']}.{p['target_table']}".lower()
     table = f"{p['source_schema']}.{p['source_table']}" if p["source_table"] else None
     df = read_source(spark, conn, table=table, query=p["query"], condition=p["condition"])
+    # Binary contents become links before rows are shuffled.
+    early = basis is not None and not binary_columns(df)
+    if early:
+        df = dealt(df, p["retention_policy_value"], p["legal_hold"], as_of, basis)
     rows = archive_rows(
         df,
         p["retention_policy_value"],
@@ -74,7 +91,7 @@ def archive(
         blob_path=(p["target_db"], p["source_schema"], p["segment"]),
     )
     ensure_database(spark, p["target_db"])
-    written = store(rows, name, mode, scattered=basis is not None)
+    written = store(rows, name, mode, scattered=basis is not None and not early)
     blobs = 0
     if written and binary_columns(df):
         blobs = write_blobs(spark.table(name), p["target_db"])

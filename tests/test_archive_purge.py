@@ -469,3 +469,21 @@ def test_links_of_other_columns_are_drift(spark, feed):
     assert schema(validate(src, tgt)).result == "passed"
     drifted = schema(validate(src, tgt.withColumn("made_s3_path", F.lit("x"))))
     assert (drifted.result, drifted.mismatched_columns) == ("failed", ["made_s3_path"])
+
+
+def test_stamps_do_not_pass_the_shuffle(spark, database):
+    """Rows are dealt to the archive's partitions before they get stamps and checksums."""
+    from coldkeep.plans.archive import dealt
+
+    hold = F.expr("CASE WHEN id % 11 = 0 THEN NULL ELSE id % 10 = 0 END")
+    rows = spark.range(120).withColumn("made", F.expr("timestampadd(DAY, CAST(id AS INT), TIMESTAMP '1996-11-01')"))
+    early = archive_rows(dealt(rows, "30d", hold, AS_OF, "made"), "30d", hold, AS_OF, basis="made")
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RebalancePartitions") :]
+    assert "AS checksum#" in plan and "checksum" not in below and "archived_at" not in below
+    store(early, f"{database}.early", scattered=False)
+    store(archive_rows(rows, "30d", hold, AS_OF, basis="made"), f"{database}.late")
+    first, second = (spark.table(f"{database}.{x}") for x in ("early", "late"))
+    assert first.schema == second.schema and first.count() == 120
+    assert not first.exceptAll(second).count() and not second.exceptAll(first).count()
+    assert sink.partition_columns(spark, f"{database}.early") == ["expiry_month", "legal_hold"]
