@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -151,32 +152,48 @@ def parse_legacy_columns(df: DataFrame) -> DataFrame:
     )
 
 
-LEGACY_RECORDS = "array<struct<side: string, record: map<string, string>, checksum: string>>"
+LEGACY_PAIRS = (
+    "array<struct<rank: bigint, source: map<string, string>, source_checksum: string, "
+    "target: map<string, string>, target_checksum: string>>"
+)
+#: JSON has other names for these than Python, or means another thing by them.
+NO_LITERAL = re.compile(r"\\|null|true|false|NaN|Infinity")
 
 
-def _record_list(text: str | None) -> str | None:
-    """The list of records as JSON; a text that is no such list has none."""
+def _literal(text: str) -> object:
+    """The value of a literal; one that reads the same as JSON is read as that, which is much faster."""
+    if not NO_LITERAL.search(text):
+        try:
+            return json.loads(text)
+        except (ValueError, RecursionError):
+            pass
+    return ast.literal_eval(text)
+
+
+def _pair_list(text: str | None) -> str | None:
+    """The list of records as JSON, two neighbours as one pair; a text that is no such list has none."""
+    pairs: list[dict] = []
     try:
-        rows = [
-            {
-                "side": side,
-                "record": {str(k): str(v) for k, v in found[f"{side}_row"].get("record", {}).items()},
-                "checksum": str(found[f"{side}_row"].get("checksum", "")),
-            }
-            for found in (ast.literal_eval(text) if text else [])
-            for side in ("source", "target")
-            if f"{side}_row" in found
-        ]
+        at = 0
+        for found in _literal(text) if text else []:
+            for side in ("source", "target"):
+                if f"{side}_row" in found:
+                    row = found[f"{side}_row"]
+                    if at % 2 == 0:
+                        pairs.append({"rank": at // 2 + 1})
+                    pairs[-1][side] = {str(k): str(v) for k, v in row.get("record", {}).items()}
+                    pairs[-1][f"{side}_checksum"] = str(row.get("checksum", ""))
+                    at += 1
     except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError):
         return None
-    return json.dumps(rows)
+    return json.dumps(pairs)
 
 
-def legacy_records(remarks: Column) -> Column:
-    """Records of mismatched rows in the text of older summaries, which list them as literals."""
+def legacy_pair_list(remarks: Column) -> Column:
+    """Pairs of mismatched rows in the text of older summaries, which list their records as literals."""
 
     @F.pandas_udf("string")
     def as_json(texts: pd.Series) -> pd.Series:
-        return texts.map(_record_list)
+        return texts.map(_pair_list)
 
-    return F.from_json(as_json(F.regexp_extract(remarks, RECORDS_PATTERN, 1)), LEGACY_RECORDS)
+    return F.from_json(as_json(F.regexp_extract(remarks, RECORDS_PATTERN, 1)), LEGACY_PAIRS)

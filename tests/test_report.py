@@ -208,3 +208,21 @@ def test_latest_by_type(spark):
     )
     got = {(r.validation_report, r.result) for r in latest_by_type(df).collect()}
     assert got == {("a", "2"), ("b", "3")}
+
+
+def test_legacy_pairs_of_each_summary(spark):
+    """Literals that are JSON as well, two summaries of one table, and no shuffle."""
+    plain = '[{"source_row": {"record": {"k": 1, "v": 1.50}, "checksum": "s"}}, {"target_row": {"record": {"k": 1}, "checksum": "t"}}]'
+    other = "[{'source_row': {'record': {'k': 2, 'v': True}}}]"
+    no_literal = plain.replace("1.50", "null")
+    df = spark.createDataFrame(
+        [("row_checksum_validation", "t", f"Records: {x}") for x in (plain, other, no_literal)],
+        "validation_report string, target_table string, remarks string",
+    )
+    lines = mismatch_rows(legacy_pairs(df))
+    assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+    got = {(r["rank"], r.column, r.source_value, r.target_value, r.source_checksum, r.target_checksum) for r in lines.collect()}
+    assert got == {
+        (1, "k", "1", "1", "s", "t"), (1, "v", "1.5", None, "s", "t"),
+        (1, "k", "2", None, "", None), (1, "v", "True", None, "", None),
+    }
