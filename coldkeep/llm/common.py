@@ -156,7 +156,7 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit (MurmurHash3's finaliser)."""
     x = x ^ (x >> U64(33))
-    x = x * U64(0xFF51AFD7ED558CCD)
+    x *= U64(0xFF51AFD7ED558CCD)
     x ^= x >> U64(33)
     x *= U64(0xC4CEB9FE1A85EC53)
     x ^= x >> U64(33)

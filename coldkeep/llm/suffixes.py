@@ -60,7 +60,7 @@ SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("
 #: A suffix that loses its window: its segment and place.
 GONE = np.dtype([("unit", "<i8"), ("at", "<u2")])
 #: A sort is done in so many passes over ranges of its keys; the records of one are gone before the next.
-PASSES = 2
+PASSES = 1
 #: Bytes of the pieces that named suffixes are kept in.
 PIECE_BYTES = 1 << 16
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
@@ -69,9 +69,11 @@ CASES = 2
 PLACES = WINDOW - PART + 1
 CASE = np.arange(PLACES) * CASES // PLACES
 EXACT = np.arange(PLACES)
+#: Stands for the sides of a window that there is not; those of others are odd, or 0.
+ABSENT = 2
 INSIDE = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8")])
 ACROSS = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8"), ("next", "<i8")])
-PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (PLACES,)), ("unit", "<i8")])
+PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (PLACES,)), ("unit", "<i8"), ("doc", "<i8")])
 
 
 class Cutter:
@@ -190,54 +192,65 @@ def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Call
 SEAM = np.dtype([("anchor", "<u8"), ("part", "<i8"), ("one", "?")])
 
 
-def least_hashes(hashes: np.ndarray) -> np.ndarray:
-    """The least part hash of the window that starts at each place."""
-    least, width = hashes, 1
-    while 2 * width <= WINDOW - PART + 1:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    shift = WINDOW - PART + 1 - width
+def minima(hashes: np.ndarray) -> list[np.ndarray]:
+    """The least of 1, 2, 4, ... part hashes from each place on, as far as a window holds so many."""
+    out = [hashes]
+    while 2 << (len(out) - 1) <= PLACES:
+        width = 1 << (len(out) - 1)
+        out.append(np.minimum(out[-1][:-width], out[-1][width:]))
+    return out
+
+
+def least_hashes(hashes: np.ndarray, least: list[np.ndarray] | None = None) -> np.ndarray:
+    """The least part hash of the window that starts at each place; least: the minima of the hashes."""
+    least = (least or minima(hashes))[-1]
+    shift = PLACES - (1 << (PLACES.bit_length() - 1))
     return np.minimum(least[: len(least) - shift], least[shift:]) if shift else least
 
 
 def periodic(hashes: np.ndarray) -> np.ndarray:
     """True where a part's hash occurs again within a window, going by 32 of its bits."""
     out, low = np.zeros(len(hashes), bool), hashes.astype(np.uint32)
-    for shift in range(1, WINDOW - PART + 2):
-        again = np.flatnonzero(low[:-shift] == low[shift:])
-        out[again] = True
-        out[again + shift] = True
+    for shift in range(1, PLACES + 1):
+        again = low[:-shift] == low[shift:]
+        out[:-shift] |= again
+        out[shift:] |= again
     return out
 
 
-def parts_of(hashes: np.ndarray, first: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Place of the leftmost part with the anchor's hash in the window that starts at first."""
-    part = np.zeros(len(first), np.int64)
-    open_ = np.arange(len(first))
-    for shift in range(WINDOW - PART + 1):
-        hit = hashes[first[open_] + shift] == anchor[open_]
-        part[open_[hit]] = first[open_[hit]] + shift
-        open_ = open_[~hit]
+def parts_of(least: list[np.ndarray], first: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Place of the leftmost part with the anchor's hash in the window that starts at first, by the minima."""
+    part = first.copy()
+    for k in range(len(least) - 1, -1, -1):
+        room = np.flatnonzero(part + (1 << k) <= first + PLACES)
+        part[room] += (least[k][part[room]] != anchor[room]).astype(np.int64) << k
     return part
 
 
-def sides_of(sums: np.ndarray, odd: np.ndarray, part: np.ndarray, side: common.SpanHash, cases: np.ndarray) -> np.ndarray:
+def sides_of(cutter: Cutter, odd: np.ndarray, part: np.ndarray, cases: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
     """For each case, 16 bits of a hash of the bytes that all its windows around the part hold.
 
     Places that share a window agree in its case. 0 where the part occurs twice near: it fits all.
-    sums: prefix sums of the text by the hash.
+    The hash goes by the prefix sums of the text that was cut last. Of cases of one window each, only
+    those of windows that start from begin to end are wanted, if these are given.
     """
+    side, sums = cutter.parts, cutter.sums
     out = np.zeros((len(part), cases[-1] + 1), np.uint16)
-    known = ~odd[part]
-    place = part[known]
+    known = np.flatnonzero(~odd[part])
+    if begin is not None:
+        out[known] = ABSENT
+    everyone = known
     for case in range(cases[-1] + 1):
         x = np.flatnonzero(cases == case)
+        if begin is not None:
+            known = everyone[(part[everyone] - case >= begin[everyone]) & (part[everyone] - case < end[everyone])]
+        place = part[known]
         h = side.spans(sums, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(sums) - 1))
         out[known, case] = (h >> common.U64(48)) | common.U64(1)
     return out
 
 
-def seams(hashes: np.ndarray, least: np.ndarray, odd: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def seams(least: np.ndarray, lows: list[np.ndarray], odd: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The seams before and behind each unit: an anchor that windows on both sides have.
 
     Such an anchor is one place of the text (`part`) that two units show, and must not look like two
@@ -252,7 +265,7 @@ def seams(hashes: np.ndarray, least: np.ndarray, odd: np.ndarray, text: np.ndarr
     sums = np.concatenate([[0], np.cumsum(odd)])
     calm = sums[np.minimum(at + WINDOW - PART + 1, len(odd))] == sums[np.maximum(at - 1, 0)]
     behind["anchor"][left] = before["anchor"][left + 1] = least[at]
-    behind["part"][left] = before["part"][left + 1] = parts_of(hashes, at, least[at])
+    behind["part"][left] = before["part"][left + 1] = parts_of(lows, at, least[at])
     behind["one"][left] = before["one"][left + 1] = calm
     return before, behind
 
@@ -273,7 +286,8 @@ def agreeing(anchor: np.ndarray, sides: np.ndarray, unit: np.ndarray, where: np.
     every = sides.shape[1]
     cases = np.zeros(len(anchor), np.int64)
     for case in range(every):
-        cases |= elsewhere(anchor << common.U64(16) | sides[:, case], where) << case
+        rows = np.flatnonzero(sides[:, case] != ABSENT)
+        cases[rows] |= elsewhere(anchor[rows] << common.U64(16) | sides[rows, case], where[rows]) << case
     # A part that can't be told apart shares all cases with every other place of its anchor.
     blurred = np.isin(anchor, anchor[sides[:, 0] == 0])
     cases[blurred] |= elsewhere(anchor[blurred], where[blurred]) * ((1 << every) - 1)
@@ -293,7 +307,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, sent, side = Cutter(), set(), common.SpanHash(73)
+        cutter, sent = Cutter(), set()
         for batch in common.slices(batches, "text", SLICE):
             data, offsets = common.utf8(batch.column("text"))
             text, start, end, hashes = cutter(data, offsets)
@@ -307,14 +321,18 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             if len(sent) > REMEMBERED:
                 sent.clear()
             sent.update(names.tolist())
-            least, odd, sums = least_hashes(hashes), periodic(hashes), side.sums(data)
-            size = (end - start) * keep
-            at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            anchor, owner = least[at], np.repeat(np.arange(len(unit)), size)
-            new = np.append(True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])) if len(at) else np.zeros(0, bool)
-            anchor, owner, at = anchor[new], owner[new], at[new]
-            before, behind = seams(hashes, least, odd, text, start)
-            part = parts_of(hashes, at, anchor)
+            lows = minima(hashes)
+            least, odd = least_hashes(hashes, lows), periodic(hashes)
+            # Windows of one anchor that follow each other in a unit.
+            new = np.append(True, least[1:] != least[:-1])
+            new[start] = True
+            at = np.flatnonzero(new)
+            owner = np.searchsorted(start, at, side="right") - 1
+            inner = (owner >= 0) & keep[owner] & (at < end[owner])
+            at, owner = at[inner], owner[inner]
+            anchor = least[at]
+            before, behind = seams(least, lows, odd, text, start)
+            part = parts_of(lows, at, anchor)
             plain = ~np.any([s["one"][owner] & (s["part"][owner] == part) for s in (before, behind)], axis=0)
             inside = np.zeros(int(plain.sum()), INSIDE)
             inside["unit"] = unit[owner[plain]]
@@ -323,7 +341,7 @@ def anchored(docs: DataFrame, buckets: int) -> DataFrame:
             pair = np.zeros(len(seam), ACROSS)
             pair["unit"], pair["next"] = unit[seam], unit[seam + 1]
             for records, full, place, mark in ((inside, anchor[plain], part[plain], b"i"), (pair, behind["anchor"][seam], behind["part"][seam], b"a")):
-                records["sides"] = sides_of(sums, odd, place, side, CASE)
+                records["sides"] = sides_of(cutter, odd, place, CASE)
                 records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
                 yield packed((full % common.U64(buckets)).astype(np.int32), records, mark)
         del sent
@@ -354,7 +372,8 @@ def agreed_windows(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, unit:
     # Anchors are part of a hash: buckets that differ in the rest of it may both name one.
     once = np.flatnonzero(np.append(True, wanted[1:] != wanted[:-1]))
     wanted, bits = wanted[once], np.bitwise_or.reduceat(bits, once)
-    least = least_hashes(hashes)
+    lows = minima(hashes)
+    least = least_hashes(hashes, lows)
     chosen = np.unique(unit)
     size = (end - start)[chosen]
     at = np.repeat(start[chosen], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -364,7 +383,7 @@ def agreed_windows(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, unit:
     own = key(owner[first], least[at[first]] >> common.U64(16))
     where = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
     bits = np.where(wanted[where] == own, bits[where], 0)
-    part = parts_of(hashes, at[first], least[at[first]])
+    part = parts_of(lows, at[first], least[at[first]])
     length = np.diff(np.append(first, len(at)))
     x = np.repeat(part, length) - at
     # Behind the first place of a part that occurs twice in a run, any case may hold.
@@ -379,33 +398,39 @@ def stretches(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at[new], at[np.append(new[1:], True)[: len(new)]] + WINDOW, owner[new]
 
 
-def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
-    """doc, one, two, begin, data: the parts of segments whose every window another segment has.
+def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...]) -> DataFrame:
+    """doc, names, begin, data: the parts of segments whose every window a segment of another document has.
 
-    As `anchored`, for the few segments that are left, with one case for each place of a part.
+    As `anchored`, for the few segments that are left, with one case for each place of a part. Segments
+    have doc, names (columns that are passed on), begin, data and unit.
     """
+    shape = ("doc", *names, "begin", "data")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, side = Cutter(), common.SpanHash(79)
+        cutter = Cutter()
         for batch in common.slices(batches, "data", SLICE):
             data, offsets = binaries(batch.column("data"))
             hashes = cutter.part_hashes(data)
-            least, odd = least_hashes(hashes), periodic(hashes)
-            size = np.diff(offsets) - WINDOW + 1
-            owner = np.repeat(np.arange(len(size)), size)
-            at = offsets[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-            run = np.append(True, (np.diff(least[at]) != 0) | (np.diff(owner) != 0))
-            full = least[at[run]]
+            lows = minima(hashes)
+            least, odd = least_hashes(hashes, lows), periodic(hashes)
+            new = np.append(True, least[1:] != least[:-1])
+            new[offsets[:-1]] = True
+            at = np.flatnonzero(new)
+            owner = np.searchsorted(offsets, at, side="right") - 1
+            inner = at <= offsets[owner + 1] - WINDOW
+            end = np.minimum(np.append(at[1:], len(data)), offsets[owner + 1] - WINDOW + 1)[inner]
+            at, owner = at[inner], owner[inner]
+            full = least[at]
             records = np.zeros(len(full), PLACED)
             records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
-            records["sides"] = sides_of(side.sums(data), odd, parts_of(hashes, at[run], full), side, EXACT)
-            records["unit"] = batch.column("unit").to_numpy()[owner[run]]
+            records["sides"] = sides_of(cutter, odd, parts_of(lows, at, full), EXACT, at, end)
+            for field in ("unit", "doc"):
+                records[field] = batch.column(field).to_numpy()[owner]
             yield packed((full % common.U64(buckets)).astype(np.int32), records)
 
     def meet(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         anchor = (records["high"].astype(np.uint64) << common.U64(16)) | records["low"]
-        unit = records["unit"].astype(np.int64)
-        yield agreeing(anchor, records["sides"], unit, unit.view(np.uint64))
+        yield agreeing(anchor, records["sides"], records["unit"].astype(np.int64), records["doc"].astype(np.int64))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter()
@@ -416,15 +441,15 @@ def trimmed(segments: DataFrame, buckets: int) -> DataFrame:
             at, owner = agreed_windows(cutter.part_hashes(data), offsets[:-1], offsets[1:] - WINDOW + 1, unit, shared.flatten(), EXACT)
             begin, stop, owner = stretches(at, owner)
             raw = data.tobytes()
-            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", "one", "two")]
+            columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", *names)]
             columns.append(pa.array(batch.column("begin").to_numpy()[owner] + begin - offsets[owner], pa.int32()))
             columns.append(pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "one", "two", "begin", "data"])
+            yield pa.RecordBatch.from_arrays(columns, names=list(shape))
 
     found = by_bucket(segments.mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
     shared = found.groupBy("unit").agg(F.collect_list(F.struct("anchor", "cases")).alias("shared"))
-    rows = segments.join(shared, "unit").select("doc", "one", "two", "begin", "data", "shared")
-    return rows.mapInArrow(cut, SEGMENT)
+    rows = segments.join(shared, "unit").select(*shape, "shared")
+    return rows.mapInArrow(cut, segments.select(*shape).schema)
 
 
 #: A stretch of windows of a unit: the least document that holds the unit, its names, and where in it.
@@ -545,7 +570,7 @@ def numbered(distinct: DataFrame, label: str) -> DataFrame:
     before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
     starts = docs.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(sizes, before)], "part int, before long")
     rank = ranked.join(F.broadcast(starts), "part").select("doc", (F.col("before") + F.col("local")).alias("rank"))
-    own = F.row_number().over(Window.partitionBy("doc").orderBy("content")) - 1
+    own = F.row_number().over(Window.partitionBy("doc").orderBy("content", "begin")) - 1
     unit = F.shiftleft(F.col("rank"), DOC_SHIFT) + F.col("own")
     return distinct.withColumn("own", own).join(rank, "doc").withColumn("unit", unit).drop("own", "rank")
 
@@ -577,13 +602,14 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     back = max(1, buckets)
 
     def name(bucket: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Sort the bucket's triples and name them in order; a suffix that is alone needs no name."""
+        """Sort the bucket's triples and name them in order; those that one document alone has need no name."""
         k1, k2, k3 = (records[c].astype(c_type) for c, c_type in (("k1", np.uint64), ("k2", np.uint64), ("k3", np.uint32)))
         order = np.lexsort((k3, k2, k1))
         k1, k2, k3 = k1[order], k2[order], k3[order]
         first = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (k3[1:] != k3[:-1]))
         rank = np.cumsum(first)
-        many = np.bincount(rank)[rank] > 1
+        doc, starts = records["unit"][order] >> DOC_SHIFT, np.flatnonzero(first)
+        many = (np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts))[rank - 1] if len(doc) else first
         out = np.zeros(int(many.sum()), NAMED)
         chosen = records[order][many]
         out["name"] = (np.int64(bucket) << 36) + rank[many]
@@ -693,14 +719,18 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     sources = sources.dropDuplicates(["doc", "version"])
     texts = common.settled(segments(sources.select("doc", "text", "shared")), f"{label}-texts")
     common.discard(candidates)
-    wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1)), f"{label}-trimmed")
+    wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1), ("one", "two")), f"{label}-trimmed")
     common.discard(wider)
-    # Segments of equal bytes are sorted once, for the least document that has them.
+    # Segments of equal bytes stand for each other, by the least document that has them. What is left of them
+    # where another segment's document has the windows as well is sorted.
     trimmed_texts, texts = texts, texts.withColumn("content", F.unhex(F.sha2("data", 256)))
     distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.first("data").alias("data"))
-    distinct = common.settled(numbered(distinct, label), f"{label}-distinct")
-    total = distinct.agg(F.sum(F.length("data"))).first()[0] or 0
-    cover = covered_windows(distinct, int(total), label)
+    distinct = common.settled(distinct.withColumns({"begin": F.lit(0), "unit": F.xxhash64("content")}), f"{label}-distinct")
+    shared = common.settled(trimmed(distinct, max(partitions, 1), ("content",)), f"{label}-shared")
+    sorted_ = common.settled(numbered(shared, label), f"{label}-sorted")
+    common.discard(shared)
+    total = sorted_.agg(F.sum(F.length("data"))).first()[0] or 0
+    cover = covered_windows(sorted_, int(total), label)
 
     # A unit goes whole where a smaller document holds it. Every place of a unit in the least document
     # that holds it loses the same windows: those that start in a smaller document as part of another unit.
@@ -709,12 +739,13 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     whole = units.join(repeats, ["one", "two"]).where("doc > first_doc")
     whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("binary")}).select(*shape)
     whole = common.settled(whole, f"{label}-whole")
-    first = distinct.select("content", F.col("doc").alias("first_doc"), "unit").join(cover, "unit", "left")
-    partly = texts.select("content", "doc", "one", "two", F.col("begin").alias("within"), F.length("data").alias("part")).join(first, "content")
-    partly = partly.where("doc > first_doc or starts is not null")
-    partly = partly.withColumn("starts", F.when(F.col("doc") == F.col("first_doc"), F.col("starts")))
-    partly = common.settled(partly.drop("content", "unit", "first_doc"), f"{label}-partly")
-    common.discard(repeats, trimmed_texts, distinct, cover)
+    first = sorted_.join(cover, "unit").select("content", F.col("doc").alias("first_doc"), F.col("begin").alias("behind"), "starts")
+    first = first.unionByName(distinct.select("content", F.col("doc").alias("first_doc"), F.lit(0).alias("behind"), none.cast("binary").alias("starts")))
+    partly = texts.select("content", "doc", "one", "two", "begin", F.length("data").alias("part")).join(first, "content")
+    partly = partly.where("if(starts is null, doc > first_doc, doc = first_doc)")
+    partly = partly.select("doc", "one", "two", (F.col("begin") + F.col("behind")).alias("within"), "part", "starts")
+    partly = common.settled(partly, f"{label}-partly")
+    common.discard(repeats, trimmed_texts, distinct, sorted_, cover)
     partly = units.drop("size").join(partly, ["one", "two", "doc"])
     partly = partly.withColumns({"begin": F.col("begin") + F.col("within"), "size": F.col("part")}).select(*shape)
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))

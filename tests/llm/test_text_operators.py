@@ -462,3 +462,31 @@ def test_workers_hold_one_step_only():
     assert list(common._held) == [("b",)]
     common.give_back()
     assert not common._held
+
+
+def test_suffixes_of_one_document_are_not_sorted(spark, monkeypatch):
+    """A passage that one document alone repeats, and one whose copies are equal segments, need no sort."""
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    own, copied, parted = noise(90), noise(90), noise(90)
+    rows = [(0, noise(70) + own + noise(70) + own + noise(70)), *((i, noise(70) + copied + noise(70)) for i in (1, 2))]
+    totals, covered = [], suffixes.covered_windows
+
+    def counted(units, total, label):
+        totals.append(total)
+        return covered(units, total, label)
+
+    monkeypatch.setattr(suffixes, "covered_windows", counted)
+    for more in ([], [(3, noise(70) + parted + noise(70)), (4, noise(70) + parted[:70] + noise(70)), (5, noise(70) + parted[20:] + noise(70))]):
+        got = suffixes.repeated(frame(spark, rows + more)).collect()
+        assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows + more)
+    assert totals[0] == 0 and 0 < totals[1] <= 250
+
+
+def test_leftmost_part_by_minima():
+    hashes = np.random.default_rng(2).integers(0, 40, 3000, np.uint64)
+    lows = suffixes.minima(hashes)
+    least = suffixes.least_hashes(hashes)
+    width = suffixes.WINDOW - suffixes.PART + 1
+    at = np.arange(len(least))
+    assert [int(hashes[i : i + width].argmin()) + i for i in at] == suffixes.parts_of(lows, at, least).tolist()
