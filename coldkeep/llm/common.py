@@ -95,10 +95,12 @@ def settled(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
+    """Let the driver drop what is garbage, and give the memory back: a model's training leaves much to its Python."""
     for _ in range(2):  # references are queued by one collection and gone by the next
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.3)
+    give_back(keep=True)
 
 
 #: Rows are drawn for samples by so many values of a hash: enough for tables of any size.

@@ -490,3 +490,10 @@ def test_leftmost_part_by_minima():
     width = suffixes.WINDOW - suffixes.PART + 1
     at = np.arange(len(least))
     assert [int(hashes[i : i + width].argmin()) + i for i in at] == suffixes.parts_of(lows, at, least).tolist()
+
+
+def test_release_gives_memory_of_the_driver_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(suffixes.common, "give_back", lambda keep=False: given.append(keep))
+    suffixes.common.release(spark)
+    assert given == [True]
