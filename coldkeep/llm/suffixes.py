@@ -41,8 +41,9 @@ PART = 16
 UNIT_BITS, LONGEST_UNIT = 8, 1024
 #: Units a task remembers to have sent anchors of.
 REMEMBERED = 500_000
-#: Shift from a suffix to its first name: places of the further names, and the classes it serves.
-SHIFTS = {0: (15, 30, (1, 2)), 1: (15, 27, (0, 1)), 2: (15, 27, (0, 2))}
+#: Shift from a suffix to its first name: places of the further names. As names are at sampled offsets,
+#: shift 0 serves classes 1 and 2, shift 1 classes 0 and 1, shift 2 classes 0 and 2.
+SHIFTS = {0: (15, 30), 1: (15, 27), 2: (15, 27)}
 #: Bytes that a bucket of a sort holds on average.
 BUCKET_BYTES = 12 << 20
 #: Buckets of a sort that a task takes one after the other.
@@ -59,6 +60,11 @@ NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("at", "<
 SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("at", "<u2")])
 #: A suffix that loses its window: its segment and place.
 GONE = np.dtype([("unit", "<i8"), ("at", "<u2")])
+#: Successive window starts of a segment that go.
+RUN = np.dtype([("at", "<u2"), ("many", "<u2")])
+#: Segments of so many windows are cut where a part's hash ends in so many zero bits: what different segments
+#: have in common is then one piece. Shorter ones are not, as each cut costs WINDOW - 1 bytes.
+PIECED, PIECE_BITS = 200, 6
 #: A sort is done in so many passes over ranges of its keys; the records of one are gone before the next.
 PASSES = 1
 #: Bytes of the pieces that named suffixes are kept in.
@@ -80,6 +86,7 @@ class Cutter:
     """Units and anchors of the texts of a slice; the prefix sums of the last one serve all its hashes."""
 
     def __init__(self):
+        common.reuse_memory()
         self.parts, self.two = common.SpanHash(61), common.SpanHash(71)
         self.sums = np.zeros(1, np.uint64)
 
@@ -147,7 +154,9 @@ def units_of(docs: DataFrame) -> DataFrame:
 
 def packed(bucket: np.ndarray, records: np.ndarray, mark: bytes = b"") -> pa.RecordBatch:
     """One row a bucket: its records, as bytes behind the mark."""
-    order = np.argsort(bucket, kind="stable")
+    # numpy sorts 16 bits by radix.
+    small = len(bucket) and bucket.max() < 1 << 16
+    order = np.argsort(bucket.astype(np.uint16) if small else bucket, kind="stable")
     bucket, records = bucket[order], records[order]
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
     blobs = pa.array([mark + r.tobytes() for r in np.split(records, cuts[1:])], pa.binary()) if mark and len(bucket) else blobs_of(records, cuts)
@@ -173,6 +182,7 @@ def by_bucket(rows: DataFrame, buckets: int, kind: np.dtype | None, kernel: Call
         return blobs if kind is None else np.frombuffer(b"".join(blobs), kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.reuse_memory()
         held, current = [], None
         for batch in batches:
             for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("records").to_pylist()):
@@ -392,17 +402,24 @@ def agreed_windows(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, unit:
     return at[here], owner[here]
 
 
-def stretches(at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end (of the bytes) and owner of each run of successive window starts."""
+def stretches(at: np.ndarray, owner: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end (of the bytes) and owner of each run of successive window starts.
+
+    With the part hashes, long runs are also cut where the text says so.
+    """
     new = np.append(True, (np.diff(at) != 1) | (np.diff(owner) != 0)) if len(at) else np.zeros(0, bool)
+    if hashes is not None:
+        size = np.diff(np.append(np.flatnonzero(new), len(at)))
+        new |= np.repeat(size >= PIECED, size) & (hashes[at] & common.U64((1 << PIECE_BITS) - 1) == 0)
     return at[new], at[np.append(new[1:], True)[: len(new)]] + WINDOW, owner[new]
 
 
-def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...]) -> DataFrame:
+def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...], pieces: bool = False) -> DataFrame:
     """doc, names, begin, data: the parts of segments whose every window a segment of another document has.
 
     As `anchored`, for the few segments that are left, with one case for each place of a part. Segments
-    have doc, names (columns that are passed on), begin, data and unit.
+    have doc, names (columns that are passed on), begin, data and unit. With pieces, long parts are cut
+    where their content says so: pieces overlap, but each window is in one.
     """
     shape = ("doc", *names, "begin", "data")
 
@@ -438,8 +455,9 @@ def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...]) -> DataFr
             data, offsets = binaries(batch.column("data"))
             shared = batch.column("shared")
             unit = np.repeat(np.arange(batch.num_rows), np.diff(shared.offsets.to_numpy()))
-            at, owner = agreed_windows(cutter.part_hashes(data), offsets[:-1], offsets[1:] - WINDOW + 1, unit, shared.flatten(), EXACT)
-            begin, stop, owner = stretches(at, owner)
+            hashes = cutter.part_hashes(data)
+            at, owner = agreed_windows(hashes, offsets[:-1], offsets[1:] - WINDOW + 1, unit, shared.flatten(), EXACT)
+            begin, stop, owner = stretches(at, owner, hashes if pieces else None)
             raw = data.tobytes()
             columns = [batch.column(c).take(pa.array(owner, pa.int64())) for c in ("doc", *names)]
             columns.append(pa.array(batch.column("begin").to_numpy()[owner] + begin - offsets[owner], pa.int32()))
@@ -529,17 +547,22 @@ def _triples_of_names(records: np.ndarray, shift: int, back: int) -> pa.RecordBa
     place = np.cumsum(np.append(0, records["unit"][1:] != records["unit"][:-1])) * (1 << 33) + at
 
     def there(shift: int) -> tuple[np.ndarray, np.ndarray]:
-        where = np.minimum(np.searchsorted(place, place + shift), len(place) - 1)
-        return where, place[where] == place + shift
+        # Two of three places are sampled: only where some have no name is the place looked for.
+        where = np.minimum(np.arange(len(place)) + 2 * shift // 3, len(place) - 1)
+        found = place[where] == place + shift
+        miss = np.flatnonzero(~found)
+        where[miss] = np.minimum(np.searchsorted(place, place[miss] + shift), len(place) - 1)
+        found[miss] = place[where[miss]] == place[miss] + shift
+        return where, found
 
     around = lambda rows, k: (records["around"][rows] >> np.uint32(8 * k)) & np.uint32(255)
-    second, third, classes = SHIFTS[shift]
+    second, third = SHIFTS[shift]
     w2, ok2 = there(second)
     w3, ok3 = there(third)
     start = at - shift
     # Where names end before the window does, the segment must hold the bytes behind them.
     fits = records["room"][w3] >= WINDOW - 20 - shift - third
-    good = np.flatnonzero(ok2 & ok3 & fits & (start >= 0) & np.isin(start % 3, classes))
+    good = np.flatnonzero(ok2 & ok3 & fits & (start >= 0))
     out = np.zeros(len(good), SUFFIX)
     out["a"], out["b"], out["c"] = records["name"][good], records["name"][w2[good]], records["name"][w3[good]]
     tail = w3[good]
@@ -551,10 +574,66 @@ def _triples_of_names(records: np.ndarray, shift: int, back: int) -> pa.RecordBa
         rest = np.zeros(len(good), np.uint32)
     out["rest"] = rest | np.uint32(shift << 24)
     out["unit"], out["at"] = records["unit"][good], start[good]
-    mixed = np.zeros(len(good), np.uint64)
-    for field in ("a", "b", "c", "rest"):
-        mixed = common.mix64(mixed * common.U64(31) + out[field].astype(np.uint64))
-    return packed((mixed % common.U64(back)).astype(np.int32), out)
+    return packed((key_hash(out) % common.U64(back)).astype(np.int32), out)
+
+
+#: Odd numbers that the fields of a suffix's key count with in its hash.
+FACTORS = {"a": 0x9E3779B97F4A7C15, "b": 0xC2B2AE3D27D4EB4F, "c": 0xD6E8FEB86659FD93, "rest": 0xA0761D6478BD642F}
+
+
+def key_hash(suffixes: np.ndarray) -> np.ndarray:
+    return common.mix64(sum(suffixes[field].astype(np.uint64) * common.U64(k) for field, k in FACTORS.items()))
+
+
+def brought_together(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes with those of equal keys next to each other; and where another key begins.
+
+    Sorted by a hash of the key, and by the key itself if two keys have the same hash.
+    """
+    n = len(suffixes)
+    low = common.U64((1 << n.bit_length()) - 1)
+    key = (key_hash(suffixes) & ~low) | np.arange(n, dtype=np.uint64)
+    key.sort()
+
+    def parted(rows: np.ndarray) -> np.ndarray:
+        other = np.zeros(max(0, n - 1), bool)
+        for field in FACTORS:
+            column = rows[field]
+            other |= column[1:] != column[:-1]
+        return other
+
+    rows = suffixes[(key & low).astype(np.int64)]
+    other = parted(rows)
+    if np.any(other & (key[1:] & ~low == key[:-1] & ~low)):
+        rows = suffixes[np.lexsort([suffixes[field] for field in FACTORS])]
+        other = parted(rows)
+    return rows, np.append(True, other)[:n]
+
+
+def text_order(unit: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Order by unit, then place: by one number if both fit in 64 bits."""
+    bits = int(at.max(initial=0)).bit_length()
+    if int(unit.max(initial=0)) >> (63 - bits):
+        return np.lexsort((at, unit))
+    return np.argsort(unit.astype(np.int64) << bits | at.astype(np.int64))
+
+
+def gone_runs(gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Units and runs of the window starts that go, in order; each start counts once."""
+    unit, at = gone["unit"].astype(np.uint64), gone["at"].astype(np.uint64)
+    bits = int(at.max(initial=0)).bit_length()
+    if int(unit.max(initial=0)) >> (64 - bits):
+        order = np.lexsort((at, unit))
+        unit, at = unit[order], at[order]
+    else:
+        key = np.sort(unit << common.U64(bits) | at)
+        unit, at = key >> common.U64(bits), key & common.U64((1 << bits) - 1)
+    unit, at = unit.astype(np.int64), at.astype(np.int64)
+    new = np.append(True, (unit[1:] != unit[:-1]) | (at[1:] - at[:-1] > 1))[: len(unit)]
+    runs = np.zeros(int(new.sum()), RUN)
+    runs["at"] = at[new]
+    runs["many"] = at[np.append(new[1:], True)[: len(new)]] - at[new] + 1
+    return unit[new], runs
 
 
 def numbered(distinct: DataFrame, label: str) -> DataFrame:
@@ -576,7 +655,7 @@ def numbered(distinct: DataFrame, label: str) -> DataFrame:
 
 
 def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
-    """unit, starts: window starts of each segment that also start in one of a smaller document.
+    """unit, starts: runs of window starts of each segment that also start in one of a smaller document.
 
     units: unit (number of the segment, see `numbered`), data. total: bytes of data.
     """
@@ -621,7 +700,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
 
     def gathered(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Named suffixes in the order of the text, in pieces that hold whole segments."""
-        records = records[np.lexsort((records["at"], records["unit"]))]
+        records = records[text_order(records["unit"], records["at"])]
         ends = np.flatnonzero(np.append(records["unit"][1:] != records["unit"][:-1], True)) + 1
         cuts = [0]
         for end in ends.tolist():
@@ -654,28 +733,22 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
             yield _triples_of_names(records, shift, back)
 
     def adjacent(_: int, records: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Suffixes in order; neighbours of equal keys share WINDOW bytes."""
-        order = np.lexsort((records["unit"], records["rest"], records["c"], records["b"], records["a"]))
-        records = records[order]
+        """Suffixes of equal keys share WINDOW bytes."""
         if not len(records):
             return
-        same = np.ones(len(records) - 1, bool)
-        for field in ("a", "b", "c", "rest"):
-            same &= records[field][1:] == records[field][:-1]
-        first = np.append(True, ~same)
+        records, first = brought_together(records)
         doc = records["unit"] >> DOC_SHIFT
-        least = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
+        least = np.minimum.reduceat(doc, np.flatnonzero(first))[np.cumsum(first) - 1]
         late = records[doc > least]
         gone = np.zeros(len(late), GONE)
         gone["unit"], gone["at"] = late["unit"], late["at"]
         yield packed((common.mix64(gone["unit"].view(np.uint64)) % common.U64(fewer)).astype(np.int32), gone)
 
     def starts(_: int, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """One row for each segment: its window starts that go."""
-        gone = gone[np.lexsort((gone["at"], gone["unit"]))]
-        cuts = np.flatnonzero(np.append(True, gone["unit"][1:] != gone["unit"][:-1]))
-        units = pa.array(gone["unit"][cuts], pa.int64())
-        yield pa.RecordBatch.from_arrays([units, blobs_of(np.ascontiguousarray(gone["at"]), cuts)], names=["unit", "starts"])
+        """One row for each segment: the runs of its window starts that go."""
+        unit, runs = gone_runs(gone)
+        cuts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1])[: len(unit)])
+        yield pa.RecordBatch.from_arrays([pa.array(unit[cuts], pa.int64()), blobs_of(runs, cuts)], names=["unit", "starts"])
 
     # One shift after the other: the records of one are gone before the next ones are made.
     fewer = max(1, back // 4)
@@ -719,7 +792,7 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     sources = sources.dropDuplicates(["doc", "version"])
     texts = common.settled(segments(sources.select("doc", "text", "shared")), f"{label}-texts")
     common.discard(candidates)
-    wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1), ("one", "two")), f"{label}-trimmed")
+    wider, texts = texts, common.settled(trimmed(texts, max(partitions, 1), ("one", "two"), pieces=True), f"{label}-trimmed")
     common.discard(wider)
     # Segments of equal bytes stand for each other, by the least document that has them. What is left of them
     # where another segment's document has the windows as well is sorted.
@@ -767,17 +840,19 @@ def removed(docs: DataFrame) -> DataFrame:
             begin = np.repeat(offsets[:-1], pc.fill_null(pc.list_value_length(lists), 0).to_numpy()) + marks.field("begin").to_numpy()
             some = marks.field("starts").is_valid().to_numpy(zero_copy_only=False)
             whole = begin[~some]
-            many = pc.fill_null(pc.binary_length(marks.field("starts")), 0).to_numpy() // 2
-            at = np.repeat(begin, many) + np.frombuffer(b"".join(marks.field("starts").drop_null().to_pylist()), "<u2")
+            many = pc.fill_null(pc.binary_length(marks.field("starts")), 0).to_numpy() // RUN.itemsize
+            part = np.frombuffer(b"".join(marks.field("starts").drop_null().to_pylist()), RUN)
+            at = np.repeat(begin, many) + part["at"]
             first = np.concatenate([whole, at])
-            last = np.concatenate([whole + marks.field("size").to_numpy()[~some], at + WINDOW])
+            last = np.concatenate([whole + marks.field("size").to_numpy()[~some], at + part["many"] + (WINDOW - 1)])
             np.add.at(depth, first, 1)
             np.add.at(depth, last, -1)
             gone = np.cumsum(depth)[: len(data)] > 0
             begin, stop = common.runs(gone, offsets)
             owner = np.searchsorted(offsets, begin, side="right") - 1
             counts = np.bincount(owner, minlength=batch.num_rows)
-            before = np.append(0, np.cumsum(~gone))[offsets[:-1]]
+            lost = np.append(0, np.cumsum(stop - begin))
+            before = offsets[:-1] - lost[np.searchsorted(begin, offsets[:-1])]
             columns = [
                 batch.column("doc_id"),
                 blobs_of(data[~gone], before),

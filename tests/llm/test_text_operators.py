@@ -497,3 +497,42 @@ def test_release_gives_memory_of_the_driver_back(spark, monkeypatch):
     monkeypatch.setattr(suffixes.common, "give_back", lambda keep=False: given.append(keep))
     suffixes.common.release(spark)
     assert given == [True]
+
+
+def test_long_segments_are_cut_by_content():
+    """Long segments that differ at their ends have equal pieces; each window is in one piece, and short ones stay whole."""
+    rng = random.Random(8)
+    noise = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    middle, found = noise(2000), []
+    for data in (noise(60) + middle + noise(75), noise(91) + middle + noise(60), noise(150)):
+        hashes = suffixes.Cutter().part_hashes(np.frombuffer(data, np.uint8))
+        at = np.arange(len(data) - suffixes.WINDOW + 1)
+        begin, stop, _ = suffixes.stretches(at, np.zeros_like(at), hashes)
+        assert np.concatenate([np.arange(a, b - suffixes.WINDOW + 1) for a, b in zip(begin, stop)]).tolist() == at.tolist()
+        found.append({data[a:b] for a, b in zip(begin.tolist(), stop.tolist())})
+    assert sum(map(len, found[0] & found[1])) > 1500 and len(found[2]) == 1
+
+
+def test_equal_keys_come_together_whatever_their_hash(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = np.zeros(500, suffixes.SUFFIX)
+    for field in ("a", "b", "c", "rest"):
+        rows[field] = rng.integers(0, 3, len(rows))
+    rows["at"] = np.arange(len(rows))
+    groups = {}
+    for key, at in zip(rows[["a", "b", "c", "rest"]].tolist(), rows["at"].tolist()):
+        groups.setdefault(key, set()).add(at)
+    for same_hash in (False, True):
+        if same_hash:
+            monkeypatch.setattr(suffixes, "key_hash", lambda suffixes: np.zeros(len(suffixes), np.uint64))
+        got, first = suffixes.brought_together(rows)
+        parts = np.split(got["at"], np.flatnonzero(first)[1:])
+        assert sorted(sorted(p.tolist()) for p in parts) == sorted(map(sorted, groups.values()))
+
+
+def test_starts_that_go_are_runs():
+    for far in (0, 1 << 55):  # unit and place fit in 64 bits, or don't
+        gone = np.zeros(7, suffixes.GONE)
+        gone["unit"], gone["at"] = np.array([5, 5, 2, 5, 2, 2, 3]) + far, [9, 7, 4095, 8, 1, 1, 0]
+        unit, runs = suffixes.gone_runs(gone)
+        assert (unit - far).tolist() == [2, 2, 3, 5] and runs.tolist() == [(1, 1), (4095, 1), (0, 1), (7, 3)]
