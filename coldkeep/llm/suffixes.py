@@ -3,7 +3,9 @@
 Text that can repeat is found first. Each document is cut where its content says so into units, each
 with the bytes that windows starting in it reach. Equal units are kept once, with the least document
 that holds them. Every window of WINDOW bytes is represented by the least hash of its parts; only
-units that share such an anchor with another unit go on. Both steps lose no repeated window.
+units that share such an anchor with another unit go on. Both steps lose no repeated window. Of what is
+left, runs of windows of one anchor whose bytes a segment of a smaller document has as well go at once
+and are not sorted: a passage of many copies, each with changes of its own, is sorted about once.
 
 The suffixes of these units are sorted by the difference cover {1, 2} modulo 3. Suffixes at sampled
 offsets are sorted by a triple of words, 20 bytes, and named in order. The names are the text of the
@@ -37,7 +39,7 @@ from coldkeep.llm.common import staged
 
 WINDOW = 50
 #: Bytes of the parts whose least hash is a window's anchor.
-PART = 16
+PART = 20
 UNIT_BITS, LONGEST_UNIT = 8, 1024
 #: Units a task remembers to have sent anchors of.
 REMEMBERED = 500_000
@@ -55,11 +57,15 @@ SLICE = 1 << 19
 
 #: The number of a segment: the rank of its document, then its place among the segments of that.
 DOC_SHIFT = 24
-TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
-NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("room", "u1")])
+TRIPLE = np.dtype([("k1", ">u8"), ("k2", ">u8"), ("k3", ">u4"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("lead", "u1"), ("room", "u1")])
+NAMED = np.dtype([("name", "<i8"), ("around", "<u4"), ("unit", "<i8"), ("at", "<u2"), ("lead", "u1"), ("room", "u1")])
 SUFFIX = np.dtype([("a", "<i8"), ("b", "<i8"), ("c", "<i8"), ("rest", "<u4"), ("unit", "<i8"), ("at", "<u2")])
 #: A suffix that loses its window: its segment and place.
 GONE = np.dtype([("unit", "<i8"), ("at", "<u2")])
+#: Successive windows of a segment that have one anchor, with 128 bits that stand for their bytes.
+BLOCK = np.dtype([("one", "<u8"), ("two", "<u8"), ("unit", "<i8"), ("at", "<u2"), ("many", "<u2")])
+#: Text whose blocks meet in one bucket.
+BLOCKS_OF = 4 << 20
 #: Successive window starts of a segment that go.
 RUN = np.dtype([("at", "<u2"), ("many", "<u2")])
 #: Segments of so many windows are cut where a part's hash ends in so many zero bits: what different segments
@@ -79,7 +85,8 @@ EXACT = np.arange(PLACES)
 ABSENT = 2
 INSIDE = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8")])
 ACROSS = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (CASES,)), ("unit", "<i8"), ("next", "<i8")])
-PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u2", (PLACES,)), ("unit", "<i8"), ("doc", "<i8")])
+#: Here windows must agree as a whole, however many places an anchor has: sides of 32 bits.
+PLACED = np.dtype([("high", "<u4"), ("low", "<u2"), ("sides", "<u4", (PLACES,)), ("unit", "<i8"), ("doc", "<i8")])
 
 
 class Cutter:
@@ -237,15 +244,15 @@ def parts_of(least: list[np.ndarray], first: np.ndarray, anchor: np.ndarray) ->
     return part
 
 
-def sides_of(cutter: Cutter, odd: np.ndarray, part: np.ndarray, cases: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
-    """For each case, 16 bits of a hash of the bytes that all its windows around the part hold.
+def sides_of(cutter: Cutter, odd: np.ndarray, part: np.ndarray, cases: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None, bits: int = 16) -> np.ndarray:
+    """For each case, some bits of a hash of the bytes that all its windows around the part hold.
 
     Places that share a window agree in its case. 0 where the part occurs twice near: it fits all.
     The hash goes by the prefix sums of the text that was cut last. Of cases of one window each, only
     those of windows that start from begin to end are wanted, if these are given.
     """
     side, sums = cutter.parts, cutter.sums
-    out = np.zeros((len(part), cases[-1] + 1), np.uint16)
+    out = np.zeros((len(part), cases[-1] + 1), f"<u{bits // 8}")
     known = np.flatnonzero(~odd[part])
     if begin is not None:
         out[known] = ABSENT
@@ -256,7 +263,7 @@ def sides_of(cutter: Cutter, odd: np.ndarray, part: np.ndarray, cases: np.ndarra
             known = everyone[(part[everyone] - case >= begin[everyone]) & (part[everyone] - case < end[everyone])]
         place = part[known]
         h = side.spans(sums, np.maximum(place - x[0], 0), np.minimum(place + WINDOW - x[-1], len(sums) - 1))
-        out[known, case] = (h >> common.U64(48)) | common.U64(1)
+        out[known, case] = (h >> common.U64(64 - bits)) | common.U64(1)
     return out
 
 
@@ -294,10 +301,11 @@ def elsewhere(key: np.ndarray, where: np.ndarray) -> np.ndarray:
 def agreeing(anchor: np.ndarray, sides: np.ndarray, unit: np.ndarray, where: np.ndarray) -> pa.RecordBatch:
     """unit, anchor and a bit for each case in which another place of the anchor agrees."""
     every = sides.shape[1]
+    spread = common.mix64(anchor << common.U64(16))
     cases = np.zeros(len(anchor), np.int64)
     for case in range(every):
         rows = np.flatnonzero(sides[:, case] != ABSENT)
-        cases[rows] |= elsewhere(anchor[rows] << common.U64(16) | sides[rows, case], where[rows]) << case
+        cases[rows] |= elsewhere(spread[rows] ^ sides[rows, case], where[rows]) << case
     # A part that can't be told apart shares all cases with every other place of its anchor.
     blurred = np.isin(anchor, anchor[sides[:, 0] == 0])
     cases[blurred] |= elsewhere(anchor[blurred], where[blurred]) * ((1 << every) - 1)
@@ -440,7 +448,7 @@ def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...], pieces: b
             full = least[at]
             records = np.zeros(len(full), PLACED)
             records["high"], records["low"] = full >> common.U64(32), full >> common.U64(16) & common.U64(0xFFFF)
-            records["sides"] = sides_of(cutter, odd, parts_of(lows, at, full), EXACT, at, end)
+            records["sides"] = sides_of(cutter, odd, parts_of(lows, at, full), EXACT, at, end, 32)
             for field in ("unit", "doc"):
                 records[field] = batch.column(field).to_numpy()[owner]
             yield packed((full % common.U64(buckets)).astype(np.int32), records)
@@ -464,7 +472,7 @@ def trimmed(segments: DataFrame, buckets: int, names: tuple[str, ...], pieces: b
             columns.append(pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist())], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=list(shape))
 
-    found = by_bucket(segments.mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
+    found = by_bucket(segments.select("doc", "data", "unit").mapInArrow(send, PACKED), buckets, PLACED, meet, "unit long, anchor long, cases long")
     shared = found.groupBy("unit").agg(F.collect_list(F.struct("anchor", "cases")).alias("shared"))
     rows = segments.join(shared, "unit").select(*shape, "shared")
     return rows.mapInArrow(cut, segments.select(*shape).schema)
@@ -515,10 +523,11 @@ def segments(docs: DataFrame) -> DataFrame:
 def triples(batch: pa.RecordBatch) -> np.ndarray:
     """Records of the sampled suffixes of units: 20 bytes, four bytes around, and where they are."""
     data, offsets = binaries(batch.column("data"))
-    unit = batch.column("unit").to_numpy()
+    unit, begin = batch.column("unit").to_numpy(), batch.column("begin").to_numpy()
     owner = np.repeat(np.arange(len(unit)), np.diff(offsets))
-    at = np.arange(len(data)) - offsets[:-1][owner]
-    behind = np.diff(offsets)[owner] - at - 20
+    before = np.arange(len(data)) - offsets[:-1][owner]
+    behind = np.diff(offsets)[owner] - before - 20
+    at = before + begin[owner]
     sampled = np.flatnonzero((at % 3 != 0) & (behind >= 0))
     around = np.concatenate([np.zeros(2, np.uint8), data, np.zeros(24, np.uint8)])
     byte = lambda shift: around[sampled + shift + 2]
@@ -527,7 +536,7 @@ def triples(batch: pa.RecordBatch) -> np.ndarray:
     out["k1"], out["k2"], out["k3"] = word(0, 8), word(8, 8), word(16, 4)
     out["around"] = sum(byte(s).astype(np.uint32) << np.uint32(8 * k) for k, s in enumerate((-2, -1, 20, 21)))
     out["unit"], out["at"] = unit[owner[sampled]], at[sampled]
-    out["room"] = np.minimum(behind[sampled], 2)
+    out["lead"], out["room"] = np.minimum(before[sampled], 2), np.minimum(behind[sampled], 2)
     return out
 
 
@@ -562,7 +571,7 @@ def _triples_of_names(records: np.ndarray, shift: int, back: int) -> pa.RecordBa
     start = at - shift
     # Where names end before the window does, the segment must hold the bytes behind them.
     fits = records["room"][w3] >= WINDOW - 20 - shift - third
-    good = np.flatnonzero(ok2 & ok3 & fits & (start >= 0))
+    good = np.flatnonzero(ok2 & ok3 & fits & (records["lead"] >= shift))
     out = np.zeros(len(good), SUFFIX)
     out["a"], out["b"], out["c"] = records["name"][good], records["name"][w2[good]], records["name"][w3[good]]
     tail = w3[good]
@@ -654,11 +663,91 @@ def numbered(distinct: DataFrame, label: str) -> DataFrame:
     return distinct.withColumn("own", own).join(rank, "doc").withColumn("unit", unit).drop("own", "rank")
 
 
+def copied_windows(units: DataFrame, buckets: int) -> DataFrame:
+    """unit, starts: runs of window starts of each segment whose blocks a segment of a smaller document has."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = Cutter()
+        for batch in common.slices(batches, "data", SLICE):
+            data, offsets = binaries(batch.column("data"))
+            least = least_hashes(cutter.part_hashes(data))
+            new = np.append(True, least[1:] != least[:-1])
+            new[offsets[:-1]] = True
+            at = np.flatnonzero(new)
+            owner = np.searchsorted(offsets, at, side="right") - 1
+            inner = at <= offsets[owner + 1] - WINDOW
+            end = np.minimum(np.append(at[1:], len(data)), offsets[owner + 1] - WINDOW + 1)[inner]
+            at, owner = at[inner], owner[inner]
+            blocks = np.zeros(len(at), BLOCK)
+            for field, name in zip(("one", "two"), cutter.names(data, at, end)):
+                blocks[field] = name.view(np.uint64)
+            blocks["unit"], blocks["at"], blocks["many"] = batch.column("unit").to_numpy()[owner], at - offsets[owner], end - at
+            yield packed((blocks["one"] % common.U64(buckets)).astype(np.int32), blocks)
+
+    def meet(_: int, blocks: np.ndarray) -> Iterator[pa.RecordBatch]:
+        blocks = blocks[np.lexsort((blocks["two"], blocks["one"]))]
+        first = np.append(True, (blocks["one"][1:] != blocks["one"][:-1]) | (blocks["two"][1:] != blocks["two"][:-1]))[: len(blocks)]
+        doc = blocks["unit"] >> DOC_SHIFT
+        least = np.minimum.reduceat(doc, np.flatnonzero(first))[np.cumsum(first) - 1] if len(doc) else doc
+        late = blocks[doc > least]
+        yield packed((common.mix64(late["unit"].astype(np.int64).view(np.uint64)) % common.U64(buckets)).astype(np.int32), late)
+
+    def starts(_: int, late: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """One row for each segment: its runs in order, those that follow each other as one."""
+        late = late[np.lexsort((late["at"], late["unit"]))]
+        unit, at, end = late["unit"].astype(np.int64), late["at"].astype(np.int64), late["at"].astype(np.int64) + late["many"]
+        new = np.append(True, (unit[1:] != unit[:-1]) | (at[1:] != end[:-1]))[: len(unit)]
+        runs = np.zeros(int(new.sum()), RUN)
+        runs["at"], runs["many"] = at[new], end[np.append(new[1:], True)[: len(unit)]] - at[new]
+        unit = unit[new]
+        cuts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1])[: len(unit)])
+        yield pa.RecordBatch.from_arrays([pa.array(unit[cuts], pa.int64()), blobs_of(runs, cuts)], names=["unit", "starts"])
+
+    late = by_bucket(units.mapInArrow(send, PACKED), buckets, BLOCK, meet, PACKED)
+    return by_bucket(late, buckets, BLOCK, starts, "unit long, starts binary")
+
+
+def without_runs(units: DataFrame, copied: DataFrame) -> DataFrame:
+    """unit, begin, data: the parts of each segment that windows outside its runs need; they don't touch."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, "data", SLICE):
+            data, offsets = binaries(batch.column("data"))
+            starts = batch.column("starts")
+            many = pc.fill_null(pc.binary_length(starts), 0).to_numpy() // RUN.itemsize
+            runs = np.frombuffer(b"".join(starts.drop_null().to_pylist()), RUN)
+            begin = np.repeat(offsets[:-1], many) + runs["at"]
+            depth = np.zeros(len(data) + 1, np.int32)
+            np.add.at(depth, begin, 1)
+            np.add.at(depth, begin + runs["many"], -1)
+            stays = np.cumsum(depth)[: len(data)] == 0
+            # A segment's last bytes start no window.
+            for back in range(1, WINDOW):
+                stays[offsets[1:] - back] = False
+            first, stop = common.runs(stays, offsets)
+            stop = stop + (WINDOW - 1)
+            owner = np.searchsorted(offsets, first, side="right") - 1
+            new = np.append(True, (owner[1:] != owner[:-1]) | (first[1:] > stop[:-1]))[: len(first)]
+            first, stop, owner = first[new], stop[np.append(new[1:], True)[: len(new)]], owner[new]
+            raw = data.tobytes()
+            columns = [batch.column("unit").take(pa.array(owner, pa.int64())), pa.array(first - offsets[owner], pa.int32())]
+            columns.append(pa.array([raw[a:b] for a, b in zip(first.tolist(), stop.tolist())], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["unit", "begin", "data"])
+
+    rows = units.select("unit", "data").join(copied, "unit", "left").select("unit", "data", "starts")
+    return rows.mapInArrow(cut, "unit long, begin int, data binary")
+
+
 def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
     """unit, starts: runs of window starts of each segment that also start in one of a smaller document.
 
-    units: unit (number of the segment, see `numbered`), data. total: bytes of data.
+    units: unit (number of the segment, see `numbered`), data. total: bytes of data. A segment has two
+    rows at most: of the blocks that others have whole, and of what the sort finds in the others.
     """
+    copied = common.settled(copied_windows(units, max(1, -(-total // BLOCKS_OF))), f"{label}-copied")
+    units = common.settled(without_runs(units, copied), f"{label}-rest")
+    total = int(units.agg(F.sum(F.length("data"))).first()[0] or 0)
+    rest = units
     buckets = max(PASSES, -(-total * TRIPLE.itemsize // BUCKET_BYTES))
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -692,7 +781,7 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         out = np.zeros(int(many.sum()), NAMED)
         chosen = records[order][many]
         out["name"] = (np.int64(bucket) << 36) + rank[many]
-        for field in ("around", "unit", "at", "room"):
+        for field in ("around", "unit", "at", "lead", "room"):
             out[field] = chosen[field]
         for lo in range(0, len(out), 1 << 18):
             part = out[lo : lo + (1 << 18)]
@@ -758,8 +847,9 @@ def covered_windows(units: DataFrame, total: int, label: str) -> DataFrame:
         parts.append(common.settled(by_bucket(suffixes, back, SUFFIX, adjacent, PACKED, EACH), f"{label}-covered"))
         found = parts[-1] if found is None else found.unionByName(parts[-1])
     common.discard(*pieces)
-    cover = common.settled(by_bucket(found, fewer, GONE, starts, "unit long, starts binary"), f"{label}-cover")
-    common.discard(*parts)
+    cover = by_bucket(found, fewer, GONE, starts, "unit long, starts binary").unionByName(copied)
+    cover = common.settled(cover, f"{label}-runs")
+    common.discard(copied, rest, *parts)
     return cover
 
 
@@ -796,8 +886,8 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     common.discard(wider)
     # Segments of equal bytes stand for each other, by the least document that has them. What is left of them
     # where another segment's document has the windows as well is sorted.
-    trimmed_texts, texts = texts, texts.withColumn("content", F.unhex(F.sha2("data", 256)))
-    distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.first("data").alias("data"))
+    trimmed_texts, texts = texts, texts.withColumn("content", F.unhex(F.substring(F.sha2("data", 256), 1, 32)))
+    distinct = texts.groupBy("content").agg(F.min("doc").alias("doc"), F.max("doc").alias("most"), F.first("data").alias("data"))
     distinct = common.settled(distinct.withColumns({"begin": F.lit(0), "unit": F.xxhash64("content")}), f"{label}-distinct")
     shared = common.settled(trimmed(distinct, max(partitions, 1), ("content",)), f"{label}-shared")
     sorted_ = common.settled(numbered(shared, label), f"{label}-sorted")
@@ -813,12 +903,14 @@ def repeated(docs: DataFrame, others: tuple[str, ...] = (), label: str = "suffix
     whole = whole.withColumns({"size": F.col("size") + (WINDOW - 1), "starts": none.cast("binary")}).select(*shape)
     whole = common.settled(whole, f"{label}-whole")
     first = sorted_.join(cover, "unit").select("content", F.col("doc").alias("first_doc"), F.col("begin").alias("behind"), "starts")
-    first = first.unionByName(distinct.select("content", F.col("doc").alias("first_doc"), F.lit(0).alias("behind"), none.cast("binary").alias("starts")))
+    several = distinct.where("most > doc").select("content", F.col("doc").alias("first_doc"), F.lit(0).alias("behind"), none.cast("binary").alias("starts"))
+    first = common.settled(first.unionByName(several), f"{label}-cover")
+    common.discard(distinct, sorted_, cover)
     partly = texts.select("content", "doc", "one", "two", "begin", F.length("data").alias("part")).join(first, "content")
     partly = partly.where("if(starts is null, doc > first_doc, doc = first_doc)")
     partly = partly.select("doc", "one", "two", (F.col("begin") + F.col("behind")).alias("within"), "part", "starts")
     partly = common.settled(partly, f"{label}-partly")
-    common.discard(repeats, trimmed_texts, distinct, sorted_, cover)
+    common.discard(repeats, trimmed_texts, first)
     partly = units.drop("size").join(partly, ["one", "two", "doc"])
     partly = partly.withColumns({"begin": F.col("begin") + F.col("within"), "size": F.col("part")}).select(*shape)
     marks = whole.unionByName(partly).groupBy("doc", "version").agg(F.collect_set(F.struct("begin", "size", "starts")).alias("marks"))

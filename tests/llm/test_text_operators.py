@@ -6,6 +6,7 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -536,3 +537,49 @@ def test_starts_that_go_are_runs():
         gone["unit"], gone["at"] = np.array([5, 5, 2, 5, 2, 2, 3]) + far, [9, 7, 4095, 8, 1, 1, 0]
         unit, runs = suffixes.gone_runs(gone)
         assert (unit - far).tolist() == [2, 2, 3, 5] and runs.tolist() == [(1, 1), (4095, 1), (0, 1), (7, 3)]
+
+
+def test_runs_that_a_smaller_document_has_are_not_sorted(spark, monkeypatch):
+    """Of copies of a passage with changes of their own, what a smaller one has whole is not sorted."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, rows = noise(1500), []
+    for i in range(40):
+        places = sorted(rng.sample(range(1500), 8))
+        text = "".join(passage[a:b] + noise(3) for a, b in zip([0, *places], [*places, 1500]))
+        rows.append((rng.choice((i, i // 4)), noise(30) + text + noise(40)))
+    named, settled = [], suffixes.common.settled
+
+    def counted(df, label, keep=False):
+        out = settled(df, label, keep)
+        if label == "suffixes-names":
+            named.append(out.selectExpr("sum(length(records))").first()[0] // suffixes.NAMED.itemsize)
+        return out
+
+    monkeypatch.setattr(suffixes.common, "settled", counted)
+    got = suffixes.repeated(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == removed_by_force(rows)
+    assert 0 < sum(named) < 16_000  # 25,415 if all are sorted
+
+
+def test_parts_of_segments_keep_what_stands_before_them():
+    """What is left of a segment is cut where windows need it; no suffix begins before its own bytes."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 400).astype(np.uint8).tobytes()
+    batch = lambda begin, data: suffixes.pa.RecordBatch.from_pydict({"unit": suffixes.pa.array([7] * len(data)), "begin": suffixes.pa.array(begin, suffixes.pa.int32()), "data": data})
+    whole = suffixes.triples(batch([0], [data]))
+    parts = suffixes.triples(batch([0, 200], [data[:150], data[200:]]))
+    assert {r["at"]: r["k1"] for r in whole}.items() >= {r["at"]: r["k1"] for r in parts}.items()
+    assert [(r["at"], r["lead"]) for r in parts if 199 <= r["at"] < 204] == [(200, 0), (202, 2), (203, 2)]
+
+
+def test_windows_of_a_common_line_agree_as_a_whole(spark):
+    """Windows over the ends of a line that many documents have are not taken for each other."""
+    rng = random.Random(12)
+    noise = lambda n: bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    line = noise(60)
+    rows = [(i, i, 0, noise(45) + line + noise(45)) for i in range(2000)]
+    held = Counter(w for *_, data in rows for w in {data[a : a + suffixes.WINDOW] for a in range(len(data) - suffixes.WINDOW + 1)})
+    left = suffixes.trimmed(spark.createDataFrame(rows, "doc long, unit long, begin int, data binary"), 2, ()).collect()
+    windows = [bytes(r.data)[a : a + suffixes.WINDOW] for r in left for a in range(len(r.data) - suffixes.WINDOW + 1)]
+    assert len(windows) >= 2000 * 11 and all(held[w] > 1 for w in windows)
