@@ -52,8 +52,8 @@ BUCKET_BYTES = 12 << 20
 EACH = 3
 SPLIT_SAMPLE = 200_000
 LAST = (1 << 63) - 1
-#: Bytes that a task turns into arrays at once.
-SLICE = 1 << 19
+#: Bytes that a task turns into arrays at once; of units, fewer, as they are not dealt out by bucket.
+SLICE, UNIT_SLICE = 1 << 19, 1 << 17
 
 #: The number of a segment: the rank of its document, then its place among the segments of that.
 DOC_SHIFT = 24
@@ -77,7 +77,7 @@ PASSES = 1
 PIECE_BYTES = 1 << 16
 #: 48 bits of an anchor and the unit that has it, or the two units whose seam it spans.
 #: A window that holds a part of PART bytes at its x-th byte belongs to one of CASES ranges of x.
-CASES = 2
+CASES = 3
 PLACES = WINDOW - PART + 1
 CASE = np.arange(PLACES) * CASES // PLACES
 EXACT = np.arange(PLACES)
@@ -156,7 +156,7 @@ def units_of(docs: DataFrame) -> DataFrame:
 
         return kernel
 
-    return common.arrow_map(docs, make, "doc long, version long, begin int, size int, one long, two long", "text", SLICE)
+    return common.arrow_map(docs, make, "doc long, version long, begin int, size int, one long, two long", "text", UNIT_SLICE)
 
 
 def packed(bucket: np.ndarray, records: np.ndarray, mark: bytes = b"") -> pa.RecordBatch:
